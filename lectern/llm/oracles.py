@@ -19,6 +19,17 @@ def _rules() -> str:
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for words in Q.STOP_WORDS.values() for w in words}))
 
+OP1 = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+g AS (SELECT doc_id, i, hash(w[i : i + 19]) AS k, w[i : i + 19] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k, s ORDER BY doc_id, i) AS n FROM g),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM r WHERE n > 1),
+e AS (SELECT doc_id, count(*) AS n_removed, list(p) AS ps FROM c GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN n_removed IS NULL THEN array_to_string(w, ' ') ELSE coalesce((SELECT string_agg(x, ' ' ORDER BY j) FROM (SELECT unnest(w) AS x, unnest(range(1, len(w) + 1)) AS j) WHERE NOT list_contains(ps, j)), '') END) AS kept_sha256
+FROM d LEFT JOIN e USING (doc_id)
+"""
+
 OP4 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
 g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
@@ -63,4 +74,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 A
 FROM k
 """
 
-ORACLES = {"op4_quality_rules": OP4, "op9_decontamination": OP9, "op10_warc": OP10}
+ORACLES = {"op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op9_decontamination": OP9, "op10_warc": OP10}

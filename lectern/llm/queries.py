@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, common, decontamination, quality_rules, token_files, warc
+from . import bpe, common, decontamination, quality_rules, substring_dedup, token_files, warc
 
 TOKENIZER_RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER_JSON = "byte_bpe_50k.json"
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", substring_dedup.n_removed().alias("n_removed"), F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -40,4 +46,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_quality_rules, op5_token_files, op9_decontamination, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_byte_bpe, op4_quality_rules, op5_token_files, op9_decontamination, op10_warc)}
