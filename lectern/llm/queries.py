@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontamination, quality_rules, substring_dedup, token_files, warc
+from . import bpe, common, decontamination, quality_rules, substring_dedup, suffix_dedup, token_files, warc
 
 TOKENIZER_RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER_JSON = "byte_bpe_50k.json"
@@ -35,6 +35,18 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_index(spark, path)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = (F.octet_length("text") - F.octet_length("kept")).cast("long")
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce(gone, F.lit(0)).alias("n_removed"),
+        (F.size("removed") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
@@ -46,4 +58,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_byte_bpe, op4_quality_rules, op5_token_files, op9_decontamination, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_byte_bpe, op4_quality_rules, op5_token_files, op6_suffix_dedup, op9_decontamination, op10_warc)}
