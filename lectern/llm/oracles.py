@@ -51,6 +51,19 @@ m AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND {_rules()}) AS kept FROM m
 """
 
+OP8 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+s AS (SELECT DISTINCT doc_id, s FROM g),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS d, doc_id AS c FROM w UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.d AND r.c < e.b)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.c)::BIGINT AS component_id, w.doc_id = min(r.c) AS kept
+FROM w JOIN r ON r.d = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id, n.n
+"""
+
 OP9 = rf"""
 WITH d AS (SELECT doc_id, {ALNUM_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {ALNUM_WORDS} AS w FROM benchmark),
@@ -74,4 +87,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 A
 FROM k
 """
 
-ORACLES = {"op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op9_decontamination": OP9, "op10_warc": OP10}
+ORACLES = {"op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op8_near_dedup": OP8, "op9_decontamination": OP9, "op10_warc": OP10}

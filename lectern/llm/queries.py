@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontamination, quality_rules, substring_dedup, suffix_dedup, token_files, warc
+from . import bpe, common, decontamination, near_dedup, quality_rules, substring_dedup, suffix_dedup, token_files, warc
 
 TOKENIZER_RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER_JSON = "byte_bpe_50k.json"
@@ -47,6 +47,11 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_groups(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
@@ -58,4 +63,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_byte_bpe, op4_quality_rules, op5_token_files, op6_suffix_dedup, op9_decontamination, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_byte_bpe, op4_quality_rules, op5_token_files, op6_suffix_dedup, op8_near_dedup, op9_decontamination, op10_warc)}
