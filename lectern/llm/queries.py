@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontamination, near_dedup, quality_rules, substring_dedup, suffix_dedup, token_files, warc
+from . import bpe, common, decontamination, near_dedup, quality_model, quality_rules, substring_dedup, suffix_dedup, token_files, toxicity, warc
 
 TOKENIZER_RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER_JSON = "byte_bpe_50k.json"
@@ -16,6 +16,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", substring_dedup.n_removed().alias("n_removed"), F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = common.crc_remainder("doc_id", 4) == 2
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"), ~held_out)
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,6 +55,14 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = common.crc_remainder("doc_id", 3) == 1
+    model = quality_model.fit(docs, common.table(spark, sf_dir, "labels"), ~held_out)
+    found = quality_model.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_groups(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -63,4 +79,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_byte_bpe, op4_quality_rules, op5_token_files, op6_suffix_dedup, op8_near_dedup, op9_decontamination, op10_warc)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_toxicity,
+        op3_byte_bpe,
+        op4_quality_rules,
+        op5_token_files,
+        op6_suffix_dedup,
+        op7_quality_model,
+        op8_near_dedup,
+        op9_decontamination,
+        op10_warc,
+    )
+}
