@@ -42,7 +42,7 @@ class FTRL:
     """FTRL-proximal for logistic loss; place 2**bits is the intercept, which L1 spares."""
 
     bits: int = BITS
-    alpha: float = 0.1
+    alpha: float = 0.5
     beta: float = 1.0
     l1: float = 1.0
     l2: float = 1.0
@@ -92,6 +92,7 @@ def train(sample: DataFrame, passes: int = 4, bits: int = BITS, **options) -> Mo
     rows = sample.mapInArrow(hashed, "id string, label int, places array<int>").toArrow().combine_chunks().to_batches()
     examples = [(p, int(y), i) for b in rows for p, y, i in zip(_lists(b["places"]), b["label"].to_pylist(), b["id"].to_pylist())]
     examples.sort(key=lambda e: e[2])
+    options.setdefault("l1", min(max(len(examples) / 600, 1.0), 20.0))  # a word must recur more often in a larger sample
     model, order = FTRL(bits, **options), np.random.default_rng(7)
     for _ in range(passes):
         for k in order.permutation(len(examples)).tolist():
