@@ -387,3 +387,29 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     contexts = B.answer(B.send_again(base, anchors, say_contexts), lambda said: first_documents(said, length), 1)
     schema = T.StructType([*base.drop(B.BLOCK).schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("removed", T.ArrayType(T.LongType())), T.StructField("kept", T.BinaryType())])
     return B.finish(base, anchors.unionByName(contexts), remove, schema)
+
+
+def without_spans(text: str, spans: str):
+    """The text without the characters all of whose bytes lie in the removed runs."""
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("string")
+    def cut(texts, runs):
+        return texts.combine(runs, _keep_characters)
+
+    return cut(F.col(text), F.col(spans))
+
+
+def _keep_characters(text, runs):
+    if text is None or runs is None or not len(runs):
+        return text
+    raw = text.encode()
+    out, at = [], 0
+    for start, end in zip(runs[::2], runs[1::2]):
+        while start < end and raw[start] & 0xC0 == 0x80:  # a character that begins before the run stays
+            start += 1
+        while end > start and end < len(raw) and raw[end] & 0xC0 == 0x80:  # and one that ends after it
+            end -= 1
+        out.append(raw[at:start])
+        at = max(end, start)
+    return b"".join([*out, raw[at:]]).decode()
