@@ -49,6 +49,12 @@ RULES = (
 )
 
 
+OUTPUT = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "mean_word_chars",
+    "symbol_ratio", "repeat_ratio", "dup_line_ratio", "stop_ratio", "base_failed", "kept",
+)
+
+
 def _repeat_words(words: Column) -> Column:
     """Words inside 3-word windows found twice or more in the text.
 
@@ -117,4 +123,6 @@ def quality_rules(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame
     """The columns of docs (those with the operator's own names replaced), the counts, base_failed and kept."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = measured(docs, text).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
-    return out.drop("_text", "_bare", "_words", "_lines", "_windows", "_pairs", "_places", "_n")
+    # One row from one struct: a later filter on kept stays above it, and is not rewritten in terms of the text.
+    own = F.inline(F.array(F.struct(*OUTPUT)))
+    return out.select(*[out[f"`{c}`"] for c in docs.columns if c not in OUTPUT], own)

@@ -19,12 +19,12 @@ Null and empty texts have no bytes. Rows of one doc_id do not take bytes from ea
 than all others. Strings never cross documents. Other columns are passed through.
 """
 
-from __future__ import annotations
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import blocks as B
@@ -391,11 +391,10 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
 def without_spans(text: str, spans: str):
     """The text without the characters all of whose bytes lie in the removed runs."""
-    from pyspark.sql import functions as F
 
     @F.pandas_udf("string")
-    def cut(texts, runs):
-        return texts.combine(runs, _keep_characters)
+    def cut(texts: pd.Series, runs: pd.Series) -> pd.Series:
+        return pd.Series([_keep_characters(t, r) for t, r in zip(texts, runs)], dtype=object)
 
     return cut(F.col(text), F.col(spans))
 
