@@ -17,9 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
+from .stretches import StretchTable
 
-CACHE_ENTRIES = 400_000
-#: A space between two spaces (or at the end after one) joins a longer run; such texts are split as a whole.
-RUN = re.compile(r"\s (?:\s|\Z)")
+KNOWN_PAIRS = 1_600_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -87,7 +84,7 @@ class Vocabulary:
                     joined = self.ranks.get(a + b)
                     if joined is not None and joined < until_a and joined <= until_b:
                         known = False
-            if len(self._follows) >= 4 * CACHE_ENTRIES:
+            if len(self._follows) >= KNOWN_PAIRS:
                 self._follows.clear()
             self._follows[key] = known
         return known
@@ -209,7 +206,7 @@ class PieceBatch:
         got = self.apart.get(key)
         if (got < 0).any():
             new = np.unique(key[got < 0])
-            if self.apart.n > 8 * CACHE_ENTRIES:
+            if self.apart.n > 2 * KNOWN_PAIRS:
                 self.apart = _Open(18)
             self.apart.put(new, np.array([self.v.follows(k >> 32, k & 0xFFFFFFFF) for k in new.tolist()], np.int32))
             got = self.apart.get(key)
@@ -262,47 +259,25 @@ class PieceBatch:
 
 
 class Encoder:
-    """Encodes texts; distinct stretches between single spaces are encoded once while they are in the table."""
+    """Encodes texts, each distinct stretch once while it is in the table."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.v, self.split = vocabulary, regex.compile(pattern)
         self.batch = PieceBatch(vocabulary)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _cut(self, text: str) -> list[str]:
-        """Stretches that the pattern splits as it splits the whole text."""
-        if not text:
-            return []
-        if RUN.search(text):
-            return self.split.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + part for part in rest]] if first else [" " + part for part in rest]
-
-    def _learn(self, stretches: set[str]) -> None:
-        known, ranks = self.known, self.v.ranks
-        cut = {s: [p.encode() for p in self.split.findall(s)] for s in stretches}
-        new = list({p for pieces in cut.values() for p in pieces if p not in ranks})
+        self.table = StretchTable(self._encode)
+
+    def _encode(self, stretches: list[str]) -> list[list[int]]:
+        ranks = self.v.ranks
+        cut = [[p.encode() for p in self.split.findall(s)] for s in stretches]
+        new = list({p for pieces in cut for p in pieces if p not in ranks})
         short = [p for p in new if len(p) <= PieceBatch.LONGEST]
         got = dict(zip(short, self.batch.ids(short)))
         got |= {p: tuple(PrefixTable(self.v, p).ids()) for p in new if len(p) > PieceBatch.LONGEST}
-        for s, pieces in cut.items():
-            if len(pieces) == 1 and pieces[0] in got:
-                known[s] = got[pieces[0]]
-            else:
-                known[s] = tuple([i for p in pieces for i in (got[p] if p in got else (ranks[p],))])
+        return [[i for p in pieces for i in (got[p] if p in got else (ranks[p],))] for pieces in cut]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        cut = [self._cut(t) for t in texts]
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        new = set().union(*cut) - self.known.keys()
-        if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        out = [list(chain.from_iterable(map(get, stretches))) for stretches in cut]
-        for s in [s for s in new if len(s) > 64]:
-            del self.known[s]
-        return out
+        flat, off = self.table.ids(pa.array(texts, pa.large_string()))
+        return [flat[a:b].tolist() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
@@ -328,8 +303,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text"
     def run(batches):
         e = encoder(vocabulary, pattern)
         for whole in batches:
-            for batch in K.slices(whole, text, 2 << 20):
-                got = pa.array(e.encode_all([t or "" for t in batch[text].to_pylist()]), pa.list_(pa.int32()))
+            for batch in K.slices(whole, text, 4 << 20):
+                flat, off = e.table.ids(batch[text])
+                got = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, ids])
 
     docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c != ids])
@@ -355,13 +331,14 @@ def token_digests(docs: DataFrame, vocabulary: str, pattern: str, *, doc_id: str
     def run(batches):
         e = encoder(vocabulary, pattern)
         for whole in batches:
-            for batch in K.slices(whole, "text", 2 << 20):
-                n, a, b = [], [], []
-                for ids in e.encode_all([t or "" for t in batch["text"].to_pylist()]):
-                    n.append(len(ids))
+            for batch in K.slices(whole, "text", 4 << 20):
+                a, b = [], []
+                flat, off = e.table.ids(batch["text"])
+                for x, y in zip(off[:-1].tolist(), off[1:].tolist()):
+                    ids = flat[x:y].tolist()
                     a.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
                     b.append(hashlib.sha256(e.decode(ids)).hexdigest())
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(np.diff(off)), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = rows.select("doc_id", F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("ids_sha256"), F.lit("").alias("decoded_sha256")).schema

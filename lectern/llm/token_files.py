@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,53 +22,24 @@ from pyspark.sql import functions as F
 
 from . import common
 from . import kernel as K
+from .stretches import StretchTable
 
 END_ID = 0
 ROW_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
-CACHE_ENTRIES = 400_000
-_tokenizers: dict[str, Stretches] = {}
+_tables: dict[str, StretchTable] = {}
 
 
-class Stretches:
-    """A byte-level tokenizer of the library with the ids of stretches between single spaces kept.
-
-    Its pattern never lets a piece cross a space between two words, so the library sees each distinct stretch
-    once (all new ones of a slice in one call).
-    """
-
-    def __init__(self, path: str):
+def _table(path: str) -> StretchTable:
+    """The process's encoder for a tokenizer file: the library sees each distinct stretch once while it is in the table."""
+    if path not in _tables:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        self.t = Tokenizer.from_file(path)
-        self.t.encode_special_tokens = True  # in a text their strings are ordinary text
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        cut = [_cut(t) for t in texts]
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        new = list(set().union(*cut) - self.known.keys())
-        for s, e in zip(new, self.t.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[s] = tuple(e.ids)
-        out = [list(chain.from_iterable(map(self.known.__getitem__, stretches))) for stretches in cut]
-        for s in new:
-            if len(s) > 64:
-                del self.known[s]
-        return out
-
-
-def _cut(text: str) -> list[str]:
-    """Stretches that are encoded alone as within the text; a text with longer runs of white space stays whole."""
-    from .bpe import RUN
-
-    if not text:
-        return []
-    if RUN.search(text):
-        return [text]
-    first, *rest = text.split(" ")
-    return [first, *[" " + part for part in rest]] if first else [" " + part for part in rest]
+        t = Tokenizer.from_file(path)
+        t.encode_special_tokens = True  # in a text their strings are ordinary text
+        _tables[path] = StretchTable(lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)])
+    return _tables[path]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", files: int | None = None, end_id: int = END_ID) -> None:
@@ -78,16 +48,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, doc_id: str = "d
     n = files or max(1, -(-common.estimated_bytes(rows) // (32 << 20)), common.shuffle_width(docs.sparkSession))
 
     def run(batches):
-        if tokenizer not in _tokenizers:
-            _tokenizers[tokenizer] = Stretches(tokenizer)
-        t = _tokenizers[tokenizer]
+        t = _table(tokenizer)
         for whole in batches:
-            for batch in K.slices(whole, "text", 1 << 20):
-                got = t.encode_all([x or "" for x in batch["text"].to_pylist()])
-                size = np.fromiter(map(len, got), np.int64, len(got)) + 1
-                ids = np.fromiter(chain.from_iterable(chain(x, (end_id,)) for x in got), np.int32, int(size.sum()))
-                offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))], names=["doc_id", "ids"])
+            for batch in K.slices(whole, "text", 4 << 20):
+                flat, off = t.ids(batch["text"])
+                n = batch.num_rows
+                ids = np.full(len(flat) + n, end_id, np.int32)
+                ids[np.arange(len(flat)) + np.repeat(np.arange(n), np.diff(off))] = flat
+                lists = pa.ListArray.from_arrays(pa.array((off + np.arange(n + 1)).astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], lists], names=["doc_id", "ids"])
 
     schema = rows.select("doc_id", F.array().cast("array<int>").alias("ids")).schema
     dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
@@ -123,7 +92,7 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
 
     rows = spark.read.orc(path).select("doc_id", F.col("_metadata.file_name").alias("_file"), "ids")
     schema = rows.select("doc_id", "_file", F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("ids_crc32")).schema
-    found = rows.mapInArrow(run, schema)
+    found = common.written(rows.mapInArrow(run, schema), "token-index")  # a few numbers for each document
     # One row for each file: names of a write sort as its partitions do.
     files = found.groupBy("_file").agg(F.sum("n_tokens").alias("_ids"))
     files = files.select("_file", (F.sum("_ids").over(Window.orderBy("_file")) - F.col("_ids")).alias("_before"))
