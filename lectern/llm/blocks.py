@@ -51,9 +51,9 @@ def _block_of(value: Column, cuts: list) -> Column:
     )
 
 
-def block_bytes(docs: DataFrame) -> tuple[int, int]:
+def counts(docs: DataFrame, text: str) -> tuple[int, int]:
     """Numbers of blocks and buckets."""
-    n = common.block_count(docs)
+    n = common.block_count(docs, text)
     return n, n
 
 

@@ -124,7 +124,7 @@ def _signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
 
 def _bounds(candidates: DataFrame, width: int) -> DataFrame:
     """node, n, o (the most shingles a candidate can share with any other) and bits (parity of its shingles by hash)."""
-    n_blocks, n_buckets = B.block_bytes(candidates)
+    n_blocks, n_buckets = B.counts(candidates, "text")
     base = candidates.withColumn(B.BLOCK, F.pmod(F.xxhash64("node"), F.lit(n_blocks)).cast("int"))
 
     def each(table):

@@ -91,7 +91,7 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """docs with n_words, removed (first and last word of each removed run, flat) and kept_text (kept words joined by a space)."""
     if window < PERIOD:
         raise ValueError(f"a window has {PERIOD} words at least")
-    n_blocks, n_buckets = B.block_bytes(docs)
+    n_blocks, n_buckets = B.counts(docs, text)
     keep = [c for c in docs.columns if c not in ("n_words", "removed", "kept_text", B.BLOCK)]
     base = B.with_blocks(docs.select(*[docs[f"`{c}`"] for c in keep]), doc_id, n_blocks)
 

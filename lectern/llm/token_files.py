@@ -45,7 +45,7 @@ def _table(path: str) -> StretchTable:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", files: int | None = None, end_id: int = END_ID) -> None:
     """Encodes every text and writes (doc_id, ids) to ORC files below path, in ascending doc_id order across and within files."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    n = files or max(1, -(-common.estimated_bytes(rows) // (32 << 20)), common.shuffle_width(docs.sparkSession))
+    n = files or common.block_count(rows, "text")
 
     def run(batches):
         t = _table(tokenizer)
