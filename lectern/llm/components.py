@@ -52,7 +52,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
         small = down.join(root, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(root.select("u", F.col("m").alias("v")))
         after = common.written(small.where("u <> v").distinct(), "forest")
         if _digest(after) == _digest(edges):
-            return after.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("component"))
+            roots = after.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            return after.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
         edges = after
     raise RuntimeError("components did not settle")
 
