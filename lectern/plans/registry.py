@@ -538,3 +538,83 @@ def archive_slugs(spark, sf_dir):
 @query("SELECT doc_id, (length(text) + 3) // 4 AS tokens, left(sha256(text), 24) AS key, CASE WHEN length(text) > 120 THEN left(text, 117) || '...' ELSE text END AS clip, length(text) >= 200 AS long_enough FROM documents")
 def text_projection(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.estimated_tokens("text").alias("tokens"), T.cache_key("text").alias("key"), T.clip("text", 120).alias("clip"), (F.length("text") >= 200).alias("long_enough"))
+
+
+# --- cleaning, metadata, messages --------------------------------------------------------------------------
+
+_LINES = r"list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\x{00A0}]+', ' ', 'g'))), lambda x: x = '' OR (NOT regexp_matches(x, '(?i)^(page \d+( of \d+)?|check against delivery|please check against delivery|\d+|[-–—_=*]{3,})$') AND NOT (length(regexp_replace(x, '\P{L}', '', 'g')) >= 12 AND length(x) < 120 AND 100 * length(regexp_replace(x, '\P{Lu}', '', 'g')) > 85 * length(regexp_replace(x, '\P{L}', '', 'g')))))"
+
+
+@query(rf"SELECT doc_id, len(l)::BIGINT AS lines, len(string_split(text, chr(10))) - len(l) AS dropped, sha256(array_to_string(l, chr(10))) AS digest FROM (SELECT doc_id, text, {_LINES} AS l FROM documents WHERE NOT contains(text, chr(13)))")
+def clean_lines(spark, sf_dir):
+    from ..functions import cleaning as C
+
+    d = table(spark, sf_dir, "documents").where(~F.col("text").contains("\r")).select("doc_id", "text", C.clean_lines("text").alias("l"))
+    n = F.size("l").cast("long")
+    return d.select("doc_id", n.alias("lines"), (F.size(F.split("text", "\n")) - n).cast("long").alias("dropped"), F.sha2(F.array_join("l", "\n"), 256).alias("digest"))
+
+
+_TITLES = ["Prime Minister of", "President of the Republic of", "Minister for Foreign Affairs of", "Vice-President of", "Her Majesty the Queen of", "Secretary-General, for"]
+
+
+@query(
+    "WITH t AS (SELECT c_custkey AS speech_id, '2025-09-' || (10 + c_custkey % 15) AS day, c_name AS name, (" + str(_TITLES) + ")[c_custkey % 6 + 1] || ' N' || c_nationkey AS title, (['en', 'fr', 'xx', 'Klingon'])[c_custkey % 4 + 1] AS language FROM customer) "
+    """SELECT speech_id, row_number() OVER (PARTITION BY day ORDER BY speech_id) AS num_of_appearance, substr(day, 9, 2) || '/' || substr(day, 6, 2) || '/' || substr(day, 1, 4) AS date, name || chr(10) || title AS speaker,
+CASE WHEN title LIKE 'Secretary-General%' THEN 'SG' WHEN title LIKE 'President%' OR title LIKE '%Queen%' THEN 'HS' WHEN title LIKE 'Prime%' THEN 'HG' ELSE 'CD' END AS level,
+CASE WHEN title LIKE 'Her %' THEN 'F' ELSE '' END AS gender, CASE WHEN title LIKE 'Her %' THEN 'she/her' ELSE '' END AS pronouns, CASE language WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'Klingon' THEN 'Klingon' ELSE '' END AS "original language" FROM t"""
+)
+def metadata_rows(spark, sf_dir):
+    from ..operators import metadata
+
+    k = F.col("c_custkey")
+    pick = lambda names, n: F.element_at(F.array(*[F.lit(x) for x in names]), (k % n + 1).cast("int"))
+    s = table(spark, sf_dir, "customer").select(
+        k.alias("speech_id"), F.concat(F.lit("2025-09-"), (k % 15 + 10).cast("string")).alias("day"), F.col("c_name").alias("name"),
+        F.concat(pick(_TITLES, 6), F.lit(" N"), F.col("c_nationkey").cast("string")).alias("title"), pick(["en", "fr", "xx", "Klingon"], 4).alias("language"),
+    )
+    return metadata.metadata_rows(s, [F.col("speech_id")])
+
+
+@query("""WITH p AS (SELECT s_suppkey AS position, s_nationkey AS k, CASE WHEN s_suppkey % 2 = 0 THEN 'HS' ELSE 'HG' END AS p_level, 'person ' || s_suppkey % 9 AS person FROM supplier),
+s AS (SELECT c_custkey AS speech_id, c_nationkey AS k, 'customer ' || c_custkey % 9 AS name, CASE WHEN c_custkey % 3 = 0 THEN 'HS' ELSE 'CD' END AS level FROM customer),
+b AS (SELECT speech_id, position, person, p_level, level, CASE WHEN split_part(name, ' ', 2) = split_part(person, ' ', 2) THEN 1 ELSE 0 END AS hit FROM s JOIN p USING (k)),
+n AS (SELECT speech_id, min_by(person, position) AS person FROM b WHERE hit = 1 GROUP BY 1), l AS (SELECT speech_id, max_by(person, position) AS person FROM b WHERE level = p_level GROUP BY 1)
+SELECT s.speech_id, coalesce(n.person, l.person) AS person FROM s LEFT JOIN n USING (speech_id) LEFT JOIN l USING (speech_id)""")
+def protocol_match(spark, sf_dir):
+    from ..operators import metadata
+
+    n = F.col("s_suppkey")
+    people = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"), n.alias("position"), F.when(n % 2 == 0, "HS").otherwise("HG").alias("level"), F.concat(F.lit("person "), (n % 9).cast("string")).alias("person"), F.lit("").alias("gender"), F.lit("").alias("honorific"))
+    c = F.col("c_custkey")
+    s = table(spark, sf_dir, "customer").select(c.alias("speech_id"), F.col("c_nationkey").alias("k"), F.concat(F.lit("customer "), (c % 9).cast("string")).alias("name"), F.when(c % 3 == 0, "HS").otherwise("CD").alias("level"))
+    return metadata.protocol_match(s, people, "k").select("speech_id", "person")
+
+
+@query("""WITH e AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, floor(value)::BIGINT AS t, event_type AS keyword, CASE WHEN user_id % 2 = 0 THEN 'speaker ' || user_id % 3 ELSE '' END AS speaker, props AS context FROM events),
+w AS (SELECT user_id, day, string_agg(keyword, ', ' ORDER BY f) AS words FROM (SELECT user_id, day, keyword, min((t, keyword, speaker, context)) AS f FROM e GROUP BY ALL) GROUP BY ALL),
+x AS (SELECT user_id, day, max(speaker) AS speaker, count(*)::INTEGER AS events, string_agg(printf('%d:%02d:%02d', t // 3600, t % 3600 // 60, t % 60) || '  ' || keyword || ': ' || context, chr(10) ORDER BY t, keyword, speaker, context) AS body FROM e GROUP BY ALL)
+SELECT user_id, day, words || CASE WHEN speaker <> '' THEN ' - ' || speaker ELSE '' END AS subject, body, events FROM x JOIN w USING (user_id, day)""")
+def alert_messages(spark, sf_dir):
+    from ..operators import mail
+
+    u = F.col("user_id")
+    e = table(spark, sf_dir, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.floor("value").cast("long").alias("t"), F.col("event_type").alias("keyword"), F.when(u % 2 == 0, F.concat(F.lit("speaker "), (u % 3).cast("string"))).otherwise("").alias("speaker"), F.col("props").alias("context"))
+    return mail.messages(e, ["user_id", "day"])
+
+
+@query("""WITH e AS (SELECT o_custkey AS slug, min(o_orderkey) AS position FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), l AS (SELECT o_custkey AS slug, min(o_orderkey) AS position FROM orders GROUP BY 1)
+SELECT slug, position FROM e UNION ALL SELECT slug, position + (SELECT max(o_orderkey) + 1 FROM orders WHERE o_orderkey % 2 = 0) FROM l WHERE slug NOT IN (SELECT slug FROM e)""")
+def ordered_union(spark, sf_dir):
+    from ..operators import mail
+
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("slug"), F.col("o_orderkey").alias("position"))
+    return mail.ordered_union(o.where("position % 2 = 0"), o, "slug", "position")
+
+
+@query("""WITH d AS (SELECT session, day, count(*) AS n FROM (SELECT o_orderstatus AS session, strftime(o_orderdate, '%Y-%m') AS day FROM orders) GROUP BY ALL) SELECT session, count(*) AS days, sum(n)::BIGINT AS items FROM d GROUP BY session""")
+def day_documents(spark, sf_dir):
+    from ..sources import sinks
+
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("session"), F.date_format("o_orderdate", "yyyy-MM").alias("day"), F.col("o_orderkey").alias("id"))
+    docs = sinks.day_documents(o, ["session", "day"], "items").select(F.from_json("value", "session string, day string, items array<struct<id:bigint>>").alias("v")).select("v.*")
+    return docs.groupBy("session").agg(F.count(F.lit(1)).alias("days"), F.sum(F.size("items")).alias("items"))
