@@ -70,19 +70,20 @@ def numbered(df: DataFrame, order: list, name: str, within: list[str] | None = N
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*(within or [])).orderBy(*order)))
 
 
-def in_batches(df: DataFrame, order: list, size: int, within: list[str]) -> DataFrame:
-    """The number of each row's batch of size rows."""
-    return numbered(df, order, "_n", within).withColumn("batch", F.floor((F.col("_n") - 1) / size).cast("long")).drop("_n")
+def row_numbers_at_scale(df: DataFrame, part: Column, order: list, name: str, within: list[str] | None = None) -> DataFrame:
+    """Row numbers from 1, over everything or within large groups: parts in ascending order, each numbered on its own; only part sizes meet."""
+    keys = [*(within or []), "_part"]
+    rows = df.withColumn("_part", part)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*(within or [])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_n", F.row_number().over(inside)).join(sizes, keys).withColumn(name, (F.col("_n") + F.col("_before")).cast("long")).drop("_part", "_n", "_before")
 
 
-def row_numbers_at_scale(df: DataFrame, part: Column, order: list, name: str) -> DataFrame:
-    """Row numbers over everything, from 1: parts in ascending order, each numbered on its own; only part sizes meet."""
-    rows = df.withColumn("_part", part)
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_part").orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(inside)).join(sizes, "_part").withColumn(name, (F.col("_n") + F.col("_before")).cast("long")).drop("_part", "_n", "_before")
+def in_batches(df: DataFrame, order: list, size: int, within: list[str], part: Column) -> DataFrame:
+    """The number of each row's batch of size rows; part cuts large groups (see row_numbers_at_scale)."""
+    return row_numbers_at_scale(df, part, order, "_row", within).withColumn("batch", F.floor((F.col("_row") - 1) / size).cast("long")).drop("_row")
 
 
 def assign_ids(items: DataFrame, kept: Column, part: Column, order: list, start: int = 1) -> DataFrame:
