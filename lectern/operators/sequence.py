@@ -43,6 +43,27 @@ def runs(df: DataFrame, keys: list[str], order: list, breaks: Column, name: str
     return df.withColumn("_b", F.coalesce(breaks.cast("int"), F.lit(0))).withColumn(name, F.sum("_b").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("_b")
 
 
+def long_runs(df: DataFrame, keys: list[str], part: Column, order: list, value: str, breaks, name: str = "run") -> DataFrame:
+    """runs for keys of any size: breaks(previous value, value) begins a new one.
+
+    part cuts a key's rows into ascending stretches. Each is ordered on its own; a stretch's last value and its number of breaks
+    are carried to the stretches after it, which are few rows.
+    """
+    cut = [*keys, "_part"]
+    rows = df.withColumn("_part", part)
+    w = Window.partitionBy(*cut).orderBy(*order)
+    ends = rows.groupBy(*cut).agg(F.max_by(value, F.struct(*order)).alias("_last"))
+    above = Window.partitionBy(*keys).orderBy("_part")
+    ends = ends.select(*cut, F.lag("_last").over(above).alias("_carried"))
+    rows = rows.withColumn("_first", F.row_number().over(w) == 1).withColumn("_before", F.lag(value).over(w)).join(ends, cut)
+    before = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_before"))
+    rows = rows.withColumn("_b", F.coalesce(breaks(before, F.col(value)).cast("int"), F.lit(0))).drop("_first", "_before", "_carried")
+    sums = rows.groupBy(*cut).agg(F.sum("_b").alias("_sum"))
+    sums = sums.select(*cut, F.coalesce(F.sum("_sum").over(above.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_runs"))
+    inside = F.sum("_b").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("_in", inside).join(sums, cut).withColumn(name, (F.col("_in") + F.col("_runs")).cast("long")).drop("_part", "_b", "_in", "_runs")
+
+
 def previous(column: str, keys: list[str], order: list) -> Column:
     return F.lag(column).over(Window.partitionBy(*keys).orderBy(*order))
 

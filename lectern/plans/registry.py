@@ -229,8 +229,8 @@ SELECT user_id, run, count(*) AS n, min(event_id) AS first_id, max(event_id) AS
 def run_detection(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
     order = [F.col("ts"), F.col("event_id")]
-    breaks = F.col("ts") > sequence.previous("ts", ["user_id"], order) + F.expr("INTERVAL 12 HOURS")
-    return sequence.runs(e, ["user_id"], order, breaks).groupBy("user_id", "run").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+    late = lambda before, ts: ts > before + F.expr("INTERVAL 12 HOURS")
+    return sequence.long_runs(e, ["user_id"], F.to_date("ts"), order, "ts", late).groupBy("user_id", "run").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
 
 
 @query("""WITH s AS (SELECT conv_id, turn, text, (sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))::BIGINT AS before, length(text) AS n FROM (SELECT DISTINCT ON (conv_id, turn) * FROM conversations ORDER BY conv_id, turn, text)),
