@@ -51,6 +51,21 @@ m AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed AND {_rules()}) AS kept FROM m
 """
 
+OP6 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+e AS (SELECT doc_id, q, substr(h, 2 * q + 1, 498) AS h FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49, 200)) AS q FROM d WHERE len(h) >= 100)),
+g AS (SELECT doc_id, q + s AS s, substr(h, 2 * s + 1, 100) AS k FROM (SELECT doc_id, q, h, unnest(range(0, len(h) // 2 - 49)) AS s FROM e)),
+m AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY k) AS f FROM g),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM m WHERE f < doc_id),
+l AS (SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS step FROM c),
+n AS (SELECT doc_id, count(*) AS n_removed, count_if(step IS NULL OR step > 1) AS n_spans FROM l GROUP BY doc_id),
+b AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS x FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS p FROM d JOIN n USING (doc_id))),
+k AS (SELECT doc_id, string_agg(x, '' ORDER BY p) AS h FROM b ANTI JOIN c USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, (len(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN n_removed IS NULL THEN d.h ELSE coalesce(k.h, '') END)) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
 OP8 = rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
@@ -87,4 +102,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 A
 FROM k
 """
 
-ORACLES = {"op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op8_near_dedup": OP8, "op9_decontamination": OP9, "op10_warc": OP10}
+ORACLES = {"op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op6_suffix_dedup": OP6, "op8_near_dedup": OP8, "op9_decontamination": OP9, "op10_warc": OP10}
