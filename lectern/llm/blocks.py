@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, kernel
 
 BLOCK = "_block"
 MESSAGE = "bucket int, block int, data binary"
@@ -79,7 +79,9 @@ def send(base: DataFrame, talk) -> DataFrame:
 
     def run(key, table):
         block = key[0].as_py()
-        return message_table([(bucket, block, data) for bucket, data in talk(block, table)])
+        out = message_table([(bucket, block, data) for bucket, data in talk(block, table)])
+        kernel.release()
+        return out
 
     return base.groupBy(BLOCK).applyInArrow(run, MESSAGE)
 
@@ -91,7 +93,9 @@ def send_again(base: DataFrame, answers: DataFrame, talk) -> DataFrame:
         if not table.num_rows:
             return message_table([])
         block = key[0].as_py()
-        return message_table([(bucket, block, data) for bucket, data in talk(block, table, by_kind(heard))])
+        out = message_table([(bucket, block, data) for bucket, data in talk(block, table, by_kind(heard))])
+        kernel.release()
+        return out
 
     return base.groupBy(BLOCK).cogroup(answers.groupBy("block")).applyInArrow(run, MESSAGE)
 
@@ -103,6 +107,7 @@ def answer(messages: DataFrame, reply, kind: int = 0) -> DataFrame:
         bucket = key[0].as_py()
         said = sorted(zip(table["block"].to_pylist(), table["data"].to_pylist()))
         got = message_table([(bucket, block, data) for block, data in reply(said)])
+        kernel.release()
         return got.append_column("kind", pa.array([kind] * got.num_rows, pa.int32()))
 
     return messages.groupBy("bucket").applyInArrow(run, MESSAGE + ", kind int")
@@ -114,7 +119,9 @@ def finish(base: DataFrame, answers: DataFrame, work, schema) -> DataFrame:
     def run(key, table, heard):
         if not table.num_rows:
             return pa.table({f.name: pa.array([], f.type) for f in arrow_schema})
-        return work(key[0].as_py(), table, by_kind(heard))
+        out = work(key[0].as_py(), table, by_kind(heard))
+        kernel.release()
+        return out
 
     from pyspark.sql.pandas.types import to_arrow_schema
 

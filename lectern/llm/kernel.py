@@ -7,6 +7,7 @@ Slices are cut by bytes so that the 8-byte-per-byte temporaries stay small and i
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -160,5 +161,9 @@ def per_text(flags: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return total[ptr[1:]] - total[ptr[:-1]]
 
 
-def strings(values) -> pa.Array:
-    return pa.array(values, pa.string())
+def release() -> None:
+    """Gives memory that Arrow and the C library hold for later back to the system; for the end of a group."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

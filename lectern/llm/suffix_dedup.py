@@ -252,9 +252,12 @@ def distinct(hashes: np.ndarray, high: np.ndarray, low: np.ndarray, m: np.ndarra
     """First of each distinct context in the order of anchor hashes, and each context's number among these."""
     if not len(m):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    words = m.view("<u8").astype(np.uint64)
+    words = m.view(np.uint64)
     odd = K.powers(0xC2B2AE3D27D4EB4F, words.shape[1] + 2)[1:]
-    key = K.mix((words * odd[:-1]).sum(axis=1, dtype=np.uint64) + (high.astype(np.uint64) * np.uint64(256) + low) * odd[-1])
+    key = (high.astype(np.uint64) * np.uint64(256) + low) * odd[-1]
+    for j in range(words.shape[1]):
+        key += words[:, j] * odd[j]
+    key = K.mix(key)
     order = np.lexsort((key, hashes))  # stable: the first in document order leads
     k, h = key[order], hashes[order]
     new = np.ones(len(order), bool)
@@ -262,7 +265,10 @@ def distinct(hashes: np.ndarray, high: np.ndarray, low: np.ndarray, m: np.ndarra
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     index = order[new]
-    other = (m != m[index[group]]).any(axis=1) | (high != high[index[group]]) | (low != low[index[group]])
+    leader = index[group]
+    other = (high != high[leader]) | (low != low[leader])
+    for j in range(words.shape[1]):
+        other |= words[:, j] != words[leader, j]
     if other.any():  # equal hashes of different contexts: these stay on their own
         extra = np.flatnonzero(other)
         index = np.concatenate([index, extra])
@@ -335,7 +341,7 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     if not 2 * ANCHOR <= length <= 128:
         raise ValueError("length lies between 32 and 128 bytes")
     # A start takes several numbers of memory while it is sorted, so blocks and buckets are smaller than elsewhere.
-    n_blocks, n_buckets = (k * n for k, n in zip((2, 4), B.counts(docs, text)))
+    n_blocks, n_buckets = (k * n for k, n in zip((3, 8), B.counts(docs, text)))
     keep = [c for c in docs.columns if c not in ("n_bytes", "removed", "kept", B.BLOCK)]
     base = B.with_blocks(docs.select(*[docs[f"`{c}`"] for c in keep]), doc_id, n_blocks)
 
@@ -355,25 +361,30 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         b = _Contexts(table, doc_id, text, length)
         c = b.contexts(heard.get(0, []))
         got = [np.frombuffer(zstandard.ZstdDecompressor().decompress(x), "<u4") for x in heard.get(1, [])]
-        value = np.concatenate([np.zeros(0, np.uint32), *got]).astype(np.int64)
+        value = np.concatenate([np.zeros(0, np.uint32), *got])
+        del got
         index, group = c["index"], c["group"]
         width = c["high"].astype(np.int64) - c["low"] + 1
         begin = np.cumsum(width[index]) - width[index]
-        inside = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width)
-        v = value[np.repeat(begin[group], width) + inside]
-        row = np.repeat(c["row"], width)
-        gone = (v == 0) | (b.ordinal[row] > v - 1) if len(v) else np.zeros(0, bool)
-        row, place = row[gone], (np.repeat(c["place"], width) + inside)[gone]
         texts = [(x or "").encode() for x in b.table[text].to_pylist()]
-        cuts = np.searchsorted(row, np.arange(len(texts) + 1))
+        offset = np.concatenate(([0], np.cumsum([len(x) for x in texts], dtype=np.int64)))
+        hit = np.zeros(int(offset[-1]), bool)  # starts of strings that an earlier document has
+        for k in range(0, len(group), 16_384):
+            some = slice(k, k + 16_384)
+            w = width[some]
+            inside = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
+            v = value[np.repeat(begin[group[some]], w) + inside]
+            row = np.repeat(c["row"][some], w)
+            gone = (v == 0) | (b.ordinal[row] >= v)
+            hit[(offset[row] + np.repeat(c["place"][some], w) + inside)[gone]] = True
+        del c
         spans, kept = [], []
         for d, raw in enumerate(texts):
-            at = place[cuts[d] : cuts[d + 1]]
+            at = np.flatnonzero(hit[offset[d] : offset[d + 1]])
             if not len(at):
                 spans.append([])
                 kept.append(raw)
                 continue
-            at = np.sort(at)
             new = np.flatnonzero(np.diff(at, prepend=-(1 << 40)) > length)
             start, end = at[new], at[np.append(new[1:], len(at)) - 1] + length
             spans.append(np.stack([start, end], axis=1).reshape(-1).tolist())
