@@ -264,7 +264,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.v, self.split = vocabulary, regex.compile(pattern)
         self.batch = PieceBatch(vocabulary)
-        self.table = StretchTable(self._encode)
+        self.table = StretchTable(self._encode, most=300_000)
 
     def _encode(self, stretches: list[str]) -> list[list[int]]:
         ranks = self.v.ranks

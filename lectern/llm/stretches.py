@@ -22,8 +22,8 @@ RUN = re.compile(r"\s (?:\s|\Z)")
 class StretchTable:
     """encode(list of texts) gives the ids of each; every stretch must encode as it does within its text."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, most: int = MOST_STRETCHES):
+        self.encode, self.most = encode, most
         self._empty()
 
     def _empty(self):
@@ -37,7 +37,7 @@ class StretchTable:
     def _shrink(self):
         """Keeps what has been met again since the last time, if that is little enough."""
         again = np.flatnonzero(self.seen[: len(self.row)] > 1)
-        if len(again) > MOST_STRETCHES // 2 or self.count[again].sum() > MOST_IDS // 2:
+        if len(again) > self.most // 2 or self.count[again].sum() > MOST_IDS // 2:
             return self._empty()
         names = list(self.row)
         count, start = self.count[again], self.start[again]
@@ -74,7 +74,7 @@ class StretchTable:
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another (null: none) and the texts' n + 1 offsets."""
-        if len(self.row) > MOST_STRETCHES or self.used > MOST_IDS:
+        if len(self.row) > self.most or self.used > MOST_IDS:
             self._shrink()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         whole = np.fromiter((RUN.search(t) is not None for t in texts.to_pylist()), bool, len(texts))

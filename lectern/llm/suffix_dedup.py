@@ -213,7 +213,9 @@ class _Contexts:
             last = np.append(first[1:], len(starts)) - 1 if len(first) else first
             rows = np.array([r for r, _, _ in held])
             shift = np.array([s for _, s, _ in held])
-            yield buf, h[anchor[first]], anchor[first], starts[first], starts[last], rows[seg[first]], starts[first] - off[seg[first]] + shift[seg[first]]
+            # Anchors are the least hashes around; mixed again they spread over all buckets.
+            keys = K.mix(h[anchor[first]] ^ K.U64(0xA24BAED4963EE407))
+            yield buf, keys, anchor[first], starts[first], starts[last], rows[seg[first]], starts[first] - off[seg[first]] + shift[seg[first]]
 
     def keys(self):
         """Distinct anchor keys, which recur in the block, each anchor's key."""
@@ -341,7 +343,7 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     if not 2 * ANCHOR <= length <= 128:
         raise ValueError("length lies between 32 and 128 bytes")
     # A start takes several numbers of memory while it is sorted, so blocks and buckets are smaller than elsewhere.
-    n_blocks, n_buckets = (k * n for k, n in zip((3, 8), B.counts(docs, text)))
+    n_blocks, n_buckets = (k * n for k, n in zip((2, 4), B.counts(docs, text)))
     keep = [c for c in docs.columns if c not in ("n_bytes", "removed", "kept", B.BLOCK)]
     base = B.with_blocks(docs.select(*[docs[f"`{c}`"] for c in keep]), doc_id, n_blocks)
 
