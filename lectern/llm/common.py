@@ -46,15 +46,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def block_count(df: DataFrame, text: str) -> int:
+def block_count(df: DataFrame, text: str, times: int = 1) -> int:
     """Blocks of about 100 * sqrt(size) bytes: both their number and their size grow with the root of the input,
-    so that the block-by-bucket messages grow in proportion to it. Where Catalyst has no size, the texts are measured."""
+    so that the block-by-bucket messages grow in proportion to it (times: so many more, smaller ones). Where Catalyst has no size, the texts are measured."""
     size = estimated_bytes(df)
     if size >= 1 << 50:
         size = int(df.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0)
     size = max(1, size)
     block = min(max(4 << 20, int(100 * math.sqrt(size))), 256 << 20)
-    return max(math.ceil(size / block), shuffle_width(df.sparkSession))
+    return max(math.ceil(times * size / block), shuffle_width(df.sparkSession))
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import blocks as B
+from . import common
 from . import kernel as K
 from .substring_dedup import ordered
 
@@ -343,7 +344,7 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     if not 2 * ANCHOR <= length <= 128:
         raise ValueError("length lies between 32 and 128 bytes")
     # A start takes several numbers of memory while it is sorted, so blocks and buckets are smaller than elsewhere.
-    n_blocks, n_buckets = (k * n for k, n in zip((2, 4), B.counts(docs, text)))
+    n_blocks, n_buckets = (common.block_count(docs, text, k) for k in (2, 4))
     keep = [c for c in docs.columns if c not in ("n_bytes", "removed", "kept", B.BLOCK)]
     base = B.with_blocks(docs.select(*[docs[f"`{c}`"] for c in keep]), doc_id, n_blocks)
 
