@@ -135,11 +135,17 @@ def _bounds(candidates: DataFrame, width: int) -> DataFrame:
                 yield h, np.repeat(np.arange(len(off) - 1), np.diff(off)) + at
                 at += len(off) - 1
 
+    def places(table):
+        """Each row's place by node: the two rounds read a block's rows in any order."""
+        out = np.empty(table.num_rows, np.int64)
+        out[np.argsort(np.asarray(table["node"]))] = np.arange(table.num_rows)
+        return out
+
     def talk(block, table):
-        """Every distinct key once, with its document if the block holds it once."""
+        """Every distinct key once, with its document's place if the block holds it once."""
         h, doc = (np.concatenate(x) for x in zip(*each(table)))
         keys, index, count = np.unique(h & ~np.uint64(0xFFFF), return_index=True, return_counts=True)
-        owner = np.where(count == 1, doc[index], -1).astype("<i4")
+        owner = np.where(count == 1, places(table)[doc[index]], -1).astype("<i4")
         for bucket, a, b in B.cut(keys, n_buckets):
             yield bucket, B.pack(keys[a:b], _KEY_BYTES) + owner[a:b].tobytes()
 
@@ -164,6 +170,7 @@ def _bounds(candidates: DataFrame, width: int) -> DataFrame:
         for part in heard.get(0, []):
             got = np.frombuffer(part, "<i4")
             own[: len(got)] += got
+        own = own[places(table)]
         parity = np.zeros((table.num_rows, PARITY), np.uint8)
         for h, doc in each(table):
             np.bitwise_xor.at(parity, (doc, (h & K.U64(PARITY - 1)).astype(np.int64)), 1)

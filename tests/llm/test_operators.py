@@ -132,6 +132,24 @@ def test_near_groups_of_chains(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: root.get(i, i) for i in range(120)}
 
 
+def test_near_bounds_in_any_row_order(spark, monkeypatch):
+    """The rounds between blocks and buckets read a block's rows in different orders."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(80)]
+    texts = {i: " ".join(base[: rng.randint(5, 80)] + [f"own{i}x{k}" for k in range(rng.randint(0, 60))]) for i in range(60)}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in texts.items() for w in [t.split(" ")]}
+    held = Counter(x for s in sets.values() for x in s)
+    want = {i: (len(s), sum(held[x] > 1 for x in s)) for i, s in sets.items()}
+    finish = near_dedup.B.finish
+
+    def turned(base, answers, work, schema):
+        return finish(base, answers, lambda block, table, heard: work(block, table.take(list(range(table.num_rows))[::-1]), heard), schema)
+
+    monkeypatch.setattr(near_dedup.B, "finish", turned)
+    docs = spark.createDataFrame([(i, len(sets[i]), t) for i, t in texts.items()], "node long, n long, text string")
+    assert {r.node: (r.n, r.o) for r in near_dedup._bounds(docs, 5).collect()} == want
+
+
 def test_super_min_hash_estimates_similarity():
     rng = np.random.default_rng(1)
     for share in (0.3, 0.6, 0.9):
