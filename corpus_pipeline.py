@@ -12,6 +12,9 @@ from lectern.llm import bpe, common, decontamination, near_dedup, quality_rules,
 from lectern.llm.queries import TOKENIZER_RANKS
 
 
+NEAR_PERCENT = 80  # op8_near_dedup has its own, higher limit
+
+
 def _columns(found: DataFrame, docs: DataFrame) -> DataFrame:
     return found.select(*[found[f"`{c}`"] for c in docs.columns])
 
@@ -22,8 +25,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that with the least doc_id."""
-    return _columns(near_dedup.near_groups(docs).where("kept"), docs)
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more) stays, that with the least doc_id."""
+    return _columns(near_dedup.near_groups(docs, percent=NEAR_PERCENT).where("kept"), docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,3 +76,15 @@ def test_pipeline(spark, tmp_path, reference_bpe):  # noqa: F811
     want = brute(rows, items, reference_bpe.encode_ordinary)
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == sorted(want) and 12 <= len(want) < 16
+
+
+def test_near_duplicates_from_four_fifths(spark):
+    """Pairs with similarities of 86 / 106 and 76 / 96: the first loses its copy, the second stays."""
+    rows = []
+    for i, n in enumerate((100, 90)):
+        words = [f"w{i}x{k}" for k in range(n)]
+        near = list(words)
+        near[20], near[60] = "other", "another"
+        rows += [(2 * i, " ".join(words), "en", "s", 1), (2 * i + 1, " ".join(near), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [0, 2, 3]
