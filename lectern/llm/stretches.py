@@ -20,10 +20,13 @@ RUN = re.compile(r"\s (?:\s|\Z)")
 
 
 class StretchTable:
-    """encode(list of texts) gives the ids of each; every stretch must encode as it does within its text."""
+    """encode(list of texts) gives the ids of each; every stretch must encode as it does within its text.
 
-    def __init__(self, encode, most: int = MOST_STRETCHES):
-        self.encode, self.most = encode, most
+    whole: strings (special tokens, which end the pieces beside them) whose texts are one stretch.
+    """
+
+    def __init__(self, encode, most: int = MOST_STRETCHES, whole: tuple[str, ...] = ()):
+        self.encode, self.most, self.whole = encode, most, whole
         self._empty()
 
     def _empty(self):
@@ -78,6 +81,8 @@ class StretchTable:
             self._shrink()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         whole = np.fromiter((RUN.search(t) is not None for t in texts.to_pylist()), bool, len(texts))
+        for x in self.whole:
+            whole |= np.asarray(pc.match_substring(texts, x))
         raw = texts.cast(pa.large_binary())
         marked = pc.if_else(pa.array(whole), raw, pc.replace_substring(raw, b" ", b"\xff "))  # no text has the byte 0xff
         parts = pc.split_pattern(marked, b"\xff")

@@ -6,8 +6,9 @@ doc_id and sorted within each file. Row indexes and Bloom filters let a look-up
 Reading gives each document's place among all ids: ids before the file (a sum over one row per file), then
 ids before the document within its file.
 
-Defined results: a null text is empty and holds the end id alone; null doc_ids come first; documents that
-share a doc_id are kept in any order among themselves; an empty table gives no rows.
+Defined results: the string of a special token in a text is that token's single id, as the library has it by default;
+a null text is empty and holds the end id alone; null doc_ids come first; documents that share a doc_id are kept in any
+order among themselves; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,8 +38,7 @@ def _table(path: str) -> StretchTable:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # in a text their strings are ordinary text
-        _tables[path] = StretchTable(lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)])
+        _tables[path] = StretchTable(lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)], whole=tuple(x.content for x in t.get_added_tokens_decoder().values()))
     return _tables[path]
 
 

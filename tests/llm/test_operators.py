@@ -254,6 +254,16 @@ def test_token_files(spark, docs, empty, tmp_path):
     token_files.write_tokens(empty, f"file://{tmp_path}/none", P.path("byte_bpe_50k.json"))
 
 
+def test_token_files_with_special_strings(spark, tmp_path):
+    t, rng = Tokenizer.from_file(P.path("byte_bpe_50k.json")), random.Random(4)
+    parts = ["<|endoftext|>", "<|endoftext|", " ", "  ", "\n", "\t ", "a", " b", "word"]
+    texts = ["a <|endoftext|> b", *("".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(300))]
+    path = f"file://{tmp_path}/tokens"
+    token_files.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, P.path("byte_bpe_50k.json"), files=2)
+    got = {r.doc_id: list(r.ids) for r in token_files.read_tokens(spark, path).collect()}
+    assert got == {i: [*t.encode(x, add_special_tokens=False).ids, 0] for i, x in enumerate(texts)} and got[0] == [64, 220, 50256, 275, 0]
+
+
 def test_warc(spark, tmp_path, monkeypatch):
     long_ = "<p>é" + "x" * 1200
     rows = [(1, "http://a", long_), (2, None, "short"), (3, "http://c d", long_), (4, "http://d", None), (5, "e", "short"), (6, "f", ""), (None, "g", long_), (2, None, "short"), (9, "h", "y" * 1000)]
