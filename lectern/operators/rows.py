@@ -70,15 +70,22 @@ def numbered(df: DataFrame, order: list, name: str, within: list[str] | None = N
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*(within or [])).orderBy(*order)))
 
 
+def join_totals(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with the columns of totals, joined on keys of which null is one."""
+    right = totals.withColumnsRenamed({k: f"_total_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_total_{k}")) for k in keys]
+    return rows.join(right, on).drop(*[f"_total_{k}" for k in keys])
+
+
 def row_numbers_at_scale(df: DataFrame, part: Column, order: list, name: str, within: list[str] | None = None) -> DataFrame:
-    """Row numbers from 1, over everything or within large groups: parts in ascending order, each numbered on its own; only part sizes meet."""
+    """Row numbers from 1, over everything or within large groups: parts in ascending order (null last), each numbered on its own; only part sizes meet."""
     keys = [*(within or []), "_part"]
     rows = df.withColumn("_part", part)
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*(within or [])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*(within or [])).orderBy(F.col("_part").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(*keys, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(inside)).join(sizes, keys).withColumn(name, (F.col("_n") + F.col("_before")).cast("long")).drop("_part", "_n", "_before")
+    return join_totals(rows.withColumn("_n", F.row_number().over(inside)), sizes, keys).withColumn(name, (F.col("_n") + F.col("_before")).cast("long")).drop("_part", "_n", "_before")
 
 
 def in_batches(df: DataFrame, order: list, size: int, within: list[str], part: Column) -> DataFrame:

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rows import join_totals
+
 
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, values: list[str], slice_seconds: int = 86_400) -> DataFrame:
-    """left with the values of the latest right row at or before each left time (null where there is none).
+    """left with the values of the latest right row at or before each left time (null where there is none, as for a null key or time).
 
     Both sides meet in time slices of a key; each slice's last row is carried into the following ones, so that no
     task needs a key's whole history.
     """
     s = lambda c: F.floor(F.unix_timestamp(c) / slice_seconds)
+    for c in (*keys, right_time):
+        right = right.where(F.col(c).isNotNull())
     r = right.select(*keys, F.col(right_time).alias("_time"), F.struct(F.col(right_time).alias("_at"), *values).alias("_r"))
     sides = left.withColumn("_time", F.col(left_time)).withColumn("_side", F.lit(1)).unionByName(r.withColumn("_side", F.lit(0)), allowMissingColumns=True)
     sides = sides.withColumn("_slice", s(F.col("_time")))
@@ -21,7 +25,7 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, ri
     ends = sides.groupBy(*keys, "_slice").agg(F.max(F.when(F.col("_side") == 0, F.col("_r"))).alias("_end"))
     carry = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select(*keys, "_slice", F.last("_end", ignorenulls=True).over(carry).alias("_carried"))
-    out = seen.where("_side = 1").join(ends, [*keys, "_slice"]).withColumn("_hit", F.coalesce("_near", "_carried"))
+    out = join_totals(seen.where("_side = 1"), ends, [*keys, "_slice"]).withColumn("_hit", F.coalesce("_near", "_carried"))
     return out.select(*left.columns, *[F.col(f"_hit.{v}").alias(v) for v in values])
 
 
@@ -47,21 +51,21 @@ def long_runs(df: DataFrame, keys: list[str], part: Column, order: list, value:
     """runs for keys of any size: breaks(previous value, value) begins a new one.
 
     part cuts a key's rows into ascending stretches. Each is ordered on its own; a stretch's last value and its number of breaks
-    are carried to the stretches after it, which are few rows.
+    are carried to the stretches after it, which are few rows. Nulls come last in parts and orders.
     """
     cut = [*keys, "_part"]
     rows = df.withColumn("_part", part)
-    w = Window.partitionBy(*cut).orderBy(*order)
-    ends = rows.groupBy(*cut).agg(F.max_by(value, F.struct(*order)).alias("_last"))
-    above = Window.partitionBy(*keys).orderBy("_part")
+    w = Window.partitionBy(*cut).orderBy(*[c.asc_nulls_last() for c in order])
+    ends = rows.groupBy(*cut).agg(F.max_by(value, F.struct(*[x for c in order for x in (c.isNull(), c)])).alias("_last"))
+    above = Window.partitionBy(*keys).orderBy(F.col("_part").asc_nulls_last())
     ends = ends.select(*cut, F.lag("_last").over(above).alias("_carried"))
-    rows = rows.withColumn("_first", F.row_number().over(w) == 1).withColumn("_before", F.lag(value).over(w)).join(ends, cut)
+    rows = join_totals(rows.withColumn("_first", F.row_number().over(w) == 1).withColumn("_before", F.lag(value).over(w)), ends, cut)
     before = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_before"))
     rows = rows.withColumn("_b", F.coalesce(breaks(before, F.col(value)).cast("int"), F.lit(0))).drop("_first", "_before", "_carried")
     sums = rows.groupBy(*cut).agg(F.sum("_b").alias("_sum"))
     sums = sums.select(*cut, F.coalesce(F.sum("_sum").over(above.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_runs"))
     inside = F.sum("_b").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("_in", inside).join(sums, cut).withColumn(name, (F.col("_in") + F.col("_runs")).cast("long")).drop("_part", "_b", "_in", "_runs")
+    return join_totals(rows.withColumn("_in", inside), sums, cut).withColumn(name, (F.col("_in") + F.col("_runs")).cast("long")).drop("_part", "_b", "_in", "_runs")
 
 
 def previous(column: str, keys: list[str], order: list) -> Column:

@@ -500,10 +500,10 @@ def session_payload(spark, sf_dir):
 
 @query("""SELECT c_custkey, row_number() OVER (ORDER BY coalesce(nullif(CASE WHEN c_custkey % 7 = 0 THEN '' ELSE '2025-09-' || (10 + c_custkey % 15) END, ''), '9999'), CASE WHEN c_custkey % 5 = 0 THEN 1000000000 ELSE c_custkey END, c_name, c_custkey) AS position FROM customer""")
 def merge_order(spark, sf_dir):
-    date = F.when(F.col("c_custkey") % 7 == 0, "9999").otherwise(F.concat(F.lit("2025-09-"), (F.col("c_custkey") % 15 + 10).cast("string")))
+    date = F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("2025-09-"), (F.col("c_custkey") % 15 + 10).cast("string")))
     number = F.when(F.col("c_custkey") % 5 == 0, F.lit(1_000_000_000)).otherwise(F.col("c_custkey"))
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", date.alias("date"), number.alias("number"))
-    return rows.row_numbers_at_scale(c, F.col("date"), [F.col("number"), F.col("c_name"), F.col("c_custkey")], "position").select("c_custkey", "position")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.coalesce(date, F.lit("9999")).alias("date"), number.alias("number"))
+    return rows.row_numbers_at_scale(c, F.col("date"), [F.col(c).asc_nulls_last() for c in ("number", "c_name", "c_custkey")], "position").select("c_custkey", "position")
 
 
 @query("""SELECT c_nationkey, c_mktsegment, c_custkey, c_acctbal FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS n FROM customer) WHERE n <= 2""")
