@@ -17,24 +17,28 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
+import os
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import common
 from . import kernel as K
 from .stretches import StretchTable
 
-KNOWN_PAIRS = 1_600_000
+#: Bounds of what a process keeps: pairs of tokens in the two tables, bytes of encoded stretches.
+KNOWN_PAIRS, BATCH_PAIRS, STRETCH_BYTES = 100_000, 500_000, 24 << 20
+SLICE_BYTES = 1 << 20
+VOCABULARY_BYTES = 64 << 20
+_NEVER = 1 << 40
 
 
-def read_ranks(path: str) -> dict[bytes, int]:
-    """Token bytes to rank, from a file of base64 bytes and ranks."""
-    with open(path, "rb") as f:
-        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
+def parse_ranks(data: bytes) -> dict[bytes, int]:
+    """Token bytes to rank, from lines of base64 bytes and ranks."""
+    return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in data.splitlines() if line.strip())}
 
 
 class Vocabulary:
@@ -44,49 +48,59 @@ class Vocabulary:
         self.ranks = ranks
         self.bytes = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
-        self._parts: dict[int, tuple[int, int] | None] = {}
         self._follows: dict[int, bool] = {}
-
-    def parts(self, token: int) -> tuple[int, int] | None:
-        """The two tokens whose merge makes this one, None for a single byte."""
-        if token not in self._parts:
-            data = self.bytes[token]
-            pieces = [data[i : i + 1] for i in range(len(data))]
-            while len(pieces) > 2:
-                _, at = min((self.ranks.get(pieces[i] + pieces[i + 1], 1 << 60), i) for i in range(len(pieces) - 1))
-                pieces[at : at + 2] = [pieces[at] + pieces[at + 1]]
-            self._parts[token] = (self.ranks[pieces[0]], self.ranks[pieces[1]]) if len(pieces) == 2 else None
-        return self._parts[token]
-
-    @lru_cache(maxsize=200_000)  # noqa: B019  lives as long as the task's vocabulary
-    def edge(self, token: int, side: int) -> tuple[tuple[bytes, int], ...]:
-        """What stands at the token's left (0) or right (1) edge while it is built, each with the rank of the merge that absorbs it."""
-        out, until = [], 1 << 60
-        while True:
-            out.append((self.bytes[token], until))
-            parts = self.parts(token)
-            if parts is None:
-                return tuple(out)
-            token, until = parts[side], token
+        #: The tokens whose merge makes each token, -1 for single bytes: left and right parts.
+        self.parts = np.full((2, max(self.bytes, default=0) + 1), -1, np.int32)
+        pairs: dict[int, int] = {}
+        for data, rank in ranks.items():
+            for k in range(1, len(data)):
+                a, b = ranks.get(data[:k]), ranks.get(data[k:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank
+            if len(data) > 1:
+                self.parts[:, rank] = self._last_merge(data)
+        #: Rank of the token that two tokens' bytes make together, whichever merge makes it.
+        self.joined = K.OpenTable(18)
+        self.joined.put(np.fromiter(pairs, np.uint64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs)))
+
+    def _last_merge(self, data: bytes) -> tuple[int, int]:
+        rank, pieces = self.ranks.get, [data[i : i + 1] for i in range(len(data))]
+        while len(pieces) > 2:
+            _, at = min((rank(pieces[i] + pieces[i + 1], _NEVER), i) for i in range(len(pieces) - 1))
+            pieces[at : at + 2] = [pieces[at] + pieces[at + 1]]
+        return self.ranks[pieces[0]], self.ranks[pieces[1]]
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether left and right stay apart when encoded side by side, pair by pair.
+
+        While a token is built, ever larger parts stand at its edge, each until the merge that absorbs it. Whatever meets at the
+        border merges if that merge ranks below the one that absorbs the left part and not above the one that
+        absorbs the right part (of equal ranks, the leftmost goes first). Parts are tried from large to small on either side.
+        """
+        out = np.ones(len(left), bool)
+        at, a, until_a = np.arange(len(left)), left, np.full(len(left), _NEVER)
+        while len(at):
+            on, b, until_b, a_, ua_ = at, right[at], np.full(len(at), _NEVER), a, until_a
+            while len(on):
+                joined = self.joined.get((a_.astype(np.uint64) << K.U64(32)) | b.astype(np.uint64))
+                merges = (joined >= 0) & (joined < ua_) & (joined <= until_b)
+                out[on[merges]] = False
+                inner = self.parts[0, b]
+                go = (inner >= 0) & ~merges
+                on, until_b, b, a_, ua_ = on[go], b[go], inner[go], a_[go], ua_[go]
+            inner = self.parts[1, a]
+            go = (inner >= 0) & out[at]
+            at, until_a, a = at[go], a[go], inner[go]
+        return out
 
     def follows(self, left: int, right: int) -> bool:
-        """Whether left and right stay apart when encoded side by side.
-
-        Whatever meets at the border merges if that merge ranks below the one that absorbs the left part and
-        not above the one that absorbs the right part (of equal ranks, the leftmost goes first).
-        """
+        """apart() for one pair; answers are kept up to a number."""
         key = left << 32 | right
         known = self._follows.get(key)
         if known is None:
-            known = True
-            for a, until_a in self.edge(left, 1):
-                for b, until_b in self.edge(right, 0):
-                    joined = self.ranks.get(a + b)
-                    if joined is not None and joined < until_a and joined <= until_b:
-                        known = False
             if len(self._follows) >= KNOWN_PAIRS:
                 self._follows.clear()
-            self._follows[key] = known
+            known = self._follows[key] = bool(self.apart(np.array([left]), np.array([right]))[0])
         return known
 
 
@@ -143,47 +157,6 @@ class PrefixTable:
         return out[::-1]
 
 
-class _Open:
-    """An open-addressing table from 64-bit keys to small numbers, looked up for whole arrays."""
-
-    def __init__(self, bits: int):
-        self.bits, self.n = bits, 0
-        self.keys = np.zeros(1 << bits, np.uint64)
-        self.values = np.full(1 << bits, -1, np.int32)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * K.U64(0x9E3779B97F4A7C15)) >> K.U64(64 - self.bits)).astype(np.int64)
-
-    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
-        """New and distinct keys."""
-        if 2 * (self.n + len(keys)) > 1 << self.bits:
-            old, there = (self.keys, self.values), self.values >= 0
-            self.__init__(self.bits + 1)
-            self.put(old[0][there], old[1][there])
-            return self.put(keys, values)
-        self.n += len(keys)
-        slot, todo = self._slot(keys), np.arange(len(keys))
-        while len(todo):
-            at = slot[todo]
-            free = self.values[at] < 0
-            _, first = np.unique(at[free], return_index=True)
-            won = todo[free][first]
-            self.keys[slot[won]], self.values[slot[won]] = keys[won], values[won]
-            todo = np.setdiff1d(todo, won, assume_unique=True)
-            slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        """The values, -1 where there is none."""
-        slot = self._slot(keys)
-        out = self.values[slot]
-        wrong = np.flatnonzero((out >= 0) & (self.keys[slot] != keys))
-        while len(wrong):
-            slot[wrong] = (slot[wrong] + 1) & ((1 << self.bits) - 1)
-            out[wrong] = self.values[slot[wrong]]
-            wrong = wrong[(out[wrong] >= 0) & (self.keys[slot[wrong]] != keys[wrong])]
-        return out
-
-
 class PieceBatch:
     """The same prefix tables for many short pieces at once: byte i of every piece, token sizes from long to short."""
 
@@ -193,22 +166,24 @@ class PieceBatch:
         self.v = vocabulary
         short = [(t, r) for t, r in vocabulary.ranks.items() if len(t) <= self.LONGEST]
         buf, off = K.buffers(pa.array([t for t, _ in short], pa.binary()).cast(pa.large_binary()))
-        self.tokens = _Open(18)
+        self.tokens = K.OpenTable(18)
         self.tokens.put(K.span_hash(K.byte_prefix(buf), off[:-1], off[1:]), np.array([r for _, r in short], np.int32))
         self.sizes = sorted({len(t) for t, _ in short}, reverse=True)
         self.length = np.zeros(max(vocabulary.bytes, default=0) + 1, np.int64)
         for t, r in short:
             self.length[r] = len(t)
-        self.apart = _Open(18)
+        self.apart = K.OpenTable(18)
 
     def _follows(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left.astype(np.uint64) << K.U64(32)) | right.astype(np.uint64)
         got = self.apart.get(key)
         if (got < 0).any():
             new = np.unique(key[got < 0])
-            if self.apart.n > 2 * KNOWN_PAIRS:
-                self.apart = _Open(18)
-            self.apart.put(new, np.array([self.v.follows(k >> 32, k & 0xFFFFFFFF) for k in new.tolist()], np.int32))
+            if self.apart.n + len(new) > BATCH_PAIRS:
+                self.apart = K.OpenTable(18)
+                new = np.unique(key)
+            answers = self.v.apart((new >> K.U64(32)).astype(np.int64), (new & K.U64(0xFFFFFFFF)).astype(np.int64))
+            self.apart.put(new, answers.astype(np.int32))
             got = self.apart.get(key)
         return got > 0
 
@@ -264,7 +239,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.v, self.split = vocabulary, regex.compile(pattern)
         self.batch = PieceBatch(vocabulary)
-        self.table = StretchTable(self._encode, most=300_000)
+        self.table = StretchTable(self._encode, STRETCH_BYTES)
 
     def _encode(self, stretches: list[str]) -> list[list[int]]:
         ranks = self.v.ranks
@@ -286,52 +261,64 @@ class Encoder:
         return b"".join(map(self.v.bytes.__getitem__, ids))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[tuple[bytes, str], Encoder] = {}
 
 
-def encoder(path: str, pattern: str) -> Encoder:
-    """The process's encoder for a vocabulary file; built once in each Python worker."""
-    key = path, pattern
+def encoder(ranks: bytes, pattern: str) -> Encoder:
+    """The process's encoder for the content of a vocabulary file; built once in each Python worker."""
+    key = hashlib.sha256(ranks).digest(), pattern
     if key not in _encoders:
-        _encoders[key] = Encoder(Vocabulary(read_ranks(path)), pattern)
+        _encoders.clear()
+        _encoders[key] = Encoder(Vocabulary(parse_ranks(ranks)), pattern)
     return _encoders[key]
 
 
+def shared_file(spark: SparkSession, path: str, most: int = VOCABULARY_BYTES):
+    """A vocabulary file's content for all tasks: only the driver opens the path. A vocabulary does not grow with the data; its size is checked."""
+    if os.path.getsize(path) > most:
+        raise ValueError(f"a vocabulary of more than {most} bytes")
+    with open(path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text", ids: str = "ids") -> DataFrame:
-    """docs with the ids of each text as an array column (replacing a column of that name)."""
+    """docs with the ids of each text as an array column."""
+    data, c = shared_file(docs.sparkSession, vocabulary), common.Columns(docs, (ids,), text=text)
 
     def run(batches):
-        e = encoder(vocabulary, pattern)
+        e = encoder(data.value, pattern)
         for whole in batches:
-            for batch in K.slices(whole, text, 4 << 20):
-                flat, off = e.table.ids(batch[text])
+            for batch in K.slices(whole, "text", SLICE_BYTES):
+                flat, off = e.table.ids(batch["text"])
                 got = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, ids])
+            K.release()
 
-    docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c != ids])
-    return docs.mapInArrow(run, docs.withColumn(ids, F.array().cast("array<int>")).schema)
+    return c.result(c.frame.mapInArrow(run, c.frame.withColumn(ids, F.array().cast("array<int>")).schema))
 
 
 def decode(rows: DataFrame, vocabulary: str, pattern: str, *, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """rows with the bytes that the ids stand for (null for null)."""
+    data, c = shared_file(rows.sparkSession, vocabulary), common.Columns(rows, (out,), ids=ids)
 
     def run(batches):
-        e = encoder(vocabulary, pattern)
+        e = encoder(data.value, pattern)
         for batch in batches:
-            got = pa.array([None if x is None else e.decode(x) for x in batch[ids].to_pylist()], pa.binary())
+            got = pa.array([None if x is None else e.decode(x) for x in batch["ids"].to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, out])
+            K.release()
 
-    rows = rows.select(*[rows[f"`{c}`"] for c in rows.columns if c != out])
-    return rows.mapInArrow(run, rows.withColumn(out, F.lit(None).cast("binary")).schema)
+    return c.result(c.frame.mapInArrow(run, c.frame.withColumn(out, F.lit(None).cast("binary")).schema))
 
 
 def token_digests(docs: DataFrame, vocabulary: str, pattern: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256: each text is encoded and decoded, only digests leave the task."""
+    data = shared_file(docs.sparkSession, vocabulary)
 
     def run(batches):
-        e = encoder(vocabulary, pattern)
+        e = encoder(data.value, pattern)
         for whole in batches:
-            for batch in K.slices(whole, "text", 4 << 20):
+            for batch in K.slices(whole, "text", SLICE_BYTES):
                 a, b = [], []
                 flat, off = e.table.ids(batch["text"])
                 for x, y in zip(off[:-1].tolist(), off[1:].tolist()):
@@ -339,7 +326,8 @@ def token_digests(docs: DataFrame, vocabulary: str, pattern: str, *, doc_id: str
                     a.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
                     b.append(hashlib.sha256(e.decode(ids)).hexdigest())
                 yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(np.diff(off)), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            K.release()
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = common.Columns(docs, doc_id=doc_id, text=text).only()
     schema = rows.select("doc_id", F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("ids_sha256"), F.lit("").alias("decoded_sha256")).schema
     return rows.mapInArrow(run, schema)

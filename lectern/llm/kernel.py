@@ -161,6 +161,47 @@ def per_text(flags: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return total[ptr[1:]] - total[ptr[:-1]]
 
 
+class OpenTable:
+    """An open-addressing table from 64-bit keys to small numbers, looked up for whole arrays."""
+
+    def __init__(self, bits: int):
+        self.bits, self.n = bits, 0
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.values = np.full(1 << bits, -1, np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * U64(0x9E3779B97F4A7C15)) >> U64(64 - self.bits)).astype(np.int64)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """New and distinct keys."""
+        if 2 * (self.n + len(keys)) > 1 << self.bits:
+            old, there = (self.keys, self.values), self.values >= 0
+            self.__init__(self.bits + 1)
+            self.put(old[0][there], old[1][there])
+            return self.put(keys, values)
+        self.n += len(keys)
+        slot, todo = self._slot(keys), np.arange(len(keys))
+        while len(todo):
+            at = slot[todo]
+            free = self.values[at] < 0
+            _, first = np.unique(at[free], return_index=True)
+            won = todo[free][first]
+            self.keys[slot[won]], self.values[slot[won]] = keys[won], values[won]
+            todo = np.setdiff1d(todo, won, assume_unique=True)
+            slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values, -1 where there is none."""
+        slot = self._slot(keys)
+        out = self.values[slot]
+        wrong = np.flatnonzero((out >= 0) & (self.keys[slot] != keys))
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & ((1 << self.bits) - 1)
+            out[wrong] = self.values[slot[wrong]]
+            wrong = wrong[(out[wrong] >= 0) & (self.keys[slot[wrong]] != keys[wrong])]
+        return out
+
+
 def release() -> None:
     """Gives memory that Arrow and the C library hold for later back to the system; for the end of a group."""
     pa.default_memory_pool().release_unused()

@@ -13,6 +13,7 @@ order among themselves; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import zlib
 
@@ -23,40 +24,45 @@ from pyspark.sql import functions as F
 
 from . import common
 from . import kernel as K
+from .bpe import SLICE_BYTES, shared_file
 from .stretches import StretchTable
 
 END_ID = 0
 ROW_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
-_tables: dict[str, StretchTable] = {}
+_tables: dict[bytes, StretchTable] = {}
 
 
-def _table(path: str) -> StretchTable:
+def _table(content: bytes) -> StretchTable:
     """The process's encoder for a tokenizer file: the library sees each distinct stretch once while it is in the table."""
-    if path not in _tables:
+    key = hashlib.sha256(content).digest()
+    if key not in _tables:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        _tables[path] = StretchTable(lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)], whole=tuple(x.content for x in t.get_added_tokens_decoder().values()))
-    return _tables[path]
+        t = Tokenizer.from_str(content.decode())
+        _tables.clear()
+        _tables[key] = StretchTable(lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)], whole=tuple(x.content for x in t.get_added_tokens_decoder().values()))
+    return _tables[key]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", files: int | None = None, end_id: int = END_ID) -> None:
     """Encodes every text and writes (doc_id, ids) to ORC files below path, in ascending doc_id order across and within files."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = common.Columns(docs, doc_id=doc_id, text=text).only()
     n = files or common.block_count(rows, "text")
+    data = shared_file(docs.sparkSession, tokenizer)
 
     def run(batches):
-        t = _table(tokenizer)
+        t = _table(data.value)
         for whole in batches:
-            for batch in K.slices(whole, "text", 4 << 20):
+            for batch in K.slices(whole, "text", SLICE_BYTES):
                 flat, off = t.ids(batch["text"])
                 n = batch.num_rows
                 ids = np.full(len(flat) + n, end_id, np.int32)
                 ids[np.arange(len(flat)) + np.repeat(np.arange(n), np.diff(off))] = flat
                 lists = pa.ListArray.from_arrays(pa.array((off + np.arange(n + 1)).astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch["doc_id"], lists], names=["doc_id", "ids"])
+        K.release()
 
     schema = rows.select("doc_id", F.array().cast("array<int>").alias("ids")).schema
     dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
@@ -90,10 +96,14 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
                 [batch["doc_id"], batch["_file"], pa.array(np.diff(off).astype(np.int64)), pa.array(crc, pa.int64())], names=["doc_id", "_file", "n_tokens", "ids_crc32"]
             )
 
-    rows = spark.read.orc(path).select("doc_id", F.col("_metadata.file_name").alias("_file"), "ids")
+    name = F.col("_metadata.file_name")
+    # A writing task's number, then the number of its file; as numbers, since names are padded to five digits only.
+    number = lambda pattern: F.coalesce(F.regexp_extract(name, pattern, 1).try_cast("long"), F.lit(0))
+    file = (number(r"^part-(\d+)") * (1 << 24) + number(r"-c(\d+)\.")).alias("_file")
+    rows = spark.read.orc(path).select("doc_id", file, "ids")
     schema = rows.select("doc_id", "_file", F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("ids_crc32")).schema
     found = common.written(rows.mapInArrow(run, schema), "token-index")  # a few numbers for each document
-    # One row for each file: names of a write sort as its partitions do.
+    # One row for each file.
     files = found.groupBy("_file").agg(F.sum("n_tokens").alias("_ids"))
     files = files.select("_file", (F.sum("_ids").over(Window.orderBy("_file")) - F.col("_ids")).alias("_before"))
     inside = Window.partitionBy("_file").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)

@@ -227,8 +227,9 @@ def test_byte_bpe(docs, empty, reference_bpe):
 
 
 def test_bpe_on_random_texts_appends_and_edits(reference_bpe):
-    e, rng = bpe.encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN), random.Random(1)
-    parts = ["a", "b", " ", "  ", "\n", "\t", "'s", "é", "日本", "1", "!!", "aa", "the", "ing", "🙂", "x", "\x85", "\0"]
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        e, rng = bpe.encoder(f.read(), P.PATTERN), random.Random(1)
+    parts = ["a", "b", " ", "  ", "\n", "\t", "'s", "'", "é", "日本", "1", "!!", "aa", "the", "ing", "🙂", "x", "\x85", "\0", "\xa0", "\u3000", "\u2003", "ü", "\x1c", " (", "'ll", "\r\n", "\n\n", "Q.", "9"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(4000)] + ["abc" * 3000]
     assert e.encode_all(texts) == [reference_bpe.encode_ordinary(t) for t in texts]
     for _ in range(100):
@@ -241,7 +242,6 @@ def test_bpe_on_random_texts_appends_and_edits(reference_bpe):
 
 def test_token_files(spark, docs, empty, tmp_path):
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     path = f"file://{tmp_path}/tokens"
     token_files.write_tokens(docs.dropDuplicates(["doc_id"]), path, P.path("byte_bpe_50k.json"), files=3)
     texts = {r.doc_id: r.text for r in docs.dropDuplicates(["doc_id"]).collect()}
@@ -252,6 +252,7 @@ def test_token_files(spark, docs, empty, tmp_path):
         at += len(ids)
     assert {r.doc_id for r in token_files.read_tokens(spark, path, [3, 6]).collect()} == {3, 6}
     token_files.write_tokens(empty, f"file://{tmp_path}/none", P.path("byte_bpe_50k.json"))
+    assert token_files.token_index(spark, f"file://{tmp_path}/none").count() == 0
 
 
 def test_token_files_with_special_strings(spark, tmp_path):
