@@ -159,9 +159,8 @@ def projection(speeches: DataFrame, picks: DataFrame, expected: DataFrame) -> Da
     """
     analysed = speeches.groupBy("day").agg(F.count(F.lit(1)).alias("analysed"))
     days = analysed.join(expected, "day", "full").join(emails_by_day(picks), "day", "left").na.fill(0, ["analysed", "expected", "emails"])
-    total = analysed.agg(F.sum("analysed").alias("n")).crossJoin(picks.select("day", "t").distinct().agg(F.count(F.lit(1)).alias("m")))
-    rate = total.select(F.coalesce(F.col("m") / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0)).alias("rate"))
-    d = days.crossJoin(F.broadcast(rate))  # one row
+    every = Window.partitionBy(F.lit(0))  # one row for each day
+    d = days.withColumn("rate", F.coalesce(F.sum("emails").over(every) / F.nullif(F.sum("analysed").over(every), F.lit(0)), F.lit(0.0)))
     d = d.withColumn("coverage", F.when(F.col("expected") > 0, F.col("analysed") / F.col("expected")).otherwise(0.0))
     d = d.withColumn("sample_ok", (F.col("analysed") >= 8) | (F.col("coverage") >= 0.4))
     own = F.col("emails") * F.col("expected") / F.nullif(F.col("analysed"), F.lit(0))

@@ -1,81 +1,158 @@
 """Greedy cooldown: an event is taken if its key has taken none in the last `cooldown` time units.
 
 The rule is sequential, but how a stretch of time begins matters only through the moment from which its key is
-free again. So time is cut into slices: each slice finds, for every place at which taking could start, where it would
-end (a map of a few entries); a fold over a key's slices gives each its true start; then all slices take their events at once.
-No task ever holds a key's whole history.
+free again. So time is cut into slices of `SLICE` cooldowns: each slice finds where taking would end for every place at which it could
+start (a step function, of a few steps since different starts soon meet); a fold over a key's slices gives each its true start;
+then all slices take their events at once. A task streams over sorted slices, many at a time in whole arrays; a key's steps,
+about one for each SLICE cooldowns of its history, are the only thing that meets in one row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .rows import join_totals
+
+SLICE = 1024
+_NEVER = -(1 << 62)
+
+
+def changes(table: pa.Table, names: list[str]) -> np.ndarray:
+    """Whether each row differs from the one before in one of the columns; nulls are equal, and so are NaNs."""
+    out = np.ones(table.num_rows, bool)
+    if table.num_rows < 2:
+        return out
+    out[1:] = False
+    for name in names:
+        c = table[name].combine_chunks()
+        a, b = c.slice(1), c.slice(0, len(c) - 1)
+        if pa.types.is_nested(c.type):
+            raise ValueError(f"{name}: a key is a plain value")
+        other = np.asarray(pc.fill_null(pc.not_equal(a, b), False)) | (np.asarray(a.is_null()) != np.asarray(b.is_null()))
+        if pa.types.is_floating(c.type):
+            other &= ~np.asarray(pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        out[1:] |= other
+    return out
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups of sorted rows, with where each group begins; a batch's last group waits for the next batch."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        begin = np.flatnonzero(changes(table, names))
+        if len(begin) > 1:
+            cut = int(begin[-1])
+            yield table.slice(0, cut), begin[:-1]
+            held = table.slice(cut).combine_chunks().to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, np.flatnonzero(changes(table, names))
 
-def _jumps(t: np.ndarray, cooldown: int) -> np.ndarray:
-    """For each time the place of the next one that could be taken after it."""
-    return np.searchsorted(t, t + cooldown, side="left")
+
+def _next(t: np.ndarray, group: np.ndarray, end: np.ndarray, cooldown: int) -> np.ndarray:
+    """For each event the place of the next of its group that could be taken after it; the group's end if there is none."""
+    base = int(t.min())
+    far = int(t.max()) - base + cooldown + 1
+    if far * (len(end) + 1) < 1 << 62:  # one search over all groups
+        line = group * far + (t - base)
+        return np.minimum(np.searchsorted(line, line + cooldown), end[group])
+    return np.concatenate([a + np.searchsorted(t[a:b], t[a:b] + cooldown) for a, b in zip(np.concatenate(([0], end[:-1])).tolist(), end.tolist())])
 
 
 def take_with_cooldown(events: DataFrame, keys: list[str], time: str, cooldown: int, slice_length: int | None = None) -> DataFrame:
-    """Distinct (keys, time) of the events taken. time is a whole number in any unit; null times are never taken."""
+    """Distinct (keys, time) of the events taken. time is a whole number in any unit; null times are never taken, null keys are one key."""
     if cooldown < 0:
         raise ValueError("a negative cooldown")
-    length = max(slice_length or 0, 64 * max(cooldown, 1))
-    rows = events.where(F.col(time).isNotNull()).select(*keys, F.col(time).cast("long").alias("_t")).distinct()
-    rows = rows.withColumn("_slice", F.floor(F.col("_t") / length).cast("long"))
+    rows = events.where(F.col(time).isNotNull()).select(*keys, F.col(time).cast("long").alias("_t"))
     if cooldown == 0:
-        return rows.select(*keys, F.col("_t").alias(time))
-    key_fields = [f for f in rows.schema.fields if f.name in keys]
-    key_sql = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
-
-    def summary(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["_t"].to_numpy())
-        after = _jumps(t, cooldown)
-        last = t.copy()
-        for i in range(len(t) - 1, -1, -1):
-            if after[i] < len(t):
-                last[i] = last[after[i]]
-        start = int(pdf["_slice"].iloc[0]) * length
-        n = int(np.searchsorted(t, start + cooldown, side="left")) + 1  # places at which taking can start
-        out = pdf[keys].iloc[:1].copy()
-        out["_slice"], out["_first"], out["_last"] = pdf["_slice"].iloc[0], [t[:n].tolist()], [last[:n].tolist()]
-        return out
+        return rows.distinct().select(*keys, F.col("_t").alias(time))
+    length = max(slice_length or SLICE * cooldown, 2 * cooldown)
+    rows = rows.withColumn("_slice", F.floor(F.col("_t") / length).cast("long"))
+    group = [*keys, "_slice"]
+    key_sql = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in (rows.schema[k] for k in keys))
 
-    maps = rows.groupBy(*keys, "_slice").applyInPandas(summary, f"{key_sql}, _slice long, _first array<long>, _last array<long>")
+    def arrays(table: pa.Table, begin: np.ndarray):
+        """Distinct times of each group: times, group of each, ends."""
+        t, of = np.asarray(table["_t"]), np.zeros(table.num_rows, np.int64)
+        of[begin] = 1
+        of = np.cumsum(of) - 1
+        new = np.ones(len(t), bool)
+        new[1:] = (t[1:] != t[:-1]) | (of[1:] != of[:-1])
+        t, of = t[new], of[new]
+        return t, of, np.searchsorted(of, np.arange(len(begin)), side="right")
+
+    def steps(batches):
+        for table, begin in whole_groups(batches, group):
+            t, of, end = arrays(table, begin)
+            after = _next(t, of, end, cooldown)
+            last = np.where(after < end[of], after, np.arange(len(t)))
+            while True:  # pointer doubling: each event's last successor
+                further = last[last]
+                if np.array_equal(further, last):
+                    break
+                last = further
+            # Starts at which taking can begin: up to a cooldown behind the slice's edge, and the first one beyond.
+            edge = np.asarray(table["_slice"])[begin] * length + cooldown
+            first = np.concatenate(([0], end[:-1]))
+            possible = np.ones(len(t), bool)
+            possible[1:] = (t[:-1] < edge[of[1:]]) | (of[1:] != of[:-1])
+            # Of starts in a row that lead to one end only the last is a step.
+            keep = np.flatnonzero(possible)
+            keep = keep[np.append((last[keep][1:] != last[keep][:-1]), True)]
+            offsets = pa.array(np.searchsorted(keep, np.append(first, len(t))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (t[keep], t[last[keep]])]
+            out = table.select(group).take(pa.array(begin))
+            yield from pa.table([*out.columns, *lists], names=[*group, "_first", "_last"]).combine_chunks().to_batches()
+
+    dealt = rows.repartition(*group).sortWithinPartitions(*group, "_t")
+    maps = dealt.mapInArrow(steps, f"{key_sql}_slice long, _first array<long>, _last array<long>")
     # Fold over the slices of each key: when is the key free again as each slice begins?
-    entry = F.struct(F.lit(None).cast("long").alias("free"), F.array().cast("array<struct<_slice:bigint,_free:bigint>>").alias("seen"))
+    entry = F.struct(F.lit(_NEVER).alias("free"), F.array().cast("array<struct<_slice:bigint,_free:bigint>>").alias("seen"))
 
     def step(a, s):
-        at = F.size(F.filter(s["_first"], lambda x: x < F.coalesce(a["free"], F.lit(-(1 << 62)))))
-        last = F.get(s["_last"], at)
-        return F.struct(
-            F.coalesce(last + cooldown, a["free"]).alias("free"),
-            F.concat(a["seen"], F.array(F.struct(s["_slice"].alias("_slice"), F.coalesce(a["free"], F.lit(-(1 << 62))).alias("_free")))).alias("seen"),
-        )
+        last = F.get(s["_last"], F.size(F.filter(s["_first"], lambda x: x < a["free"])))
+        return F.struct(F.coalesce(last + cooldown, a["free"]).alias("free"), F.concat(a["seen"], F.array(F.struct(s["_slice"].alias("_slice"), a["free"].alias("_free")))).alias("seen"))
 
     folded = maps.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_slice", "_first", "_last"))).alias("_s"))
     starts = folded.select(*keys, F.inline(F.aggregate("_s", entry, step, lambda a: a["seen"])))
 
-    def take(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["_t"].to_numpy())
-        after = _jumps(t, cooldown)
-        i, taken = int(np.searchsorted(t, pdf["_free"].iloc[0], side="left")), []
-        while i < len(t):
-            taken.append(int(t[i]))
-            i = int(after[i])
-        out = pd.DataFrame({k: [pdf[k].iloc[0]] * len(taken) for k in keys})
-        out[time] = taken
-        return out
+    def take(batches):
+        for table, begin in whole_groups(batches, group):
+            t, of, end = arrays(table, begin)
+            after = _next(t, of, end, cooldown)
+            free = np.asarray(table["_free"])[begin]
+            began = np.concatenate(([0], end[:-1]))
+            at = began + np.bincount(of, weights=t < free[of], minlength=len(begin)).astype(np.int64)
+            taken = []
+            # Places walk through their groups side by side.
+            who = np.flatnonzero(at < end)
+            at = at[who]
+            while len(at):
+                taken.append(at)
+                at = after[at]
+                go = at < end[who]
+                at, who = at[go], who[go]
+            picked = np.sort(np.concatenate(taken)) if taken else np.zeros(0, np.int64)
+            out = table.select(keys).take(pa.array(begin[of[picked]]))
+            yield from pa.table([*out.columns, pa.array(t[picked])], names=[*keys, time]).combine_chunks().to_batches()
 
-    joined = rows.join(starts, [*keys, "_slice"])
-    return joined.groupBy(*keys, "_slice").applyInPandas(take, f"{key_sql}, `{time}` long")
+    joined = join_totals(rows, starts, group).select(*group, "_t", "_free")
+    return joined.sortWithinPartitions(*group, "_t").mapInArrow(take, f"{key_sql}`{time}` long")
 
 
 def first_in_window(events: DataFrame, keys: list[str], time: str, ttl: int) -> DataFrame:
-    """Events that are not repeated within ttl of the last kept one; the same rule, with rows kept whole (least first)."""
-    kept = take_with_cooldown(events, keys, time, ttl)
-    one = Window.partitionBy(*keys, time).orderBy(*[F.col(c) for c in events.columns])
-    return events.join(kept, [*keys, time]).withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
+    """Events that are not repeated within ttl of the last kept one; the same rule, with rows kept whole (of one time the least)."""
+    rest = [c for c in events.columns if c not in (*keys, time)]
+    least = events.where(F.col(time).isNotNull()).groupBy(*keys, time).agg(F.min(F.struct(*rest)).alias("_row")) if rest else events.select(*keys, time).distinct()
+    kept = join_totals(least, take_with_cooldown(least, keys, time, ttl), [*keys, time])
+    return kept.select(*[F.col(f"_row.{c}").alias(c) if c in rest else F.col(c) for c in events.columns])

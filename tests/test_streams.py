@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from lectern.operators.cooldown import take_with_cooldown
+from lectern.operators.cooldown import first_in_window, take_with_cooldown
 from lectern.streaming import processors as S
 from lectern.streaming.speaker import UNKNOWN, SpeakerRules
 
@@ -21,8 +21,29 @@ def test_cooldown_over_slices(spark):
     rng = random.Random(1)
     rows = [(k, rng.randrange(20_000)) for k in ("a", "b", None) for _ in range(700)] + [("c", None)]
     got = take_with_cooldown(spark.createDataFrame(rows, "k string, t long"), ["k"], "t", 7, slice_length=500).collect()
-    for k in ("a", "b"):
-        assert sorted(r.t for r in got if r.k == k) == greedy([t for x, t in rows if x == k], 7)
+    for k in ("a", "b", None):
+        assert sorted(r.t for r in got if r.k == k) == greedy([t for x, t in rows if x == k and t is not None], 7)
+
+
+def test_cooldown_with_slices_in_which_nothing_is_taken(spark):
+    """Keys of several kinds, few events, negative times; many a slice has no event or takes none."""
+    rng = random.Random(5)
+    rows = [(k, n, rng.choice([-40, 0, 300]) + rng.randrange(60)) for k in ("a", "b", None) for n in (1.5, float("nan"), None) for _ in range(12)]
+    rows += [("hot", 1.0, rng.randrange(4_000)) for _ in range(3_000)]
+    frame = spark.createDataFrame(rows, "k string, n double, t long")
+    same = lambda a, b: a == b or (a is not None and b is not None and a != a and b != b)
+    for length in (None, 20):
+        got = take_with_cooldown(frame, ["k", "n"], "t", 10, slice_length=length).collect()
+        assert {type(r.k) for r in got} == {str, type(None)}
+        for k, n in {(k, str(n)): (k, n) for k, n, _ in rows}.values():
+            assert sorted(r.t for r in got if r.k == k and same(r.n, n)) == greedy([t for x, m, t in rows if x == k and same(m, n)], 10)
+    assert take_with_cooldown(frame.limit(0), ["k"], "t", 10).count() == 0
+
+
+def test_first_in_window_keeps_the_least_row(spark):
+    rows = [("a", 5, "y"), ("a", 5, "x"), ("a", 8, "z"), (None, 5, None), (None, 16, "w"), ("a", None, "no")]
+    got = first_in_window(spark.createDataFrame(rows, "k string, t long, v string"), ["k"], "t", 10).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([("a", 5, "x"), (None, 5, None), (None, 16, "w")], key=repr)
 
 
 def test_stream_equals_batch(spark, tmp_path):
