@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from . import kernel as K
 from .stretches import StretchTable
 
 #: Bounds of what a process keeps: pairs of tokens in the two tables, bytes of encoded stretches.
-KNOWN_PAIRS, BATCH_PAIRS, STRETCH_BYTES = 100_000, 500_000, 24 << 20
+KNOWN_PAIRS, BATCH_PAIRS, STRETCH_BYTES = 50_000, 250_000, 20 << 20
 SLICE_BYTES = 1 << 20
 VOCABULARY_BYTES = 64 << 20
 _NEVER = 1 << 40
@@ -51,17 +52,18 @@ class Vocabulary:
         self._follows: dict[int, bool] = {}
         #: The tokens whose merge makes each token, -1 for single bytes: left and right parts.
         self.parts = np.full((2, max(self.bytes, default=0) + 1), -1, np.int32)
-        pairs: dict[int, int] = {}
+        pairs, made = array("Q"), array("i")
         for data, rank in ranks.items():
             for k in range(1, len(data)):
                 a, b = ranks.get(data[:k]), ranks.get(data[k:])
                 if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
+                    pairs.append(a << 32 | b)
+                    made.append(rank)
             if len(data) > 1:
                 self.parts[:, rank] = self._last_merge(data)
         #: Rank of the token that two tokens' bytes make together, whichever merge makes it.
         self.joined = K.OpenTable(18)
-        self.joined.put(np.fromiter(pairs, np.uint64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs)))
+        self.joined.put(np.array(pairs, np.uint64), np.array(made, np.int32))
 
     def _last_merge(self, data: bytes) -> tuple[int, int]:
         rank, pieces = self.ranks.get, [data[i : i + 1] for i in range(len(data))]

@@ -38,11 +38,14 @@ def _contract(batches):
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([r for _, r in found], pa.int64())], names=["u", "v"])
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
-    """(node, component) for every node of links; the component is its least node. Links of a node with itself do nothing."""
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component) for every node of links; the component is its least node. Links of a node with itself do nothing.
+
+    Rounds go on until one changes nothing; their number grows with the logarithm of the longest path.
+    """
     edges = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
     edges = common.written(edges.mapInArrow(_contract, "u long, v long").distinct(), "forest")
-    for _ in range(rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -54,8 +57,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
         if _digest(after) == _digest(edges):
             roots = after.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return after.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+        common.drop_written(edges)
         edges = after
-    raise RuntimeError("components did not settle")
 
 
 def _digest(edges: DataFrame) -> tuple:

@@ -39,6 +39,7 @@ from .components import components
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 SIMILARITY = 85  # percent
+OUTPUT = ("n_shingles", "component_id", "kept")
 NULL_ID = -(1 << 63)
 _KEY_BYTES = 6
 PARITY = 1024
@@ -115,6 +116,7 @@ def _signed(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                 offsets = np.concatenate(([0], np.cumsum(np.where(n > 0, bands, 0)))).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[n > 0].reshape(-1)))
                 yield pa.RecordBatch.from_arrays([batch["node"], pa.array(n), pa.array(sums[0]), pa.array(sums[1]), keys], names=["node", "n", "s1", "s2", "bands"])
+            K.release()
 
     return docs.mapInArrow(run, schema)
 
@@ -218,6 +220,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
                     both = _overlap(s, t)
                     keep.append(both > 0 and 100 * both >= percent * (len(s) + len(t) - both))
                 yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            K.release()
 
     left = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -239,8 +242,9 @@ def _overlap(s: np.ndarray, t: np.ndarray) -> int:
 
 def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """docs with n_shingles, component_id (least doc_id that links reach) and kept (whether that is its own id)."""
-    node = F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID))
-    plain = docs.select(node.alias("node"), F.col(text).alias("text"))
+    c = common.Columns(docs, OUTPUT, doc_id=doc_id, text=text)
+    named = c.frame.withColumn("node", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+    plain = named.select("node", "text")
     signed = common.written(_signed(plain, width, bands, rows), "signatures")
     sets = ["s1", "s2", "n"]
     classes = signed.where("n > 0").groupBy(*sets).agg(F.min("node").alias("rep"), F.min_by("bands", "node").alias("bands"))
@@ -274,10 +278,8 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
-    named = classes.join(labels, classes["rep"] == labels["node"], "left").select(*sets, F.coalesce("component", "rep").alias("component"))
-    found = signed.join(named, sets, "left").select("node", "n", F.coalesce("component", "node").alias("component"))
+    of_class = classes.join(labels, classes["rep"] == labels["node"], "left").select(*sets, F.coalesce("component", "rep").alias("component"))
+    found = signed.join(of_class, sets, "left").select("node", "n", F.coalesce("component", "node").alias("component"))
     found = found.groupBy("node").agg(F.max("n").alias("n_shingles"), F.min("component").alias("_c"))
-    found = found.withColumn("component_id", F.when(F.col("_c") != NULL_ID, F.col("_c"))).withColumn("kept", F.col("_c") == F.col("node"))
-    keep = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept")]
-    joined = docs.select(*[docs[f"`{c}`"] for c in keep]).withColumn("_node", node).join(found.withColumnRenamed("node", "_node"), "_node")
-    return joined.select(*[joined[f"`{c}`"] for c in keep], "n_shingles", "component_id", "kept")
+    found = found.select("node", "n_shingles", F.when(F.col("_c") != NULL_ID, F.col("_c")).alias("component_id"), (F.col("_c") == F.col("node")).alias("kept"))
+    return c.result(named.join(found, "node"))

@@ -5,10 +5,12 @@ A byte goes if a string of `LENGTH` bytes over it also starts in a document with
 Sorting every suffix of the corpus would move each byte LENGTH times, so only suffixes that can matter are sorted:
 
 1. Sampling. Every string of 50 bytes is represented by its anchor, the 16-byte substring of the least hash in it
-   (a minimiser): equal strings have equal anchors at equal distances. About one position in 18 is an anchor.
-   Blocks and buckets exchange the anchors' hashes; strings whose anchor occurs once are done.
-2. Suffixes. Around an anchor that recurs, the strings it represents start in a row; this context (99 bytes at most) is sent
-   to the anchor's bucket, once for each block however often it occurs there.
+   (a minimiser): equal strings have equal anchors at equal distances. About one position in 18 is an anchor. A string's key is its
+   anchor with the 16 bytes behind it or, where these are not all inside the string, with the 16 before it: a frequent phrase
+   of 16 bytes has as many keys, in as many buckets, as it has surroundings.
+   Blocks and buckets exchange the keys' hashes; strings whose key occurs once are done.
+2. Suffixes. The strings of a key that recurs start in a row; this context (99 bytes at most) is sent
+   to the key's bucket, once for each block however often it occurs there.
 3. Sorting. A bucket sorts the suffixes that start at these places: a multikey sort on 8-byte characters to the depth
    `SHALLOW`, all groups of a level at once; the groups that still share a prefix are ordered by blind tries,
    which hold only branching depths and bytes and compare each new suffix with one leaf. Runs that are equal to the full
@@ -20,8 +22,8 @@ than all others. Strings never cross documents. Other columns are passed through
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +34,10 @@ from . import common
 from . import kernel as K
 from .substring_dedup import ordered
 
+OUTPUT = ("n_bytes", "removed", "kept")
 LENGTH = 50
-ANCHOR = 16
+ANCHOR, EXTENDED = 16, 32
+SORTED_AT_ONCE = 1 << 17
 SHALLOW = 32
 ANCHOR_BYTES = 6
 SEGMENT = 1 << 20
@@ -177,7 +181,7 @@ class _Segments:
 
 
 class _Contexts:
-    """A block's anchors with the row of strings that each represents."""
+    """A block's keys (anchors with what stands beside them) and the row of strings that each represents."""
 
     def __init__(self, table: pa.Table, doc_id: str, text: str, length: int):
         self.table, self.length = ordered(table, doc_id, text), length
@@ -190,13 +194,19 @@ class _Contexts:
         self.slices = _Segments(self.table, text, length).rows
 
     def each(self):
-        """For each slice: bytes, anchors, first and last start of the strings, row and place of the first."""
+        """For each slice: bytes, keys, anchors, first and last start of the strings, row and place of the first.
+
+        In a string the anchor stands d bytes from its start. With d at most `near` the bytes behind the anchor are inside, else those before it.
+        """
         span = self.length - ANCHOR + 1
+        near = farthest(self.length)
+        wide = self.length - near
         for held in self.slices:
             sizes = np.array([len(p) for _, _, p in held])
             off = np.concatenate(([0], np.cumsum(sizes)))
             buf = np.concatenate([p for _, _, p in held])
-            h = K.window_hash(K.byte_prefix(buf), ANCHOR)
+            sums = K.byte_prefix(buf)
+            h = K.window_hash(sums, ANCHOR)
             v = (h & ~_MASK) | np.arange(len(h), dtype=np.uint64)
             width, least = 1, v
             while 2 * width <= span:
@@ -212,21 +222,27 @@ class _Contexts:
             cut[1:] = (anchor[1:] != anchor[:-1]) | (seg[1:] != seg[:-1])
             first = np.flatnonzero(cut)
             last = np.append(first[1:], len(starts)) - 1 if len(first) else first
+            anchor, first, last, of = anchor[first], starts[first], starts[last], seg[first]
+            behind, before = np.flatnonzero(anchor - last <= near), np.flatnonzero(anchor - first > near)
+            h = K.window_hash(sums, wide)
+            keys = np.concatenate([K.mix(h[anchor[behind]] ^ K.U64(0xA24BAED4963EE407)), K.mix(h[anchor[before] - (wide - ANCHOR)] ^ K.U64(0x9FB21C651E98DF25))])
+            first = np.concatenate([np.maximum(first[behind], anchor[behind] - near), first[before]])
+            last = np.concatenate([last[behind], np.minimum(last[before], anchor[before] - near - 1)])
+            both = np.concatenate([behind, before])
+            anchor, of = anchor[both], of[both]
             rows = np.array([r for r, _, _ in held])
             shift = np.array([s for _, s, _ in held])
-            # Anchors are the least hashes around; mixed again they spread over all buckets.
-            keys = K.mix(h[anchor[first]] ^ K.U64(0xA24BAED4963EE407))
-            yield buf, keys, anchor[first], starts[first], starts[last], rows[seg[first]], starts[first] - off[seg[first]] + shift[seg[first]]
+            yield buf, keys, anchor, first, last, rows[of], first - off[of] + shift[of]
 
     def keys(self):
-        """Distinct anchor keys, which recur in the block, each anchor's key."""
+        """Distinct keys, which recur in the block, each entry's key."""
         hashes = np.concatenate([np.zeros(0, np.uint64), *[x[1] for x in self.each()]])
         hashes &= ~np.uint64((1 << (64 - 8 * ANCHOR_BYTES)) - 1)
         keys, inverse, count = np.unique(hashes, return_inverse=True, return_counts=True)
         return keys, count > 1, inverse
 
     def contexts(self, heard: list[bytes]) -> dict[str, np.ndarray]:
-        """The recurring anchors' contexts: a matrix of bytes, places of the starts, and the distinct ones."""
+        """The recurring keys' contexts: a matrix of bytes, places of the starts, and the distinct ones."""
         keys, own, inverse = self.keys()
         again = (own | B.unbits(heard))[inverse] if len(keys) else np.zeros(0, bool)
         wide = context_width(self.length)
@@ -246,13 +262,19 @@ class _Contexts:
         return {"hash": hashes, "high": high, "low": low, "row": row, "place": place, "bytes": m, "index": index, "group": group}
 
 
+def farthest(length: int) -> int:
+    """The most bytes before an anchor with which what stands behind it is still inside the string."""
+    return length - min(EXTENDED, (length + ANCHOR) // 2)
+
+
 def context_width(length: int) -> int:
     """Longest context, in whole 8-byte characters."""
-    return -(-(2 * length - ANCHOR) // 8) * 8
+    near = farthest(length)
+    return -(-(length + max(near, length - ANCHOR - near - 1)) // 8) * 8
 
 
 def distinct(hashes: np.ndarray, high: np.ndarray, low: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First of each distinct context in the order of anchor hashes, and each context's number among these."""
+    """First of each distinct context in the order of keys, and each context's number among these."""
     if not len(m):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     words = m.view(np.uint64)
@@ -312,14 +334,17 @@ def first_documents(said: list[tuple[int, bytes]], length: int, shallow: int = S
     rank = (block.astype(np.int64) << 32) | ordinal
     first = np.full(len(index), np.iinfo(np.int64).max)
     np.minimum.at(first, group, rank)
-    # Starts of every distinct context; only contexts that share their anchor with another are sorted.
+    # Starts of every distinct context; only contexts that share their key with another are sorted, some keys at a time.
     h = hashes[index]
     _, of, count = np.unique(h, return_inverse=True, return_counts=True)
     width = high[index].astype(np.int64) - low[index] + 1
     begin = np.cumsum(width) - width
     value = np.repeat(first, width)
-    sort = np.flatnonzero(count[of] > 1)
-    if len(sort):
+    shared = np.flatnonzero(count[of] > 1)
+    ends = np.cumsum(width[shared])
+    new = np.diff(of[shared], prepend=-1) != 0
+    part = ((ends - width[shared])[np.flatnonzero(new)] // SORTED_AT_ONCE)[np.cumsum(new) - 1] if len(shared) else ends
+    for sort in np.split(shared, np.flatnonzero(np.diff(part)) + 1) if len(shared) else ():
         w = width[sort]
         inside = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
         slot = np.repeat(begin[sort], w) + inside
@@ -339,29 +364,32 @@ def first_documents(said: list[tuple[int, bytes]], length: int, shallow: int = S
         yield b, zstandard.ZstdCompressor(level=1).compress(out.tobytes())
 
 
-def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """docs with n_bytes, removed (start and end of each removed run, flat) and kept (the remaining bytes)."""
+def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, as_text: bool = False) -> DataFrame:
+    """docs with n_bytes, removed (start and end of each removed run, flat) and kept (the remaining bytes).
+
+    as_text: kept is a string instead, the text without the characters all of whose bytes are removed (null for null).
+    """
     if not 2 * ANCHOR <= length <= 128:
         raise ValueError("length lies between 32 and 128 bytes")
     # A start takes several numbers of memory while it is sorted, so blocks and buckets are smaller than elsewhere.
-    n_blocks, n_buckets = (common.block_count(docs, text, k) for k in (2, 4))
-    keep = [c for c in docs.columns if c not in ("n_bytes", "removed", "kept", B.BLOCK)]
-    base = B.with_blocks(docs.select(*[docs[f"`{c}`"] for c in keep]), doc_id, n_blocks)
+    c = common.Columns(docs, OUTPUT, doc_id=doc_id, text=text)
+    n_blocks, n_buckets = (common.block_count(c.frame, "text", k) for k in (2, 4))
+    keep, base = c.frame.columns, B.with_blocks(c.frame, "doc_id", n_blocks)
 
     def say_anchors(block, table):
-        keys, _, _ = _Contexts(table, doc_id, text, length).keys()
+        keys, _, _ = _Contexts(table, "doc_id", "text", length).keys()
         for bucket, a, b in B.cut(keys, n_buckets):
             yield bucket, B.pack(keys[a:b], ANCHOR_BYTES)
 
     def say_contexts(block, table, heard):
-        b = _Contexts(table, doc_id, text, length)
+        b = _Contexts(table, "doc_id", "text", length)
         c = b.contexts(heard.get(0, []))
         index = c["index"]
         for bucket, x, y in B.cut(c["hash"][index], n_buckets):
             yield bucket, _pack(c, index[x:y], b.ordinal, length)
 
     def remove(block, table, heard):
-        b = _Contexts(table, doc_id, text, length)
+        b = _Contexts(table, "doc_id", "text", length)
         c = b.contexts(heard.get(0, []))
         got = [np.frombuffer(zstandard.ZstdDecompressor().decompress(x), "<u4") for x in heard.get(1, [])]
         value = np.concatenate([np.zeros(0, np.uint32), *got])
@@ -369,7 +397,7 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         index, group = c["index"], c["group"]
         width = c["high"].astype(np.int64) - c["low"] + 1
         begin = np.cumsum(width[index]) - width[index]
-        texts = [(x or "").encode() for x in b.table[text].to_pylist()]
+        texts = [(x or "").encode() for x in b.table["text"].to_pylist()]
         offset = np.concatenate(([0], np.cumsum([len(x) for x in texts], dtype=np.int64)))
         hit = np.zeros(int(offset[-1]), bool)  # starts of strings that an earlier document has
         for k in range(0, len(group), 16_384):
@@ -391,39 +419,29 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
             new = np.flatnonzero(np.diff(at, prepend=-(1 << 40)) > length)
             start, end = at[new], at[np.append(new[1:], len(at)) - 1] + length
             spans.append(np.stack([start, end], axis=1).reshape(-1).tolist())
-            edge = [0, *spans[-1], len(raw)]
+            edge = [0, *(_whole_characters(raw, spans[-1]) if as_text else spans[-1]), len(raw)]
             kept.append(b"".join(raw[x:y] for x, y in zip(edge[::2], edge[1::2])))
         out = b.table.select(keep)
         out = out.append_column("n_bytes", pa.array([len(x) for x in texts], pa.int64()))
         out = out.append_column("removed", pa.array(spans, pa.list_(pa.int64())))
-        return out.append_column("kept", pa.array(kept, pa.binary()))
+        kept = pa.array(kept, pa.binary())
+        if as_text:
+            kept = pc.if_else(pc.is_null(b.table["text"].combine_chunks()), None, kept.cast(pa.string()))
+        return out.append_column("kept", kept)
 
     anchors = B.answer(B.send(base, say_anchors), B.reply_repeated(ANCHOR_BYTES), 0)
     contexts = B.answer(B.send_again(base, anchors, say_contexts), lambda said: first_documents(said, length), 1)
-    schema = T.StructType([*base.drop(B.BLOCK).schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("removed", T.ArrayType(T.LongType())), T.StructField("kept", T.BinaryType())])
-    return B.finish(base, anchors.unionByName(contexts), remove, schema)
-
+    schema = T.StructType([*base.drop(B.BLOCK).schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("removed", T.ArrayType(T.LongType())), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
+    return c.result(B.finish(base, anchors.unionByName(contexts), remove, schema))
 
-def without_spans(text: str, spans: str):
-    """The text without the characters all of whose bytes lie in the removed runs."""
 
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, runs: pd.Series) -> pd.Series:
-        return pd.Series([_keep_characters(t, r) for t, r in zip(texts, runs)], dtype=object)
-
-    return cut(F.col(text), F.col(spans))
-
-
-def _keep_characters(text, runs):
-    if text is None or runs is None or not len(runs):
-        return text
-    raw = text.encode()
-    out, at = [], 0
+def _whole_characters(raw: bytes, runs: list[int]) -> list[int]:
+    """The runs without the bytes of characters that go on before or behind them."""
+    out: list[int] = []
     for start, end in zip(runs[::2], runs[1::2]):
-        while start < end and raw[start] & 0xC0 == 0x80:  # a character that begins before the run stays
+        while start < end and raw[start] & 0xC0 == 0x80:
             start += 1
-        while end > start and end < len(raw) and raw[end] & 0xC0 == 0x80:  # and one that ends after it
+        while end > start and end < len(raw) and raw[end] & 0xC0 == 0x80:
             end -= 1
-        out.append(raw[at:start])
-        at = max(end, start)
-    return b"".join([*out, raw[at:]]).decode()
+        out += [start, end] if start < end else []
+    return out

@@ -86,7 +86,9 @@ def test_suffix_dedup(docs, empty):
     got = suffix_dedup.suffix_dedup(docs).collect()
     assert sorted((r.doc_id, r.n_bytes, len(r.removed) // 2, bytes(r.kept)) for r in got) == sorted(want)
     assert suffix_dedup.suffix_dedup(empty).count() == 0
-    assert suffix_dedup._keep_characters("aéb", [2, 3]) == "aéb" and suffix_dedup._keep_characters("aéb", [1, 3]) == "ab"
+    assert suffix_dedup._whole_characters("aéb".encode(), [2, 3]) == [] and suffix_dedup._whole_characters("aéb".encode(), [1, 3]) == [1, 3]
+    texts = suffix_dedup.suffix_dedup(docs, as_text=True).select("doc_id", "text", "kept", "removed").collect()
+    assert all((r.kept is None) == (r.text is None) and (r.removed or r.kept == r.text) for r in texts) and sum(len(r.kept or "") < len(r.text or "") for r in texts) > 5
 
 
 def test_deep_shallow_sort():
