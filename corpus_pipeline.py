@@ -15,38 +15,51 @@ from lectern.llm.queries import TOKENIZER_RANKS
 NEAR_PERCENT = 80  # op8_near_dedup has its own, higher limit
 
 
-def _columns(found: DataFrame, docs: DataFrame) -> DataFrame:
-    return found.select(*[found[f"`{c}`"] for c in docs.columns])
+def _columns(found: DataFrame, docs: DataFrame, *outputs: str) -> DataFrame:
+    """found without the operator's columns, as docs has them (an operator puts its own at the end)."""
+    names = [f"c{i}" for i in range(len(found.columns))]
+    kept = names[: len(names) - len(outputs)]
+    assert found.columns[: len(kept)] == docs.columns, "a column of documents has an operator's name"
+    return found.toDF(*names).select(*kept).toDF(*docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    return _columns(quality_rules.quality_rules(docs).where("kept"), docs)
+    """Documents that the quality rules reject go, null and empty texts among them. Repeated rows are judged alike; ids may be null."""
+    return _columns(quality_rules.quality_rules(docs).where("kept"), docs, *quality_rules.OUTPUT)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more) stays, that with the least doc_id."""
-    return _columns(near_dedup.near_groups(docs, percent=NEAR_PERCENT).where("kept"), docs)
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more) stays, that with the least doc_id.
+
+    Rows that share a doc_id are one document and stay or go together; a null doc_id is the least. Documents without words stay.
+    """
+    return _columns(near_dedup.near_groups(docs, percent=NEAR_PERCENT).where("kept"), docs, *near_dedup.OUTPUT)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of passages that an earlier document has go; a character goes if all its bytes do. n_chars is counted anew.
+    """Bytes of passages that an earlier document has go; a character goes if all its bytes do. n_chars (if there is one) is counted anew.
 
-    Documents of which nothing is left go.
+    Documents of which nothing is left go; those that were null or empty before stay. Rows of one doc_id take nothing from each other.
     """
-    found = suffix_dedup.suffix_dedup(docs)
-    cleaned = found.withColumn("text", F.when(F.size("removed") > 0, suffix_dedup.without_spans("text", "removed")).otherwise(F.col("text")))
-    cleaned = cleaned.withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return _columns(cleaned.where((F.size("removed") == 0) | (F.length("text") > 0)), docs)
+    found = suffix_dedup.suffix_dedup(docs, as_text=True)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = common.place(docs.columns, "text")
+    found = found.toDF(*names, *suffix_dedup.OUTPUT).where((F.size("removed") == 0) | (F.length("kept") > 0))
+    new = {i: F.col(n) for i, n in enumerate(names)} | {at: F.col("kept")}
+    if "n_chars" in docs.columns:
+        i = docs.columns.index("n_chars")
+        new[i] = F.when(F.size("removed") > 0, F.length("kept")).otherwise(F.col(names[i])).cast(docs.schema[i].dataType)
+    return found.select(*[new[i].alias(n) for i, n in enumerate(names)]).toDF(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
-    return _columns(decontamination.find_contamination(docs, common.table(spark, sf_dir, "benchmark")).where(F.size("hit_words") == 0), docs)
+    """Documents that hold a benchmark passage go; without benchmark items all stay."""
+    found = decontamination.find_contamination(docs, common.table(spark, sf_dir, "benchmark"))
+    return _columns(found.where(F.size("hit_words") == 0), docs, *decontamination.OUTPUT)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, number of tokens, and digests of the ids and of what they decode to."""
+    """doc_id, number of tokens, and digests of the ids and of what they decode to; one row for each row, null texts being empty."""
     import public_tokenizers
 
     return bpe.token_digests(docs, public_tokenizers.path(TOKENIZER_RANKS), public_tokenizers.PATTERN)
