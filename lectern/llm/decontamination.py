@@ -2,16 +2,20 @@
 
 A pattern is a window of `width` consecutive item words (an item with fewer words is one pattern of its
 own length). Patterns of one length m form a table: `shift[block]` says how far a search window may move
-when its last two words hash to block, and where the shift is 0 the block's bucket lists the patterns
-that end in it. The search runs over many stretches of text at once, each with its own place: stretches
+when its last two words hash to block, and where the shift is 0 the block's bucket, kept by the hash of the whole
+window, lists the patterns that end in it. The search runs over many stretches of text at once, each with its own place: stretches
 whose shift is positive jump, the others test their bucket's patterns and move by one. A found pattern is
 confirmed by comparing the words' bytes.
 
-Benchmarks are cut into groups of at most `GROUP_BYTES` of item text, and each group's tables are
-broadcast; a larger benchmark becomes several scans in a row over the same rows, without a shuffle.
+Tables are flat arrays of about 10 bytes for each byte of item text. Items are cut into pieces of `PIECE_WORDS` windows
+in tasks, and the pieces into groups of at most `GROUP_BYTES` of text; one group's tables are broadcast at a time.
+A larger benchmark becomes several scans in a row; between scans the rows are a written table, so that no process holds
+two groups' tables.
 
 Defined results: null texts have no words; items without words have no windows; items with a null id count
-under the empty string; repeated items with one id count once; repeated documents each give a row.
+under the empty string; repeated items with one id count once; repeated documents each give a row; without documents there are no
+rows, without items no hits. Texts of any length are searched whole, in memory of about 50 bytes for each of theirs.
+Other columns are passed through, whatever their names; the operator's own names are replaced.
 """
 
 from __future__ import annotations
@@ -24,29 +28,54 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
 from . import kernel as K
 
+OUTPUT = ("n_words", "hit_words", "items")
 WIDTH = 10
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
+PIECE_WORDS = 20_000
 STRETCH = 96
 _SHIFT_BITS = 18
 
 
 class PatternTable:
-    """Shift table and suffix buckets of all patterns of m words."""
+    """Shift table and suffix buckets of all windows of m words."""
 
-    def __init__(self, m: int, patterns: dict[bytes, set[str]], hashes: np.ndarray):
-        """hashes: the word hashes, one row for each pattern (in the order of patterns)."""
-        self.m, self.block = m, min(2, m)
-        self.texts, self.items = list(patterns), [sorted(x) for x in patterns.values()]
+    def __init__(self, m: int, words: K.Words, starts: np.ndarray, items: np.ndarray, names: list[str]):
+        """starts: the first word of each window; items: the number of its item among names."""
+        self.m, self.block, self.names = m, min(2, m), names
+        hashes = [words.hash[starts + k] for k in range(m)]
         far = m - self.block + 1
         self.shift = np.full(1 << _SHIFT_BITS, min(far, 255), dtype=np.uint8)
-        for at in range(m - self.block + 1):
-            key = self.keys(hashes[:, at + self.block - 1], hashes[:, at])
+        for at in range(far):
+            key = self.keys(hashes[at + self.block - 1], hashes[at])
             np.minimum.at(self.shift, key, min(m - self.block - at, 255))
-        whole = K.window_hash(K.prefix_sums(hashes.reshape(-1)), m)[:: m] if len(hashes) else np.zeros(0, np.uint64)
-        order = np.argsort(whole, kind="stable")
-        self.whole, self.order = whole[order], order
+        # Equal windows are one pattern: by two hashes of 64 bits.
+        whole = _windows(words.hash, starts, m)
+        second = _windows(K.mix(words.hash ^ K.U64(0x9FB21C651E98DF25)), starts, m)
+        order = np.lexsort((items, second, whole))
+        whole, second, items, starts = whole[order], second[order], items[order], starts[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (whole[1:] != whole[:-1]) | (second[1:] != second[:-1])
+        again = ~new
+        again[1:] &= items[1:] == items[:-1]
+        self.whole, first = whole[new], starts[new]
+        pattern = np.cumsum(new) - 1
+        self.items = items[~again].astype(np.int32)
+        self.ptr = np.searchsorted(pattern[~again], np.arange(len(first) + 1))
+        # The patterns' words, each followed by a space.
+        at = (first[:, None] + np.arange(m)).reshape(-1)
+        size = (words.end - words.start)[at] + 1
+        ends = np.cumsum(size)
+        inside = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size)
+        self.text = words.buf[np.minimum(np.repeat(words.start[at], size) + inside, len(words.buf) - 1)]
+        if len(ends):
+            self.text[ends - 1] = 32
+        self.text_ptr = np.concatenate(([0], ends[m - 1 :: m])).astype(np.int64)
+
+    def bytes_of(self, pattern: int) -> bytes:
+        return self.text[self.text_ptr[pattern] : self.text_ptr[pattern + 1]].tobytes()
 
     def keys(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
         h = last if self.block == 1 else last ^ (before * K.U64(0x9E3779B97F4A7C15))
@@ -76,7 +105,7 @@ class PatternTable:
                 place = np.searchsorted(self.whole, window)
                 hit = (place < len(self.whole)) & (self.whole[np.minimum(place, len(self.whole) - 1)] == window)
                 starts.append(first[hit])
-                found.append(self.order[place[hit]])
+                found.append(place[hit])
                 skip[stop] = 1
             at = at + skip
             go = at < end
@@ -84,64 +113,79 @@ class PatternTable:
         if not starts:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         s, p = np.concatenate(starts), np.concatenate(found)
-        same = np.fromiter((b" ".join(words.word(j) for j in range(i, i + m)) == self.texts[q] for i, q in zip(s.tolist(), p.tolist())), bool, len(s))
+        same = np.fromiter((b"".join(words.word(j) + b" " for j in range(i, i + m)) == self.bytes_of(q) for i, q in zip(s.tolist(), p.tolist())), bool, len(s))
         return s[same], p[same]
 
 
+def _windows(hashes: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
+    sums = K.prefix_sums(hashes)
+    return K.mix((sums[starts + m] - sums[starts]) * K.powers(K._BASE_INV, len(sums))[starts])
+
+
 def pattern_tables(ids: list, texts: list, width: int = WIDTH) -> list[PatternTable]:
     """One table for each pattern length among the items."""
     words = K.Words(pa.array(texts, pa.large_string()), K.ALNUM, lower=True)
-    by_length: dict[int, dict[bytes, set[str]]] = defaultdict(dict)
-    rows: dict[int, list[np.ndarray]] = defaultdict(list)
-    for k, item in enumerate(ids):
-        a, b = int(words.ptr[k]), int(words.ptr[k + 1])
-        m = min(width, b - a)
-        for i in range(a, b - m + 1) if m else ():
-            key = b" ".join(words.word(j) for j in range(i, i + m))
-            if key not in by_length[m]:
-                by_length[m][key] = set()
-                rows[m].append(words.hash[i : i + m])
-            by_length[m][key].add("" if item is None else str(item))
-    return [PatternTable(m, found, np.stack(rows[m])) for m, found in sorted(by_length.items())]
-
-
-def benchmark_groups(benchmark: DataFrame, item_id: str, text: str, limit: int) -> list[tuple[list, list]]:
-    """The items in groups of at most limit bytes of text (an item is never split)."""
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
-    groups = max(1, -(-int(size) // limit))
-    items = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t"))
-    out = []
-    for g in range(groups):
-        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(groups)) == g) if groups > 1 else items
-        got = part.collect()  # at most about limit bytes
-        out.append(([r["i"] for r in got], [r["t"] for r in got]))
-    return out
+    names = ["" if i is None else str(i) for i in ids]
+    length = np.minimum(words.counts, width)
+    reach = np.where(length > 0, words.counts - length + 1, 0)
+    item = np.repeat(np.arange(len(ids)), reach)
+    starts = words.ptr[:-1][item] + np.arange(len(item)) - np.repeat(np.cumsum(reach) - reach, reach)
+    return [PatternTable(int(m), words, starts[length[item] == m], item[length[item] == m], names) for m in np.unique(length[length > 0])]
 
 
+def pieces(benchmark: DataFrame, item_id: str, text: str, width: int) -> DataFrame:
+    """i, t: the items cut into pieces of at most PIECE_WORDS windows, so that each window stands in one piece."""
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WIDTH, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """docs with n_words, `hit_words` (the first and last word of each hit run, flat) and `items` (sorted ids as strings)."""
-    spark = docs.sparkSession
-    keep = [c for c in docs.columns if c not in ("n_words", "hit_words", "items")]
-    out = docs.select(*[docs[f"`{c}`"] for c in keep]).withColumns({"n_words": F.lit(0).cast("long"), "hit_words": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
-    for ids, texts in benchmark_groups(benchmark, item_id, item_text, group_bytes):
-        shared = spark.sparkContext.broadcast(pickle.dumps(pattern_tables(ids, texts, width)))
-        out = out.mapInArrow(_scanner(shared, text), out.schema)
-    return out
+    def cut(batches):
+        for whole in batches:
+            for batch in K.slices(whole, "t"):
+                w = K.Words(batch["t"], K.ALNUM, lower=True)
+                ids, out = [], []
+                for d, i in enumerate(batch["i"].to_pylist()):
+                    a, b = int(w.ptr[d]), int(w.ptr[d + 1])
+                    for at in range(a, max(b - width + 1, a + 1) if b > a else a, PIECE_WORDS):
+                        to = min(b, at + PIECE_WORDS + width - 1)
+                        ids.append(i)
+                        out.append(w.buf[w.start[at] : w.end[to - 1]].tobytes().decode())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.string())], names=["i", "t"])
 
+    items = common.Columns(benchmark, i=item_id, t=text).only()
+    return items.select(F.col("i").cast("string").alias("i"), "t").mapInArrow(cut, "i string, t string")
 
-def _scanner(shared, text: str):
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WIDTH, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """docs with n_words, `hit_words` (the first and last word of each hit run, flat) and `items` (sorted ids as strings)."""
+    c = common.Columns(docs, OUTPUT, text=text)
+    out = c.frame.withColumns({"n_words": F.lit(0).cast("long"), "hit_words": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
+    items = common.written(pieces(benchmark, item_id, item_text, width), "patterns")
+    size = items.agg(F.coalesce(F.sum(F.octet_length("t") + F.octet_length(F.coalesce("i", F.lit("")))), F.lit(0)).alias("n")).first()["n"]
+    groups = max(1, -(-int(size) // group_bytes))
+    for g in range(groups):
+        # At most about group_bytes: a group is dealt by hash, and a piece is small.
+        got = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(groups)) == g).toArrow()
+        shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(pattern_tables(got["i"].to_pylist(), got["t"].to_pylist(), width)))
+        before, out = out, out.mapInArrow(_scanner(shared), out.schema)
+        if g < groups - 1:
+            out = common.written(out, "scanned")
+            if g:
+                common.drop_written(before)
+    common.drop_written(items)
+    return c.result(out)
+
+
+def _scanner(shared):
     def run(batches):
         tables = pickle.loads(shared.value)
         for whole in batches:
-            for batch in K.slices(whole, text):
-                yield _scan(batch, tables, text)
+            for batch in K.slices(whole, "text"):
+                yield _scan(batch, tables)
+            K.release()
 
     return run
 
 
-def _scan(batch: pa.RecordBatch, tables: list[PatternTable], text: str) -> pa.RecordBatch:
-    words = K.Words(batch[text], K.ALNUM, lower=True)
+def _scan(batch: pa.RecordBatch, tables: list[PatternTable]) -> pa.RecordBatch:
+    words = K.Words(batch["text"], K.ALNUM, lower=True)
     n, docs = len(words.start), batch.num_rows
     step = np.zeros(n + 1, dtype=np.int32)
     owner = words.owner()
@@ -157,7 +201,7 @@ def _scan(batch: pa.RecordBatch, tables: list[PatternTable], text: str) -> pa.Re
         np.add.at(step, start, 1)
         np.add.at(step, start + t.m, -1)
         for d, p in set(zip(owner[start].tolist(), pattern.tolist())):
-            items[d].update(t.items[p])
+            items[d].update(t.names[k] for k in t.items[t.ptr[p] : t.ptr[p + 1]].tolist())
     hit = np.cumsum(step[:-1]) > 0
     edge = np.zeros(n + 2, dtype=np.int8)
     edge[1:-1] = hit
@@ -177,7 +221,7 @@ def _scan(batch: pa.RecordBatch, tables: list[PatternTable], text: str) -> pa.Re
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of each document."""
-    found = find_contamination(docs.select(F.col(doc_id).alias("doc_id"), F.col(options.pop("text", "text")).alias("text")), benchmark, **options)
+    found = find_contamination(common.Columns(docs, doc_id=doc_id, text=options.pop("text", "text")).only(), benchmark, **options)
     spans = F.sequence(F.lit(0), F.size("hit_words") - 1, F.lit(2))
     n_hit = F.when(F.size("hit_words") > 0, F.aggregate(spans, F.lit(0).cast("long"), lambda a, i: a + F.get("hit_words", i + 1) - F.get("hit_words", i) + 1)).otherwise(F.lit(0))
     return found.select(
@@ -188,5 +232,3 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "d
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("hit_words") > 0).alias("contaminated"),
     )
-
-
