@@ -160,14 +160,23 @@ class _Package:
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """page_id, url, html, payload_bytes, payload_digest and refers_to (null for responses)."""
+    """page_id, url, html, payload_bytes, payload_digest and refers_to (null for responses).
+
+    Which record a digest's others refer to is found from ids and digests alone. Pages meet the result by digest and page_id, so
+    that the pages of a frequent payload are spread.
+    """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.withColumn("payload_bytes", F.octet_length(payload).cast("long")).withColumn("payload_digest", F.sha1(payload))
-    copies = rows.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("_kept"), F.count(F.lit(1)).alias("_n"))
-    copies = copies.where("_n > 1").drop("_n")
-    joined = rows.join(copies, ["payload_digest", "payload_bytes"], "left")
-    other = F.col("_kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_kept"))
-    return joined.select("page_id", "url", "html", "payload_bytes", "payload_digest", F.when(other, F.col("_kept")).alias("refers_to"))
+    rows = common.Columns(pages, page_id="page_id", url="url", html="html").only()
+    rows = rows.withColumn("payload_bytes", F.octet_length(payload).cast("long")).withColumn("payload_digest", F.sha1(payload))
+    same = ["payload_digest", "payload_bytes"]
+    ids = rows.where(F.col("payload_bytes") >= min_bytes).select("page_id", *same)
+    copies = ids.groupBy(*same).agg(F.max("page_id").alias("_kept"), F.count(F.lit(1)).alias("_n")).where("_n > 1 AND _kept IS NOT NULL").drop("_n")
+    others = ids.join(copies, same).where(~F.col("page_id").eqNullSafe(F.col("_kept")))
+    others = others.groupBy(F.col("page_id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in same]).agg(F.max("_kept").alias("refers_to"))
+    on = F.col("page_id").eqNullSafe(F.col("_id"))
+    for c in same:
+        on = on & (F.col(c) == F.col(f"_{c}"))
+    return rows.join(others, on, "left").select("page_id", "url", "html", *same[::-1], "refers_to")
 
 
 def write_packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
