@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
 from . import kernel as K
 from .sampling import labelled_sample
 
@@ -217,16 +218,16 @@ def train(sample: DataFrame, **options) -> Additive:
 
 def score(docs: DataFrame, model: Additive, *, text: str = "text", out: str = "score") -> DataFrame:
     """docs with a score from 0 to 1."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, c = docs.sparkSession.sparkContext.broadcast(model), common.Columns(docs, (out,), text=text)
 
     def run(batches):
         m = shared.value
         for whole in batches:
-            for batch in K.slices(whole, text):
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.probability(measure(batch[text])))], names=[*batch.schema.names, out])
+            for batch in K.slices(whole, "text"):
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(m.probability(measure(batch["text"])))], names=[*batch.schema.names, out])
+            K.release()
 
-    docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c != out])
-    return docs.mapInArrow(run, docs.withColumn(out, F.lit(0.0)).schema)
+    return c.result(c.frame.mapInArrow(run, c.frame.withColumn(out, F.lit(0.0)).schema))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "quality", sample: int = SAMPLE, **options) -> Additive:

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -121,8 +123,8 @@ def verdict(rules=RULES) -> Column:
 
 def quality_rules(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The columns of docs (those with the operator's own names replaced), the counts, base_failed and kept."""
+    c = common.Columns(docs, OUTPUT, text=text)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    out = measured(docs, text).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    out = measured(c.frame).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & verdict(rules))
     # One row from one struct: a later filter on kept stays above it, and is not rewritten in terms of the text.
-    own = F.inline(F.array(F.struct(*OUTPUT)))
-    return out.select(*[out[f"`{c}`"] for c in docs.columns if c not in OUTPUT], own)
+    return c.result(out.select(*c.frame.columns, F.inline(F.array(F.struct(*OUTPUT)))))

@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import blocks as B
+from . import common
 from . import kernel as K
 
+OUTPUT = ("n_words", "removed", "kept_text")
 WINDOW = 20
 #: A perfect difference cover: every number below 13 is a difference of two of these, modulo 13.
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -91,17 +93,17 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """docs with n_words, removed (first and last word of each removed run, flat) and kept_text (kept words joined by a space)."""
     if window < PERIOD:
         raise ValueError(f"a window has {PERIOD} words at least")
-    n_blocks, n_buckets = B.counts(docs, text)
-    keep = [c for c in docs.columns if c not in ("n_words", "removed", "kept_text", B.BLOCK)]
-    base = B.with_blocks(docs.select(*[docs[f"`{c}`"] for c in keep]), doc_id, n_blocks)
+    c = common.Columns(docs, OUTPUT, doc_id=doc_id, text=text)
+    n_blocks, n_buckets = B.counts(c.frame, "text")
+    keep, base = c.frame.columns, B.with_blocks(c.frame, "doc_id", n_blocks)
 
     def say_anchors(block, table):
-        keys, _, _, _ = _Block(table, doc_id, text, window).keys()
+        keys, _, _, _ = _Block(table, "doc_id", "text", window).keys()
         for bucket, a, b in B.cut(keys, n_buckets):
             yield bucket, B.pack(keys[a:b], ANCHOR_BYTES)
 
     def say_windows(block, table, heard):
-        first, second, _ = _Block(table, doc_id, text, window).windows(heard.get(0, []))
+        first, second, _ = _Block(table, "doc_id", "text", window).windows(heard.get(0, []))
         keys, index = np.unique(first, return_index=True)
         check = (second[index] >> K.U64(32)).astype("<u4")
         for bucket, a, b in B.cut(keys, n_buckets):
@@ -122,7 +124,7 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             at += n
 
     def remove(block, table, heard):
-        b = _Block(table, doc_id, text, window)
+        b = _Block(table, "doc_id", "text", window)
         first, _, places = b.windows(heard.get(0, []))
         keys, index, inverse = np.unique(first, return_index=True, return_inverse=True)
         gone = np.ones(len(first), bool)
@@ -160,7 +162,7 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     anchors = B.answer(B.send(base, say_anchors), B.reply_repeated(ANCHOR_BYTES), 0)
     windows = B.answer(B.send_again(base, anchors, say_windows), reply_earlier, 1)
     schema = T.StructType([*base.drop(B.BLOCK).schema.fields, T.StructField("n_words", T.LongType()), T.StructField("removed", T.ArrayType(T.IntegerType())), T.StructField("kept_text", T.StringType())])
-    return B.finish(base, anchors.unionByName(windows), remove, schema)
+    return c.result(B.finish(base, anchors.unionByName(windows), remove, schema))
 
 
 def n_removed(spans: str = "removed"):
