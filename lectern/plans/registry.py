@@ -184,21 +184,21 @@ def journal_union_dedup(spark, sf_dir):
     return rows.union_first(parts, ["day", "event_type", "user_id"], [F.col("ts"), F.col("event_id")]).select("event_id", "day", "event_type", "user_id")
 
 
-@query("""WITH f AS (SELECT event_id AS ord, ts AS f_start, ts + INTERVAL 20 MINUTE AS f_end, 'fixed-' || user_id AS fixed FROM events WHERE event_type = 'signup' AND event_id % 5 = 0),
+@query("""WITH f AS (SELECT event_id AS ord, ts AS f_start, ts + INTERVAL 20 MINUTE AS f_end, 'fixed-' || user_id AS fixed FROM events WHERE event_type = 'signup'),
 j AS (SELECT e.event_id, min_by(fixed, ord) AS fixed FROM events e JOIN f ON e.ts >= f_start AND e.ts < f_end GROUP BY e.event_id)
 SELECT e.event_id, e.user_id, j.fixed FROM events e LEFT JOIN j USING (event_id)""")
 def interval_fix(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
-    f = e.where((F.col("event_type") == "signup") & (F.col("event_id") % 5 == 0))
+    f = e.where(F.col("event_type") == "signup")
     f = f.select(F.col("event_id").alias("ord"), F.col("ts").alias("f_start"), (F.col("ts") + F.expr("INTERVAL 20 MINUTES")).alias("f_end"), F.concat(F.lit("fixed-"), F.col("user_id")).alias("fixed"))
     return sequence.first_interval(e, f, "ts", "f_start", "f_end", "ord", ["fixed"], "event_id").select("event_id", "user_id", "fixed")
 
 
-@query("""WITH f AS (SELECT event_id AS ord, ts AS f_start, ts + INTERVAL 20 MINUTE AS f_end FROM events WHERE event_type = 'signup' AND event_id % 5 = 0)
+@query("""WITH f AS (SELECT event_id AS ord, ts AS f_start, ts + INTERVAL 20 MINUTE AS f_end FROM events WHERE event_type = 'signup')
 SELECT ord, count(*) AS events, count(DISTINCT user_id) AS users FROM events e JOIN f ON e.ts >= f_start AND e.ts < f_end GROUP BY ord""")
 def changes_by_fix(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
-    f = e.where((F.col("event_type") == "signup") & (F.col("event_id") % 5 == 0)).select(F.col("event_id").alias("ord"), F.col("ts").alias("f_start"))
+    f = e.where(F.col("event_type") == "signup").select(F.col("event_id").alias("ord"), F.col("ts").alias("f_start"))
     bucket = lambda c: F.floor(F.unix_timestamp(c) / 1200)
     f = f.withColumn("b", F.explode(F.sequence(bucket("f_start"), bucket("f_start") + 1)))
     inside = e.withColumn("b", bucket("ts")).join(f, "b").where("ts >= f_start AND ts < f_start + INTERVAL 20 MINUTES")
@@ -332,12 +332,12 @@ def codebook_consistency(spark, sf_dir):
 
 
 @query("""WITH i AS (SELECT 'M_' || doc_id AS id_speech, doc_id AS pos, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'model-' || quality END AS model FROM labels),
-e AS (SELECT 'M_' || doc_id AS id_speech FROM documents WHERE doc_id % 4 = 0)
+e AS (SELECT 'M_' || doc_id AS id_speech FROM documents)
 SELECT coalesce(a.id_speech, b.id_speech) AS id_speech, coalesce(x, 0) AS indicators, coalesce(y, 0) AS emerging, coalesce(m, '') AS model FROM
 (SELECT id_speech, count(*) AS x, min_by(model, pos) FILTER (model <> '') AS m FROM i GROUP BY 1) a FULL JOIN (SELECT id_speech, count(*) AS y FROM e GROUP BY 1) b ON a.id_speech = b.id_speech""")
 def coding_status(spark, sf_dir):
     i = table(spark, sf_dir, "labels").select(F.concat(F.lit("M_"), "doc_id").alias("id_speech"), F.col("doc_id").alias("pos"), F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.concat(F.lit("model-"), "quality")).alias("model"))
-    e = table(spark, sf_dir, "documents").where("doc_id % 4 = 0").select(F.concat(F.lit("M_"), "doc_id").alias("id_speech"))
+    e = table(spark, sf_dir, "documents").select(F.concat(F.lit("M_"), "doc_id").alias("id_speech"))
     return codebook.status(i, e)
 
 
@@ -370,14 +370,16 @@ def pending_antijoin(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_anti")
 
 
-@query("""WITH o AS (SELECT unnest(list_filter([lower(url), 'p' || page_id, CASE WHEN page_id % 2 = 0 THEN '' ELSE 'q' || page_id // 10 END], lambda x: x IS NOT NULL AND x <> '')) AS a FROM pages WHERE page_id % 7 = 0),
-n AS (SELECT page_id, unnest(list_filter([lower(url), 'p' || page_id, CASE WHEN page_id % 2 = 0 THEN '' ELSE 'q' || page_id // 10 END], lambda x: x IS NOT NULL AND x <> '')) AS a FROM pages)
-SELECT page_id FROM pages WHERE page_id NOT IN (SELECT page_id FROM n WHERE a IN (SELECT a FROM o))""")
+@query("""WITH o AS (SELECT 'd' || doc_id AS a FROM labels UNION SELECT 'q' || item_id FROM benchmark),
+n AS (SELECT doc_id, unnest(list_filter(['d' || doc_id, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'q' || doc_id // 10 END, lower(source)], lambda x: x IS NOT NULL AND x <> '')) AS a FROM documents)
+SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM n WHERE a IN (SELECT a FROM o))""")
 def alias_antijoin(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select("page_id", "url")
-    ten = F.floor(F.col("page_id") / 10).cast("long")
-    aliases = [F.lower("url"), F.concat(F.lit("p"), F.col("page_id")), F.when(F.col("page_id") % 2 == 0, "").otherwise(F.concat(F.lit("q"), ten))]
-    return rows.append_missing_aliases(p.where("page_id % 7 = 0"), p, aliases, "page_id").select("page_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", "source")
+    ten = F.floor(F.col("doc_id") / 10).cast("long")
+    aliases = [F.concat(F.lit("d"), "doc_id"), F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.concat(F.lit("q"), ten)), F.lower("source")]
+    old = table(spark, sf_dir, "labels").select("doc_id", F.lit("").alias("source"))
+    items = table(spark, sf_dir, "benchmark").select((F.col("item_id") * 10 + 1).alias("doc_id"), F.lit("").alias("source"))
+    return rows.append_missing_aliases(old.unionByName(items), d, aliases, "doc_id").select("doc_id")
 
 
 @query("""WITH k AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE o_custkey || '|' || o_orderpriority END AS key FROM orders),
@@ -617,3 +619,6 @@ def day_documents(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("session"), F.date_format("o_orderdate", "yyyy-MM").alias("day"), F.col("o_orderkey").alias("id"))
     docs = sinks.day_documents(o, ["session", "day"], "items").select(F.from_json("value", "session string, day string, items array<struct<id:bigint>>").alias("v")).select("v.*")
     return docs.groupBy("session").agg(F.count(F.lit(1)).alias("days"), F.sum(F.size("items")).alias("items"))
+
+
+from . import journals  # noqa: E402, F401  registers its queries here
