@@ -63,3 +63,9 @@ def keyword_hits(df: DataFrame, text: str, keywords: list[str], context: int, sp
     base = F.lit(None).cast("double") if window_start is None else window_start.cast("double")
     inside = F.lit(0.0) if spans is None else F.coalesce(segment_at(F.col(spans), F.col("start"))["start"], F.lit(0.0))
     return rows.withColumn("seconds", base + inside)
+
+
+def window_lines(segments: Column, window_start: Column) -> Column:
+    """The segments with times of the stream instead of the window's; none ends before it begins, empty ones go."""
+    shifted = F.transform(segments, lambda x: F.struct((x["start"] + window_start).cast("double").alias("start"), (F.greatest(x["end"], x["start"]) + window_start).cast("double").alias("end"), T.squeeze(x["text"]).alias("text")))
+    return F.filter(shifted, lambda x: x["text"] != "")

@@ -139,3 +139,17 @@ def cache_key(c) -> Column:
 def first_available(sources: dict[str, Column]) -> Column:
     """Name of the first source that is not null, in the given order."""
     return F.coalesce(*[F.when(v.isNotNull(), F.lit(k)) for k, v in sources.items()])
+
+
+#: Fixed value: seconds by which a line must reach beyond what is covered to count as new.
+COVER_SLACK = 0.3
+
+
+def covered_lines(lines: list, low: float, high: float, slack: float = COVER_SLACK) -> list[str]:
+    """Texts of the lines (start, end, text) that meet [low, high], without those that end no later than what is covered; the rule of sequence.covered_text."""
+    kept, covered = [], low
+    for start, end, text in sorted(x for x in lines if x[0] < high and x[1] > low and x[2]):
+        if not kept or end > covered + slack:
+            kept.append(text)
+            covered = max(covered, end)
+    return kept

@@ -27,12 +27,17 @@ def fixed_events(events: DataFrame, fixes: DataFrame, event_id: str, time: str =
     return out.withColumn("speaker", F.when(change, F.col("_name")).otherwise(F.col("speaker"))).drop("_name", "_title")
 
 
-def changes_by_fix(changes: DataFrame, fixes: DataFrame, time: str = "timestamp", width_seconds: int = 3600) -> DataFrame:
-    """position and number of changes that each fix covers; overlapping fixes all count them, fixes without any have 0."""
+def inside_fixes(events: DataFrame, fixes: DataFrame, time: str = "timestamp", width_seconds: int = 3600) -> DataFrame:
+    """events with the position of every fix that covers their time: a row for each such pair. Intervals meet events in time buckets."""
     bucket = lambda c: F.floor(F.unix_timestamp(c) / width_seconds)
-    f = fixes.select("position", "start", "end", F.explode(F.sequence(bucket("start"), bucket("end"))).alias("_bucket"))
-    inside = changes.select(F.col(time).alias("_time"), bucket(time).alias("_bucket")).join(f, "_bucket").where((F.col("_time") >= F.col("start")) & (F.col("_time") < F.col("end")))
-    n = inside.groupBy("position").agg(F.count(F.lit(1)).alias("_n"))
+    f = fixes.select("position", F.col("start").alias("_start"), F.col("end").alias("_end"), F.explode(F.sequence(bucket("start"), bucket("end"))).alias("_bucket"))
+    both = events.withColumn("_bucket", bucket(time)).join(f, "_bucket").where((F.col(time) >= F.col("_start")) & (F.col(time) < F.col("_end")))
+    return both.drop("_bucket", "_start", "_end")
+
+
+def changes_by_fix(changes: DataFrame, fixes: DataFrame, time: str = "timestamp") -> DataFrame:
+    """position and number of changes that each fix covers; overlapping fixes all count them, fixes without any have 0."""
+    n = inside_fixes(changes.select(time), fixes, time).groupBy("position").agg(F.count(F.lit(1)).alias("_n"))
     return fixes.join(n, "position", "left").select("position", F.coalesce("_n", F.lit(0)).alias("changes"))
 
 

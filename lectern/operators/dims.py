@@ -40,14 +40,34 @@ def overlap_share(a: Column, b: Column) -> Column:
     return F.when(n > 0, F.size(F.array_intersect(a, b)) / n).otherwise(0.0)
 
 
-def exact_or_contained(facts: DataFrame, fact_id: str, needle: str, roster: DataFrame, name: str, position: str, least: int = 8) -> DataFrame:
-    """fact_id and the roster position: an equal name, else (needles of enough characters) the first that contains the needle or lies in it.
+#: Length of the pieces by which texts that lie in others are found.
+GRAM = 8
+
+
+def contained(inner: DataFrame, inner_text: str, outer: DataFrame, outer_text: str) -> DataFrame:
+    """The distinct pairs (inner_text, outer_text) in which the outer text contains the inner one; empty texts are in none.
 
-    Equal names are joined by hash. The rest go against the broadcast roster, after a check of its size.
+    An inner text is looked up by the rarest of its pieces of GRAM characters (shorter texts as a whole) among the pieces of the
+    outer ones, so that a beginning that many share makes no pairs; what is found is confirmed.
     """
+    o = outer.select(outer_text).where(F.length(outer_text) > 0).distinct()
+    n = F.length(outer_text)
+    piece = lambda size: lambda i: F.substring(F.col(outer_text), i, F.lit(size))
+    every = [F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), piece(k))).otherwise(F.array().cast("array<string>")) for k in range(1, GRAM + 1)]
+    pieces = o.select(outer_text, F.explode(F.array_distinct(F.concat(*every))).alias("_piece"))
+    counts = pieces.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    m = F.length(inner_text)
+    own = F.when(m >= GRAM, F.transform(F.sequence(F.lit(1), m - GRAM + 1), lambda i: F.substring(F.col(inner_text), i, F.lit(GRAM)))).otherwise(F.array(inner_text))
+    keys = inner.select(inner_text).where(m > 0).distinct().select(inner_text, F.explode(F.array_distinct(own)).alias("_piece"))
+    rarest = keys.join(counts, "_piece", "left").groupBy(inner_text).agg(F.min_by("_piece", F.coalesce("_n", F.lit(0))).alias("_piece"))
+    return rarest.join(pieces, "_piece").where(F.col(outer_text).contains(F.col(inner_text))).select(inner_text, outer_text)
+
+
+def exact_or_contained(facts: DataFrame, fact_id: str, needle: str, roster: DataFrame, name: str, position: str, least: int = 8) -> DataFrame:
+    """fact_id and the roster position: an equal name, else (needles of enough characters) the first that contains the needle or lies in it."""
     equal = facts.join(roster, F.col(needle) == F.col(name)).groupBy(fact_id).agg(F.min(position).alias(position))
     rest = facts.join(equal, fact_id, "left_anti").where(F.length(needle) >= least)
     forms = rest.select(needle).distinct()
-    inside = forms.join(roster, F.col(name).contains(F.col(needle)) | F.col(needle).contains(F.col(name)))
-    found = inside.groupBy(needle).agg(F.min(position).alias(position))
+    pairs = contained(forms, needle, roster, name).unionByName(contained(roster, name, forms, needle)).distinct()
+    found = pairs.join(roster.groupBy(name).agg(F.min(position).alias(position)), name).groupBy(needle).agg(F.min(position).alias(position))
     return equal.unionByName(rest.join(found, needle).select(fact_id, position))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .dims import contained
 
 
 def first_seen(values: Column) -> Column:
@@ -29,19 +30,17 @@ def new_york_times(ts: Column, zones: tuple[str, ...] = ("America/New_York", "UT
 
 
 def select_saved(saved: DataFrame, wanted: DataFrame, name: str = "name", country: str = "country") -> DataFrame:
-    """wanted (wish) with what it selects: equal names, else names that contain it, else the country; state ok, ambiguous or missing.
-
-    saved is one session's list of speeches, a few hundred rows.
-    """
-    w = wanted.select("wish").distinct()
+    """wanted (wish) with what it selects: equal names, else names that contain it, else the country; state ok, ambiguous or missing."""
     fold = lambda c: F.trim(F.lower(c))
-    tiers = [fold(F.col(name)) == fold(F.col("wish")), (fold(F.col("wish")) != "") & fold(F.col(name)).contains(fold(F.col("wish"))), T.ascii_slug(country) == T.ascii_slug("wish")]
-    equal = w.join(saved, tiers[0]).withColumn("tier", F.lit(0))
+    w = wanted.select("wish").distinct().withColumn("_wish", fold(F.col("wish")))
+    s = saved.select(name, F.col(country).alias("_country"), fold(F.col(name)).alias("_name"))
+    equal = w.join(s, F.col("_name") == F.col("_wish"))
     rest = w.join(equal.select("wish").distinct(), "wish", "left_anti")
-    part = rest.join(saved, tiers[1]).withColumn("tier", F.lit(1))
+    part = rest.join(contained(rest, "_wish", s, "_name"), "_wish").join(s, "_name")
     rest = rest.join(part.select("wish").distinct(), "wish", "left_anti")
-    place = rest.join(saved, tiers[2]).withColumn("tier", F.lit(2))
-    hits = equal.unionByName(part).unionByName(place).groupBy("wish").agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("found"))
+    place = rest.join(s, T.ascii_slug("_country") == T.ascii_slug("wish"))
+    hits = equal.select("wish", name).unionByName(part.select("wish", name)).unionByName(place.select("wish", name))
+    hits = hits.groupBy("wish").agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("found"))
     state = F.when(F.col("n").isNull(), "missing").when(F.col("n") == 1, "ok").otherwise("ambiguous")
     return w.join(hits, "wish", "left").select("wish", state.alias("state"), F.when(F.col("n") == 1, F.col("found")).alias("found"))
 

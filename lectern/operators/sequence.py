@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import COVER_SLACK
 from .rows import join_totals
 
 
@@ -41,6 +42,20 @@ def first_interval(events: DataFrame, fixes: DataFrame, time: str, start: str, e
     return events.join(best, event_id, "left").select(*events.columns, *[F.col(f"_fix.{v}").alias(v) for v in values])
 
 
+def around(hits: DataFrame, lines: DataFrame, hit_time: str, time: str, before_seconds: int, after_seconds: int) -> DataFrame:
+    """Every line with the columns of each hit whose surroundings, from before to after it without the ends, hold the line's time.
+
+    A range join by buckets as wide as the surroundings: a hit stands in every bucket they touch (two or three), a line in one.
+    """
+    width = max(before_seconds + after_seconds, 1)
+    bucket = lambda t: F.floor(t / width)
+    at = F.unix_timestamp(hit_time)
+    h = hits.withColumn("_bucket", F.explode(F.sequence(bucket(at - before_seconds), bucket(at + after_seconds + 1))))
+    both = lines.withColumn("_bucket", bucket(F.unix_timestamp(time))).join(h, "_bucket").drop("_bucket")
+    span = lambda seconds: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
+    return both.where((F.col(time) > F.col(hit_time) - span(before_seconds)) & (F.col(time) < F.col(hit_time) + span(after_seconds)))
+
+
 def runs(df: DataFrame, keys: list[str], order: list, breaks: Column, name: str = "run") -> DataFrame:
     """Numbers runs from 0; a new one begins where breaks holds (it may use lag over the same window through `previous`)."""
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -77,7 +92,7 @@ def changed(column: str, keys: list[str], order: list) -> Column:
     return (F.col(column) != "") & ~F.col(column).eqNullSafe(previous(column, keys, order))
 
 
-def covered_text(lines: Column, low: Column, high: Column, slack: float = 0.3) -> Column:
+def covered_text(lines: Column, low: Column, high: Column, slack: float = COVER_SLACK) -> Column:
     """The text of lines (array of struct start, end, text) that meet [low, high], without repeats from overlapping windows.
 
     In order of (start, end) a line is left out if something is kept already and the line ends no later than what is covered plus slack.

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import cleaning as C
 from ..functions import text as T
-from ..operators import alerts, codebook, cooldown, dims, rollup, rows, sequence
+from ..operators import alerts, codebook, cooldown, corrections, dims, rollup, rows, sequence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -199,9 +200,8 @@ SELECT ord, count(*) AS events, count(DISTINCT user_id) AS users FROM events e J
 def changes_by_fix(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
     f = e.where(F.col("event_type") == "signup").select(F.col("event_id").alias("ord"), F.col("ts").alias("f_start"))
-    bucket = lambda c: F.floor(F.unix_timestamp(c) / 1200)
-    f = f.withColumn("b", F.explode(F.sequence(bucket("f_start"), bucket("f_start") + 1)))
-    inside = e.withColumn("b", bucket("ts")).join(f, "b").where("ts >= f_start AND ts < f_start + INTERVAL 20 MINUTES")
+    f = f.select(F.col("ord").alias("position"), F.col("f_start").alias("start"), (F.col("f_start") + F.expr("INTERVAL 20 MINUTES")).alias("end"))
+    inside = corrections.inside_fixes(e, f, "ts").withColumnRenamed("position", "ord")
     return inside.groupBy("ord").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("user_id").alias("users"))
 
 
@@ -217,9 +217,8 @@ def asof_cut(spark, sf_dir):
 WHERE h.event_type = 'error' GROUP BY h.event_id""")
 def context_range_join(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    bucket = lambda c: F.floor(F.unix_timestamp(c) / 1800)
-    h = e.where("event_type = 'error'").select(F.col("event_id").alias("hit"), F.col("ts").alias("at"), F.explode(F.sequence(bucket("ts") - 1, bucket("ts") + 1)).alias("b"))
-    inside = e.withColumn("b", bucket("ts")).join(h, "b").where("ts > at - INTERVAL 30 MINUTES AND ts < at + INTERVAL 10 MINUTES")
+    h = e.where("event_type = 'error'").select(F.col("event_id").alias("hit"), F.col("ts").alias("at"))
+    inside = sequence.around(h, e, "at", "ts", 1800, 600)
     return inside.groupBy(F.col("hit").alias("event_id")).agg(F.count(F.lit(1)).alias("lines"), F.min("event_id").alias("first_line"), F.max("event_id").alias("last_line"))
 
 
@@ -290,7 +289,7 @@ def _payload(spark, sf_dir) -> DataFrame:
     """Eight coded rows for a labelled document, with gaps, wrong codes and a second answer."""
     names = F.array(*[F.lit(n) for n in codebook.INDICATORS])
     l = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic", F.posexplode(names).alias("k", "indicator_name"))
-    code = F.when(F.col("indicator_name") == "future", F.when(F.col("quality") == 1, 5).otherwise(2)).otherwise((F.col("doc_id") + F.col("k") * F.col("quality")) % 4)
+    code = F.when(F.col("indicator_name") == codebook.FUTURE_NAME, F.when(F.col("quality") == 1, 5).otherwise(2)).otherwise((F.col("doc_id") + F.col("k") * F.col("quality")) % 4)
     code = F.when((F.col("doc_id") + F.col("k")) % 23 == 0, 9).otherwise(code)
     p = l.where((F.col("doc_id") * 3 + F.col("k")) % 17 != 0).select(F.concat(F.lit("M_"), "doc_id").alias("id_speech"), "indicator_name", code.cast("int").alias("code"), F.concat(F.lit("x"), "k").alias("extract"), (F.col("doc_id") * 16 + F.col("k")).alias("pos"), "doc_id", "k")
     again = p.where((F.col("doc_id") + F.col("k")) % 5 == 0).withColumn("code", F.lit(1)).withColumn("pos", F.col("pos") + 8)
@@ -298,14 +297,14 @@ def _payload(spark, sf_dir) -> DataFrame:
 
 
 _CODES = f"""WITH n AS (SELECT unnest({codebook.INDICATORS}) AS indicator_name, unnest(range(8)) AS k),
-l AS (SELECT doc_id, k, indicator_name, CASE WHEN (doc_id + k) % 23 = 0 THEN 9 WHEN indicator_name = 'future' THEN CASE WHEN quality = 1 THEN 5 ELSE 2 END ELSE (doc_id + k * quality) % 4 END::INTEGER AS code FROM labels, n WHERE (doc_id * 3 + k) % 17 <> 0),
+l AS (SELECT doc_id, k, indicator_name, CASE WHEN (doc_id + k) % 23 = 0 THEN 9 WHEN indicator_name = 'future_multilateralism_position' THEN CASE WHEN quality = 1 THEN 5 ELSE 2 END ELSE (doc_id + k * quality) % 4 END::INTEGER AS code FROM labels, n WHERE (doc_id * 3 + k) % 17 <> 0),
 c AS (SELECT 'M_' || doc_id AS id_speech, indicator_name, CASE WHEN (doc_id + k) % 5 = 0 THEN 1 ELSE code END AS code, 'x' || k AS extract, k FROM l),
 s AS (SELECT DISTINCT 'M_' || doc_id AS id_speech FROM labels),
-v AS (SELECT *, CASE WHEN indicator_name = 'future' THEN code IN (0, 5, 2, 6) ELSE code IN (0, 1, 2, 3) END AS ok FROM c),
+v AS (SELECT *, CASE WHEN indicator_name = 'future_multilateralism_position' THEN code IN (0, 5, 2, 6) ELSE code IN (0, 1, 2, 3) END AS ok FROM c),
 f AS (SELECT id_speech FROM v WHERE ok GROUP BY id_speech HAVING count(*) = 8),
 r AS (SELECT id_speech, indicator_name, code, CASE WHEN code = 0 THEN '' ELSE extract END AS extract FROM v JOIN f USING (id_speech)),
-a AS (SELECT id_speech, indicator_name, CASE WHEN reform = 1 AND indicator_name = 'future' AND code <> 6 THEN 6 ELSE code END AS code, extract, CASE WHEN reform = 1 AND indicator_name = 'future' AND code <> 6 THEN 'aligned with un_reform' ELSE '' END AS note
-  FROM (SELECT *, max(CASE WHEN indicator_name = 'un_reform' AND code = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY id_speech) AS reform FROM r))
+a AS (SELECT id_speech, indicator_name, CASE WHEN reform = 1 AND indicator_name = 'future_multilateralism_position' AND code <> 6 THEN 6 ELSE code END AS code, extract, CASE WHEN reform = 1 AND indicator_name = 'future_multilateralism_position' AND code <> 6 THEN 'aligned with un_reform' ELSE '' END AS note
+  FROM (SELECT *, max(CASE WHEN indicator_name = 'un_reform_position' AND code = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY id_speech) AS reform FROM r))
 """
 
 
@@ -323,10 +322,10 @@ def codebook_repair(spark, sf_dir):
     return codebook.aligned(codebook.complete_rows(_speech_ids(spark, sf_dir), codebook.last_codes(_payload(spark, sf_dir))))
 
 
-@query(_CODES + """, w AS (SELECT id_speech, max(code) FILTER (indicator_name = 'sg_gender') AS sg_gender, max(code) FILTER (indicator_name = 'sg') AS sg, max(code) FILTER (indicator_name = 'gender_equality') AS ge,
-max(code) FILTER (indicator_name = 'multilateral_leadership') AS ml, max(code) FILTER (indicator_name = 'leadership') AS le, max(code) FILTER (indicator_name = 'un_reform') AS re, max(code) FILTER (indicator_name = 'future') AS fu FROM r GROUP BY id_speech)
-SELECT id_speech, 'sg_gender without sg' AS message FROM w WHERE coalesce(sg_gender, 0) <> 0 AND coalesce(sg, 0) = 0 UNION ALL SELECT id_speech, 'sg_gender without gender_equality' FROM w WHERE coalesce(sg_gender, 0) <> 0 AND coalesce(ge, 0) = 0
-UNION ALL SELECT id_speech, 'multilateral_leadership without leadership' FROM w WHERE coalesce(ml, 0) <> 0 AND coalesce(le, 0) = 0 UNION ALL SELECT id_speech, 'un_reform with another future' FROM w WHERE re = 1 AND fu <> 6""")
+@query(_CODES + """, w AS (SELECT id_speech, max(code) FILTER (indicator_name = 'sg_selection_position_gender') AS sg_gender, max(code) FILTER (indicator_name = 'sg_selection_position') AS sg, max(code) FILTER (indicator_name = 'gender_equality_position') AS ge,
+max(code) FILTER (indicator_name = 'women_multilateral_leadership_position') AS ml, max(code) FILTER (indicator_name = 'women_leadership_position') AS le, max(code) FILTER (indicator_name = 'un_reform_position') AS re, max(code) FILTER (indicator_name = 'future_multilateralism_position') AS fu FROM r GROUP BY id_speech)
+SELECT id_speech, 'sg_selection_position_gender without sg_selection_position' AS message FROM w WHERE coalesce(sg_gender, 0) <> 0 AND coalesce(sg, 0) = 0 UNION ALL SELECT id_speech, 'sg_selection_position_gender without gender_equality_position' FROM w WHERE coalesce(sg_gender, 0) <> 0 AND coalesce(ge, 0) = 0
+UNION ALL SELECT id_speech, 'women_multilateral_leadership_position without women_leadership_position' FROM w WHERE coalesce(ml, 0) <> 0 AND coalesce(le, 0) = 0 UNION ALL SELECT id_speech, 'un_reform with another future' FROM w WHERE re = 1 AND fu <> 6""")
 def codebook_consistency(spark, sf_dir):
     return codebook.warnings(codebook.complete_rows(_speech_ids(spark, sf_dir), codebook.last_codes(_payload(spark, sf_dir))))
 
@@ -529,11 +528,12 @@ def html_strip(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.strip_tags("html").alias("text"))
 
 
-@query(r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="/([^"/?]+)', 1)) AS slug, unnest(range(len(regexp_extract_all(html, 'href="/([^"/?]+)', 1)))) AS pos FROM pages)
+@query(r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="/([^"?#/]+)(?:[?#][^"]*)?"', 1)) AS slug, unnest(range(len(regexp_extract_all(html, 'href="/([^"?#/]+)(?:[?#][^"]*)?"', 1)))) AS pos FROM pages)
 SELECT page_id, slug, min(pos) AS pos FROM a GROUP BY page_id, slug""")
 def archive_slugs(spark, sf_dir):
-    links = F.posexplode(F.regexp_extract_all("html", F.lit('href="/([^"/?]+)'), F.lit(1))).alias("pos", "slug")
-    return table(spark, sf_dir, "pages").select("page_id", links).groupBy("page_id", "slug").agg(F.min("pos").cast("long").alias("pos"))
+    from ..sources import pages
+
+    return pages.archive_slugs(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id", "").select("page_id", "slug", F.col("position").cast("long").alias("pos"))
 
 
 @query("SELECT doc_id, (length(text) + 3) // 4 AS tokens, left(sha256(text), 24) AS key, CASE WHEN length(text) > 120 THEN left(text, 117) || '...' ELSE text END AS clip, length(text) >= 200 AS long_enough FROM documents")
@@ -543,13 +543,26 @@ def text_projection(spark, sf_dir):
 
 # --- cleaning, metadata, messages --------------------------------------------------------------------------
 
-_LINES = r"list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\x{00A0}]+', ' ', 'g'))), lambda x: x = '' OR (NOT regexp_matches(x, '(?i)^(page \d+( of \d+)?|check against delivery|please check against delivery|\d+|[-–—_=*]{3,})$') AND NOT (length(regexp_replace(x, '\P{L}', '', 'g')) >= 12 AND length(x) < 120 AND 100 * length(regexp_replace(x, '\P{Lu}', '', 'g')) > 85 * length(regexp_replace(x, '\P{L}', '', 'g')))))"
+def _dropped(x: str) -> str:
+    rules = " OR ".join(f"regexp_matches({x}, '(?i){p}')" for p in [*C.LINE_RULES.values()])
+    letters, capitals = rf"length(regexp_replace({x}, '\P{{L}}', '', 'g'))", rf"length(regexp_replace({x}, '\P{{Lu}}', '', 'g'))"
+    slashes = f"(length({x}) - length(replace({x}, '/', '')))"
+    return rf"({rules} OR regexp_matches({x}, '{C.SPACED_LETTERS}') OR ({letters} >= 12 AND length({x}) < 120 AND 100 * {capitals} > 85 * {letters}) OR ({slashes} >= 8 AND len(regexp_extract_all({x}, '/\d+')) >= 6) OR ({slashes} >= 4 AND regexp_full_match({x}, '[\d/i\s]+')))"
+
+
+_LINES = r"list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(replace(x, chr(173), ''), '[ \t\x{00A0}\x{2009}\x{202F}]+', ' ', 'g'))), lambda x: x = '' OR NOT " + _dropped("x") + ")"
+_REFLOW = r"""list_reduce(list_filter(l, lambda x: x <> ''), lambda a, x: CASE WHEN NOT regexp_matches(x, '^(?:\d+\.\s|-+\s)') AND (regexp_matches(x, '^[\p{Ll},;:)\]—–-]') OR (NOT regexp_matches(a, '[.!?…؟۔]["''”’»)]*$') AND NOT (regexp_matches(a, '[,:]$') AND regexp_matches(x, '^\p{Lu}'))))
+THEN CASE WHEN regexp_matches(a, '(^|[^-])-$') THEN left(a, length(a) - 1) || x ELSE a || ' ' || x END ELSE a || chr(10) || chr(10) || x END)"""
+
+
+@query(rf"SELECT doc_id, sha256(regexp_replace(regexp_replace(coalesce({_REFLOW}, ''), ' +', ' ', 'g'), ' +([,.;:!?])', '\1', 'g')) AS digest FROM (SELECT doc_id, {_LINES} AS l FROM (SELECT doc_id, regexp_replace(text, '\r\n|\r', chr(10), 'g') AS t FROM documents))")
+def paragraphs(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", C.reflow(C.clean_lines("text")).alias("p"))
+    return d.select("doc_id", F.sha2("p", 256).alias("digest"))
 
 
 @query(rf"SELECT doc_id, len(l)::BIGINT AS lines, len(string_split(t, chr(10))) - len(l) AS dropped, sha256(array_to_string(l, chr(10))) AS digest FROM (SELECT doc_id, t, {_LINES} AS l FROM (SELECT doc_id, regexp_replace(text, '\r\n|\r', chr(10), 'g') AS t FROM documents))")
 def clean_lines(spark, sf_dir):
-    from ..functions import cleaning as C
-
     d = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "\r\n|\r", "\n").alias("text"), C.clean_lines("text").alias("l"))
     n = F.size("l").cast("long")
     return d.select("doc_id", n.alias("lines"), (F.size(F.split("text", "\n")) - n).cast("long").alias("dropped"), F.sha2(F.array_join("l", "\n"), 256).alias("digest"))
@@ -621,4 +634,4 @@ def day_documents(spark, sf_dir):
     return docs.groupBy("session").agg(F.count(F.lit(1)).alias("days"), F.sum(F.size("items")).alias("items"))
 
 
-from . import journals  # noqa: E402, F401  registers its queries here
+from . import journals, parsing  # noqa: E402, F401  register their queries here

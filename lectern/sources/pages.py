@@ -45,8 +45,9 @@ def speaker_pages(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def archive_slugs(pages: DataFrame, key: str, session: str, html: str = "html") -> DataFrame:
-    """key, position and slug of links into a session, without queries and deeper paths, each once in order."""
-    found = F.posexplode(F.regexp_extract_all(html, F.lit(rf'href="[^"]*/{re.escape(session)}/([^"?#/]+)(?:[?#][^"]*)?"'), F.lit(1))).alias("position", "slug")
+    """key, position and slug of links into a session (empty: into the site's root), without queries and deeper paths, each once in order."""
+    below = rf'[^"]*/{re.escape(session)}/' if session else "/"
+    found = F.posexplode(F.regexp_extract_all(html, F.lit(rf'href="{below}([^"?#/]+)(?:[?#][^"]*)?"'), F.lit(1))).alias("position", "slug")
     return keep_first(pages.select(key, found), [key, "slug"], [F.col("position")])
 
 

@@ -46,10 +46,10 @@ def merged_text(speeches: DataFrame, order: list[str]) -> DataFrame:
     return speeches.groupBy("session").agg(F.concat(F.array_join(F.transform(parts, lambda x: x["text"]), "\n\n"), F.lit("\n")).alias("value"))
 
 
-def speech_text(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Speech files with their header, one value for each row."""
+def speech_text(df: DataFrame, fields: list[str], keep: list[str] | None = None) -> DataFrame:
+    """Speech files with their header, one value for each row; keep: columns that stay beside it."""
     head = F.concat_ws("\n", *[F.concat(F.lit(f"{f}: "), F.coalesce(F.col(f).cast("string"), F.lit(""))) for f in fields])
-    return df.select(F.concat(F.lit("---\n"), head, F.lit("\n---\n\n"), F.col("text"), F.lit("\n")).alias("value"))
+    return df.select(*(keep or []), F.concat(F.lit("---\n"), head, F.lit("\n---\n\n"), F.col("text"), F.lit("\n")).alias("value"))
 
 
 def highlight_lines(logs: DataFrame, levels: list[str], markers: list[str]) -> DataFrame:
@@ -57,3 +57,8 @@ def highlight_lines(logs: DataFrame, levels: list[str], markers: list[str]) -> D
     for m in markers:
         marked = marked | F.col("message").contains(m)
     return logs.where(F.col("level").isin(levels) | marked)
+
+
+def write_lines(df: DataFrame, path: str, order: str, line: str) -> None:
+    """A small text file (a journal, a list of slugs or speakers) with its lines in order, in place of what was there."""
+    df.select(order, line).coalesce(1).sortWithinPartitions(order).select(F.col(line).alias("value")).write.mode("overwrite").text(path)

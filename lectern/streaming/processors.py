@@ -2,6 +2,9 @@
 
 Each is a processor over one key's rows in time order; its state is a few values or the lines that are still needed. Time is event
 time from the rows. The rule itself is a plain function of (state, rows), which replays of stored rows use as well.
+
+With event_time (a timestamp column) the stream gets a watermark, rows later than `late` are dropped, and a key that has been silent
+for `idle` seconds is closed: what it still holds is put out and its state goes. Without it state stays as long as the query.
 """
 
 from __future__ import annotations
@@ -13,32 +16,71 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from .speaker import SpeakerRules
+from ..functions.text import covered_lines
+from .speaker import SpeakerRules, restored
+
+LATE, IDLE_SECONDS = "10 minutes", 3600
+#: A gap in a stream from which a stored speaker is judged anew, as after a restart.
+RESTART_SECONDS = 600
 
 
 class _JsonState(StatefulProcessor):
-    """Keeps one JSON value for each key and gives the rows of step(key, state, rows) -> (state, rows)."""
+    """Keeps one JSON value for each key and gives the rows of step(key, state, rows) -> (state, rows).
+
+    close_key(key, state) gives the rows of a key that has gone silent.
+    """
 
     columns: list[str] = []
     order: list[str] = []
+    event_time: str | None = None
+    idle = IDLE_SECONDS
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("state", "value string")
 
     def step(self, key: tuple, state: dict, rows: list[dict]) -> tuple[dict, list[dict]]:
         raise NotImplementedError
 
+    def close_key(self, key: tuple, state: dict) -> list[dict]:
+        return []
+
+    def _read(self) -> dict:
+        return json.loads(self.state.get()[0]) if self.state.exists() else {}
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         got = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
-        state = json.loads(self.state.get()[0]) if self.state.exists() else {}
-        state, out = self.step(key, state, got.to_dict("records"))
+        kept = self._read()
+        timer = kept.pop("_timer", None)
+        state, out = self.step(key, kept, got.to_dict("records"))
+        if self.event_time:
+            until = int(got[self.event_time].max().timestamp() * 1000) + int(self.idle * 1000)
+            until = max(until, timer or 0, timerValues.getCurrentWatermarkInMs() + 1)
+            if until != timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(until)
+            state = state | {"_timer": until}
         self.state.update((json.dumps(state),))
         yield pd.DataFrame(out, columns=self.columns)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state = self._read()
+        state.pop("_timer", None)
+        self.state.clear()
+        yield pd.DataFrame(self.close_key(key, state), columns=self.columns)
+
     def close(self) -> None:
         pass
 
 
+def _run(stream: DataFrame, keys: list[str], processor: type[_JsonState], schema, event_time: str | None, idle: float, late: str) -> DataFrame:
+    processor.event_time, processor.idle = event_time, idle
+    if event_time:
+        stream = stream.withWatermark(event_time, late)
+    return stream.groupBy(*keys).transformWithStateInPandas(processor(), outputStructType=schema, outputMode="Append", timeMode="EventTime" if event_time else "None")
+
+
 def keep_spaced(state: dict, rows: list[dict], time: str, gap: int) -> tuple[dict, list[dict]]:
     """Rows at least gap after the last kept one; rows of one time are kept or left together once."""
     last, out = state.get("last"), []
@@ -49,8 +91,11 @@ def keep_spaced(state: dict, rows: list[dict], time: str, gap: int) -> tuple[dic
     return {"last": last}, out
 
 
-def stream_cooldown(stream: DataFrame, keys: list[str], time: str, cooldown: int) -> DataFrame:
-    """The rows that the cooldown of their key lets pass. time is a whole number; the first row is the least of its time."""
+def stream_cooldown(stream: DataFrame, keys: list[str], time: str, cooldown: int, *, event_time: str | None = None, idle: float | None = None, late: str = LATE) -> DataFrame:
+    """The rows that the cooldown of their key lets pass. time is a whole number; the first row is the least of its time.
+
+    A silent key may be forgotten once its cooldown is over, so idle should not be shorter than that.
+    """
     names = stream.columns
 
     class Cooldown(_JsonState):
@@ -59,12 +104,12 @@ def stream_cooldown(stream: DataFrame, keys: list[str], time: str, cooldown: int
         def step(self, key, state, rows):
             return keep_spaced(state, [{k: (int(v) if k == time else v) for k, v in r.items()} for r in rows], time, cooldown)
 
-    return stream.groupBy(*keys).transformWithStateInPandas(Cooldown(), outputStructType=stream.schema, outputMode="Append", timeMode="None")
+    return _run(stream, keys, Cooldown, stream.schema, event_time, max(cooldown, IDLE_SECONDS) if idle is None else idle, late)
 
 
-def stream_dedup(stream: DataFrame, keys: list[str], time: str, ttl: int) -> DataFrame:
+def stream_dedup(stream: DataFrame, keys: list[str], time: str, ttl: int, **options) -> DataFrame:
     """The first row of each key, and again once ttl has passed since the last kept one."""
-    return stream_cooldown(stream, keys, time, max(ttl, 1))
+    return stream_cooldown(stream, keys, time, max(ttl, 1), **options)
 
 
 def delayed_context(state: dict, rows: list[dict], before: float, after: float) -> tuple[dict, list[dict]]:
@@ -87,18 +132,18 @@ def delayed_context(state: dict, rows: list[dict], before: float, after: float)
     return {"lines": lines, "waiting": waiting}, out
 
 
-def passage(lines: list, low: float, high: float, slack: float = 0.3) -> str:
+def passage(lines: list, low: float, high: float) -> str:
     """Text of the lines that meet [low, high], without those that overlapping windows repeat."""
-    kept, covered = [], low
-    for start, end, text in sorted(x for x in lines if x[0] < high and x[1] > low and x[2]):
-        if not kept or end > covered + slack:
-            kept.append(text)
-            covered = max(covered, end)
-    return " ".join(kept)
+    return " ".join(covered_lines(lines, low, high))
 
 
-def stream_context(stream: DataFrame, key: str, before: float, after: float) -> DataFrame:
-    """stream: key, start, end, text and keywords (joined by |), in order of start."""
+def left_waiting(state: dict, before: float, after: float) -> list[dict]:
+    """(keyword, t, passage) of the hits that still wait, with what there is of their surroundings."""
+    return [{"keyword": k, "t": t, "passage": passage(state.get("lines", []), t - before, t + after)} for k, t in state.get("waiting", [])]
+
+
+def stream_context(stream: DataFrame, key: str, before: float, after: float, *, event_time: str | None = None, idle: float = IDLE_SECONDS, late: str = LATE) -> DataFrame:
+    """stream: key, start, end, text and keywords (joined by |), in order of start. A silent key puts out what waits."""
     kind = dict(stream.dtypes)[key]
 
     class Context(_JsonState):
@@ -108,7 +153,10 @@ def stream_context(stream: DataFrame, key: str, before: float, after: float) ->
             state, out = delayed_context(state, rows, before, after)
             return state, [{key: k[0]} | r for r in out]
 
-    return stream.groupBy(key).transformWithStateInPandas(Context(), outputStructType=f"`{key}` {kind}, keyword string, t double, passage string", outputMode="Append", timeMode="None")
+        def close_key(self, k, state):
+            return [{key: k[0]} | r for r in left_waiting(state, before, after)]
+
+    return _run(stream, [key], Context, f"`{key}` {kind}, keyword string, t double, passage string", event_time, idle, late)
 
 
 def speaker_batches(state: dict, rows: list[dict]) -> tuple[dict, list[dict]]:
@@ -124,8 +172,13 @@ def speaker_batches(state: dict, rows: list[dict]) -> tuple[dict, list[dict]]:
     return {"speaker": speaker, "quotes": quotes}, out
 
 
-def stream_speaker_batches(stream: DataFrame, key: str) -> DataFrame:
-    """stream: key, seq, speaker and quote."""
+def last_batch(state: dict) -> list[dict]:
+    quotes = state.get("quotes", [])
+    return [{"speaker": state.get("speaker", ""), "quotes": len(quotes), "text": "\n".join(quotes)}] if quotes else []
+
+
+def stream_speaker_batches(stream: DataFrame, key: str, *, event_time: str | None = None, idle: float = IDLE_SECONDS, late: str = LATE) -> DataFrame:
+    """stream: key, seq, speaker and quote. A silent key puts out its last batch."""
     kind = dict(stream.dtypes)[key]
 
     class Batches(_JsonState):
@@ -135,24 +188,37 @@ def stream_speaker_batches(stream: DataFrame, key: str) -> DataFrame:
             state, out = speaker_batches(state, rows)
             return state, [{key: k[0]} | r for r in out]
 
-    return stream.groupBy(key).transformWithStateInPandas(Batches(), outputStructType=f"`{key}` {kind}, speaker string, quotes long, text string", outputMode="Append", timeMode="None")
+        def close_key(self, k, state):
+            return [{key: k[0]} | r for r in last_batch(state)]
 
+    return _run(stream, [key], Batches, f"`{key}` {kind}, speaker string, quotes long, text string", event_time, idle, late)
 
-def stream_speakers(stream: DataFrame, key: str, rules: SpeakerRules) -> DataFrame:
-    """stream: key, seq, seconds and text; out: the speaker to whom each passage belongs."""
+
+def tracked(rules: SpeakerRules, state: dict, rows: list[dict]) -> tuple[dict, list[dict]]:
+    """Rows (seq, seconds, text) with their speakers. After a gap, as after a restart, a speaker stays only if the rules of restored() say so."""
+    out = []
+    for r in rows:
+        now = float(r["seconds"])
+        if "seen" in state and now - state["seen"] > RESTART_SECONDS:
+            state = restored(state, now)
+        state, speaker = rules.observe(state, r["text"], now)
+        state["seen"] = now
+        out.append({"seq": int(r["seq"]), "speaker": speaker})
+    return state, out
+
+
+def stream_speakers(stream: DataFrame, key: str, rules: SpeakerRules, *, event_time: str | None = None, idle: float = IDLE_SECONDS, late: str = LATE) -> DataFrame:
+    """stream: key, seq, seconds (since 1970) and text; out: the speaker to whom each passage belongs."""
     kind = dict(stream.dtypes)[key]
 
     class Speakers(_JsonState):
         columns, order = [key, "seq", "speaker"], ["seq"]
 
         def step(self, k, state, rows):
-            out = []
-            for r in rows:
-                state, speaker = rules.observe(state, r["text"], float(r["seconds"]))
-                out.append({key: k[0], "seq": int(r["seq"]), "speaker": speaker})
-            return state, out
+            state, out = tracked(rules, state, rows)
+            return state, [{key: k[0]} | r for r in out]
 
-    return stream.groupBy(key).transformWithStateInPandas(Speakers(), outputStructType=f"`{key}` {kind}, seq long, speaker string", outputMode="Append", timeMode="None")
+    return _run(stream, [key], Speakers, f"`{key}` {kind}, seq long, speaker string", event_time, idle, late)
 
 
 def replay_speakers(chunks: DataFrame, key: str, rules: SpeakerRules) -> DataFrame:
@@ -160,10 +226,8 @@ def replay_speakers(chunks: DataFrame, key: str, rules: SpeakerRules) -> DataFra
     kind = dict(chunks.dtypes)[key]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, out = {}, []
-        for r in pdf.sort_values("seq").to_dict("records"):
-            state, speaker = rules.observe(state, r["text"], float(r["seconds"]))
-            out.append({key: r[key], "seq": r["seq"], "speaker": speaker})
-        return pd.DataFrame(out, columns=[key, "seq", "speaker"])
+        rows = pdf.sort_values("seq")
+        _, out = tracked(rules, {}, rows.to_dict("records"))
+        return pd.DataFrame({key: rows[key].to_numpy(), "seq": [o["seq"] for o in out], "speaker": [o["speaker"] for o in out]})
 
     return chunks.groupBy(key).applyInPandas(run, f"`{key}` {kind}, seq long, speaker string")

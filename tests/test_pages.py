@@ -30,10 +30,10 @@ def test_protocol(spark):
 
 
 def test_cleaning(spark):
-    text = "Page 1\nSTATEMENT BY THE PRESIDENT\nMr President,\nwe are\nhere. Peace\n\nNext one.\nNew para"
+    text = "Page 1\nSTATEMENT BY THE PRESIDENT\nMr President,\nwe are\nhere. Peace\n\ncame-\nback .\nNew para"
     d = spark.createDataFrame([(text, "/12 " * 30)], "t string, g string")
     r = d.select(C.reflow(C.clean_lines("t")).alias("t"), C.is_glyph_garbage("g").alias("g"), C.is_glyph_garbage("t").alias("h")).first()
-    assert r.t == "Mr President, we are here. Peace\n\nNext one.\n\nNew para" and r.g and not r.h
+    assert r.t == "Mr President, we are here. Peace cameback.\n\nNew para" and r.g and not r.h
     assert C.merge_objects('x ```json\n{"a": [1], "b": 1}\n``` {"a": [2], "b": 3} {broken') == '{"a": [1, 2], "b": 1}'
     assert C.merge_objects("none") is None
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lectern.operators.cooldown import first_in_window, take_with_cooldown
 from lectern.streaming import processors as S
 from lectern.streaming.speaker import UNKNOWN, SpeakerRules
+from lectern.streaming.watchdog import Watch
 
 
 def greedy(times, gap):
@@ -59,12 +60,53 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == sorted((k, t) for k in "ab" for t in greedy([t for x, t in rows if x == k], 25))
 
 
+def test_silent_keys_are_closed(spark, tmp_path):
+    """Late rows are dropped; a key without rows for a time puts out its last batch and is forgotten."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    parts = [[("k", 0, "A", "one", 1000), ("k", 1, "A", "two", 1010)], [("m", 0, "B", "three", 8000)], [("m", 1, "", "four", 9000)], [("m", 2, "", "five", 9001), ("k", 2, "A", "late", 1020)], [("m", 3, "", "six", 9002)]]
+    for i, rows in enumerate(parts):
+        d = spark.createDataFrame(rows, "key string, seq long, speaker string, quote string, t long").withColumn("ts", F.timestamp_seconds("t"))
+        d.coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    stream = spark.readStream.schema("key string, seq long, speaker string, quote string, t long, ts timestamp").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    found = S.stream_speaker_batches(stream, "key", event_time="ts", idle=3600, late="10 seconds")
+    q = found.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    q.awaitTermination(180)
+    got = [(r.key, r.speaker, r.quotes, r.text) for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    assert ("k", "A", 2, "one\ntwo") in got and all("late" not in g[3] for g in got)
+
+
+def test_watch():
+    clock, said = [0.0], []
+    w = Watch(180, said.append, now=lambda: clock[0])
+    clock[0] = 100
+    assert not w.check()
+    w.beat(0)
+    clock[0] = 200
+    assert w.check() and said == [200.0]
+    clock[0] = 500
+    assert w.check() and len(said) == 1
+    clock[0] = 900
+    assert w.check() and len(said) == 2
+    w.beat(3)
+    assert not w.check() and not Watch(0, said.append).check()
+
+
+def test_tracking_over_a_gap():
+    rules = SpeakerRules([("Anna Example", "Norway", "")])
+    intro = {"seq": 0, "seconds": 1_790_000_000.0, "text": "I invite Her Excellency Anna Example, Minister of Norway."}
+    state, out = S.tracked(rules, {}, [intro, {"seq": 1, "seconds": 1_790_000_020.0, "text": "Friends."}])
+    assert [o["speaker"] for o in out] == [UNKNOWN, "Anna Example"]
+    assert S.tracked(rules, state, [{"seq": 2, "seconds": 1_790_001_000.0, "text": "So."}])[1][0]["speaker"] == "Anna Example"
+    assert S.tracked(rules, state, [{"seq": 2, "seconds": 1_790_009_000.0, "text": "So."}])[1][0]["speaker"] == UNKNOWN
+
+
 def test_context_waits_for_what_follows():
     windows = [{"start": s, "end": s + 10, "text": f"text {s}", "keywords": "reform" if s == 10 else ""} for s in (0, 10, 20, 30)]
     state, out = S.delayed_context({}, windows[:2], 10, 12)
     assert out == [] and state["waiting"] == [["reform", 10.0]]
     state, out = S.delayed_context(state, windows[2:], 10, 12)
     assert out == [{"keyword": "reform", "t": 10.0, "passage": "text 0 text 10 text 20"}]
+    assert S.left_waiting({"lines": [[0, 4, "a"]], "waiting": [["k", 1.0]]}, 2, 9) == [{"keyword": "k", "t": 1.0, "passage": "a"}]
     assert S.passage([[0, 4, "a"], [1, 4.2, "a again"], [4, 8, "b"]], 0, 8) == "a b"
 
 
