@@ -191,6 +191,8 @@ class PieceBatch:
 
     def ids(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         n = len(pieces)
+        if not n:
+            return []
         size = np.fromiter(map(len, pieces), np.int64, n)
         order = np.argsort(-size, kind="stable")
         size = size[order]
@@ -199,7 +201,7 @@ class PieceBatch:
         sums = K.byte_prefix(buf)
         inverse = K.powers(K._BASE_INV, len(sums))
         last = np.full(len(buf), -1, np.int64)
-        for i in range(1, int(size[0]) + 1 if n else 1):
+        for i in range(1, int(size[0]) + 1):
             open_ = base[: np.searchsorted(-size, -i, side="right")] + i
             for s in self.sizes:
                 if s > i or not len(open_):
