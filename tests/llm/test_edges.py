@@ -96,7 +96,7 @@ def test_long_texts_in_tokens(spark, docs, reference_bpe, tmp_path):  # noqa: F8
     assert got[6].n_tokens == len(reference_bpe.encode_ordinary(LONG[:400_000])) and got[7].n_tokens == len(reference_bpe.encode_ordinary("ab" * 40_000))
     assert got[6].decoded_sha256 == hashlib.sha256(LONG[:400_000].encode()).hexdigest() and got[None].n_tokens == 0
     path = f"file://{tmp_path}/t"
-    token_files.write_tokens(x.withColumn("Text", F.lit("other")).withColumn("_file", F.lit(1)), path, JSON)
+    token_files.write_tokens(x.withColumns({"t": F.lit("other"), "_file": F.lit(1)}).toDF("doc_id", "text", "Text", "_file"), path, JSON)
     index = token_files.token_index(spark, path).orderBy("start").collect()
     assert [r.doc_id for r in index] == [None, 6, 7, 7] and [r.start for r in index] == [0, *np.cumsum([r.n_tokens for r in index])[:-1].tolist()]
     assert index[0].ids_crc32 == zlib.crc32(bytes(4))
