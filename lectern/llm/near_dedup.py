@@ -11,16 +11,19 @@ A document's set holds its distinct 5-word shingles (fewer words: the whole sequ
    any other in n - u at most. Blocks and buckets exchange distinct shingle hashes to count u (see blocks). Documents
    for which this bound rules out every link leave.
 5. Stars. In each bucket the document with the least share of own shingles is the hub; all others are verified against it.
-6. Rest. Pairs of one bucket that are still in different components and whose bounds allow a link are verified too. Here a
-   third bound helps: with each shingle flipping one of 1,024 bits, two documents' bits differ in at most as many
+   A hub's text goes once to each of the groups into which its partners are dealt.
+6. Rest. Pairs of one bucket that are still in different components and whose bounds allow a link are verified too, a large
+   bucket's in many groups. Here a third bound helps: with each shingle flipping one of 1,024 bits, two documents' bits differ in at most as many
    places as their sets do. So every pair that shares a band is either confirmed, ruled out by its bound, or already connected: there is no cap.
 7. Components of the confirmed links; members of a class follow its representative.
 
 At a similarity of 0.85 a pair shares none of the 32 bands of 4 slots with a probability of about 6e-11.
 
-Null and empty texts have empty sets and are linked with nothing. Rows that share a doc_id are one document (if their texts differ,
-links are confirmed on the least text that is not null). A null doc_id counts as the least id and its component_id is null.
-Other columns are passed through.
+Null and empty texts have empty sets and are linked with nothing. Rows that share a doc_id are one document and get one result (if their
+texts differ, links are confirmed on the least text that is not null). Of documents that are alike in all else the least id is kept.
+A null doc_id counts as the least id and its component_id is null. An empty table gives no rows. Texts of any length are taken whole: a
+text's shingles, 8 bytes for each word and several times that while they are sorted, must fit into a task. Other columns are passed through whatever their names;
+columns with the operator's own names are replaced.
 """
 
 from __future__ import annotations
@@ -42,6 +45,8 @@ SIMILARITY = 85  # percent
 OUTPUT = ("n_shingles", "component_id", "kept")
 NULL_ID = -(1 << 63)
 _KEY_BYTES = 6
+#: Shingles that a task verifies at a time; members of a bucket that a task compares with as many others.
+GROUP_SHINGLES, COMPARED = 250_000, 4096
 PARITY = 1024
 
 
@@ -181,7 +186,8 @@ def _bounds(candidates: DataFrame, width: int) -> DataFrame:
         return pa.table({"node": table["node"], "n": table["n"], "o": pa.array(np.asarray(table["n"]) - own), "bits": pa.ListArray.from_arrays(offsets, pa.array(words))})
 
     schema = T.StructType([*[T.StructField(x, T.LongType()) for x in ("node", "n", "o")], T.StructField("bits", T.ArrayType(T.LongType()))])
-    return B.finish(base, B.answer(B.send(base, talk), reply), work, schema)
+    ex = B.Exchange(n_blocks, n_buckets)
+    return ex.finish(base, ex.answer(ex.send(base, talk), reply), work, schema)
 
 
 def _possible(n: Column, o: Column, m: Column, p: Column, percent: int) -> Column:
@@ -199,32 +205,41 @@ def _differences(a: Column, b: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-
-    def run(batches):
-        for whole in batches:
-            for batch in K.slices(whole, "text_b"):
-                a, b = batch["a"].to_pylist(), batch["b"].to_pylist()
-                sets: dict = {}
-                for ids, column in ((a, "text_a"), (b, "text_b")):
-                    first = {}
-                    for i, x in enumerate(ids):
-                        if x not in sets:
-                            first.setdefault(x, i)
-                    if first:
-                        h, off = shingle_sets(batch[column].take(pa.array(list(first.values()))), width)
-                        sets |= {x: h[off[k] : off[k + 1]] for k, x in enumerate(first)}
-                keep = []
-                for x, y in zip(a, b):
-                    s, t = sets[x], sets[y]
-                    both = _overlap(s, t)
-                    keep.append(both > 0 and 100 * both >= percent * (len(s) + len(t) - both))
-                yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-            K.release()
-
-    left = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    both = left.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    """The pairs (a, b) whose full sets are similar enough; a is the side that stands in many pairs. pairs and texts are written tables.
+
+    Pairs are dealt into groups of about GROUP_SHINGLES shingles by a; an a with more has several groups. Each group gets a's text once
+    and the texts of its partners, so that no row carries a hub's text and no task a whole star.
+    """
+    sizes = texts.select(F.col("node").alias("b"), "n")
+    load = common.written(pairs.join(sizes, "b").groupBy("a").agg((F.floor(F.sum("n") / GROUP_SHINGLES) + 1).cast("int").alias("parts"), F.sum("n").alias("load")), "loads")
+    total = load.agg(F.coalesce(F.sum("load"), F.lit(0)).alias("n")).first()["n"]
+    groups = max(common.shuffle_width(pairs.sparkSession), int(total) // GROUP_SHINGLES + 1)
+    group = lambda part: F.pmod(F.xxhash64("a", part), F.lit(groups)).cast("int").alias("_group")
+    members = pairs.join(load, "a").select(group(F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")), "a", "b")
+    members = members.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("_group", "a", "b", "text_b")
+    hubs = load.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select(group(F.col("part")), "a").distinct()
+    hubs = hubs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("_group", "a", "text_a")
+
+    def run(key, left, right):
+        sets: dict[int, np.ndarray] = {}
+        for batch in right.to_batches():
+            for s in K.slices(batch, "text_a"):
+                h, off = shingle_sets(s["text_a"], width)
+                sets |= {x: h[off[k] : off[k + 1]] for k, x in enumerate(s["a"].to_pylist())}
+        out = []
+        for batch in left.to_batches():
+            for s in K.slices(batch, "text_b"):
+                h, off = shingle_sets(s["text_b"], width)
+                for k, (x, y) in enumerate(zip(s["a"].to_pylist(), s["b"].to_pylist())):
+                    t = h[off[k] : off[k + 1]]
+                    both = _overlap(sets[x], t)
+                    if both > 0 and 100 * both >= percent * (len(sets[x]) + len(t) - both):
+                        out.append((x, y))
+        del sets
+        K.release()
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return members.groupBy("_group").cogroup(hubs.groupBy("_group")).applyInArrow(run, "a long, b long")
 
 
 def _overlap(s: np.ndarray, t: np.ndarray) -> int:
@@ -262,19 +277,29 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     own = ((F.col("n") - F.col("o")) * 1_000_000 / F.col("n")).cast("long")
     hubs = inside.groupBy("band", "key").agg(F.min(F.struct(own.alias("own"), "node", "n", "o")).alias("hub"))
     star = inside.join(hubs, ["band", "key"]).where(F.col("hub.node") != F.col("node")).where(_possible(F.col("n"), F.col("o"), F.col("hub.n"), F.col("hub.o"), percent))
-    star = star.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-    links = common.written(_verified(star, texts, width, percent), "links")
+    star = star.select(F.least("node", "hub.node").alias("x"), F.greatest("node", "hub.node").alias("y"), F.col("hub.node").alias("hub")).groupBy("x", "y").agg(F.min("hub").alias("a"))
+    star = common.written(star.select("x", "y", "a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b")), "stars")
+    links = common.written(_verified(star.select("a", "b"), texts, width, percent), "links")
     labels = components(links)
 
     labelled = inside.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("band", "key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b").select("band", "key")
-    rest = labelled.join(mixed, ["band", "key"]).join(bounds.select("node", "bits"), "node").select("band", "key", "node", "n", "o", "component", "bits")
-    x, y = rest.alias("x"), rest.alias("y")
+    mixed = mixed.join(labelled.groupBy("band", "key").agg(F.ceil(F.count(F.lit(1)) / COMPARED).cast("int").alias("parts")), ["band", "key"])
+    rest = labelled.join(mixed, ["band", "key"]).join(bounds.select("node", "bits"), "node")
+    rest = rest.select("band", "key", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "node", "n", "o", "component", "bits")
+    # A large bucket's members are dealt into parts, and every two parts meet in a group of their own.
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    x = rest.select("*", F.col("part").alias("i"), other.alias("j")).alias("x")
+    y = rest.select("*", F.col("part").alias("j"), other.alias("i")).alias("y")
     pair = (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _possible(F.col("x.n"), F.col("x.o"), F.col("y.n"), F.col("y.o"), percent)
     # |A| + |B| - 2 * overlap is at least the differences, and must be at most (100 - percent) / (100 + percent) of |A| + |B|
     pair = pair & ((100 + percent) * _differences(F.col("x.bits"), F.col("y.bits")) <= (100 - percent) * (F.col("x.n") + F.col("y.n")))
-    more = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & pair).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    more = common.written(_verified(more.join(star, ["a", "b"], "left_anti"), texts, width, percent), "links")
+    for name in ("band", "key", "i", "j"):
+        pair = pair & (F.col(f"x.{name}") == F.col(f"y.{name}"))
+    more = x.join(y, pair).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    done = star.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    more = common.written(more.join(done, ["a", "b"], "left_anti"), "pairs")
+    more = common.written(_verified(more, texts, width, percent), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 

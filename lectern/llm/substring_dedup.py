@@ -10,8 +10,10 @@ them is hashed to 96 bits, and its first place is found.
 Blocks and buckets exchange distinct hashes only (see blocks), so a passage that stands in a third of all
 documents costs what its length costs in each block.
 
-Order is by doc_id, nulls first, then by text among rows of one doc_id; rows of one doc_id count as documents of
-their own. Null and empty texts have no words. Other columns are passed through.
+Defined results: order is by doc_id, nulls first, then by text among rows of one doc_id, which count as documents of their own;
+of rows that are equal in both any one comes first, and the others lose what it has. Null and empty texts have no words. An empty
+table gives no rows. Texts of any length are taken whole; one text's words and hashes, about 40 bytes for each of its bytes, must
+fit into a task. Other columns are passed through whatever their names; columns with the operator's own names are replaced.
 """
 
 from __future__ import annotations
@@ -95,7 +97,7 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         raise ValueError(f"a window has {PERIOD} words at least")
     c = common.Columns(docs, OUTPUT, doc_id=doc_id, text=text)
     n_blocks, n_buckets = B.counts(c.frame, "text")
-    keep, base = c.frame.columns, B.with_blocks(c.frame, "doc_id", n_blocks)
+    keep, base, ex = c.frame.columns, B.with_blocks(c.frame, "doc_id", n_blocks), B.Exchange(n_blocks, n_buckets)
 
     def say_anchors(block, table):
         keys, _, _, _ = _Block(table, "doc_id", "text", window).keys()
@@ -159,10 +161,10 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         out = out.append_column("removed", pa.chunked_array(spans, pa.list_(pa.int32())))
         return out.append_column("kept_text", pa.array(kept, pa.string()))
 
-    anchors = B.answer(B.send(base, say_anchors), B.reply_repeated(ANCHOR_BYTES), 0)
-    windows = B.answer(B.send_again(base, anchors, say_windows), reply_earlier, 1)
+    anchors = ex.answer(ex.send(base, say_anchors), B.reply_repeated(ANCHOR_BYTES), 0)
+    windows = ex.answer(ex.send_again(base, anchors, say_windows), reply_earlier, 1)
     schema = T.StructType([*base.drop(B.BLOCK).schema.fields, T.StructField("n_words", T.LongType()), T.StructField("removed", T.ArrayType(T.IntegerType())), T.StructField("kept_text", T.StringType())])
-    return c.result(B.finish(base, anchors.unionByName(windows), remove, schema))
+    return c.result(ex.finish(base, anchors.unionByName(windows), remove, schema))
 
 
 def n_removed(spans: str = "removed"):

@@ -17,8 +17,9 @@ Sorting every suffix of the corpus would move each byte LENGTH times, so only su
    length name the first document of each string.
 4. Each block hears, for each context and start, which of its documents is the first, or that an earlier block has it.
 
-Null and empty texts have no bytes. Rows of one doc_id do not take bytes from each other; a null doc_id is smaller
-than all others. Strings never cross documents. Other columns are passed through.
+Defined results: null and empty texts have no bytes. Rows of one doc_id (repeated rows, too) do not take bytes from each other; a null
+doc_id is smaller than all others. Strings never cross documents. An empty table gives no rows. Texts of any length are cut
+into overlapping segments, so only their bytes themselves must fit into a task. Other columns are passed through whatever their names; columns with the operator's own names are replaced.
 """
 
 import numpy as np
@@ -374,7 +375,7 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     # A start takes several numbers of memory while it is sorted, so blocks and buckets are smaller than elsewhere.
     c = common.Columns(docs, OUTPUT, doc_id=doc_id, text=text)
     n_blocks, n_buckets = (common.block_count(c.frame, "text", k) for k in (2, 4))
-    keep, base = c.frame.columns, B.with_blocks(c.frame, "doc_id", n_blocks)
+    keep, base, ex = c.frame.columns, B.with_blocks(c.frame, "doc_id", n_blocks), B.Exchange(n_blocks, n_buckets)
 
     def say_anchors(block, table):
         keys, _, _ = _Contexts(table, "doc_id", "text", length).keys()
@@ -429,10 +430,10 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
             kept = pc.if_else(pc.is_null(b.table["text"].combine_chunks()), None, kept.cast(pa.string()))
         return out.append_column("kept", kept)
 
-    anchors = B.answer(B.send(base, say_anchors), B.reply_repeated(ANCHOR_BYTES), 0)
-    contexts = B.answer(B.send_again(base, anchors, say_contexts), lambda said: first_documents(said, length), 1)
+    anchors = ex.answer(ex.send(base, say_anchors), B.reply_repeated(ANCHOR_BYTES), 0)
+    contexts = ex.answer(ex.send_again(base, anchors, say_contexts), lambda said: first_documents(said, length), 1)
     schema = T.StructType([*base.drop(B.BLOCK).schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("removed", T.ArrayType(T.LongType())), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
-    return c.result(B.finish(base, anchors.unionByName(contexts), remove, schema))
+    return c.result(ex.finish(base, anchors.unionByName(contexts), remove, schema))
 
 
 def _whole_characters(raw: bytes, runs: list[int]) -> list[int]:

@@ -16,7 +16,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from lectern.llm import bpe, components, decontamination, kernel, near_dedup, quality_model, quality_rules, substring_dedup, suffix_dedup, token_files, toxicity, warc
+from lectern.llm import blocks, bpe, common, components, decontamination, kernel, near_dedup, quality_model, quality_rules, substring_dedup, suffix_dedup, token_files, toxicity, warc
 from lectern.llm.oracles import ORACLES
 
 SCHEMA = "doc_id long, text string, lang string, BUCKET int, source string, n_chars long"
@@ -54,7 +54,33 @@ def in_order():
     return sorted(corpus(), key=lambda r: (r[0], r[1] is not None, (r[1] or "").encode()))
 
 
-def test_substring_dedup(docs, empty):
+@pytest.fixture(params=["direct", "relayed"])
+def exchange(request, monkeypatch):
+    """Messages sent directly, and through relays with finer cuts of the ids."""
+    if request.param == "relayed":
+        monkeypatch.setattr(blocks, "DIRECT", 2)
+        monkeypatch.setattr(blocks, "COARSE", 3)
+        count = common.block_count
+        monkeypatch.setattr(common, "block_count", lambda *args: count(*args) + 7)
+
+
+def test_envelopes():
+    parts = [(5, 2, b"abc"), (0, 1 << 20, b""), (7, 3, b"x" * 300)]
+    assert blocks.opened(blocks.envelope(parts)) == parts and blocks.opened(blocks.envelope([])) == []
+
+
+def test_blocks_are_ranges(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "COARSE", 4)
+    ids = [None, *range(0, 900, 3), *[2000] * 50, *range(10_000, 10_050)]
+    rows = blocks.with_blocks(spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(3), "doc_id", 22).collect()
+    held: dict = {}
+    for r in rows:
+        held.setdefault(r._block, []).append(-1 if r.doc_id is None else r.doc_id)
+    ranges = [(min(v), max(v)) for _, v in sorted(held.items())]
+    assert len(rows) == len(ids) and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:])) and len(ranges) > 12 and min(held) >= 0
+
+
+def test_substring_dedup(docs, empty, exchange):
     rows = [(r[0], split(r[1])) for r in in_order()]
     first, want = {}, []
     for d, (_, w) in enumerate(rows):
@@ -71,7 +97,7 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.substring_dedup(empty).count() == 0
 
 
-def test_suffix_dedup(docs, empty):
+def test_suffix_dedup(docs, empty, exchange):
     rows = [(r[0], (r[1] or "").encode()) for r in in_order()]
     first, want = {}, []
     for i, t in rows:
@@ -102,7 +128,7 @@ def test_deep_shallow_sort():
         assert w == sorted(w) and fresh.tolist() == [i == 0 or w[i] != w[i - 1] for i in range(len(w))]
 
 
-def test_near_groups(docs, empty, spark):
+def test_near_groups(docs, empty, spark, exchange):
     texts = {}
     for r in corpus():
         texts[r[0]] = r[1] if r[0] not in texts or texts[r[0]] is None else texts[r[0]]
@@ -142,12 +168,12 @@ def test_near_bounds_in_any_row_order(spark, monkeypatch):
     sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in texts.items() for w in [t.split(" ")]}
     held = Counter(x for s in sets.values() for x in s)
     want = {i: (len(s), sum(held[x] > 1 for x in s)) for i, s in sets.items()}
-    finish = near_dedup.B.finish
+    finish = near_dedup.B.Exchange.finish
 
-    def turned(base, answers, work, schema):
-        return finish(base, answers, lambda block, table, heard: work(block, table.take(list(range(table.num_rows))[::-1]), heard), schema)
+    def turned(self, base, answers, work, schema):
+        return finish(self, base, answers, lambda block, table, heard: work(block, table.take(list(range(table.num_rows))[::-1]), heard), schema)
 
-    monkeypatch.setattr(near_dedup.B, "finish", turned)
+    monkeypatch.setattr(near_dedup.B.Exchange, "finish", turned)
     docs = spark.createDataFrame([(i, len(sets[i]), t) for i, t in texts.items()], "node long, n long, text string")
     assert {r.node: (r.n, r.o) for r in near_dedup._bounds(docs, 5).collect()} == want
 
