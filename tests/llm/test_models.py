@@ -36,7 +36,7 @@ class PlainFTRL:
         z, l1 = self.z.get(i, 0.0), 0.0 if i == "bias" else self.l1
         if abs(z) <= l1:
             return 0.0
-        return -(z - math.copysign(l1, z)) / ((1.0 + math.sqrt(self.n.get(i, 0.0))) / 0.5 + 1.0)
+        return -(z - math.copysign(l1, z)) / ((1.0 + math.sqrt(self.n.get(i, 0.0))) / 1.5 + 1.0)
 
     def total(self, places):
         return sum(self.weight(i) for i in places)
@@ -46,7 +46,7 @@ class PlainFTRL:
         g = sigmoid(sum(weights.values())) - y
         for i, w in weights.items():
             n = self.n.get(i, 0.0)
-            self.z[i] = self.z.get(i, 0.0) + g - (math.sqrt(n + g * g) - math.sqrt(n)) / 0.5 * w
+            self.z[i] = self.z.get(i, 0.0) + g - (math.sqrt(n + g * g) - math.sqrt(n)) / 1.5 * w
             self.n[i] = n + g * g
 
 
@@ -68,10 +68,10 @@ def plain_toxicity():
 
     fifth = len(examples) // 5
     tried = {}
-    for l1 in (1.0, 5.0, 20.0):
-        m = learnt(examples[fifth:], 1, l1)
+    for l1 in (4.0, 8.0, 16.0):
+        m = learnt(examples[fifth:], 3, l1)
         tried[l1] = sum(math.log1p(math.exp(max(-35.0, min(35.0, m.total(p))) * (1 - 2 * y))) for p, y in examples[:fifth])
-    model = learnt(examples, 4, min(tried, key=tried.get))
+    model = learnt(examples, 3, min(tried, key=tried.get))
     return {i: sigmoid(model.total(p)) for i, p in places.items()}
 
 
