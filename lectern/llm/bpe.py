@@ -10,7 +10,9 @@ Texts are split by the tokenizer's pattern; pieces never cross a single space be
 are cut there and each distinct stretch is split and encoded once per task (the table of stretches is
 emptied at a fixed size). Nothing shuffles.
 
-Defined results: a null text is empty and has no ids; the digest of no ids is that of the empty string.
+Defined results: a null text is empty and has no ids; the digest of no ids is that of the empty string. Each row is encoded on its own,
+repeated rows alike; null doc_ids stay null. An empty table gives no rows. Texts of any length are encoded whole; one text's
+hashes, about 50 bytes for each of its bytes, must fit into a task, and so must its longest piece's table. Other columns are passed through whatever their names; columns with the operator's own names are replaced.
 """
 
 from __future__ import annotations

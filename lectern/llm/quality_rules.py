@@ -4,8 +4,9 @@ A table of thresholds (`RULES`) is compiled into a single `select`: text statist
 functions, then one boolean for each rule and their conjunction. No user function runs, nothing shuffles.
 
 Defined results: a null text has no words, so its counts are 0 and it fails the base rule; the same holds
-for an empty text. Null ids, repeated rows and other columns pass through untouched; an empty table gives
-an empty result with the same columns.
+for an empty text. Null ids and repeated rows pass through untouched, each row is judged on its own; an empty table gives
+an empty result with the same columns. Texts of any length are measured whole, as arrays of their words and of a hash and
+a place for each 3-word window, in memory of the task. Other columns are passed through whatever their names; columns with the operator's own names are replaced.
 """
 
 from __future__ import annotations

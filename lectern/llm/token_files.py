@@ -7,8 +7,9 @@ Reading gives each document's place among all ids: ids before the file (a sum ov
 ids before the document within its file.
 
 Defined results: the string of a special token in a text is that token's single id, as the library has it by default;
-a null text is empty and holds the end id alone; null doc_ids come first; documents that share a doc_id are kept in any
-order among themselves; an empty table gives no rows.
+a null text is empty and holds the end id alone; null doc_ids come first; documents that share a doc_id (repeated rows, too) are all kept,
+in any order among themselves; an empty table gives files without rows, which read as none. Texts of any length are encoded whole;
+one text's hashes, about 50 bytes for each of its bytes, must fit into a task. Other columns are not written, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,8 +10,9 @@ Records with equal payloads of at least `MIN_REVISIT` bytes are stored once: tha
 the response, the others are revisits that refer to it.
 
 Defined results: a null html is an empty payload; of repeated rows with the largest page_id each is a
-response; records whose page_id is null are never referred to; a null url leaves out the target field;
-an empty table gives one package without records or none.
+response; records whose page_id is null are never referred to, though they may be revisits; a null url leaves out the target field;
+an empty table gives one package without records or none. Pages of any length are written whole; a page and its compressed record
+must fit into a task. Columns other than page_id, url and html are not written, whatever their names.
 """
 
 from __future__ import annotations
