@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -94,6 +95,20 @@ def ascii_slug(c) -> Column:
     return F.trim(F.regexp_replace(F.lower(col(c)), r"[^a-z0-9]+", "-"), F.lit("-"))
 
 
+#: Latin letters with marks and the letters without them, by decomposition.
+_MARKED = [(chr(c), unicodedata.normalize("NFKD", chr(c))[0]) for c in range(0xC0, 0x250) if unicodedata.normalize("NFKD", chr(c))[0].isascii()]
+
+
+def without_marks(c) -> Column:
+    """Latin letters without accents."""
+    return F.translate(col(c), "".join(a for a, _ in _MARKED), "".join(b for _, b in _MARKED))
+
+
+def country_slug(c) -> Column:
+    """Lower case without accents and without what stands in brackets: `Iran (Islamic Republic of)` is `iran`."""
+    return ascii_slug(without_marks(F.lower(F.regexp_replace(col(c), r"\([^)]*\)", " "))))
+
+
 #: Words that a weak slug leaves out.
 SLUG_STOP_WORDS = ["of", "the", "and", "de", "la", "a"]
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hits as H
 from ..functions import text as T
+from .sequence import long_runs
 
 #: Fixed value: words spoken in a minute.
 WORDS_PER_MINUTE = 140
@@ -64,3 +65,27 @@ def find_speeches(files: DataFrame, slugs: DataFrame, days: DataFrame | None = N
     rank = F.struct(~right_day, F.when(right_day, F.col("stem") != F.col("slug")).otherwise(F.lit(False)), F.col("path"))
     w = Window.partitionBy("slug").orderBy(rank)
     return hits.withColumn("_n", F.row_number().over(w)).where("_n = 1").select("slug", "path")
+
+
+def speaker_ranges(chunks: DataFrame, key: str, order: str, start: str, end: str, part: Column) -> DataFrame:
+    """key, speaker, first and last second and number of chunks of each stretch in which one speaker speaks; unknown stretches are left out.
+
+    part cuts a key's chunks into ascending stretches (see sequence.long_runs).
+    """
+    runs = long_runs(chunks, [key], part, [F.col(order)], "speaker", lambda before, now: ~now.eqNullSafe(before) & before.isNotNull())
+    out = runs.groupBy(key, "run", "speaker").agg(F.min(start).alias("first"), F.max(end).alias("last"), F.count(F.lit(1)).alias("chunks"))
+    return out.where(F.lower("speaker") != "unknown").drop("run")
+
+
+def stored_names(speeches: DataFrame, files: DataFrame, folder: Column) -> tuple[DataFrame, DataFrame]:
+    """(speeches with id_speech and path, paths to be removed) for writing speeches into folders.
+
+    A speech without an id keeps that of the file that is there for its slug (by header, else by name); a file is named by the id, else by the
+    slug; the old file goes if its name changes. files: path, stem, slug, id_speech of one folder each, folder.
+    """
+    there = find_speeches(files.select("path", "stem", "slug", F.col("folder").alias("day")), speeches.select("slug"), speeches.select("slug", folder.alias("day")))
+    old = there.join(files.select("path", "stem", F.col("id_speech").alias("_id")), "path").select("slug", F.col("path").alias("_old"), F.coalesce(F.nullif("_id", F.lit("")), T.format_id(T.id_number("stem"))).alias("_kept"))
+    named = speeches.join(old, "slug", "left").withColumn("id_speech", F.coalesce(T.format_id(T.id_number("id_speech")), T.format_id(T.id_number("_kept")), F.lit("")))
+    named = named.withColumn("path", F.concat(folder, F.lit("/"), F.coalesce(F.nullif("id_speech", F.lit("")), F.col("slug")), F.lit(".txt")))
+    gone = named.where(F.col("_old").isNotNull() & (F.col("_old") != F.col("path"))).select(F.col("_old").alias("path"))
+    return named.drop("_old", "_kept"), gone

@@ -372,3 +372,27 @@ def session_days(spark, sf_dir):
 def page_addresses(spark, sf_dir):
     p = table(spark, sf_dir, "pages").where(~F.col("url").contains("#"))
     return p.select("page_id", urls.with_query("url", "page", F.lit(7)).alias("paged"), urls.tail_segment("url").alias("tail"), urls.of_session("url", 8).alias("of_session"))
+
+
+@query("""WITH g AS (SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w THEN 1 ELSE 0 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+r AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM g)
+SELECT user_id, event_type AS speaker, min(value) AS first, max(value) AS last, count(*) AS chunks FROM r WHERE event_type <> 'error' GROUP BY user_id, run, event_type""")
+def speaker_ranges(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "value", F.when(F.col("event_type") == "error", "Unknown").otherwise(F.col("event_type")).alias("speaker"))
+    return replay.speaker_ranges(e, "user_id", "event_id", "value", "value", F.floor(F.col("event_id") / 10_000))
+
+
+@query(r"""WITH e AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type AS keyword, CASE WHEN user_id % 3 = 0 THEN 'unknown' ELSE 'S' || event_id % 2 END AS speaker, ts FROM events),
+k AS (SELECT user_id, day, string_agg(keyword, ', ' ORDER BY f) AS words FROM (SELECT user_id, day, keyword, min(event_id) AS f FROM e GROUP BY ALL) GROUP BY ALL),
+s AS (SELECT user_id, day, string_agg(speaker, ', ' ORDER BY f) AS names FROM (SELECT user_id, day, speaker, min(event_id) AS f FROM e WHERE speaker <> 'unknown' GROUP BY ALL) GROUP BY ALL),
+m AS (SELECT user_id, day, arg_min(ts, event_id) AS moment FROM e GROUP BY ALL)
+SELECT user_id, day, 'KEYWORD_DETECTED | ' || words || coalesce(' | ' || names, '') AS subject, 'Keyword(s): ' || words || chr(10) || 'When: ' || strftime(moment, '%Y-%m-%d %H:%M:%S') || ' UTC' AS head FROM m JOIN k USING (user_id, day) LEFT JOIN s USING (user_id, day)""")
+def alert_emails_text(spark, sf_dir):
+    u, none = F.col("user_id"), F.lit(None).cast("string")
+    e = table(spark, sf_dir, "events").select(
+        u, F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").alias("position"), F.col("event_type").alias("keyword"),
+        F.when(u % 3 == 0, "unknown").otherwise(F.concat(F.lit("S"), F.col("event_id") % 2)).alias("speaker"), none.alias("speaker_title"), F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit("a passage").alias("transcript"), none.alias("mail_context"), none.alias("watch_url"),
+    )
+    m = mail.alert_emails(e, ["user_id", "day"], "position")
+    return m.select("user_id", "day", "subject", F.substring_index("text", "\n", 2).alias("head"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.labels import transformation
 from ..operators.alerts import AlertConfig
 from ..operators.rows import keep_first
 
@@ -33,6 +34,7 @@ def parse_front_matter(files: DataFrame, value: str = "value", path: str = "path
     out = rows.select("path", *[field(h).alias(h) for h in HEADER], "text")
     out = out.withColumn("slug", F.when(F.col("slug") == "", stem).otherwise(F.col("slug")))
     out = out.withColumn("id_speech", F.when((F.col("id_speech") == "") & T.id_number(stem).isNotNull(), stem).otherwise(F.col("id_speech")))
+    out = out.withColumn("transformation", F.coalesce(F.nullif("transformation", F.lit("")), transformation(F.col("source"), F.lit(False))))
     out = out.withColumn("session", F.col("session").try_cast("int")).withColumn("elapsed_s", F.coalesce(F.col("elapsed_s").try_cast("double"), F.lit(0.0)))
     if strict:
         language = F.lower("language")
@@ -40,6 +42,14 @@ def parse_front_matter(files: DataFrame, value: str = "value", path: str = "path
     return out
 
 
+def without_header(files: DataFrame, value: str = "value", path: str = "path", strict: bool = False) -> DataFrame:
+    """The paths of the files that parse_front_matter passes over, for those who want to stop on them."""
+    whole = F.regexp_replace(F.col(value), "\r\n", "\n")
+    rest = F.substring(whole, F.lit(4), F.length(whole))
+    good = whole.startswith("---") & (F.locate("\n---" if strict else "---", rest) > 0)
+    return files.where(~F.coalesce(good, F.lit(False))).select(path)
+
+
 def read_speeches(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Speech files below path (session and day folders are partitions)."""
     files = spark.read.text(path, wholetext=True).withColumn("path", F.col("_metadata.file_path"))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from lectern.functions import cleaning as C
 from lectern.functions import clock, urls
-from lectern.operators import corrections, dims, publish
-from lectern.sources import config, sinks, store
+from lectern.functions import text as T
+from lectern.operators import corrections, dims, mail, publish, replay
+from lectern.sources import config, files, sinks, store
 
 
 def one(spark, value, expression):
@@ -111,3 +112,27 @@ def test_put_back_and_selection(spark):
     assert names(publish.selected_slugs(journal.limit(0), listed, days.limit(0), "d9", limit=1)) == ["x"]
     lines = spark.createDataFrame([("k", 0, "a"), ("k", 1, "b"), ("k", 2, "c")], "key string, run int, v string")
     assert [r.v for r in publish.select_run(lines, "key", -1).collect()] == ["c"] and publish.select_run(lines, "key", 7).count() == 0 and publish.select_run(lines, "key", None).count() == 3
+
+
+def test_alert_emails(spark):
+    rows = [(1, 0, "reform", "Ann", "Chair", "we <want> UN reform & peace", "", "https://y/1"), (1, 1, "UN reform", "unknown", None, "x", None, None), (1, 2, "reform", "Bo", "", "x", None, None), (2, 0, "peace", "unknown", "T", "peace", "about Peace", None)]
+    d = spark.createDataFrame(rows, "m int, position int, keyword string, speaker string, speaker_title string, transcript string, mail_context string, watch_url string").withColumn("timestamp", F.timestamp_seconds(F.lit(1790006400)))
+    a, b = mail.alert_emails(d, ["m"], "position").orderBy("m").collect()
+    assert a.subject == "KEYWORD_DETECTED | reform, UN reform | Ann, Bo" and b.subject == "KEYWORD_DETECTED | peace"
+    assert a.text.split("\n") == ["Keyword(s): reform, UN reform", "When: 2026-09-21 16:00:00 UTC", "New York: 2026-09-21 12:00:00 EDT", "Madrid: 2026-09-21 18:00:00 CEST", "YouTube: https://y/1", "Speaker: Ann, Bo", "Title: Chair", "", "Chunk:", "we <want> **UN reform** & peace"]
+    assert "<p><b>Speaker:</b> Ann, Bo</p>" in a.html and "we &lt;want&gt; <strong>UN reform</strong> &amp; peace</blockquote></div>" in a.html
+    assert b.text.endswith("Context:\nabout **Peace**") and "Title" not in b.text and "YouTube" not in b.html
+
+
+def test_stored_names(spark):
+    files_ = spark.createDataFrame([("out/d1/peru.txt", "peru", "peru", "M_7", "out/d1"), ("out/d1/M_4.txt", "M_4", "chad", "", "out/d1"), ("out/d2/togo.txt", "togo", "togo", "", "out/d2")], "path string, stem string, slug string, id_speech string, folder string")
+    s = spark.createDataFrame([("peru", "", "out/d1"), ("chad", "", "out/d1"), ("togo", "m_9", "out/d2"), ("mali", "", "out/d2")], "slug string, id_speech string, folder string")
+    named, gone = replay.stored_names(s, files_, F.col("folder"))
+    assert {r.slug: (r.id_speech, r.path) for r in named.collect()} == {"peru": ("M_7", "out/d1/M_7.txt"), "chad": ("M_4", "out/d1/M_4.txt"), "togo": ("M_9", "out/d2/M_9.txt"), "mali": ("", "out/d2/mali.txt")}
+    assert {r.path for r in gone.collect()} == {"out/d1/peru.txt", "out/d2/togo.txt"}
+
+
+def test_slugs_and_headers(spark):
+    assert one(spark, "Côte d’Ivoire (République de)", T.country_slug("t")) == "cote-d-ivoire" and one(spark, "Türkiye", T.country_slug("t")) == "turkiye"
+    d = spark.createDataFrame([("a", "---\nslug: x\n---\nbody"), ("b", "no"), ("c", None)], "path string, value string")
+    assert {r.path for r in files.without_header(d).collect()} == {"b", "c"} and files.parse_front_matter(d).first().transformation == "none"

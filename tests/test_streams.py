@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators.cooldown import first_in_window, take_with_cooldown
 from lectern.streaming import processors as S
+from lectern.streaming.monitor import Monitor, stream_monitor
 from lectern.streaming.speaker import UNKNOWN, SpeakerRules
 from lectern.streaming.watchdog import Watch
 
@@ -100,6 +101,29 @@ def test_tracking_over_a_gap():
     assert S.tracked(rules, state, [{"seq": 2, "seconds": 1_790_009_000.0, "text": "So."}])[1][0]["speaker"] == UNKNOWN
 
 
+def test_monitor_order():
+    m = Monitor(["reform", "peace"], SpeakerRules([("Anna Example", "Norway", "")]), context_words=2, ttl=8, cooldown=120)
+    base, state, out = 1_790_000_000.0, {}, []
+    script = [(0, "I invite Her Excellency Anna Example, of Norway, for reform."), (16, "we want reform and peace now"), (20, "we want reform and peace now"), (40, "Reform again, reform now"), (200, "reform")]
+    for i, (t, text) in enumerate(script):
+        state, found = m.window(state, {"seq": i, "seconds": base + t, "text": text})
+        out += found
+    assert [(o["seq"], o["speaker"], o["keyword"], o["send"]) for o in out] == [
+        (0, UNKNOWN, "reform", True), (1, "Anna Example", "reform", False), (1, "Anna Example", "peace", True), (3, "Anna Example", "reform", False), (3, "Anna Example", "reform", False), (4, "Anna Example", "reform", True),
+    ]
+    assert out[1]["context"] == '"we want reform and peace..."'
+
+
+def test_monitor_stream(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.createDataFrame([("s", 0, 100.0, "peace"), ("s", 1, 110.0, "peace and peace"), ("u", 0, 5.0, "none")], "k string, seq long, seconds double, text string").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("k string, seq long, seconds double, text string").parquet(f"{tmp_path}/in")
+    q = stream_monitor(stream, "k", Monitor(["peace"], SpeakerRules([]))).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = spark.read.parquet(f"{tmp_path}/out").orderBy("seq", "context").collect()
+    assert [(r.k, r.seq, r.send) for r in got] == [("s", 0, True), ("s", 1, False)]  # two hits with equal surroundings count once
+
+
 def test_context_waits_for_what_follows():
     windows = [{"start": s, "end": s + 10, "text": f"text {s}", "keywords": "reform" if s == 10 else ""} for s in (0, 10, 20, 30)]
     state, out = S.delayed_context({}, windows[:2], 10, 12)
