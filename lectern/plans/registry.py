@@ -369,8 +369,8 @@ def pending_antijoin(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_anti")
 
 
-@query("""WITH o AS (SELECT 'd' || doc_id AS a FROM labels UNION SELECT 'q' || item_id FROM benchmark),
-n AS (SELECT doc_id, unnest(list_filter(['d' || doc_id, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'q' || doc_id // 10 END, lower(source)], lambda x: x IS NOT NULL AND x <> '')) AS a FROM documents)
+@query("""WITH o AS (SELECT 'd' || doc_id AS a FROM labels UNION SELECT 'q' || (doc_id // 10) FROM labels WHERE doc_id % 2 = 1 UNION SELECT 'd' || (item_id * 10 + 1) FROM benchmark UNION SELECT 'q' || item_id FROM benchmark),
+n AS (SELECT doc_id, unnest(list_filter(['d' || doc_id, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'q' || (doc_id // 10) END, lower(source)], lambda x: x IS NOT NULL AND x <> '')) AS a FROM documents)
 SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM n WHERE a IN (SELECT a FROM o))""")
 def alias_antijoin(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "source")
