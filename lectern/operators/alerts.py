@@ -92,15 +92,15 @@ def word_windows(speeches: DataFrame, window: int, hop: int) -> DataFrame:
     return rows.withColumn("chunk_text", F.array_join(F.slice(w, F.col("chunk") * hop + 1, F.lit(window)), " ")).drop("_w", "text", "n_chunks")
 
 
-def speech_starts(speeches: DataFrame, config: AlertConfig) -> DataFrame:
+def speech_starts(speeches: DataFrame, config: AlertConfig, prefix: int = 9) -> DataFrame:
     """day, slug and the time at which each speech starts.
 
     Only day, slug and word counts are dealt out by day. A running sum would put a day into one task, so sums of slices of a day's
-    slugs are formed first: the slice sums of a day are few, and each slice is ordered on its own.
+    slugs are formed first: the slice sums of a day are few, and each slice, the slugs with one prefix, is ordered on its own.
     """
     size = F.size(T.words("text"))
     n = F.when(size > 0, 1 + F.ceil(F.greatest(size - config.window, F.lit(0)) / config.hop)).otherwise(0).cast("long")
-    rows = speeches.select("day", "slug", (n * config.hop + config.gap).alias("_takes")).withColumn("_part", F.substring("slug", 1, 6))
+    rows = speeches.select("day", "slug", (n * config.hop + config.gap).alias("_takes")).withColumn("_part", F.substring("slug", 1, prefix))
     parts = rows.groupBy("day", "_part").agg(F.sum("_takes").alias("_sum"))
     before = Window.partitionBy("day").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("day", "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))

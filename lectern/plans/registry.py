@@ -634,4 +634,4 @@ def day_documents(spark, sf_dir):
     return docs.groupBy("session").agg(F.count(F.lit(1)).alias("days"), F.sum(F.size("items")).alias("items"))
 
 
-from . import journals, parsing  # noqa: E402, F401  register their queries here
+from . import journals, parsing, streams  # noqa: E402, F401  register their queries here
