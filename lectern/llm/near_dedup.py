@@ -205,7 +205,7 @@ def _differences(a: Column, b: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; a is the side that stands in many pairs. pairs and texts are written tables.
+    """The pairs (a, b) whose full sets are similar enough, a written table; a is the side that stands in many pairs. pairs and texts are written tables, too.
 
     Pairs are dealt into groups of about GROUP_SHINGLES shingles by a; an a with more has several groups. Each group gets a's text once
     and the texts of its partners, so that no row carries a hub's text and no task a whole star.
@@ -239,7 +239,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
         K.release()
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    return members.groupBy("_group").cogroup(hubs.groupBy("_group")).applyInArrow(run, "a long, b long")
+    found = common.written(members.groupBy("_group").cogroup(hubs.groupBy("_group")).applyInArrow(run, "a long, b long"), "links")
+    common.drop_written(load)
+    return found
 
 
 def _overlap(s: np.ndarray, t: np.ndarray) -> int:
@@ -279,7 +281,7 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     star = inside.join(hubs, ["band", "key"]).where(F.col("hub.node") != F.col("node")).where(_possible(F.col("n"), F.col("o"), F.col("hub.n"), F.col("hub.o"), percent))
     star = star.select(F.least("node", "hub.node").alias("x"), F.greatest("node", "hub.node").alias("y"), F.col("hub.node").alias("hub")).groupBy("x", "y").agg(F.min("hub").alias("a"))
     star = common.written(star.select("x", "y", "a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b")), "stars")
-    links = common.written(_verified(star.select("a", "b"), texts, width, percent), "links")
+    links = _verified(star.select("a", "b"), texts, width, percent)
     labels = components(links)
 
     labelled = inside.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -298,10 +300,12 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         pair = pair & (F.col(f"x.{name}") == F.col(f"y.{name}"))
     more = x.join(y, pair).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     done = star.select(F.col("x").alias("a"), F.col("y").alias("b"))
-    more = common.written(more.join(done, ["a", "b"], "left_anti"), "pairs")
-    more = common.written(_verified(more, texts, width, percent), "links")
+    untried = common.written(more.join(done, ["a", "b"], "left_anti"), "pairs")
+    more = _verified(untried, texts, width, percent)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
+    # What follows reads signatures, classes and labels only.
+    common.drop_written(members, texts, bounds, inside, star, links, untried, more)
 
     of_class = classes.join(labels, classes["rep"] == labels["node"], "left").select(*sets, F.coalesce("component", "rep").alias("component"))
     found = signed.join(of_class, sets, "left").select("node", "n", F.coalesce("component", "node").alias("component"))

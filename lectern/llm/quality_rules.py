@@ -68,7 +68,7 @@ def _repeat_words(words: Column) -> Column:
     n = F.size(words)
     hashes = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
     h = F.col("_windows")
-    pairs = F.array_sort(F.arrays_zip(h.alias("h"), F.sequence(F.lit(0), F.size(h) - 1).alias("p")))
+    pairs = F.sort_array(F.arrays_zip(h.alias("h"), F.sequence(F.lit(0), F.size(h) - 1).alias("p")))
     p = F.col("_pairs")
     recurring = F.filter(p, lambda x, i: (F.get(p, i - 1)["h"] == x["h"]) | (F.get(p, i + 1)["h"] == x["h"]))
     return hashes, pairs, recurring, n
