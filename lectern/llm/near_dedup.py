@@ -45,8 +45,8 @@ SIMILARITY = 85  # percent
 OUTPUT = ("n_shingles", "component_id", "kept")
 NULL_ID = -(1 << 63)
 _KEY_BYTES = 6
-#: Shingles that a task verifies at a time; members of a bucket that a task compares with as many others.
-GROUP_SHINGLES, COMPARED = 250_000, 4096
+#: Shingles and partners of one document that a task verifies at a time; members of a bucket that a task compares with as many others.
+GROUP_SHINGLES, GROUP_MEMBERS, COMPARED = 250_000, 128, 4096
 PARITY = 1024
 
 
@@ -211,7 +211,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     and the texts of its partners, so that no row carries a hub's text and no task a whole star.
     """
     sizes = texts.select(F.col("node").alias("b"), "n")
-    load = common.written(pairs.join(sizes, "b").groupBy("a").agg((F.floor(F.sum("n") / GROUP_SHINGLES) + 1).cast("int").alias("parts"), F.sum("n").alias("load")), "loads")
+    load = common.written(pairs.join(sizes, "b").groupBy("a").agg((F.floor(F.greatest(F.sum("n") / GROUP_SHINGLES, F.count(F.lit(1)) / GROUP_MEMBERS)) + 1).cast("int").alias("parts"), F.sum("n").alias("load")), "loads")
     total = load.agg(F.coalesce(F.sum("load"), F.lit(0)).alias("n")).first()["n"]
     groups = max(common.shuffle_width(pairs.sparkSession), int(total) // GROUP_SHINGLES + 1)
     group = lambda part: F.pmod(F.xxhash64("a", part), F.lit(groups)).cast("int").alias("_group")

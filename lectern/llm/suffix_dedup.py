@@ -193,12 +193,15 @@ class _Contexts:
         codes = np.asarray(ids.indices.fill_null(-1))
         self.ordinal = np.cumsum(np.diff(codes, prepend=codes[:1]) != 0).astype(np.int64)
         self.slices = _Segments(self.table, text, length).rows
+        self._found: list[tuple] = []
 
-    def each(self):
-        """For each slice: bytes, keys, anchors, first and last start of the strings, row and place of the first.
+    def each(self) -> list[tuple]:
+        """For each slice: keys, anchors, first and last start of the strings, row and place of the first; found once, about 3 bytes for each of the text's.
 
         In a string the anchor stands d bytes from its start. With d at most `near` the bytes behind the anchor are inside, else those before it.
         """
+        if self._found or not self.slices:
+            return self._found
         span = self.length - ANCHOR + 1
         near = farthest(self.length)
         wide = self.length - near
@@ -233,11 +236,12 @@ class _Contexts:
             anchor, of = anchor[both], of[both]
             rows = np.array([r for r, _, _ in held])
             shift = np.array([s for _, s, _ in held])
-            yield buf, keys, anchor, first, last, rows[of], first - off[of] + shift[of]
+            self._found.append((keys, *[x.astype(np.int32) for x in (anchor, first, last, rows[of], first - off[of] + shift[of])]))
+        return self._found
 
     def keys(self):
         """Distinct keys, which recur in the block, each entry's key."""
-        hashes = np.concatenate([np.zeros(0, np.uint64), *[x[1] for x in self.each()]])
+        hashes = np.concatenate([np.zeros(0, np.uint64), *[x[0] for x in self.each()]])
         hashes &= ~np.uint64((1 << (64 - 8 * ANCHOR_BYTES)) - 1)
         keys, inverse, count = np.unique(hashes, return_inverse=True, return_counts=True)
         return keys, count > 1, inverse
@@ -248,14 +252,16 @@ class _Contexts:
         again = (own | B.unbits(heard))[inverse] if len(keys) else np.zeros(0, bool)
         wide = context_width(self.length)
         parts, at = [], 0
-        for buf, hashes, anchor, first, last, row, place in self.each():
+        for held, (hashes, anchor, first, last, row, place) in zip(self.slices, self.each()):
             hit = np.flatnonzero(again[at : at + len(anchor)])
             at += len(anchor)
-            padded = np.concatenate([buf, np.zeros(wide, np.uint8)])
+            if not len(hit):
+                continue
+            padded = np.concatenate([*[p for _, _, p in held], np.zeros(wide, np.uint8)])
             size = last[hit] - first[hit] + self.length
             m = padded[first[hit][:, None] + np.arange(wide)]
             m[np.arange(wide) >= size[:, None]] = 0
-            parts.append((hashes[hit], (anchor - first)[hit].astype(np.uint8), (anchor - last)[hit].astype(np.uint8), row[hit], place[hit], m))
+            parts.append((hashes[hit], (anchor - first)[hit].astype(np.uint8), (anchor - last)[hit].astype(np.uint8), row[hit].astype(np.int64), place[hit].astype(np.int64), m))
         if not parts:
             parts = [(np.zeros(0, np.uint64), *[np.zeros(0, np.uint8)] * 2, *[np.zeros(0, np.int64)] * 2, np.zeros((0, wide), np.uint8))]
         hashes, high, low, row, place, m = (np.concatenate(x) for x in zip(*parts))
