@@ -69,11 +69,6 @@ def alert_emails(events: DataFrame, key: list[str], order: str) -> DataFrame:
     return m.select(*key, subject.alias("subject"), text.alias("text"), html.alias("html"))
 
 
-def new_york_times(ts: Column, zones: tuple[str, ...] = ("America/New_York", "UTC", "Europe/Madrid")) -> Column:
-    """The moment in several zones, one below the other."""
-    return F.concat_ws("\n", *[F.concat(F.date_format(F.from_utc_timestamp(ts, z), "yyyy-MM-dd HH:mm:ss "), F.lit(z)) for z in zones])
-
-
 def select_saved(saved: DataFrame, wanted: DataFrame, name: str = "name", country: str = "country") -> DataFrame:
     """wanted (wish) with what it selects: equal names, else names that contain it, else the country; state ok, ambiguous or missing."""
     fold = lambda c: F.trim(F.lower(c))

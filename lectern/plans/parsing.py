@@ -186,3 +186,38 @@ def display_titles(spark, sf_dir):
     k = F.col("c_custkey")
     title, country = F.when(k % 2 == 0, "Minister").otherwise(""), F.when(k % 3 > 0, F.concat(F.lit("L"), "c_nationkey")).otherwise("")
     return table(spark, sf_dir, "customer").select("c_custkey", publish.joined_title(title, country).alias("title"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'pdf' WHEN doc_id % 3 = 0 THEN 'audio' WHEN doc_id % 5 = 0 THEN 'video' END AS source, CASE WHEN doc_id % 3 = 0 THEN 'audio' WHEN doc_id % 2 = 0 THEN 'pdf' END AS heard FROM documents""")
+def chosen_sources(spark, sf_dir):
+    k, text = F.col("doc_id"), F.lit("x")
+    have = {"pdf": F.when(k % 2 == 0, text), "audio": F.when(k % 3 == 0, text), "video": F.when(k % 5 == 0, text)}
+    sources = F.map_filter(F.create_map(*[x for n, c in have.items() for x in (F.lit(n), c)]), lambda _, v: v.isNotNull())
+    first = {"audio": have["audio"], "pdf": have["pdf"]}
+    return table(spark, sf_dir, "documents").select("doc_id", files.choose_source(sources, ["pdf", "audio", "video"]).alias("source"), T.first_available(first).alias("heard"))
+
+
+@query("SELECT event_id FROM events WHERE event_type IN ('error', 'signup') OR contains(props, '7')")
+def highlight_lines(spark, sf_dir):
+    logs = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("level"), F.col("props").alias("message"))
+    return sinks.highlight_lines(logs, ["error", "signup"], ["7"]).select("event_id")
+
+
+@query("""WITH p AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN repeat('/i12 ', 30) || left(url, 9) WHEN 1 THEN repeat('/7', 19) WHEN 2 THEN repeat('/3 ', 25) || url || url || url || url ELSE url END AS t FROM pages)
+SELECT page_id, len(regexp_extract_all(t, '/i?\d+')) >= 20 AND length(regexp_replace(regexp_replace(t, '/i?\d+', ' ', 'g'), '\P{L}', '', 'g')) < greatest(20, len(regexp_extract_all(t, '/i?\d+')) // 5) AS garbage, page_id % 7 = 0 AS challenge FROM p""")
+def page_states(spark, sf_dir):
+    k, url = F.col("page_id"), F.col("url")
+    t = F.when(k % 5 == 0, F.concat(F.lit("/i12 " * 30), F.left(url, F.lit(9)))).when(k % 5 == 1, F.lit("/7" * 19)).when(k % 5 == 2, F.concat(F.lit("/3 " * 25), url, url, url, url)).otherwise(url)
+    body = F.when(k % 14 == 0, "<html>AwsWaf challenge").when(k % 7 == 0, "wait").otherwise("a page")
+    p = table(spark, sf_dir, "pages").select("page_id", t.alias("t"), body.alias("b"), F.when(k % 7 == 0, 202).otherwise(200).alias("s"))
+    return p.select("page_id", C.is_glyph_garbage("t").alias("garbage"), pages.is_waf_page(F.col("s"), F.col("b")).alias("challenge"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN c_custkey WHEN 1 THEN -c_custkey WHEN 2 THEN 7 END::INTEGER AS code, CASE WHEN c_custkey % 2 = 0 THEN '["a", ' || c_custkey || ']' END AS codes FROM customer""")
+def model_answers(spark, sf_dir):
+    k = F.col("c_custkey")
+    s = k.cast("string")
+    raw = F.when(k % 6 == 0, s).when(k % 6 == 1, F.concat(F.lit("-"), s)).when(k % 6 == 2, " 7 ").when(k % 6 == 3, "1.5").when(k % 6 == 4, "")
+    answer = F.when(k % 2 == 0, F.concat(F.lit('Sure: ```json\n{"codes": ["a"], "x": 1}\n``` and {"codes": ['), s, F.lit(']} {broken'))).otherwise("nothing")
+    merged = F.get_json_object(C.lenient_json(answer), "$.codes")
+    return table(spark, sf_dir, "customer").select("c_custkey", T.strict_code(raw).alias("code"), F.regexp_replace(merged, ",", ", ").alias("codes"))
