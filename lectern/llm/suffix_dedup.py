@@ -27,7 +27,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import blocks as B
