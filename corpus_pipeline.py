@@ -5,6 +5,8 @@ Each stage takes (spark, docs, sf_dir) and works on what the one before kept. Al
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,17 +17,17 @@ from lectern.llm.queries import TOKENIZER_RANKS
 NEAR_PERCENT = 80  # op8_near_dedup has its own, higher limit
 
 
-def _columns(found: DataFrame, docs: DataFrame, *outputs: str) -> DataFrame:
-    """found without the operator's columns, as docs has them (an operator puts its own at the end)."""
-    names = [f"c{i}" for i in range(len(found.columns))]
-    kept = names[: len(names) - len(outputs)]
-    assert found.columns[: len(kept)] == docs.columns, "a column of documents has an operator's name"
-    return found.toDF(*names).select(*kept).toDF(*docs.columns)
+def _through(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """work(docs) with the columns of docs. Meanwhile all but doc_id and text have names of their own, so that none clashes with an operator's."""
+    inner = [f"p{i}" for i in range(len(docs.columns))]
+    for name in ("doc_id", "text"):
+        inner[common.place(docs.columns, name)] = name
+    return work(docs.toDF(*inner)).select(*inner).toDF(*docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go, null and empty texts among them. Repeated rows are judged alike; ids may be null."""
-    return _columns(quality_rules.quality_rules(docs).where("kept"), docs, *quality_rules.OUTPUT)
+    return _through(docs, lambda d: quality_rules.quality_rules(d).where("kept"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows that share a doc_id are one document and stay or go together; a null doc_id is the least. Documents without words stay.
     """
-    return _columns(near_dedup.near_groups(docs, percent=NEAR_PERCENT).where("kept"), docs, *near_dedup.OUTPUT)
+    return _through(docs, lambda d: near_dedup.near_groups(d, percent=NEAR_PERCENT).where("kept"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,21 +43,22 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Documents of which nothing is left go; those that were null or empty before stay. Rows of one doc_id take nothing from each other.
     """
-    found = suffix_dedup.suffix_dedup(docs, as_text=True)
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    at = common.place(docs.columns, "text")
-    found = found.toDF(*names, *suffix_dedup.OUTPUT).where((F.size("removed") == 0) | (F.length("kept") > 0))
-    new = {i: F.col(n) for i, n in enumerate(names)} | {at: F.col("kept")}
-    if "n_chars" in docs.columns:
-        i = docs.columns.index("n_chars")
-        new[i] = F.when(F.size("removed") > 0, F.length("kept")).otherwise(F.col(names[i])).cast(docs.schema[i].dataType)
-    return found.select(*[new[i].alias(n) for i, n in enumerate(names)]).toDF(*docs.columns)
+    at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def cut(d: DataFrame) -> DataFrame:
+        found = suffix_dedup.suffix_dedup(d, as_text=True).where((F.size("removed") == 0) | (F.length("kept") > 0))
+        new = {"text": F.col("kept")}
+        if at is not None:
+            new[f"p{at}"] = F.when(F.size("removed") > 0, F.length("kept")).otherwise(F.col(f"p{at}")).cast(docs.schema[at].dataType)
+        return found.withColumns(new)
+
+    return _through(docs, cut)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go; without benchmark items all stay."""
-    found = decontamination.find_contamination(docs, common.table(spark, sf_dir, "benchmark"))
-    return _columns(found.where(F.size("hit_words") == 0), docs, *decontamination.OUTPUT)
+    benchmark = common.table(spark, sf_dir, "benchmark")
+    return _through(docs, lambda d: decontamination.find_contamination(d, benchmark).where(F.size("hit_words") == 0))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
