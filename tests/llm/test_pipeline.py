@@ -88,3 +88,26 @@ def test_near_duplicates_from_four_fifths(spark):
         rows += [(2 * i, " ".join(words), "en", "s", 1), (2 * i + 1, " ".join(near), "en", "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [0, 2, 3]
+
+
+def test_odd_documents(spark, tmp_path, reference_bpe):  # noqa: F811
+    """Clashing names, null ids and texts, repeated rows, no rows, no benchmark items."""
+    rows, items = corpus()
+    names = ["doc_id", "Text", "kept", "text", "n_words", "removed", "hit_words", "component_id", "n_chars", "_node"]
+    odd = [(i, "T", "k", t, 5, "r", None, "c", n, 1.5) for i, t, _, _, n in rows] + [(None, None, None, rows[0][1] + " of no id", None, None, None, None, None, None), (0, "T", "k", rows[0][1], 5, "r", None, "c", rows[0][4], 1.5)]
+    docs = spark.createDataFrame(odd, "a long, b string, c string, d string, e int, f string, g string, h string, i long, j double").toDF(*names)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/full/benchmark.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/none/benchmark.parquet")
+    for folder in ("full", "none"):
+        at = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, at, f"{tmp_path}/{folder}")
+            assert out.columns == names and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], name
+            assert stage(spark, docs.limit(0), f"{tmp_path}/{folder}").count() == 0
+            at = corpus_pipeline.common.written(out.toDF(*[f"x{i}" for i in range(len(names))]), "odd").toDF(*names)
+        got = [tuple(r) for r in at.collect()]
+        assert all(g[1:3] in (("T", "k"), (None, None)) for g in got) and {g[8] for g in got if g[3]} == {len(g[3]) if g[0] is not None else None for g in got if g[3]}
+        tokens = corpus_pipeline.tokens(spark, at, "").collect()
+        assert sorted(r.n_tokens for r in tokens) == sorted(len(reference_bpe.encode_ordinary(g[3] or "")) for g in got) and len(got) >= 12
+    # the document without an id is the least, and document 0 its near copy
+    assert None in {g[0] for g in got} and 0 not in {g[0] for g in got}
