@@ -203,7 +203,7 @@ def highlight_lines(spark, sf_dir):
     return sinks.highlight_lines(logs, ["error", "signup"], ["7"]).select("event_id")
 
 
-@query("""WITH p AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN repeat('/i12 ', 30) || left(url, 9) WHEN 1 THEN repeat('/7', 19) WHEN 2 THEN repeat('/3 ', 25) || url || url || url || url ELSE url END AS t FROM pages)
+@query(r"""WITH p AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN repeat('/i12 ', 30) || left(url, 9) WHEN 1 THEN repeat('/7', 19) WHEN 2 THEN repeat('/3 ', 25) || url || url || url || url ELSE url END AS t FROM pages)
 SELECT page_id, len(regexp_extract_all(t, '/i?\d+')) >= 20 AND length(regexp_replace(regexp_replace(t, '/i?\d+', ' ', 'g'), '\P{L}', '', 'g')) < greatest(20, len(regexp_extract_all(t, '/i?\d+')) // 5) AS garbage, page_id % 7 = 0 AS challenge FROM p""")
 def page_states(spark, sf_dir):
     k, url = F.col("page_id"), F.col("url")
