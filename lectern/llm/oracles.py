@@ -102,4 +102,38 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 A
 FROM k
 """
 
-ORACLES = {"op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op6_suffix_dedup": OP6, "op8_near_dedup": OP8, "op9_decontamination": OP9, "op10_warc": OP10}
+OP11 = rf"""
+WITH t AS (SELECT doc_id, unnest({ALNUM_WORDS}) AS t FROM documents),
+f AS (SELECT doc_id, t, count(*) AS tf FROM t GROUP BY doc_id, t),
+n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+c AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM n),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM f GROUP BY t), c),
+q AS (SELECT DISTINCT item_id, unnest({ALNUM_WORDS}) AS t FROM benchmark),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+      FROM q JOIN f USING (t) JOIN w USING (t) JOIN n USING (doc_id), c GROUP BY item_id, doc_id),
+r AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+RUNS = rf"regexp_extract_all({LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')"
+# The checksum is folded over half bytes; T is its table for these.
+_STEP = "lambda c, b: xor(c >> 4, T[(xor(c, b) & 15) + 1])"
+OP12 = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(16), lambda i: list_reduce([i::BIGINT, 1, 1, 1, 1], lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS T),
+o AS (SELECT doc_id, r, count(*) AS k FROM (SELECT doc_id, unnest({RUNS}) AS r FROM documents) WHERE length(r) >= 7 GROUP BY doc_id, r),
+x AS (SELECT r, k, hex(encode(doc_id::VARCHAR || ':' || r)) AS x FROM o),
+y AS (SELECT r, k, list_transform(range(len(x)), lambda i: (strpos('0123456789ABCDEF', x[(i // 2) * 2 + 2 - i % 2]) - 1)::BIGINT) AS b FROM x),
+h AS (SELECT r, k, xor(list_reduce(list_prepend(4294967295::BIGINT, b), {_STEP}), 4294967295::BIGINT)::BIGINT AS h FROM y, crc),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, k FROM h)
+      WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+d AS (SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS z FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+p AS (SELECT x.word AS a, y.word AS b FROM d x JOIN d y ON x.i = y.i AND x.a = y.a AND x.z = y.z AND x.word <> y.word
+      UNION SELECT v.word, d.word FROM v JOIN d ON v.word = d.a || d.z UNION SELECT d.word, v.word FROM v JOIN d ON v.word = d.a || d.z),
+m AS (SELECT p.a AS word, p.b AS other, v.n AS m, row_number() OVER (PARTITION BY p.a ORDER BY v.n DESC, encode(p.b)) AS k, count(*) OVER (PARTITION BY p.a) AS n_near FROM p JOIN v ON v.word = p.b),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 10 * v.n THEN other END AS form, (CASE WHEN m >= 10 * v.n THEN m END)::BIGINT AS form_n FROM v LEFT JOIN m ON m.word = v.word AND k = 1),
+c AS (SELECT word, word AS root, 0 AS step FROM f UNION ALL SELECT c.word, f.form, step + 1 FROM c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, g.root FROM f JOIN (SELECT word, arg_max(root, step) AS root FROM c GROUP BY word) g USING (word)
+"""
+
+ORACLES = {"op1_substring_dedup": OP1, "op4_quality_rules": OP4, "op6_suffix_dedup": OP6, "op8_near_dedup": OP8, "op9_decontamination": OP9, "op10_warc": OP10, "op11_lexical_search": OP11, "op12_spelling_groups": OP12}

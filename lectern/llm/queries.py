@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontamination, near_dedup, quality_model, quality_rules, substring_dedup, suffix_dedup, token_files, toxicity, warc
+from . import bpe, common, decontamination, language_id, lexical_search, near_dedup, quality_model, quality_rules, spelling, substring_dedup, suffix_dedup, token_files, toxicity, warc
 
 TOKENIZER_RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER_JSON = "byte_bpe_50k.json"
@@ -79,6 +79,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.spelling_groups(common.table(spark, sf_dir, "documents"))
+    return found.select("word", "n", "n_near", "form", "form_n", "root")
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = common.crc_remainder("doc_id", 4) == 2
+    model = language_id.fit(docs, ~held_out)
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,5 +109,8 @@ QUERIES = {
         op8_near_dedup,
         op9_decontamination,
         op10_warc,
+        op11_lexical_search,
+        op12_spelling_groups,
+        op13_language_id,
     )
 }
