@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fuzzy
 from ..functions import text as T
-from ..operators import codebook, corrections, publish
+from ..operators import codebook, corrections, likeness, publish
 from ..streaming import processors, speaker
 from ..streaming.monitor import Monitor, stream_monitor
 from .registry import _CODES, _PROJECTION, ORACLES, _payload, _projected, query, table
@@ -83,18 +83,26 @@ def introduction_lines(spark, sf_dir):
     return corrections.introductions(d, java(speaker.CUE), java(speaker.THANKS)).select("doc_id")
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey END::BIGINT AS position, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN 'country' ELSE 'name' END AS found_by FROM customer")
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN c_nationkey ELSE 1000 + s_suppkey END::BIGINT AS position,
+CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN 'country' ELSE 'name' END AS found_by
+FROM customer JOIN supplier ON s_suppkey = c_custkey % (SELECT count(*) FROM supplier) + (SELECT min(s_suppkey) FROM supplier)""")
 def roster_match(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    name = F.concat(F.initcap(F.reverse("n_name")), F.lit(" "), F.initcap(F.substring(F.sha2("n_name", 256), 1, 9)))
-    agenda = n.select(F.col("n_nationkey").cast("long").alias("position"), name.alias("name"), F.initcap("n_name").alias("country"), F.lit("President").alias("title"))
-    c = table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    """Every supplier has a made-up name of two words; customers are heard to say one with a letter lost, one doubled and one replaced, or only a country."""
+    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier").select("s_suppkey")
+    word = lambda salt, size: F.initcap(F.substring(F.translate(F.sha2(F.concat(F.lit(salt), F.col("s_suppkey").cast("string")), 256), "0123456789", "ghijklmnop"), 1, size))
+    names = s.select("s_suppkey", word("a", 8).alias("first"), word("b", 10).alias("last"))
+    people = names.select((F.col("s_suppkey") + 1000).cast("long").alias("position"), F.concat_ws(" ", "first", "last").alias("name"), F.lit("").alias("country"), F.lit("").alias("title"))
+    heads = n.select(F.col("n_nationkey").cast("long").alias("position"), F.lit("").alias("name"), F.initcap("n_name").alias("country"), F.lit("President").alias("title"))
+    of = s.agg(F.count(F.lit(1)).alias("many"), F.min("s_suppkey").alias("low"))
     k = F.col("c_custkey")
-    heard = c.select(
-        k, F.when(k % 7 == 0, "unknown").when(k % 5 == 0, "").otherwise(F.upper(name)).alias("name"),
-        F.when(k % 7 == 0, "President").otherwise(F.concat(F.lit("Minister of the Republic of "), F.initcap("n_name"))).alias("title"), F.lit("").alias("country"),
+    c = table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).crossJoin(F.broadcast(of)).withColumn("s_suppkey", k % F.col("many") + F.col("low"))
+    first = F.concat(F.substring("first", 1, 3), F.substring("first", 5, 9))
+    last = F.concat(F.substring("last", 1, 4), F.substring("last", 4, 3), F.lit("z"), F.substring("last", 8, 9))
+    heard = c.join(names, "s_suppkey").select(
+        k, F.when(k % 7 == 0, "unknown").when(k % 5 == 0, "").otherwise(F.upper(F.concat_ws(" ", first, last))).alias("name"),
+        F.when(k % 7 == 0, "President").when(k % 5 == 0, F.concat(F.lit("Minister of the Republic of "), F.initcap("n_name"))).alias("title"), F.lit("").alias("country"),
     )
-    return fuzzy.match_roster(heard, agenda).select("c_custkey", "position", "found_by")
+    return likeness.match_roster(heard, people.unionByName(heads)).select("c_custkey", "position", "found_by")
 
 
 @query("SELECT c_custkey, lower(strip_accents(c_name)) || ' ecole d abord ' || c_nationkey AS folded, 'ecole-d-abord-' || c_nationkey AS slug, 'L' || c_nationkey AS country FROM customer".replace("lower(strip_accents(c_name))", "replace(lower(c_name), '#', ' ')"))

@@ -17,11 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.text import covered_lines
-from .speaker import SpeakerRules, restored
+from .speaker import SpeakerRules
 
 LATE, IDLE_SECONDS = "10 minutes", 3600
-#: A gap in a stream from which a stored speaker is judged anew, as after a restart.
-RESTART_SECONDS = 600
 
 
 class _JsonState(StatefulProcessor):
@@ -195,14 +193,10 @@ def stream_speaker_batches(stream: DataFrame, key: str, *, event_time: str | Non
 
 
 def tracked(rules: SpeakerRules, state: dict, rows: list[dict]) -> tuple[dict, list[dict]]:
-    """Rows (seq, seconds, text) with their speakers. After a gap, as after a restart, a speaker stays only if the rules of restored() say so."""
+    """Rows (seq, seconds, text) with their speakers."""
     out = []
     for r in rows:
-        now = float(r["seconds"])
-        if "seen" in state and now - state["seen"] > RESTART_SECONDS:
-            state = restored(state, now)
-        state, speaker = rules.observe(state, r["text"], now)
-        state["seen"] = now
+        state, speaker = rules.observe(state, r["text"], float(r["seconds"]))
         out.append({"seq": int(r["seq"]), "speaker": speaker})
     return state, out
 

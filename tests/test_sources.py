@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import fuzzy
 from lectern.functions import text as T
-from lectern.operators import dims, rows, sequence
+from lectern.operators import dims, likeness, rows, sequence
 from lectern.operators.alerts import AlertConfig, simulate
 from lectern.sources import files
 
@@ -88,6 +88,6 @@ def test_matching(spark):
     assert fuzzy.match("Zz Qq", "", "", agenda) is None
     heard = spark.createDataFrame([(1, "Ana Exampel", None, None), (2, None, None, None)], "i int, name string, title string, country string")
     listed = spark.createDataFrame([(i, *a) for i, a in enumerate(agenda)], "position long, name string, country string, title string")
-    assert [(r.i, r.position, r.found_by) for r in fuzzy.match_roster(heard, listed).orderBy("i").collect()] == [(1, 0, "name"), (2, None, None)]
+    assert [(r.i, r.position, r.found_by) for r in likeness.match_roster(heard, listed).orderBy("i").collect()] == [(1, 0, "name"), (2, None, None)]
     s = spark.createDataFrame([("a", 0.9, 1), ("a", 0.88, 2), ("b", 0.9, 3), ("b", 0.5, 4)], "k string, s double, i int")
     assert [r.i for r in dims.best_with_margin(s, "k", "s", 0.62, 0.08, [F.col("i")]).collect()] == [3]
