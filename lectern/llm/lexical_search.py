@@ -208,7 +208,7 @@ def build(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size:
     def segments(batches):
         part, held, segment = TaskContext.get().partitionId(), 0, _Segment()
         for whole in batches:
-            for batch in K.slices(whole, "text"):
+            for batch in K.slices(whole, "text", min(K.SLICE_BYTES, size)):
                 segment.add(batch["doc_id"], batch["text"])
                 if segment.size >= size:
                     yield from segment.rows((part << 32) + held, documents, length, schema)
@@ -391,7 +391,7 @@ def _searcher(shared, ids: pa.DataType):
     def run(key, table):
         group: Group = pickle.loads(shared.value)
         lists = Lists(table, group.terms)
-        found = []
+        found = [(np.zeros(0, np.int64),) * 3]
         for k in range(0, len(group.items), LANES):
             q, d, s = block_max_wand(lists, group.items[k : k + LANES], group.weights, group.least[k : k + LANES])
             found.append((q + k, d, s))
