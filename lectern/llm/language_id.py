@@ -2,15 +2,16 @@
 
 For each language a suffix automaton of a bounded sample of its labelled texts is built in a task. A text is read from left to right; a
 phrase goes on as long as it occurs in the sample, which the automaton knows from one transition for each symbol, so that phrases are the longest
-matches. With c phrases over n symbols and a sample of m symbols, the text costs c * log2(m + 1) / n bits a symbol; the
-language with the lowest cost is predicted (ties: the smallest name). The score says how much lower it is than the second, as a share of that: 0 for a
+matches. With c phrases over n symbols and a sample of m symbols, the text costs c * (log2(m + 1) + log2(155)) / n bits a symbol, for a place in the
+sample and one of the 155 symbols with each phrase, so that small samples gain nothing; the language with the lowest cost is predicted (ties: the smallest name). The score says how much lower it is than the second, as a share of that: 0 for a
 tie, towards 1 for a clear case; 1 if only one language was learnt.
 
 Symbols are the bytes of the lower-cased text, each run of ASCII characters other than letters being one space. Texts are parsed in stretches of
 `STRETCH` symbols, many side by side in one array; at a stretch's end the phrase ends, too. Every stretch of a text counts.
 
 The sample: of each language the rows of the least id hashes, at most `ROWS` and until `SAMPLE_BYTES` of text are reached (rows that are longer
-alone are passed over). With very many languages each gets less, so that all automata together stay within `MODEL_BYTES`.
+alone are passed over). With very many languages each gets less, so that all automata together stay within `MODEL_BYTES`; more than `LANGUAGES`
+are an error.
 
 Defined results: null texts and texts without a letter are `und` with score 0; rows without id, language or text teach nothing; equal texts get equal
 results, so repeated rows do; with nothing learnt all are `und`; an empty table gives no rows. Texts of any length count whole. Other columns are
@@ -32,7 +33,7 @@ from . import common
 from . import kernel as K
 
 SAMPLE_BYTES, ROWS = 32 << 10, 400
-MODEL_BYTES = 192 << 20
+MODEL_BYTES, LANGUAGES = 192 << 20, 5_000
 STRETCH = 256
 UNKNOWN = "und"
 OUTPUT = ("lang_pred", "score")
@@ -115,16 +116,20 @@ class Model:
     tables: list[np.ndarray]
 
 
-def sample(docs: DataFrame, learn: Column, *, size: int, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """_id, lang and text of the rows to learn from, a bounded number of bytes of each language."""
-    rows = docs.where(learn).where(F.col(doc_id).isNotNull() & F.col(lang).isNotNull() & (F.octet_length(text) <= size))
-    rows = rows.select(F.col(doc_id).alias("_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("_hash"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id", "_hash")
-    ids = rows.select("_id", "lang", "_hash", F.octet_length("text").alias("_size"))
+def sample(rows: DataFrame, counts: DataFrame, size: int) -> DataFrame:
+    """lang and text of the rows (_id, lang, text) to learn from. counts: lang, n.
+
+    Rows are ordered by a hash of id and text. Of each language only the share with the lowest hashes that holds about twice as many rows as are
+    wanted is ranked, so that a task ranks few rows however many there are.
+    """
+    rows = rows.where(F.octet_length("text") <= size).withColumn("_hash", F.xxhash64("_id", "text"))
+    ids = rows.join(F.broadcast(counts), "lang").where(F.shiftrightunsigned("_hash", 1) / float(1 << 63) * F.col("n") <= 2 * ROWS + 200)
+    ids = ids.select("lang", "_id", "_hash", F.octet_length("text").alias("_size")).distinct()
+    order = Window.partitionBy("lang").orderBy("_hash", "_id")
     ids = ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= ROWS)
     ids = ids.withColumn("_before", F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    chosen = ids.where(F.col("_before") < size).select("_id", "lang", "_hash").distinct()
-    return rows.join(F.broadcast(chosen), ["_id", "lang", "_hash"], "left_semi").select("_id", "lang", "text").distinct()
+    chosen = ids.where(F.col("_before") < size).select("lang", "_id", "_hash")
+    return rows.join(F.broadcast(chosen), ["lang", "_id", "_hash"], "left_semi").select("lang", "_hash", "text").distinct()
 
 
 def _learnt(key, table):
@@ -137,16 +142,20 @@ def _learnt(key, table):
     for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist()):
         sequence += [*code[a:b].tolist(), end]
     found = steps(SuffixAutomaton(sequence), used)
-    return pa.table({"lang": [key[0].as_py()], "used": [used.tolist()], "size": [len(code)], "steps": pa.array([found.tobytes()], pa.binary())})
+    K.release()
+    return pa.table({"lang": [key[0].as_py()], "used": pa.array([used.tolist()], pa.list_(pa.int64())), "size": [len(code)], "steps": pa.array([found.tobytes()], pa.binary())})
 
 
 def fit(docs: DataFrame, learn: Column, *, size: int = SAMPLE_BYTES, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Automata of all languages among the rows where learn holds."""
     c = common.Columns(docs.withColumn("_learn", learn), _id=doc_id, text=text, lang=lang, _may="_learn")
-    languages = c.only().where("_may AND lang IS NOT NULL AND _id IS NOT NULL").select(F.count_distinct("lang").alias("n")).first()["n"]
+    rows = c.only().where("_may AND _id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select("_id", F.col("lang").cast("string").alias("lang"), "text")
+    counts = common.written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    languages = counts.count()
+    if languages > LANGUAGES:
+        raise ValueError(f"{languages} languages: the automata of more than {LANGUAGES} do not fit")
     size = min(size, MODEL_BYTES // (8 * (_CODES + 1) * max(languages, 1)))  # at most two states for each byte of text, 4 bytes for each symbol
-    rows = sample(c.only(), F.col("_may"), size=size, doc_id="_id", text="text", lang="lang").withColumn("_hash", F.xxhash64("_id"))
-    got = rows.groupBy("lang").applyInArrow(_learnt, "lang string, used array<long>, size long, steps binary").toArrow().sort_by("lang")
+    got = sample(rows, counts, size).groupBy("lang").applyInArrow(_learnt, "lang string, used array<long>, size long, steps binary").where("size > 0").toArrow().sort_by("lang")
     used = [np.array(u, np.int64) for u in got["used"].to_pylist()]
     return Model(got["lang"].to_pylist(), used, got["size"].to_pylist(), [np.frombuffer(s, np.int32) for s in got["steps"].to_pylist()])
 
@@ -194,7 +203,7 @@ class Parser:
     def predict(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of the best language, score) of each text."""
         found, length = self.phrases(texts)
-        cost = found * np.array([math.log2(m + 1) for m in self.model.sizes]) / np.maximum(length, 1)[:, None]
+        cost = found * np.array([math.log2(m + 1) + math.log2(_CODES) for m in self.model.sizes]) / np.maximum(length, 1)[:, None]
         best = np.argmin(cost, axis=1)
         if cost.shape[1] == 1:
             return best, np.ones(len(best))
@@ -206,7 +215,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """docs with lang_pred and score."""
     c = common.Columns(docs, OUTPUT, text=text)
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    frame = c.frame.withColumns({"_lower": F.lower("text"), "_lettered": lettered})
+    frame = c.frame.withColumn("_lettered", lettered)
     schema = c.frame.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
     if not model.names:
         return c.result(c.frame.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)}))
@@ -216,10 +225,10 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
         parser = Parser(shared.value)
         names = np.array([*shared.value.names, UNKNOWN], dtype=object)
         for whole in batches:
-            for batch in K.slices(whole, "_lower", 1 << 20):
-                best, score = parser.predict(batch["_lower"])
+            for batch in K.slices(whole, "text", 1 << 20):
+                best, score = parser.predict(pc.utf8_lower(batch["text"]))
                 known = np.asarray(batch["_lettered"])
-                columns = [x for x, n in zip(batch.columns, batch.schema.names) if n not in ("_lower", "_lettered")]
+                columns = batch.columns[:-1]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(names[np.where(known, best, len(names) - 1)], pa.string()), pa.array(np.where(known, score, 0.0))], names=schema.names)
             K.release()
 
