@@ -43,7 +43,7 @@ class Rule:
 
 #: The threshold table. Ratios are per word unless the name says otherwise.
 RULES = (
-    Rule("length", "n_words", low=50, high=10_000_000),
+    Rule("length", "n_words", low=50),
     Rule("repeated_words", "repeat_ratio", high=0.5),
     Rule("word_length", "mean_word_chars", low=2.0, high=14.0),
     Rule("symbols", "symbol_ratio", high=0.3),
