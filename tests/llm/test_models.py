@@ -29,14 +29,14 @@ def sigmoid(x):
 
 
 class PlainFTRL:
-    def __init__(self, l1):
-        self.z, self.n, self.l1 = {}, {}, l1
+    def __init__(self, alpha, l1):
+        self.z, self.n, self.alpha, self.l1 = {}, {}, alpha, l1
 
     def weight(self, i):
         z, l1 = self.z.get(i, 0.0), 0.0 if i == "bias" else self.l1
         if abs(z) <= l1:
             return 0.0
-        return -(z - math.copysign(l1, z)) / ((1.0 + math.sqrt(self.n.get(i, 0.0))) / 1.5 + 1.0)
+        return -(z - math.copysign(l1, z)) / ((1.0 + math.sqrt(self.n.get(i, 0.0))) / self.alpha + 1.0)
 
     def total(self, places):
         return sum(self.weight(i) for i in places)
@@ -46,7 +46,7 @@ class PlainFTRL:
         g = sigmoid(sum(weights.values())) - y
         for i, w in weights.items():
             n = self.n.get(i, 0.0)
-            self.z[i] = self.z.get(i, 0.0) + g - (math.sqrt(n + g * g) - math.sqrt(n)) / 1.5 * w
+            self.z[i] = self.z.get(i, 0.0) + g - (math.sqrt(n + g * g) - math.sqrt(n)) / self.alpha * w
             self.n[i] = n + g * g
 
 
@@ -59,19 +59,22 @@ def plain_toxicity():
             known[r["doc_id"]] = max(known.get(r["doc_id"], 0), r["toxic"])
     examples = [(places[i], known[i]) for i in sorted(known, key=lambda i: (crc(i), str(i)))]
 
-    def learnt(some, passes, l1):
-        model, order = PlainFTRL(l1), np.random.default_rng(7)
+    def after_passes(some, passes, alpha, l1):
+        model, order = PlainFTRL(alpha, l1), np.random.default_rng(7)
         for _ in range(passes):
             for k in order.permutation(len(some)).tolist():
                 model.learn(*some[k])
-        return model
+            yield model
 
     fifth = len(examples) // 5
-    tried = {}
-    for l1 in (4.0, 8.0, 16.0):
-        m = learnt(examples[fifth:], 3, l1)
-        tried[l1] = sum(math.log1p(math.exp(max(-35.0, min(35.0, m.total(p))) * (1 - 2 * y))) for p, y in examples[:fifth])
-    model = learnt(examples, 3, min(tried, key=tried.get))
+    tried = []
+    for alpha in (0.05, 0.2, 0.8, 3.2):
+        for l1 in (0.5, 2.0, 8.0, 32.0):
+            for k, m in enumerate(after_passes(examples[fifth:], 4, alpha, l1)):
+                loss = sum(math.log1p(math.exp(max(-35.0, min(35.0, m.total(p))) * (1 - 2 * y))) for p, y in examples[:fifth]) / fifth
+                tried.append((loss, alpha, l1, k + 1))
+    _, alpha, l1, passes = min(tried)
+    *_, model = after_passes(examples, passes, alpha, l1)
     return {i: sigmoid(model.total(p)) for i, p in places.items()}
 
 
@@ -185,6 +188,23 @@ def test_toxicity_query_equals_a_plain_learner(spark):
         assert r.held_out == (crc(i) % 4 == 2) and r.score == pytest.approx(want[i], abs=1e-5) and r.predicted == int(r.score >= 0.3)
 
 
+def test_options_come_from_learning_rows_only(spark, tmp_path):
+    """Held-out labels turned around: rate, strength and passes are the same. And the sample keeps to its bound of features."""
+    from pyspark.sql import functions as F
+
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    turned = labels.withColumn("toxic", F.when(held_out, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    found = []
+    for known in (labels, turned):
+        sample = toxicity.labelled_sample(docs, known, "toxic", ~held_out, toxicity.SAMPLE)
+        e = toxicity.hashed_sample(sample, toxicity.BITS, toxicity.PLACES)
+        found.append(toxicity.chosen(spark, spark.sparkContext.broadcast(e), len(e)))
+    assert found[0] == found[1] and set(found[0]) == {"alpha", "l1", "passes"}
+    small = toxicity.hashed_sample(sample, toxicity.BITS, 20_000)
+    assert 0 < len(small) < len(e) and len(small.places) <= 20_000 and small.places.tolist() == e.places[: len(small.places)].tolist()
+
+
 def test_additive_model_equals_a_plain_learner():
     rng = np.random.default_rng(3)
     x = np.round(rng.random((120, 4)), 2)
