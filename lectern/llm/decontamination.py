@@ -2,10 +2,10 @@
 
 A pattern is a window of `width` consecutive item words (an item with fewer words is one pattern of its
 own length). Patterns of one length m form a table: `shift[block]` says how far a search window may move
-when its last two words hash to block, and where the shift is 0 the block's bucket, kept by the hash of the whole
-window, lists the patterns that end in it. The search runs over many stretches of text at once, each with its own place: stretches
-whose shift is positive jump, the others test their bucket's patterns and move by one. A found pattern is
-confirmed by comparing the words' bytes.
+when its last two words hash to block, and where the shift is 0 the block's bucket lists the patterns that end in it, ordered by a hash of their
+first two words. The search runs over many stretches of text at once, each with its own place: stretches
+whose shift is positive jump, the others look in their bucket for the patterns that begin like the window, and move by one. Such a pattern is
+compared with the window word by word, first by the words' hashes and then by their bytes.
 
 Tables are flat arrays of about 10 bytes for each byte of item text. Items are cut into pieces of `PIECE_WORDS` windows
 in tasks, and the pieces into groups of at most `GROUP_BYTES` of text; one group's tables are broadcast at a time.
@@ -60,52 +60,63 @@ class PatternTable:
         new[1:] = (whole[1:] != whole[:-1]) | (second[1:] != second[:-1])
         again = ~new
         again[1:] &= items[1:] == items[:-1]
-        self.whole, first = whole[new], starts[new]
-        pattern = np.cumsum(new) - 1
-        self.items = items[~again].astype(np.int32)
-        self.ptr = np.searchsorted(pattern[~again], np.arange(len(first) + 1))
-        # The patterns' words, each followed by a space.
-        at = (first[:, None] + np.arange(m)).reshape(-1)
-        size = (words.end - words.start)[at] + 1
-        ends = np.cumsum(size)
-        inside = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size)
-        self.text = words.buf[np.minimum(np.repeat(words.start[at], size) + inside, len(words.buf) - 1)]
-        if len(ends):
-            self.text[ends - 1] = 32
-        self.text_ptr = np.concatenate(([0], ends[m - 1 :: m])).astype(np.int64)
-
-    def bytes_of(self, pattern: int) -> bytes:
-        return self.text[self.text_ptr[pattern] : self.text_ptr[pattern + 1]].tobytes()
+        first, pattern = starts[new], np.cumsum(new) - 1
+        # Patterns by bucket (the block that they end in), then by the hash of their first block.
+        self.hash = words.hash
+        bucket = self.bucket_keys(words.hash, first)
+        by = np.argsort(bucket, kind="stable")
+        self.bucket, self.first = bucket[by], first[by]
+        of = np.argsort(by)[pattern[~again]]
+        place = np.argsort(of, kind="stable")
+        self.items = items[~again][place].astype(np.int32)
+        self.ptr = np.searchsorted(of[place], np.arange(len(first) + 1))
+        self.buf, self.start, self.end = words.buf, words.start, words.end
+
+    def word(self, i: int) -> bytes:
+        return self.buf[self.start[i] : self.end[i]].tobytes()
 
     def keys(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
         h = last if self.block == 1 else last ^ (before * K.U64(0x9E3779B97F4A7C15))
         return (h >> K.U64(64 - _SHIFT_BITS)).astype(np.int64)
 
+    def bucket_keys(self, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Of the windows that begin at these words: their last block, and in the lower 40 bits a hash of their first one."""
+        last, begin = hashes[first + self.m - 1], hashes[first]
+        suffix = self.keys(last, hashes[first + self.m - 2] if self.block == 2 else last)
+        prefix = begin if self.block == 1 else begin ^ (hashes[first + 1] * K.U64(0xD1B54A32D192ED03))
+        return (suffix << 40) | (prefix >> K.U64(24)).astype(np.int64)
+
+    def candidates(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, pattern) for each pattern of a window's bucket that begins like it; windows by the place in first."""
+        key = self.bucket_keys(hashes, first)
+        low, high = np.searchsorted(self.bucket, key), np.searchsorted(self.bucket, key, side="right")
+        window = np.repeat(np.arange(len(first)), high - low)
+        return window, np.repeat(high - np.cumsum(high - low), high - low) + np.arange(len(window))
+
     def search(self, words: K.Words) -> tuple[np.ndarray, np.ndarray]:
         """Starts of the occurrences and the pattern of each."""
         h, ptr, m = words.hash, words.ptr, self.m
         counts = np.diff(ptr)
         reach = np.maximum(counts - m + 1, 0)  # windows of each text
         lanes = -(-reach // STRETCH)
-        if not lanes.sum() or not len(self.whole):
+        if not lanes.sum() or not len(self.first):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         text = np.repeat(np.arange(len(counts)), lanes)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
         at = ptr[text] + nth * STRETCH + m - 1  # the last word of the window
         end = np.minimum(at + STRETCH, ptr[text + 1])
-        sums = K.prefix_sums(h)
-        inverse = K.powers(K._BASE_INV, len(sums))
         starts, found = [], []
         while len(at):
             skip = self.shift[self.keys(h[at], h[at - 1] if self.block == 2 else h[at])].astype(np.int64)
             stop = np.flatnonzero(skip == 0)
             if len(stop):
                 first = at[stop] - m + 1
-                window = K.mix((sums[first + m] - sums[first]) * inverse[first])
-                place = np.searchsorted(self.whole, window)
-                hit = (place < len(self.whole)) & (self.whole[np.minimum(place, len(self.whole) - 1)] == window)
-                starts.append(first[hit])
-                found.append(place[hit])
+                window, pattern = self.candidates(h, first)
+                for k in range(m):
+                    same = h[first[window] + k] == self.hash[self.first[pattern] + k]
+                    window, pattern = window[same], pattern[same]
+                starts.append(first[window])
+                found.append(pattern)
                 skip[stop] = 1
             at = at + skip
             go = at < end
@@ -113,7 +124,8 @@ class PatternTable:
         if not starts:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         s, p = np.concatenate(starts), np.concatenate(found)
-        same = np.fromiter((b"".join(words.word(j) + b" " for j in range(i, i + m)) == self.bytes_of(q) for i, q in zip(s.tolist(), p.tolist())), bool, len(s))
+        each = ((i, f) for i, f in zip(s.tolist(), self.first[p].tolist()))
+        same = np.fromiter((all(words.word(i + k) == self.word(f + k) for k in range(m)) for i, f in each), bool, len(s))
         return s[same], p[same]
 
 
@@ -157,11 +169,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "te
     """docs with n_words, `hit_words` (the first and last word of each hit run, flat) and `items` (sorted ids as strings)."""
     c = common.Columns(docs, OUTPUT, text=text)
     out = c.frame.withColumns({"n_words": F.lit(0).cast("long"), "hit_words": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
-    items = common.written(pieces(benchmark, item_id, item_text, width), "patterns")
+    items = common.written(pieces(benchmark, item_id, item_text, width).distinct(), "patterns")
     size = items.agg(F.coalesce(F.sum(F.octet_length("t") + F.octet_length(F.coalesce("i", F.lit("")))), F.lit(0)).alias("n")).first()["n"]
     groups = max(1, -(-int(size) // group_bytes))
     for g in range(groups):
-        # At most about group_bytes: a group is dealt by hash, and a piece is small.
+        # At most about group_bytes: pieces are distinct and small, and dealt by hash.
         got = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(groups)) == g).toArrow()
         shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(pattern_tables(got["i"].to_pylist(), got["t"].to_pylist(), width)))
         before, out = out, out.mapInArrow(_scanner(shared), out.schema)
