@@ -308,7 +308,8 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     common.drop_written(members, texts, bounds, inside, star, links, untried, more)
 
     of_class = classes.join(labels, classes["rep"] == labels["node"], "left").select(*sets, F.coalesce("component", "rep").alias("component"))
-    found = signed.join(of_class, sets, "left").select("node", "n", F.coalesce("component", "node").alias("component"))
+    found = signed.where("n > 0").join(of_class, sets, "left").select("node", "n", F.coalesce("component", "node").alias("component"))
+    found = found.unionByName(signed.where("n = 0").select("node", "n", F.col("node").alias("component")))  # no words, one key: they stay where they are
     found = found.groupBy("node").agg(F.max("n").alias("n_shingles"), F.min("component").alias("_c"))
     found = found.select("node", "n_shingles", F.when(F.col("_c") != NULL_ID, F.col("_c")).alias("component_id"), (F.col("_c") == F.col("node")).alias("kept"))
     return c.result(named.join(found, "node"))
