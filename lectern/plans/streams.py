@@ -8,13 +8,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fuzzy
 from ..functions import text as T
 from ..operators import codebook, corrections, likeness, publish
-from ..streaming import processors, speaker
+from ..streaming import attribution, processors, speaker, windows
 from ..streaming.monitor import Monitor, stream_monitor
 from .registry import _CODES, _PROJECTION, ORACLES, _payload, _projected, query, table
 
@@ -29,9 +29,9 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
-def run_stream(stream: DataFrame) -> DataFrame:
-    """All rows of a stream over files that are there; transformWithState keeps its state in RocksDB."""
-    spark, path = stream.sparkSession, work_folder(stream.sparkSession)
+def run_stream(stream: DataFrame, path: str | None = None) -> DataFrame:
+    """All rows of a stream over files that are there; transformWithState keeps its state in RocksDB, below path."""
+    spark, path = stream.sparkSession, path or work_folder(stream.sparkSession)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     q = stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
     q.awaitTermination()
@@ -46,6 +46,17 @@ def streamed(spark, sf_dir, name) -> DataFrame:
     return spark.readStream.schema(stored.schema).option("pathGlobFilter", files).parquet(folder)
 
 
+def closed(stream: DataFrame, *times: str, **values) -> DataFrame:
+    """The stream with a last row far ahead in the named times, of these values and else nulls, so that the watermark passes all that is open.
+
+    A join needs a key in it: rows with null keys go before the watermark sees them.
+    """
+    spark, path = stream.sparkSession, work_folder(stream.sparkSession)
+    far = [F.lit("2999-01-01" if c in times else values.get(c)).cast(k).alias(c) for c, k in stream.dtypes]
+    spark.range(1).select(*far).write.parquet(path)
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
+
+
 @query(ORACLES["cooldown_events"])
 def stream_cooldown(spark, sf_dir):
     e = streamed(spark, sf_dir, "events").select("event_type", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
@@ -127,3 +138,83 @@ def codebook_labels(spark, sf_dir):
 @query(_PROJECTION + "SELECT day, printf('%s  %d of %d speeches  %d e-mails', day, analysed::BIGINT, expected::BIGINT, emails::BIGINT) AS line FROM o")
 def report_lines(spark, sf_dir):
     return publish.report_lines(_projected(spark, sf_dir)).select("day", F.regexp_extract("line", r"^(.*)  projected [0-9.-]+$", 1).alias("line"))
+
+
+# --- windows, surroundings, agendas and states handed over -------------------------------------------------
+
+_START = 1_790_000_000  # on 2026-09-21
+
+
+def _spoken(spark, sf_dir, seconds: int) -> DataFrame:
+    """The conversations as a stream of lines: each turn so many seconds after the one before."""
+    at = F.timestamp_seconds(F.lit(_START) + F.col("turn") * seconds)
+    return streamed(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), at.alias("ts"), "text")
+
+
+@query("""WITH l AS (SELECT conv_id, turn, 1790000000 + turn * 7 AS t, coalesce(text, '') AS text FROM conversations),
+w AS (SELECT *, unnest(range(((t - 20) // 16) * 16 + 16, t + 1, 16)) AS s FROM l)
+SELECT conv_id, s::BIGINT AS start, s::BIGINT + 20 AS "end", count(*) AS lines, coalesce(string_agg(text, ' ' ORDER BY t, turn, text) FILTER (text <> ''), '') AS text FROM w GROUP BY conv_id, s""")
+def stream_windows(spark, sf_dir):
+    found = run_stream(windows.hopping_text(closed(_spoken(spark, sf_dir, 7), "ts"), "conv_id", "ts", ["turn"], "text")).where("conv_id IS NOT NULL")
+    return found.select("conv_id", F.unix_timestamp("start").alias("start"), F.unix_timestamp("end").alias("end"), "lines", "text")
+
+
+@query("""WITH l AS (SELECT user_id % 4 AS k, epoch_us(ts) AS s, epoch_us(ts) + (event_id % 5000) * 1000000 AS e, 'e' || event_id AS text FROM events),
+h AS (SELECT event_id, user_id % 4 AS k, epoch_us(ts) AS a FROM events WHERE event_type = 'error'),
+j AS (SELECT h.event_id, h.a, l.* FROM h JOIN l ON l.k = h.k AND l.s <= h.a + 3600000000 AND l.s >= h.a - 12600000000 AND l.e >= h.a - 7200000000),
+o AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY s, e, text) AS n, max(e) OVER (PARTITION BY event_id ORDER BY s, e, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM j WHERE s < a + 3600000000 AND e > a - 7200000000),
+p AS (SELECT event_id, string_agg(text, ' ' ORDER BY s, e, text) AS passage FROM o WHERE n = 1 OR e > before + 300000 GROUP BY event_id)
+SELECT DISTINCT j.event_id, coalesce(p.passage, '') AS passage FROM j LEFT JOIN p USING (event_id)""")
+def stream_context_join(spark, sf_dir):
+    e = streamed(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 4).alias("k"), F.col("ts").cast("timestamp").alias("at"), "event_type")
+    length = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("event_id") % 5000)
+    lines = e.select("k", F.col("at").alias("start"), (F.col("at") + length).alias("end"), F.concat(F.lit("e"), F.col("event_id")).alias("text"))
+    hits = e.where("event_type = 'error'").select("k", "at", "event_id")
+    found = windows.context_join(closed(hits, "at", k=-1), closed(lines, "start", "end", k=-1), "k", "at", ["event_id"], "start", "end", "text", before=7200, after=3600, longest=5400)
+    return run_stream(found).where("event_id IS NOT NULL").select("event_id", "passage")
+
+
+def _letters(number) -> Column:
+    return F.translate(number.cast("string"), "0123456789", "bcdfghjklm")
+
+
+def _introducing(lines: DataFrame) -> DataFrame:
+    """In the second turn of each conversation a chair gives the floor to the president of the conversation's own country."""
+    says = F.concat(F.lit("I now give the floor to the President of Land"), _letters(F.col("conv_id")), F.lit("."))
+    return lines.withColumn("text", F.when(F.col("turn") == 1, says).otherwise(F.col("text")))
+
+
+def _entries() -> Column:
+    one = F.struct(F.concat(F.lit("Head "), _letters(F.col("conv_id"))).alias("name"), F.concat(F.lit("Land"), _letters(F.col("conv_id"))).alias("country"), F.lit("President").alias("title"))
+    return F.array(one)
+
+
+_DAY = "2026-09-21"
+
+
+@query("""WITH c AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, translate(conv_id::VARCHAR, '0123456789', 'bcdfghjklm') AS l FROM conversations)
+SELECT conv_id, 'line' AS kind, turn::BIGINT AS seq, CASE WHEN turn > 1 AND conv_id % 2 = 1 THEN 'Head ' || l ELSE 'unknown' END AS speaker, NULL AS message FROM c
+UNION ALL SELECT conv_id, 'status', NULL, NULL, 'no agenda of 2026-09-21; 0 speakers of another agenda are used' FROM c WHERE n = 1 AND conv_id % 2 = 0""")
+def stream_agendas(spark, sf_dir):
+    """Agendas come in the stream: of odd conversations before the introduction, of even ones after it."""
+    lines = _spoken(spark, sf_dir, 20)
+    when = F.timestamp_seconds(F.lit(_START) + F.when(F.col("conv_id") % 2 == 1, 0).otherwise(50))
+    plan = lines.where("turn = 1").select("conv_id", when.alias("at"), F.lit(_DAY).alias("day"), _entries().alias("entries"))
+    both = attribution.lines_of(_introducing(lines), "conv_id", "turn", "ts", "text").unionByName(attribution.agendas_of(plan, "conv_id", "at", "day", "entries"))
+    return run_stream(attribution.attribute(both, "conv_id", speaker.SpeakerRules([]))).select("conv_id", "kind", "seq", "speaker", "message")
+
+
+@query("""SELECT conv_id, turn::BIGINT AS seq, CASE WHEN turn > 1 AND conv_id % 3 <> 0 THEN 'Head ' || translate(conv_id::VARCHAR, '0123456789', 'bcdfghjklm') ELSE 'unknown' END AS speaker FROM conversations
+WHERE turn > 2 AND conv_id IN (SELECT conv_id FROM conversations WHERE turn = 1)""")
+def stream_taken_over(spark, sf_dir):
+    """One query reads the first three turns, another one the rest: from the first one's state, ten minutes or (every third conversation) two hours later."""
+    rules, lines = speaker.SpeakerRules([]), _introducing(_spoken(spark, sf_dir, 20))
+    plan = lines.where("turn = 1").select("conv_id", F.timestamp_seconds(F.lit(_START)).alias("at"), F.lit(_DAY).alias("day"), _entries().alias("entries"))
+    first = attribution.lines_of(lines.where("turn <= 2"), "conv_id", "turn", "ts", "text").unionByName(attribution.agendas_of(plan, "conv_id", "at", "day", "entries"))
+    path = work_folder(spark)
+    run_stream(attribution.attribute(first, "conv_id", rules), path)
+    pause = F.make_dt_interval(F.lit(0), F.lit(0), F.when(F.col("conv_id") % 3 == 0, 120).otherwise(10))
+    rest = attribution.lines_of(lines.where("turn > 2").withColumn("ts", F.col("ts") + pause), "conv_id", "turn", "ts", "text")
+    taken = attribution.saved_trackers(spark, f"{path}/state", "conv_id")
+    found = run_stream(attribution.attribute(rest, "conv_id", rules, taken_over=taken))
+    return found.where("kind = 'line'").select("conv_id", "seq", "speaker")
