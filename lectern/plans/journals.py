@@ -185,12 +185,13 @@ def day_filter(spark, sf_dir):
     return publish.of_day(table(spark, sf_dir, "orders").withColumn("day", day), "1995-03", "F", slug_column="o_orderstatus").select("o_orderkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' OR c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+@query("""WITH o AS (SELECT c_mktsegment || '-' || o_orderkey % 5 AS slug FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F' AND o_orderkey % 40 = 0)
+SELECT c_custkey FROM (SELECT c_custkey, c_mktsegment || '-' || c_custkey % 5 AS slug FROM customer) WHERE slug IN ('BUILDING-1', 'MACHINERY-2', 'FURNITURE-0') OR slug NOT IN (SELECT slug FROM o)""")
 def to_extract(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
-    stored = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("slug"), F.when(F.col("o_orderstatus") == "F", " EN ").otherwise("fr").alias("language"))
-    listed = c.where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").cast("string").alias("slug"), "c_custkey")
-    return publish.to_extract(listed, stored, []).select("c_custkey").unionByName(c.where("c_mktsegment = 'BUILDING'").select("c_custkey"))
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    slug = lambda number: F.concat_ws("-", "c_mktsegment", number % 5)
+    stored = o.where("o_orderkey % 40 = 0").join(c, F.col("c_custkey") == F.col("o_custkey")).select(slug(F.col("o_orderkey")).alias("slug"), F.when(F.col("o_orderstatus") == "F", " EN ").otherwise("fr").alias("language"))
+    return publish.to_extract(c.select(slug(F.col("c_custkey")).alias("slug"), "c_custkey"), stored, ["BUILDING-1", "MACHINERY-2", "FURNITURE-0"]).select("c_custkey")
 
 
 @query("SELECT DISTINCT 'M_' || doc_id AS id_speech FROM documents UNION SELECT 'M_' || doc_id FROM labels")
@@ -321,22 +322,20 @@ def covered_passages(spark, sf_dir):
 
 
 @query("""WITH RECURSIVE s AS (SELECT l_orderkey AS k, l_quantity::INTEGER AS a, l_quantity::INTEGER + l_linenumber AS b, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity::INTEGER, -l_linenumber) AS n FROM lineitem),
-f AS (SELECT k, n, b AS last, 1 AS kept FROM s WHERE n = 1 UNION ALL SELECT f.k, s.n, CASE WHEN s.a < last THEN last ELSE s.b END, kept + CASE WHEN s.a < last THEN 0 ELSE 1 END FROM f JOIN s ON s.k = f.k AND s.n = f.n + 1)
-SELECT k AS l_orderkey, max(kept)::BIGINT AS spans, max(last)::BIGINT AS reach FROM f GROUP BY k""")
+f AS (SELECT k, n, b AS last, a || '-' || b AS kept FROM s WHERE n = 1 UNION ALL SELECT f.k, s.n, CASE WHEN s.a < last THEN last ELSE s.b END, CASE WHEN s.a < last THEN kept ELSE kept || ' ' || s.a || '-' || s.b END FROM f JOIN s ON s.k = f.k AND s.n = f.n + 1)
+SELECT k AS l_orderkey, arg_max(kept, n) AS spans FROM f GROUP BY k""")
 def merged_spans(spark, sf_dir):
     a = F.col("l_quantity").cast("int")
     l = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(a.alias("start"), (a + F.col("l_linenumber")).cast("int").alias("end"))).alias("s"))
-    m = l.select("l_orderkey", sequence.merge_spans(F.col("s")).alias("m"))
-    return m.select("l_orderkey", F.size("m").cast("long").alias("spans"), F.element_at("m", -1)["end"].cast("long").alias("reach"))
+    return l.select("l_orderkey", F.array_join(F.transform(sequence.merge_spans(F.col("s")), lambda x: F.concat_ws("-", x["start"], x["end"])), " ").alias("spans"))
 
 
-@query("""WITH RECURSIVE s AS (SELECT conv_id AS k, length(text) AS l, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations),
-f AS (SELECT k, n, l AS size, 1 AS chunks FROM s WHERE n = 1 UNION ALL SELECT f.k, s.n, CASE WHEN size + 2 + s.l <= 600 THEN size + 2 + s.l ELSE s.l END, chunks + CASE WHEN size + 2 + s.l <= 600 THEN 0 ELSE 1 END FROM f JOIN s ON s.k = f.k AND s.n = f.n + 1)
-SELECT k AS conv_id, max(chunks)::BIGINT AS chunks, max(size)::BIGINT AS longest FROM f GROUP BY k""")
+@query("""WITH RECURSIVE s AS (SELECT conv_id AS k, text AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations),
+f AS (SELECT k, n, 1 AS chunk, t AS open FROM s WHERE n = 1 UNION ALL SELECT f.k, s.n, chunk + CASE WHEN length(open) + 2 + length(s.t) <= 600 THEN 0 ELSE 1 END, CASE WHEN length(open) + 2 + length(s.t) <= 600 THEN open || chr(10) || chr(10) || s.t ELSE s.t END FROM f JOIN s ON s.k = f.k AND s.n = f.n + 1)
+SELECT k AS conv_id, chunk::INTEGER AS chunk, arg_max(open, n) AS text FROM f GROUP BY k, chunk""")
 def packed_chunks(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: x["text"]).alias("p"))
-    p = c.select("conv_id", sequence.pack(F.col("p"), 600).alias("c"))
-    return p.select("conv_id", F.size("c").cast("long").alias("chunks"), F.array_max(F.transform("c", F.length)).cast("long").alias("longest"))
+    return c.select("conv_id", F.posexplode(sequence.pack(F.col("p"), 600)).alias("at", "text")).select("conv_id", (F.col("at") + 1).alias("chunk"), "text")
 
 
 # --- clocks and addresses ----------------------------------------------------------------------------------
@@ -368,10 +367,11 @@ def session_days(spark, sf_dir):
     return o.select("o_orderkey", clock.session_day("day", ["2026-09-22", "2026-09-23"]).alias("day"), F.unix_timestamp(clock.parse_utc("day")).alias("moment"))
 
 
-@query(r"""SELECT page_id, CASE WHEN url LIKE '%page=%' THEN regexp_replace(url, '([?&])page=[^&#]*&?', '\1') || '&page=7' WHEN url LIKE '%?%' THEN url || '&page=7' ELSE url || '?page=7' END AS paged, regexp_extract(url, '([^/?#]+)/*(?:[?#].*)?$', 1) AS tail, contains(url, '/en/8/') AS of_session FROM pages WHERE url NOT LIKE '%#%'""")
+@query(r"""WITH u AS (SELECT page_id, url, trim(url) AS u FROM pages),
+x AS (SELECT *, regexp_extract(u, '^([^?#]*)', 1) AS base, regexp_extract(u, '(#.*)$', 1) AS fragment, list_filter(string_split(regexp_extract(u, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> '' AND split_part(p, '=', 1) <> 'page') AS pairs FROM u)
+SELECT page_id, CASE WHEN regexp_matches(u, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+') THEN base || '?' || array_to_string(list_append(pairs, 'page=7'), '&') || fragment END AS paged, regexp_extract(url, '([^/?#]+)/*(?:[?#].*)?$', 1) AS tail, contains(url, '/en/8/') AS of_session FROM x""")
 def page_addresses(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").where(~F.col("url").contains("#"))
-    return p.select("page_id", urls.with_query("url", "page", F.lit(7)).alias("paged"), urls.tail_segment("url").alias("tail"), urls.of_session("url", 8).alias("of_session"))
+    return table(spark, sf_dir, "pages").select("page_id", urls.with_query("url", "page", F.lit(7)).alias("paged"), urls.tail_segment("url").alias("tail"), urls.of_session("url", 8).alias("of_session"))
 
 
 @query("""WITH g AS (SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w THEN 1 ELSE 0 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
@@ -382,17 +382,28 @@ def speaker_ranges(spark, sf_dir):
     return replay.speaker_ranges(e, "user_id", "event_id", "value", "value", F.floor(F.col("event_id") / 10_000))
 
 
-@query(r"""WITH e AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type AS keyword, CASE WHEN user_id % 3 = 0 THEN 'unknown' ELSE 'S' || event_id % 2 END AS speaker, ts FROM events),
-k AS (SELECT user_id, day, string_agg(keyword, ', ' ORDER BY f) AS words FROM (SELECT user_id, day, keyword, min(event_id) AS f FROM e GROUP BY ALL) GROUP BY ALL),
+@query(r"""WITH e AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type AS keyword, CASE WHEN user_id % 3 = 0 THEN 'unknown' ELSE 'S' || event_id % 2 END AS speaker, ts,
+CASE WHEN event_id % 2 = 0 THEN 'H. E.' END AS title, 'A <' || event_type || '> & a passage: ' || event_id || ', ' || upper(event_type) AS passage, CASE WHEN event_id % 3 = 0 THEN 'about ' || event_type END AS context, CASE WHEN event_id % 5 = 0 THEN 'https://x.example/?a=1&b=' || event_id END AS url FROM events),
+k AS (SELECT user_id, day, string_agg(keyword, ', ' ORDER BY f) AS words, string_agg(keyword, '|' ORDER BY length(keyword) DESC, keyword) AS pattern FROM (SELECT user_id, day, keyword, min(event_id) AS f FROM e GROUP BY ALL) GROUP BY ALL),
 s AS (SELECT user_id, day, string_agg(speaker, ', ' ORDER BY f) AS names FROM (SELECT user_id, day, speaker, min(event_id) AS f FROM e WHERE speaker <> 'unknown' GROUP BY ALL) GROUP BY ALL),
-m AS (SELECT user_id, day, arg_min(ts, event_id) AS moment FROM e GROUP BY ALL)
-SELECT user_id, day, 'KEYWORD_DETECTED | ' || words || coalesce(' | ' || names, '') AS subject, 'Keyword(s): ' || words || chr(10) || 'When: ' || strftime(moment, '%Y-%m-%d %H:%M:%S') || ' UTC' AS head FROM m JOIN k USING (user_id, day) LEFT JOIN s USING (user_id, day)""")
+t AS (SELECT DISTINCT user_id, day, title AS titles FROM e WHERE title IS NOT NULL),
+m AS (SELECT e.* FROM e WHERE event_id = (SELECT min(x.event_id) FROM e x WHERE x.user_id = e.user_id AND x.day = e.day)),
+z AS (SELECT user_id, day, words, pattern, names, titles, url, coalesce(context, passage) AS p, CASE WHEN context IS NULL THEN 'Chunk' ELSE 'Context' END AS label, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' UTC' AS utc,
+strftime(timezone('America/New_York', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S') || ' EST' AS ny, strftime(timezone('Europe/Madrid', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S') || ' CET' AS madrid FROM m JOIN k USING (user_id, day) LEFT JOIN s USING (user_id, day) LEFT JOIN t USING (user_id, day)),
+h AS (SELECT *, replace(replace(replace(p, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS hp, replace(url, '&', '&amp;') AS hu FROM z)
+SELECT user_id, day, 'KEYWORD_DETECTED | ' || words || coalesce(' | ' || names, '') AS subject,
+'Keyword(s): ' || words || chr(10) || 'When: ' || utc || chr(10) || 'New York: ' || ny || chr(10) || 'Madrid: ' || madrid || coalesce(chr(10) || 'YouTube: ' || url, '') || coalesce(chr(10) || 'Speaker: ' || names, '') || CASE WHEN names IS NOT NULL AND titles IS NOT NULL THEN chr(10) || 'Title: ' || titles ELSE '' END
+|| chr(10) || chr(10) || label || ':' || chr(10) || regexp_replace(p, '\b(' || pattern || ')\b', '**\1**', 'gi') AS text,
+'<div style="font-family:sans-serif;max-width:40em;line-height:1.45"><p><b>Keyword(s):</b> ' || words || '</p><p><b>When:</b> ' || utc || '<br><b>New York:</b> ' || ny || '<br><b>Madrid:</b> ' || madrid || '</p>' || coalesce('<p><b>YouTube:</b> <a href="' || hu || '">' || hu || '</a></p>', '')
+|| coalesce('<p><b>Speaker:</b> ' || names || '</p>', '') || CASE WHEN names IS NOT NULL AND titles IS NOT NULL THEN '<p><b>Title:</b> ' || titles || '</p>' ELSE '' END || '<p><b>' || label || ':</b></p><blockquote style="margin:0;border-left:3px solid #222;padding:0.4em 0.8em">'
+|| regexp_replace(hp, '\b(' || pattern || ')\b', '<strong>\1</strong>', 'gi') || '</blockquote></div>' AS html FROM h""")
 def alert_emails_text(spark, sf_dir):
-    u, none = F.col("user_id"), F.lit(None).cast("string")
-    e = table(spark, sf_dir, "events").select(
-        u, F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").alias("position"), F.col("event_type").alias("keyword"),
-        F.when(u % 3 == 0, "unknown").otherwise(F.concat(F.lit("S"), F.col("event_id") % 2)).alias("speaker"), none.alias("speaker_title"), F.col("ts").cast("timestamp").alias("timestamp"),
-        F.lit("a passage").alias("transcript"), none.alias("mail_context"), none.alias("watch_url"),
+    u, k, e = F.col("user_id"), F.col("event_id"), F.col("event_type")
+    d = table(spark, sf_dir, "events").select(
+        u, F.date_format("ts", "yyyy-MM-dd").alias("day"), k.alias("position"), e.alias("keyword"), F.when(u % 3 == 0, "unknown").otherwise(F.concat(F.lit("S"), k % 2)).alias("speaker"),
+        F.when(k % 2 == 0, "H. E.").alias("speaker_title"), F.col("ts").cast("timestamp").alias("timestamp"), F.concat(F.lit("A <"), e, F.lit("> & a passage: "), k, F.lit(", "), F.upper(e)).alias("transcript"),
+        F.when(k % 3 == 0, F.concat(F.lit("about "), e)).alias("mail_context"), F.when(k % 5 == 0, F.concat(F.lit("https://x.example/?a=1&b="), k)).alias("watch_url"),
     )
-    m = mail.alert_emails(e, ["user_id", "day"], "position")
-    return m.select("user_id", "day", "subject", F.substring_index("text", "\n", 2).alias("head"))
+    return mail.alert_emails(d, ["user_id", "day"], "position")
+
+

@@ -125,13 +125,12 @@ def roster_agenda(spark, sf_dir):
     return store.agenda_of_roster(r).select("position", "name", "country")
 
 
-@query("""SELECT doc_id, CASE WHEN length(t) < 800 THEN 1 ELSE 2 END AS parts, CASE WHEN length(t) < 800 THEN length(t) ELSE length(trim(left(t, coalesce(p, s, w, length(t) // 2)))) END AS first FROM (
-SELECT doc_id, t, CASE WHEN p0 >= 400 THEN p0 + 2 END AS p, CASE WHEN s0 >= 400 THEN s0 + 2 END AS s, CASE WHEN w0 >= 400 THEN w0 + 1 END AS w FROM (
+@query("""WITH c AS (SELECT doc_id, t, coalesce(p, s, w, length(t) // 2) AS cut FROM (SELECT doc_id, t, CASE WHEN p0 >= 400 THEN p0 + 2 END AS p, CASE WHEN s0 >= 400 THEN s0 + 2 END AS s, CASE WHEN w0 >= 400 THEN w0 + 1 END AS w FROM (
 SELECT doc_id, t, CASE WHEN contains(h, chr(10) || chr(10)) THEN length(h) - strpos(reverse(h), chr(10) || chr(10)) - 1 ELSE -1 END AS p0, CASE WHEN contains(h, '. ') THEN length(h) - strpos(reverse(h), ' .') - 1 ELSE -1 END AS s0, CASE WHEN contains(h, ' ') THEN length(h) - strpos(reverse(h), ' ') ELSE -1 END AS w0
-FROM (SELECT doc_id, text AS t, left(text, (length(text) // 2 + 200)::INTEGER) AS h FROM documents)))""")
+FROM (SELECT doc_id, text AS t, left(text, (length(text) // 2 + 200)::INTEGER) AS h FROM documents))))
+SELECT doc_id, 0 AS part, CASE WHEN length(t) < 800 THEN t ELSE trim(left(t, cut::INTEGER)) END AS text FROM c UNION ALL SELECT doc_id, 1, trim(substr(t, cut::INTEGER + 1)) FROM c WHERE length(t) >= 800""")
 def chunk_halves(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", labels.halves("text").alias("h"))
-    return d.select("doc_id", F.size("h").alias("parts"), F.length(F.get("h", F.lit(0))).alias("first"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(labels.halves("text")).alias("part", "text"))
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 5 = 0 OR source = 'pdf_other' THEN 'translate' WHEN doc_id % 2 = 0 THEN 'whisper' ELSE 'none' END AS transformation, CASE WHEN doc_id % 3 = 0 THEN 'en' WHEN doc_id % 4 = 0 THEN 'und' ELSE lang END AS language,

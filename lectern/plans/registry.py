@@ -491,12 +491,12 @@ def progress_day_rollup(spark, sf_dir):
     return rollup.progress_by_day(_progress(spark, sf_dir))
 
 
-@query(_ENTRIES + "SELECT left(day, 4) AS session, count(*) AS days, max(day) AS newest, sum(speakers)::BIGINT AS speakers FROM q GROUP BY 1")
+@query(_ENTRIES + "SELECT left(day, 4) AS session, (row_number() OVER (PARTITION BY left(day, 4) ORDER BY day DESC) - 1)::INTEGER AS position, day, speakers, speeches, analyses, errors, status FROM q")
 def session_payload(spark, sf_dir):
     days = rollup.progress_by_day(_progress(spark, sf_dir)).withColumn("session", F.left("day", F.lit(4)))
-    kind = F.from_json("payload", "array<struct<day:string,speakers:bigint>>")
-    p = rollup.session_payload(days).withColumn("d", kind)
-    return p.select("session", F.size("d").cast("long").alias("days"), F.col("d")[0]["day"].alias("newest"), F.aggregate("d", F.lit(0).cast("long"), lambda a, x: a + x["speakers"]).alias("speakers"))
+    kind = "array<struct<day:string,speakers:bigint,speeches:bigint,analyses:bigint,errors:bigint,status:string>>"
+    p = rollup.session_payload(days).select("session", F.posexplode(F.from_json("payload", kind)).alias("position", "d"))
+    return p.select("session", "position", "d.*")
 
 
 @query("""SELECT c_custkey, row_number() OVER (ORDER BY coalesce(nullif(CASE WHEN c_custkey % 7 = 0 THEN '' ELSE '2025-09-' || (10 + c_custkey % 15) END, ''), '9999'), CASE WHEN c_custkey % 5 = 0 THEN 1000000000 ELSE c_custkey END, c_name, c_custkey) AS position FROM customer""")
@@ -625,13 +625,15 @@ def ordered_union(spark, sf_dir):
     return mail.ordered_union(o.where("position % 2 = 0"), o, "slug", "position")
 
 
-@query("""WITH d AS (SELECT session, day, count(*) AS n FROM (SELECT o_orderstatus AS session, strftime(o_orderdate, '%Y-%m') AS day FROM orders) GROUP BY ALL) SELECT session, count(*) AS days, sum(n)::BIGINT AS items FROM d GROUP BY session""")
+@query("""SELECT session, day, '{"session":"' || session || '","day":"' || day || '","items":[' || string_agg('{"id":' || id || ',"price":"' || price || '"}', ',' ORDER BY id) || ']}' AS value
+FROM (SELECT o_orderstatus AS session, strftime(o_orderdate, '%Y-%m') AS day, o_orderkey AS id, o_totalprice::DECIMAL(18, 2)::VARCHAR AS price FROM orders) GROUP BY session, day""")
 def day_documents(spark, sf_dir):
     from ..sources import sinks
 
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("session"), F.date_format("o_orderdate", "yyyy-MM").alias("day"), F.col("o_orderkey").alias("id"))
-    docs = sinks.day_documents(o, ["session", "day"], "items").select(F.from_json("value", "session string, day string, items array<struct<id:bigint>>").alias("v")).select("v.*")
-    return docs.groupBy("session").agg(F.count(F.lit(1)).alias("days"), F.sum(F.size("items")).alias("items"))
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("session"), F.date_format("o_orderdate", "yyyy-MM").alias("day"), F.col("o_orderkey").alias("id"), price.alias("price"))
+    found = sinks.day_documents(o, ["session", "day"], "items")
+    return found.select(F.get_json_object("value", "$.session").alias("session"), F.get_json_object("value", "$.day").alias("day"), "value")
 
 
 from . import journals, parsing, streams  # noqa: E402, F401  register their queries here

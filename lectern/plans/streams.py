@@ -71,27 +71,35 @@ def stream_dedup(spark, sf_dir):
     return run_stream(processors.stream_dedup(e, ["event_type", "props"], "t", 3_600_000_000))
 
 
-@query(r"""WITH c AS (SELECT conv_id, turn, text FROM conversations WHERE regexp_matches(text, '(?i)(^|[^\p{L}\p{N}\p{M}_])(que|the)($|[^\p{L}\p{N}\p{M}_])')) SELECT DISTINCT conv_id, turn FROM c""")
+@query(r"""WITH c AS (SELECT conv_id, turn, trim(regexp_replace(text, '\s+', ' ', 'g')) AS f FROM conversations),
+w AS (SELECT conv_id, turn, f, len(l) AS many, unnest(l) AS hit, unnest(range(len(l))) AS i FROM (SELECT *, regexp_extract_all(f, '[\p{L}\p{N}_]+') AS l FROM c)),
+h AS (SELECT conv_id, turn, i, lower(hit) AS keyword, '"' || CASE WHEN i = 0 AND starts_with(f, hit) THEN '' ELSE '...' END || hit || CASE WHEN i = many - 1 AND ends_with(f, hit) THEN '' ELSE '...' END || '"' AS context FROM w WHERE lower(hit) IN ('que', 'the')),
+g AS (SELECT conv_id, turn, keyword, context, min(i) AS i FROM h GROUP BY ALL)
+SELECT conv_id, turn::BIGINT AS seq, turn * 1000.0::DOUBLE + 1790000000 AS seconds, 'unknown' AS speaker, keyword, context, row_number() OVER (PARTITION BY conv_id, turn, keyword ORDER BY i) = 1 AS send FROM g""")
 def stream_journal(spark, sf_dir):
+    """Turns lie 1,000 seconds apart, so a hit is new unless its own window has it already, and the first of a keyword is sent."""
     c = streamed(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("seq"), (F.col("turn") * 1000.0 + 1_790_000_000.0).alias("seconds"), "text")
-    found = run_stream(stream_monitor(c, "conv_id", Monitor(["que", "the"], speaker.SpeakerRules([]), 0, 8, 120)))
-    return found.select("conv_id", F.col("seq").alias("turn")).distinct()
+    return run_stream(stream_monitor(c, "conv_id", Monitor(["que", "the"], speaker.SpeakerRules([]), 0, 8, 120)))
 
 
-#: Texts, and whether a chair introduces or thanks somebody in them.
+#: What is put into a text, and whether a chair introduces or thanks somebody with it.
 _SAID = [
     ("I now give the floor to the President of Peru.", True), ("The Assembly will here an address", True), ("We shall now hear Mr. X", True), ("the distinguished representative", True),
     ("We give thanks", False), ("I wish to thank the President of Chad.", True), ("The meeting is adjourned", False), ("floor plans", False),
 ]
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id % 8 IN (0, 1, 2, 3, 5)")
+@query(
+    f"""WITH p AS (SELECT {[t for t, _ in _SAID]} AS said), d AS (SELECT doc_id, left(text, 200) || ' ' || said[length(text) % 9] || ' ' || substr(text, 201) AS text FROM documents, p WHERE length(text) % 9 > 0 UNION ALL SELECT doc_id, text FROM documents WHERE length(text) % 9 = 0)
+SELECT doc_id FROM d WHERE regexp_matches(text, '(?i)give\\s+the\\s+floor|the assembly will here|we shall now hear|the distinguished representative|i wish to thank the ')"""
+)
 def introduction_lines(spark, sf_dir):
-    assert [i for i, (_, hit) in enumerate(_SAID) if hit] == [0, 1, 2, 3, 5]
-    texts = F.array(*[F.lit(t) for t, _ in _SAID])
-    d = table(spark, sf_dir, "documents").select("doc_id", F.element_at(texts, (F.col("doc_id") % 8 + 1).cast("int")).alias("text"))
+    """Phrases stand inside the documents' texts, chosen by their length; one in nine has none."""
+    n = F.length("text") % 9
+    said = F.element_at(F.array(*[F.lit(t) for t, _ in _SAID]), F.when(n > 0, n).otherwise(1).cast("int"))
+    text = F.when(n == 0, F.col("text")).otherwise(F.concat_ws(" ", F.left("text", F.lit(200)), said, F.substring("text", F.lit(201), F.length("text"))))
     java = lambda p: "(?i)" + p.pattern.replace("(?i)", "")
-    return corrections.introductions(d, java(speaker.CUE), java(speaker.THANKS)).select("doc_id")
+    return corrections.introductions(table(spark, sf_dir, "documents").select("doc_id", text.alias("text")), java(speaker.CUE), java(speaker.THANKS)).select("doc_id")
 
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN c_nationkey ELSE 1000 + s_suppkey END::BIGINT AS position,
@@ -135,9 +143,9 @@ def codebook_labels(spark, sf_dir):
     return last.select("id_speech", "indicator_name", codebook.option(F.col("indicator_name"), F.col("code")).alias("option"), codebook.cluster(F.col("indicator_name")).alias("cluster"))
 
 
-@query(_PROJECTION + "SELECT day, printf('%s  %d of %d speeches  %d e-mails', day, analysed::BIGINT, expected::BIGINT, emails::BIGINT) AS line FROM o")
+@query(_PROJECTION + "SELECT day, printf('%s  %d of %d speeches  %d e-mails  projected %s', day, analysed::BIGINT, expected::BIGINT, emails::BIGINT, coalesce(printf('%.1f', floor(projected::DECIMAL(28, 6) * 10 + 0.5)::DOUBLE / 10), '-')) AS line FROM o")
 def report_lines(spark, sf_dir):
-    return publish.report_lines(_projected(spark, sf_dir)).select("day", F.regexp_extract("line", r"^(.*)  projected [0-9.-]+$", 1).alias("line"))
+    return publish.report_lines(_projected(spark, sf_dir))
 
 
 # --- windows, surroundings, agendas and states handed over -------------------------------------------------
