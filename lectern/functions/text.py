@@ -64,8 +64,8 @@ def snippet(before: Column, hit: Column, after: Column, context: int) -> Column:
     right = F.slice(after, 1, context) if context else F.array().cast("array<string>")
     left = left if context else F.array().cast("array<string>")
     parts = F.array_join(F.concat(left, F.array(hit), right), " ")
-    cut_left = F.when(F.size(before) > context, "...").otherwise("") if context else F.lit("")
-    cut_right = F.when(F.size(after) > context, "...").otherwise("") if context else F.lit("")
+    cut_left = F.when(F.size(before) > context, "...").otherwise("")
+    cut_right = F.when(F.size(after) > context, "...").otherwise("")
     return F.concat(F.lit('"'), cut_left, parts, cut_right, F.lit('"'))
 
 

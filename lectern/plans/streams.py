@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import fuzzy
 from ..functions import text as T
 from ..operators import codebook, corrections, likeness, publish
-from ..streaming import attribution, processors, speaker, windows
+from ..streaming import attribution, loop, processors, speaker, windows
 from ..streaming.monitor import Monitor, stream_monitor
 from .registry import _CODES, _PROJECTION, ORACLES, _payload, _projected, query, table
 
@@ -52,7 +52,7 @@ def closed(stream: DataFrame, *times: str, **values) -> DataFrame:
     A join needs a key in it: rows with null keys go before the watermark sees them.
     """
     spark, path = stream.sparkSession, work_folder(stream.sparkSession)
-    far = [F.lit("2999-01-01" if c in times else values.get(c)).cast(k).alias(c) for c, k in stream.dtypes]
+    far = [F.lit("2199-01-01" if c in times else values.get(c)).cast(k).alias(c) for c, k in stream.dtypes]
     spark.range(1).select(*far).write.parquet(path)
     return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
 
@@ -226,3 +226,20 @@ def stream_taken_over(spark, sf_dir):
     taken = attribution.saved_trackers(spark, f"{path}/state", "conv_id")
     found = run_stream(attribution.attribute(rest, "conv_id", rules, taken_over=taken))
     return found.where("kind = 'line'").select("conv_id", "seq", "speaker")
+
+
+@query(r"""WITH RECURSIVE d AS (SELECT conv_id, turn, CASE WHEN turn = 1 THEN 'I now give the floor to the President of Land' || translate(conv_id::VARCHAR, '0123456789', 'bcdfghjklm') || '.' ELSE text END AS text FROM conversations),
+c AS (SELECT *, trim(regexp_replace(text, '\s+', ' ', 'g')) AS f FROM d),
+w AS (SELECT conv_id, turn, f, len(l) AS many, unnest(l) AS hit, unnest(range(len(l))) AS i FROM (SELECT *, regexp_extract_all(f, '[\p{L}\p{N}_]+') AS l FROM c)),
+h AS (SELECT conv_id, turn, lower(hit) AS keyword, arg_min('"' || CASE WHEN i = 0 AND starts_with(f, hit) THEN '' ELSE '...' END || hit || CASE WHEN i = many - 1 AND ends_with(f, hit) THEN '' ELSE '...' END || '"', i) AS context FROM w WHERE lower(hit) IN ('que', 'the') GROUP BY conv_id, turn, lower(hit)),
+p AS (SELECT conv_id, keyword, min(turn) AS turn FROM h GROUP BY ALL UNION ALL SELECT p.conv_id, p.keyword, min(h.turn) FROM p JOIN h ON h.conv_id = p.conv_id AND h.keyword = p.keyword AND h.turn >= p.turn + 3 GROUP BY p.conv_id, p.keyword)
+SELECT conv_id, h.turn::BIGINT AS seq, CASE WHEN conv_id % 2 = 1 AND h.turn > 1 THEN 'Head ' || translate(conv_id::VARCHAR, '0123456789', 'bcdfghjklm') ELSE 'unknown' END AS speaker, keyword, context,
+(SELECT string_agg(x.text, ' ' ORDER BY x.turn) FROM c x WHERE x.conv_id = h.conv_id AND x.turn BETWEEN h.turn - 2 AND h.turn + 1 AND x.text <> '') AS passage FROM h JOIN p USING (conv_id, keyword, turn)""")
+def stream_alerts(spark, sf_dir):
+    """The whole loop: attributed lines, hits, cooldown, and what is sent with the lines around it. Agendas of odd conversations come in time, others never."""
+    lines = closed(_introducing(_spoken(spark, sf_dir, 20)), "ts", conv_id=-1, turn=0, text="")
+    plan = _spoken(spark, sf_dir, 20).where("turn = 1 AND conv_id % 2 = 1").select("conv_id", F.timestamp_seconds(F.lit(_START)).alias("at"), F.lit(_DAY).alias("day"), _entries().alias("entries"))
+    both = attribution.lines_of(lines, "conv_id", "turn", "ts", "text").unionByName(attribution.agendas_of(plan, "conv_id", "at", "day", "entries"))
+    around = lines.select("conv_id", F.col("ts").alias("start"), (F.col("ts") + F.expr("INTERVAL 20 SECONDS")).alias("end"), "text")
+    found = loop.alerts(both, around, "conv_id", speaker.SpeakerRules([]), ["que", "the"], before=30, after=25, longest=20, context_words=0, cooldown=60)
+    return run_stream(found).select("conv_id", "seq", "speaker", "keyword", "context", "passage")

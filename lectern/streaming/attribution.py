@@ -27,7 +27,7 @@ from .speaker import SpeakerRules, day_in_new_york, restored
 LINE, AGENDA, STATUS = "line", "agenda", "status"
 #: Columns of the input beside the key; lines have no day and entries, agendas no text.
 INPUT = "kind string, seq long, ts timestamp, text string, day string, entries string"
-OUTPUT = "kind string, seq long, ts timestamp, speaker string, day string, message string"
+OUTPUT = "kind string, seq long, ts timestamp, speaker string, day string, text string, message string"
 
 
 def lines_of(stream: DataFrame, key: str, seq: str, ts: str, text: str) -> DataFrame:
@@ -86,10 +86,10 @@ class _Attribution(StatefulProcessor):
             if known[day] is None and not self.reported.containsKey((day,)):
                 self.reported.updateValue((day,), (now,))
                 fallback = self.rules.agenda_at(now)
-                out.append((key[0], STATUS, None, r.ts, None, day, f"no agenda of {day}; {len(fallback)} speakers of another agenda are used"))
+                out.append((key[0], STATUS, None, r.ts, None, day, None, f"no agenda of {day}; {len(fallback)} speakers of another agenda are used"))
             rules = self.rules if known[day] is None else replace(self.rules, agenda=known[day])
             state, who = rules.observe(state, r.text, now)
-            out.append((key[0], LINE, int(r.seq), r.ts, who, day, None))
+            out.append((key[0], LINE, int(r.seq), r.ts, who, day, r.text, None))
         self.tracker.update((json.dumps(state),))
         until = max(int(got["ts"].max().timestamp() * 1000) + int(self.idle * 1000), timerValues.getCurrentWatermarkInMs() + 1)
         old = self.timer.get()[0] if self.timer.exists() else None

@@ -26,16 +26,17 @@ def hopping_text(lines: DataFrame, key: str, time: str, order: list[str], text:
 
 def context_join(
     hits: DataFrame, lines: DataFrame, key: str, hit_time: str, hit_columns: list[str], start: str, end: str, text: str,
-    *, before: int, after: int, longest: int, late: str = LATE,
+    *, before: int, after: int, longest: int, late: str = LATE, stamped: bool = False,
 ) -> DataFrame:
     """Each hit (key, hit_time, hit_columns) with the passage of the lines (key, start, end, text) that meet [hit_time - before, hit_time + after].
 
     Two streams, joined on the key and a range of time: both sides have a watermark and no line is longer than `longest` seconds, so a line is
-    forgotten once no hit can need it any more, and a hit once no line can come that it needs. Hits without any line are not put out. Repeats
+    forgotten once no hit can need it any more, and a hit once no line can come that it needs. stamped: the hits have a watermark already. Hits without any line are not put out. Repeats
     from overlapping lines are left out as in sequence.covered_text.
     """
     span = lambda s: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(s))
-    h = hits.select(F.col(key).alias("_key"), F.col(hit_time).alias("_at"), *[F.col(c).alias(f"_h{i}") for i, c in enumerate(hit_columns)]).withWatermark("_at", late)
+    h = hits.select(F.col(key).alias("_key"), F.col(hit_time).alias("_at"), *[F.col(c).alias(f"_h{i}") for i, c in enumerate(hit_columns)])
+    h = h if stamped else h.withWatermark("_at", late)
     x = lines.select(F.col(key).alias("_of"), F.col(start).alias("_start"), F.col(end).alias("_end"), F.coalesce(F.col(text), F.lit("")).alias("_text")).withWatermark("_start", late)
     near = (
         (F.col("_of") == F.col("_key"))

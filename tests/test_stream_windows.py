@@ -148,6 +148,38 @@ def test_what_is_restored():
     assert restored(state, since + 9000) == {} and restored(state | {"pending": [UNKNOWN, ""]}, since + 60).get("pending") is None
 
 
+def test_the_whole_loop_equals_the_rules_line_by_line(spark, tmp_path):
+    """Attribution, hits, repeats, cooldown and surroundings as one chain over several batches, every column of every row."""
+    from lectern.streaming import loop
+    from lectern.streaming.monitor import Monitor
+
+    rng = random.Random(9)
+    rules, keywords = SpeakerRules([tuple(NORWAY), tuple(KENYA)]), ["peace", "climate change"]
+    lines = []
+    for s in ("a", "b", "c"):
+        t = BASE
+        for i in range(80):
+            t += rng.choice([4, 7, 16])
+            said = rng.choice(["we want peace now", "Peace and climate  change", "nothing", INTRO, "I now give the floor to the President of Kenya.", "peace", "so we go on for CLIMATE change and peace and peace"])
+            lines.append((s, i, t, t + rng.randrange(1, 12), said))
+    lines.sort(key=lambda x: x[2])
+    batches = [[(*x[:4], x[4]) for x in lines[i : i + 60]] for i in range(0, len(lines), 60)]
+    x = in_batches(spark, tmp_path / "in", [*batches, [("z", 0, FAR, FAR + 1, "end")], [("z", 1, FAR + 9_000, FAR + 9_001, "end")]], "s string, i long, t long, e long, text string")
+    x = x.withColumns({"ts": F.timestamp_seconds("t"), "end": F.timestamp_seconds("e")})
+    found, _ = stream_rows(loop.alerts(A.lines_of(x, "s", "i", "ts", "text"), x.select("s", F.col("ts").alias("start"), "end", "text"), "s", rules, keywords, before=20, after=15, longest=20, context_words=3, cooldown=60, late="1 minute"), tmp_path, spark)
+    monitor, want = Monitor(keywords, rules, 3, 8, 60), []
+    for s in ("a", "b", "c"):
+        state, own = {}, [x for x in lines if x[0] == s]
+        for _, i, t, _, text in own:
+            state, hits = monitor.window(state, {"seq": i, "seconds": float(t), "text": text})
+            for h in hits:
+                if h["send"]:
+                    near = [(x[2], x[3], x[4]) for x in own if t - 40 <= x[2] <= t + 15 and x[3] >= t - 20]
+                    want.append((s, t, i, h["speaker"], h["keyword"], h["context"], " ".join(covered_lines(near, t - 20, t + 15))))
+    assert sorted((r.s, int(r.ts.timestamp()), r.seq, r.speaker, r.keyword, r.context, r.passage) for r in found) == sorted(want)
+    assert len(want) > 40 and len({w[3] for w in want}) == 3
+
+
 def test_streams_over_stored_files_are_read_to_their_end(spark, tmp_path):
     spark.createDataFrame([("a", BASE, 1, "x")], "k string, t long, i long, text string").write.parquet(f"{tmp_path}/in")
     s = spark.readStream.schema("k string, t long, i long, text string").parquet(f"{tmp_path}/in").withColumn("ts", F.timestamp_seconds("t"))
