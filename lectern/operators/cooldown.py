@@ -3,8 +3,11 @@
 The rule is sequential, but how a stretch of time begins matters only through the moment from which its key is
 free again. So time is cut into slices of `SLICE` cooldowns: each slice finds where taking would end for every place at which it could
 start (a step function, of a few steps since different starts soon meet); a fold over a key's slices gives each its true start;
-then all slices take their events at once. A task streams over sorted slices, many at a time in whole arrays; a key's steps,
-about one for each SLICE cooldowns of its history, are the only thing that meets in one row.
+then all slices take their events at once. A task streams over sorted slices, many at a time in whole arrays.
+
+The fold goes up and down a tree: the functions of at most `FAN` neighbouring slices are composed to one, those of as many such groups again, until a
+key has one group; then each group's start gives its members theirs. No row holds the steps of more than `FAN` slices, however long a
+key's history is.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .rows import join_totals
 
-SLICE = 1024
+SLICE, FAN = 1024, 256
 _NEVER = -(1 << 62)
 
 
@@ -69,6 +72,36 @@ def _next(t: np.ndarray, group: np.ndarray, end: np.ndarray, cooldown: int) -> n
     return np.concatenate([a + np.searchsorted(t[a:b], t[a:b] + cooldown) for a, b in zip(np.concatenate(([0], end[:-1])).tolist(), end.tolist())])
 
 
+def _composed(maps: DataFrame, keys: list[str], cooldown: int) -> DataFrame:
+    """The step functions of FAN neighbouring slices as one: where each start leads to, and what follows if the first slice has nothing behind the start."""
+
+    def step(a, s):
+        on = lambda x: F.coalesce(F.get(s["_last"], F.size(F.filter(s["_first"], lambda y: y < x["last"] + cooldown))), x["last"])
+        led = F.transform(a["steps"], lambda x: F.struct(x["first"].alias("first"), on(x).alias("last")))
+        more = F.array(F.struct(F.get(s["_first"], F.lit(0)).alias("first"), F.get(s["_last"], F.lit(0)).alias("last")))
+        whole = F.when(a["n"] == 1, F.concat(led, more)).otherwise(led)
+        return F.struct((a["n"] + 1).alias("n"), F.when(a["n"] == 0, F.transform(F.arrays_zip(s["_first"].alias("f"), s["_last"].alias("l")), lambda x: F.struct(x["f"].alias("first"), x["l"].alias("last")))).otherwise(whole).alias("steps"))
+
+    one = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<first:bigint,last:bigint>>").alias("steps"))
+    held = maps.groupBy(*keys, F.floor(F.col("_slice") / FAN).cast("long").alias("_slice")).agg(F.array_sort(F.collect_list(F.struct("_slice", "_first", "_last"))).alias("_s"))
+    steps = held.select(*keys, "_slice", F.aggregate("_s", one, step, lambda a: a["steps"]).alias("_steps"))
+    # Of starts in a row that lead to one end only the last is a step.
+    kept = steps.select(*keys, "_slice", F.filter("_steps", lambda x, i: ~x["last"].eqNullSafe(F.get("_steps", i + 1)["last"])).alias("_steps"))
+    return kept.select(*keys, "_slice", F.transform("_steps", lambda x: x["first"]).alias("_first"), F.transform("_steps", lambda x: x["last"]).alias("_last"))
+
+
+def _starts(maps: DataFrame, keys: list[str], cooldown: int) -> DataFrame:
+    """keys, _slice and _free: when the key is free again as each slice of a group (of at most FAN) begins, from when it is as the group begins."""
+
+    def step(a, s):
+        last = F.get(s["_last"], F.size(F.filter(s["_first"], lambda x: x < a["free"])))
+        return F.struct(F.coalesce(last + cooldown, a["free"]).alias("free"), F.concat(a["seen"], F.array(F.struct(s["_slice"].alias("_slice"), a["free"].alias("_free")))).alias("seen"))
+
+    held = maps.groupBy(*keys, "_group").agg(F.min("_free").alias("_free"), F.array_sort(F.collect_list(F.struct("_slice", "_first", "_last"))).alias("_s"))
+    entry = F.struct(F.col("_free").alias("free"), F.array().cast("array<struct<_slice:bigint,_free:bigint>>").alias("seen"))
+    return held.select(*keys, F.inline(F.aggregate("_s", entry, step, lambda a: a["seen"])))
+
+
 def take_with_cooldown(events: DataFrame, keys: list[str], time: str, cooldown: int, slice_length: int | None = None) -> DataFrame:
     """Distinct (keys, time) of the events taken. time is a whole number in any unit; null times are never taken, null keys are one key."""
     if cooldown < 0:
@@ -116,15 +149,18 @@ def take_with_cooldown(events: DataFrame, keys: list[str], time: str, cooldown:
 
     dealt = rows.repartition(*group).sortWithinPartitions(*group, "_t")
     maps = dealt.mapInArrow(steps, f"{key_sql}_slice long, _first array<long>, _last array<long>")
-    # Fold over the slices of each key: when is the key free again as each slice begins?
-    entry = F.struct(F.lit(_NEVER).alias("free"), F.array().cast("array<struct<_slice:bigint,_free:bigint>>").alias("seen"))
-
-    def step(a, s):
-        last = F.get(s["_last"], F.size(F.filter(s["_first"], lambda x: x < a["free"])))
-        return F.struct(F.coalesce(last + cooldown, a["free"]).alias("free"), F.concat(a["seen"], F.array(F.struct(s["_slice"].alias("_slice"), a["free"].alias("_free")))).alias("seen"))
-
-    folded = maps.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_slice", "_first", "_last"))).alias("_s"))
-    starts = folded.select(*keys, F.inline(F.aggregate("_s", entry, step, lambda a: a["seen"])))
+    reach = rows.agg(F.min("_t").alias("low"), F.max("_t").alias("high")).first()
+    low = 0 if reach["low"] is None else reach["low"] // length
+    many = 1 if reach["low"] is None else reach["high"] // length - low + 1
+    levels = [maps.withColumn("_slice", F.col("_slice") - low)]
+    while many > FAN:
+        levels.append(_composed(levels[-1], keys, cooldown))
+        many = -(-many // FAN)
+    starts = _starts(levels.pop().withColumn("_group", F.lit(0)).withColumn("_free", F.lit(_NEVER)), keys, cooldown)
+    while levels:
+        inside = levels.pop().withColumn("_group", F.floor(F.col("_slice") / FAN).cast("long"))
+        starts = _starts(join_totals(inside, starts.withColumnRenamed("_slice", "_group"), [*keys, "_group"]), keys, cooldown)
+    starts = starts.withColumn("_slice", F.col("_slice") + low)
 
     def take(batches):
         for table, begin in whole_groups(batches, group):

@@ -42,6 +42,18 @@ def test_cooldown_with_slices_in_which_nothing_is_taken(spark):
     assert take_with_cooldown(frame.limit(0), ["k"], "t", 10).count() == 0
 
 
+def test_cooldown_folds_long_histories_in_levels(spark, monkeypatch):
+    """Hundreds of slices of a key in groups of four: five levels, no row with the steps of more than four slices."""
+    from lectern.operators import cooldown as C
+
+    monkeypatch.setattr(C, "FAN", 4)
+    rng = random.Random(8)
+    rows = [("hot", rng.randrange(-3_000, 9_000)) for _ in range(5_000)] + [("thin", rng.randrange(0, 9_000)) for _ in range(60)] + [(None, t) for t in range(0, 9_000, 9)]
+    got = take_with_cooldown(spark.createDataFrame(rows, "k string, t long"), ["k"], "t", 10, slice_length=20).collect()
+    for k in ("hot", "thin", None):
+        assert sorted(r.t for r in got if r.k == k) == greedy([t for x, t in rows if x == k], 10)
+
+
 def test_first_in_window_keeps_the_least_row(spark):
     rows = [("a", 5, "y"), ("a", 5, "x"), ("a", 8, "z"), (None, 5, None), (None, 16, "w"), ("a", None, "no")]
     got = first_in_window(spark.createDataFrame(rows, "k string, t long, v string"), ["k"], "t", 10).collect()
