@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import fuzzy
 from ..functions import text as T
 from ..operators import codebook, corrections, likeness, publish
+from ..sources import versions
 from ..streaming import attribution, loop, processors, speaker, windows
 from ..streaming.monitor import Monitor, stream_monitor
 from .registry import _CODES, _PROJECTION, ORACLES, _payload, _projected, query, table
@@ -243,3 +244,34 @@ def stream_alerts(spark, sf_dir):
     around = lines.select("conv_id", F.col("ts").alias("start"), (F.col("ts") + F.expr("INTERVAL 20 SECONDS")).alias("end"), "text")
     found = loop.alerts(both, around, "conv_id", speaker.SpeakerRules([]), ["que", "the"], before=30, after=25, longest=20, context_words=0, cooldown=60)
     return run_stream(found).select("conv_id", "seq", "speaker", "keyword", "context", "passage")
+
+
+# --- journals and stored tables ----------------------------------------------------------------------------
+
+
+@query("SELECT event_id, event_type, event_id % 4 AS batch FROM events WHERE event_id % 4 <> 2")
+def journal_commits(spark, sf_dir):
+    """Four batches: the first is written twice, the second had left half of itself behind, the third was never committed."""
+    e, path = table(spark, sf_dir, "events").select("event_id", "event_type"), work_folder(spark)
+    part = lambda n: e.where(F.col("event_id") % 4 == n)
+    versions.add_batch(part(0), path, 0, ["event_id"])
+    versions.add_batch(part(0).unionByName(part(0)), path, 0, ["event_id"])
+    for n, left in ((1, part(1).where("event_id % 8 = 1")), (2, part(2))):
+        left.write.parquet(f"{path}/data/batch={n}")
+    versions.add_batch(part(1), path, 1, ["event_id"])
+    versions.add_batch(part(3), path, 3, ["event_id"])
+    return versions.read_journal(spark, path, e.schema)
+
+
+@query("SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'HOUSES' ELSE c_mktsegment END AS segment FROM customer WHERE c_mktsegment <> 'MACHINERY' UNION ALL SELECT s_suppkey + 1000000, 'SUPPLIER' FROM supplier")
+def store_versions(spark, sf_dir):
+    """A store that is filled, whose names change, from which a name goes, and to which rows come, each in one step."""
+    path, schema = work_folder(spark), "c_custkey long, segment string"
+    s = F.col("segment")
+    more = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") + 1_000_000).alias("c_custkey"), F.lit("SUPPLIER").alias("segment"))
+    versions.change(spark, path, schema, lambda d: table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment")))
+    versions.change(spark, path, schema, lambda d: d.withColumn("segment", F.when(s == "BUILDING", "HOUSES").otherwise(s)))
+    versions.change(spark, path, schema, lambda d: d.where(s != "MACHINERY"))
+    versions.change(spark, path, schema, lambda d: d.unionByName(more))
+    versions.prune(spark, path)
+    return versions.read_version(spark, path, schema)
