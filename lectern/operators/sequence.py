@@ -106,15 +106,26 @@ def covered_text(lines: Column, low: Column, high: Column, slack: float = COVER_
 
 
 def pack(parts: Column, limit: int, separator: str = "\n\n") -> Column:
-    """Joins parts greedily up to limit characters; a longer part stands alone."""
-    first = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"))
+    """Joins parts greedily up to limit characters; a longer part is cut at the limit, again and again, and its last piece goes on with what follows.
+
+    White space at a cut goes, nothing else; empty parts join nothing.
+    """
+
+    def cut(a, x):
+        """a's chunks, x's pieces of just limit characters behind them, and what is left of x."""
+        rest = lambda t: F.regexp_replace(F.substring(t, F.lit(limit + 1), F.length(t)), r"^\s+", "")
+        off = lambda s, _: F.when(
+            F.length(s["open"]) > limit, F.struct(F.concat(s["done"], F.array(F.left(s["open"], F.lit(limit)))).alias("done"), rest(s["open"]).alias("open"))
+        ).otherwise(s)
+        return F.aggregate(F.sequence(F.lit(1), F.floor(F.length(x) / limit).cast("int") + 1), F.struct(a.alias("done"), x.alias("open")), off)
+
+    first = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
     fits = lambda a, x: F.length(a["open"]) + len(separator) + F.length(x) <= limit
-    step = lambda a, x: F.when(
-        a["open"].isNull(), F.struct(a["done"].alias("done"), x.alias("open"))
-    ).when(fits(a, x), F.struct(a["done"].alias("done"), F.concat(a["open"], F.lit(separator), x).alias("open"))).otherwise(
-        F.struct(F.concat(a["done"], F.array(a["open"])).alias("done"), x.alias("open"))
-    )
-    return F.aggregate(parts, first, step, lambda a: F.when(a["open"].isNull(), a["done"]).otherwise(F.concat(a["done"], F.array(a["open"]))))
+    step = lambda a, x: F.when(x == "", a).when(a["open"] == "", cut(a["done"], x)).when(
+        fits(a, x), F.struct(a["done"].alias("done"), F.concat(a["open"], F.lit(separator), x).alias("open"))
+    ).otherwise(cut(F.concat(a["done"], F.array(a["open"])), x))
+    filled = F.transform(parts, lambda p: F.coalesce(p, F.lit("")))
+    return F.aggregate(filled, first, step, lambda a: F.when(a["open"] == "", a["done"]).otherwise(F.concat(a["done"], F.array(a["open"]))))
 
 
 def merge_spans(spans: Column) -> Column:

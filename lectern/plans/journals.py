@@ -330,8 +330,10 @@ def merged_spans(spark, sf_dir):
     return l.select("l_orderkey", F.array_join(F.transform(sequence.merge_spans(F.col("s")), lambda x: F.concat_ws("-", x["start"], x["end"])), " ").alias("spans"))
 
 
-@query("""WITH RECURSIVE s AS (SELECT conv_id AS k, text AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations),
-f AS (SELECT k, n, 1 AS chunk, t AS open FROM s WHERE n = 1 UNION ALL SELECT f.k, s.n, chunk + CASE WHEN length(open) + 2 + length(s.t) <= 600 THEN 0 ELSE 1 END, CASE WHEN length(open) + 2 + length(s.t) <= 600 THEN open || chr(10) || chr(10) || s.t ELSE s.t END FROM f JOIN s ON s.k = f.k AND s.n = f.n + 1)
+@query(r"""WITH RECURSIVE s AS (SELECT conv_id AS k, text AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations WHERE text <> ''),
+r AS (SELECT k, n, 0 AS j, left(t, 600) AS piece, regexp_replace(substr(t, 601), '^\s+', '') AS rest FROM s UNION ALL SELECT k, n, j + 1, left(rest, 600), regexp_replace(substr(rest, 601), '^\s+', '') FROM r WHERE rest <> ''),
+m AS (SELECT k, j, piece, row_number() OVER (PARTITION BY k ORDER BY n, j) AS n FROM r),
+f AS (SELECT k, n, 1 AS chunk, piece AS open FROM m WHERE n = 1 UNION ALL SELECT f.k, m.n, chunk + CASE WHEN m.j = 0 AND length(open) + 2 + length(piece) <= 600 THEN 0 ELSE 1 END, CASE WHEN m.j = 0 AND length(open) + 2 + length(piece) <= 600 THEN open || chr(10) || chr(10) || piece ELSE piece END FROM f JOIN m ON m.k = f.k AND m.n = f.n + 1)
 SELECT k AS conv_id, chunk::INTEGER AS chunk, arg_max(open, n) AS text FROM f GROUP BY k, chunk""")
 def packed_chunks(spark, sf_dir):
     c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))), lambda x: x["text"]).alias("p"))

@@ -1,5 +1,6 @@
 """Documents, transcripts, settings and stores on small fixtures."""
 
+import random
 from datetime import UTC, datetime
 
 import pytest
@@ -136,3 +137,30 @@ def test_slugs_and_headers(spark):
     assert one(spark, "Côte d’Ivoire (République de)", T.country_slug("t")) == "cote-d-ivoire" and one(spark, "Türkiye", T.country_slug("t")) == "turkiye"
     d = spark.createDataFrame([("a", "---\nslug: x\n---\nbody"), ("b", "no"), ("c", None)], "path string, value string")
     assert {r.path for r in files.without_header(d).collect()} == {"b", "c"} and files.parse_front_matter(d).first().transformation == "none"
+
+
+def test_long_parts_are_cut_and_packed(spark):
+    """No chunk above the limit, nothing but white space lost at cuts, and the last piece of a long part goes on."""
+    from lectern.operators import sequence
+
+    rng = random.Random(5)
+
+    def plain(parts, limit):
+        out, buf = [], ""
+        for p in parts:
+            if not p:
+                continue
+            if buf and len(buf) + 2 + len(p) > limit:
+                out.append(buf)
+                buf = p
+            else:
+                buf = f"{buf}\n\n{p}" if buf else p
+            while len(buf) > limit:
+                out.append(buf[:limit])
+                buf = buf[limit:].lstrip()
+        return [*out, buf] if buf else out
+
+    rows = [[*("".join(rng.choice("ab  ") for _ in range(rng.choice([0, 3, 10, 45, 200]))).strip() for _ in range(rng.randrange(8)))] for _ in range(60)] + [["x" * 5000], [], [None, "a", None]]
+    got = spark.createDataFrame(list(enumerate(rows)), "i int, p array<string>").select("i", sequence.pack(F.col("p"), 40).alias("c"))
+    for r in got.collect():
+        assert r.c == plain([x or "" for x in rows[r.i]], 40) and all(len(c) <= 40 for c in r.c)
