@@ -24,7 +24,7 @@ def work_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors share: below spark.checkpoint.dir, in a local session without it a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lectern-streams-")
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
