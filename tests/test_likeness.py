@@ -47,11 +47,11 @@ def test_names_and_countries_equal_the_loop_over_all_pairs(spark):
 
 
 def test_few_pairs_are_measured_and_none_is_lost(spark):
-    """Of 800 by 800 words the letters leave a small share to be measured, and every pair that is like enough is among them."""
+    """Of 450 by 450 words the letters leave a small share to be measured, and every pair that is like enough is among them."""
     rng = random.Random(12)
-    words = lambda: sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 12))) for _ in range(800)})
+    words = lambda: sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 12))) for _ in range(450)})
     left = words()
-    right = sorted({*words()[:700], *(garbled(w, rng).lower().strip() or "x" for w in left[:200])})
+    right = sorted({*words()[:400], *(garbled(w, rng).lower().strip() or "x" for w in left[:110])})
     a, b = (spark.createDataFrame([(w,) for w in x], "t string") for x in (left, right))
     for least in (0.86, likeness.WORD_LIKENESS):
         pairs = {(r.a, r.b) for r in likeness.candidates(a, b, least).collect()}
