@@ -164,9 +164,12 @@ def take_with_cooldown(events: DataFrame, keys: list[str], time: str, cooldown:
 
     def take(batches):
         for table, begin in whole_groups(batches, group):
+            free = np.asarray(table["_free"].take(pa.array(begin)))
+            event = np.ones(table.num_rows, bool)
+            event[begin] = False  # each group's first row is its start
+            table, begin = table.filter(pa.array(event)), begin - np.arange(len(begin))
             t, of, end = arrays(table, begin)
             after = _next(t, of, end, cooldown)
-            free = np.asarray(table["_free"])[begin]
             began = np.concatenate(([0], end[:-1]))
             at = began + np.bincount(of, weights=t < free[of], minlength=len(begin)).astype(np.int64)
             taken = []
@@ -182,8 +185,9 @@ def take_with_cooldown(events: DataFrame, keys: list[str], time: str, cooldown:
             out = table.select(keys).take(pa.array(begin[of[picked]]))
             yield from pa.table([*out.columns, pa.array(t[picked])], names=[*keys, time]).combine_chunks().to_batches()
 
-    joined = join_totals(rows, starts, group).select(*group, "_t", "_free")
-    return joined.sortWithinPartitions(*group, "_t").mapInArrow(take, f"{key_sql}`{time}` long")
+    # A join may leave a group's rows in several partitions (broadcast, skew), so starts come as rows, ahead of their group by their null time.
+    both = rows.withColumn("_free", F.lit(None).cast("long")).unionByName(starts.select(*group, F.lit(None).cast("long").alias("_t"), "_free"))
+    return both.repartition(*group).sortWithinPartitions(*group, "_t").mapInArrow(take, f"{key_sql}`{time}` long")
 
 
 def first_in_window(events: DataFrame, keys: list[str], time: str, ttl: int) -> DataFrame:

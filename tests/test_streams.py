@@ -159,3 +159,18 @@ def test_replay(spark):
     got = S.replay_speakers(spark.createDataFrame(rows, "s int, seq long, seconds double, text string"), "s", rules).orderBy("s", "seq").collect()
     assert [r.speaker for r in got] == [UNKNOWN, "Anna Example", UNKNOWN]
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_cooldown_of_groups_that_a_skewed_join_would_split(spark):
+    rows = [(i % 2, i * 7919 % 50_021) for i in range(20_000)]
+    events = spark.createDataFrame(rows, "k long, t long").repartition(16, "t")
+    skewed = {"autoBroadcastJoinThreshold": "-1", "adaptive.advisoryPartitionSizeInBytes": "1k", "adaptive.forceOptimizeSkewedJoin": "true", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "adaptive.skewJoin.skewedPartitionFactor": "0.5"}
+    try:
+        for k, v in skewed.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        got = take_with_cooldown(events, ["k"], "t", 40, slice_length=5_000).collect()
+    finally:
+        for k in skewed:
+            spark.conf.unset(f"spark.sql.{k}")
+    for k in (0, 1):
+        assert sorted(r.t for r in got if r.k == k) == greedy([t for x, t in rows if x == k], 40)
