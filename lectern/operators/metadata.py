@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .dims import overlap_share
 
 #: What titles say about the level, in the order in which it is decided.
 LEVELS = [
@@ -45,21 +44,54 @@ def language_label(code: Column) -> Column:
     return F.coalesce(labels[F.lower(code)], F.when(F.length(code) > 3, code), F.lit(""))
 
 
+#: Token sets of up to this size are looked up by their subsets (255 at most), larger ones by single tokens.
+SUBSETS = 8
+
+
+def _subsets(tokens: Column) -> Column:
+    """Every subset but the empty one of a sorted token set, as a text."""
+    chosen = lambda m: F.array_join(F.filter(tokens, lambda x, i: m.bitwiseAND(F.pow(F.lit(2), i).cast("int")) != 0), " ")
+    return F.transform(F.sequence(F.lit(1), F.pow(F.lit(2), F.size(tokens)).cast("int") - 1), chosen)
+
+
+def _by_tokens(names: DataFrame, people: DataFrame, key: str, least: float) -> DataFrame:
+    """key, _a and _best (score, first): for each token set _a of names the best share among people (_b, _first) of its key, the first of the best.
+
+    A person whose tokens hold a subset of the name's shares at least that, and just that for the largest one. So the first person of each subset and
+    size is enough, and no name meets all people with a frequent token. Where either set is large, they meet by single tokens.
+    """
+    few = lambda c: F.size(c) <= SUBSETS
+    share = lambda n: n / F.least(F.size("_a"), F.col("_size"))
+    some = names.where(F.size("_a") > 0)
+    said = some.where(few("_a")).select(key, "_a", F.explode(_subsets(F.col("_a"))).alias("_s"))
+    held = people.where(few("_b")).select(key, F.size("_b").alias("_size"), "_first", F.explode(_subsets(F.col("_b"))).alias("_s"))
+    held = held.groupBy(key, "_s", "_size").agg(F.min("_first").alias("_first"))
+    found = said.join(held.hint("merge"), [key, "_s"]).select(key, "_a", share(F.size(F.split("_s", " "))).alias("_score"), "_first")
+    x, y = some.select(key, "_a", F.explode("_a").alias("_s")), people.select(key, "_b", "_first", F.explode("_b").alias("_s"))
+    met = [x.where(~few("_a")).join(y.hint("merge"), [key, "_s"]), x.where(few("_a")).join(y.where(~few("_b")).hint("merge"), [key, "_s"])]
+    counted = met[0].unionByName(met[1]).groupBy(key, "_a", "_b", "_first").agg(F.count(F.lit(1)).alias("_n"))
+    found = found.unionByName(counted.withColumn("_size", F.size("_b")).select(key, "_a", share(F.col("_n")).alias("_score"), "_first"))
+    best = F.min(F.struct((-F.col("_score")).alias("score"), F.col("_first").alias("first")))
+    return found.where(F.col("_score") >= least).groupBy(key, "_a").agg(best.alias("_best"))
+
+
 def protocol_match(speeches: DataFrame, people: DataFrame, key: str, least: float = 0.5) -> DataFrame:
     """speeches with person, gender and honorific of the protocol person of the same country key.
 
-    Best share of common name tokens (at least `least`, the first of the best), else the last person of the speech's level.
+    Best share of common name tokens (at least `least`, which is above 0; the first of the best), else the last person of the speech's level. Distinct token
+    sets and levels meet, not speeches and people.
     """
-    tokens = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+    if least <= 0:
+        raise ValueError("a share above 0")
+    tokens = lambda c: F.array_sort(F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda x: x != "")))
     fields = ["person", "gender", "honorific"]
-    both = speeches.select("speech_id", key, "name", "level").join(people.select(key, "position", F.col("level").alias("p_level"), *fields), key)
-    score = overlap_share(tokens(F.col("name")), tokens(F.col("person")))
-    w = Window.partitionBy("speech_id").orderBy(F.col("_s").desc(), "position")
-    by_name = both.withColumn("_s", score).where(F.col("_s") >= least).withColumn("_n", F.row_number().over(w)).where("_n = 1")
-    by_level = both.where(F.col("level") == F.col("p_level")).groupBy("speech_id").agg(F.max_by(F.struct(*fields), "position").alias("_l"))
-    hit = by_name.select("speech_id", F.struct(*fields).alias("_b"))
-    out = speeches.join(hit, "speech_id", "left").join(by_level, "speech_id", "left").withColumn("_p", F.coalesce("_b", "_l"))
-    return out.select(*speeches.columns, *[F.col(f"_p.{f}").alias(f) for f in fields])
+    first = F.min(F.struct("position", *fields)).alias("_first")
+    sets = people.select(key, "position", *fields, tokens(F.col("person")).alias("_b")).where(F.size("_b") > 0).groupBy(key, "_b").agg(first)
+    rows = speeches.withColumn("_a", tokens(F.col("name")))
+    by_name = _by_tokens(rows.select(key, "_a").distinct(), sets, key, least).select(key, "_a", F.col("_best.first").alias("_b"))
+    by_level = people.groupBy(key, "level").agg(F.max_by(F.struct(*fields), "position").alias("_l"))
+    out = rows.join(by_name, [key, "_a"], "left").join(by_level, [key, "level"], "left")
+    return out.select(*speeches.columns, *[F.when(F.col("_b").isNotNull(), F.col(f"_b.{f}")).otherwise(F.col(f"_l.{f}")).alias(f) for f in fields])
 
 
 def metadata_rows(speeches: DataFrame, order: list) -> DataFrame:

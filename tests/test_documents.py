@@ -164,3 +164,36 @@ def test_long_parts_are_cut_and_packed(spark):
     got = spark.createDataFrame(list(enumerate(rows)), "i int, p array<string>").select("i", sequence.pack(F.col("p"), 40).alias("c"))
     for r in got.collect():
         assert r.c == plain([x or "" for x in rows[r.i]], 40) and all(len(c) <= 40 for c in r.c)
+
+
+def test_protocol_match_equals_all_pairs(spark):
+    """The best share, the first of the best, else the last of the level; large token sets, shared tokens and people without a key, too."""
+    import random
+
+    from lectern.operators import metadata
+
+    rng = random.Random(4)
+    said = lambda n: " ".join(rng.choice("abcdefghijklmnop") * 2 for _ in range(n))
+    people = [(rng.choice(["x", "y", None]), i, rng.choice(["HS", "HG"]), said(rng.choice([0, 1, 2, 3, 10, 12])), f"g{i}", "") for i in range(80)]
+    speeches = [(i, rng.choice(["x", "y", "z", None]), rng.choice([None, said(rng.choice([0, 1, 2, 3, 4, 9, 11]))]), rng.choice(["HS", "HG", "CD"])) for i in range(200)]
+    got = metadata.protocol_match(spark.createDataFrame(speeches, "speech_id long, k string, name string, level string"), spark.createDataFrame(people, "k string, position long, level string, person string, gender string, honorific string"), "k")
+    want = {}
+    for i, k, name, level in speeches:
+        here = [p for p in people if k is not None and p[0] == k]
+        a = set((name or "").split())
+        share = lambda p: len(a & set(p[3].split())) / min(len(a), len(set(p[3].split()))) if a and p[3] else 0
+        best = min((p for p in here if share(p) >= 0.5), key=lambda p: (-share(p), p[1]), default=None) or max((p for p in here if p[2] == level), key=lambda p: p[1], default=None)
+        want[i] = (best[3], best[4]) if best else (None, None)
+    assert {r.speech_id: (r.person, r.gender) for r in got.collect()} == want
+
+
+def test_protocol_match_makes_no_pairs(spark):
+    """6,000 speeches and 6,000 people of one country: no step makes 36 million rows."""
+    from lectern.operators import metadata
+
+    n = spark.range(6_000)
+    people = n.selectExpr("'x' AS k", "id AS position", "'HS' AS level", "concat('person ', id % 9) AS person", "'' AS gender", "'' AS honorific")
+    got = metadata.protocol_match(n.selectExpr("id AS speech_id", "'x' AS k", "concat('customer ', id % 9) AS name", "'HS' AS level"), people, "k")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.groupBy("person").count().count() == 9
+    assert not [line for line in plan.splitlines() if "Join Inner" in line and "_s" not in line]
