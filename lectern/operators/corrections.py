@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rows import keep_first
-from .sequence import first_interval
+from .sequence import first_interval, totals_inside
 
 
 def fixed_events(events: DataFrame, fixes: DataFrame, event_id: str, time: str = "timestamp") -> DataFrame:
@@ -37,8 +37,8 @@ def inside_fixes(events: DataFrame, fixes: DataFrame, time: str = "timestamp", w
 
 def changes_by_fix(changes: DataFrame, fixes: DataFrame, time: str = "timestamp") -> DataFrame:
     """position and number of changes that each fix covers; overlapping fixes all count them, fixes without any have 0."""
-    n = inside_fixes(changes.select(time), fixes, time).groupBy("position").agg(F.count(F.lit(1)).alias("_n"))
-    return fixes.join(n, "position", "left").select("position", F.coalesce("_n", F.lit(0)).alias("changes"))
+    n = totals_inside(changes, fixes, time, "start", "end", "position").select("position", F.col("points").alias("_n"))
+    return fixes.join(n.hint("merge"), "position", "left").select("position", F.coalesce("_n", F.lit(0)).alias("changes"))
 
 
 def split_rows(rows: DataFrame, cuts: list[tuple[float, str, str, str]], source: str, seconds: str = "seconds", movable: Column | None = None) -> DataFrame:

@@ -201,8 +201,7 @@ def changes_by_fix(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
     f = e.where(F.col("event_type") == "signup").select(F.col("event_id").alias("ord"), F.col("ts").alias("f_start"))
     f = f.select(F.col("ord").alias("position"), F.col("f_start").alias("start"), (F.col("f_start") + F.expr("INTERVAL 20 MINUTES")).alias("end"))
-    inside = corrections.inside_fixes(e, f, "ts").withColumnRenamed("position", "ord")
-    return inside.groupBy("ord").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("user_id").alias("users"))
+    return sequence.totals_inside(e, f, "ts", "start", "end", "position", distinct="user_id").toDF("ord", "events", "users")
 
 
 @query("""WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type <> 'purchase'), r AS (SELECT user_id, ts, max(event_id) AS cut FROM events WHERE event_type = 'purchase' GROUP BY ALL)
@@ -217,9 +216,7 @@ def asof_cut(spark, sf_dir):
 WHERE h.event_type = 'error' GROUP BY h.event_id""")
 def context_range_join(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    h = e.where("event_type = 'error'").select(F.col("event_id").alias("hit"), F.col("ts").alias("at"))
-    inside = sequence.around(h, e, "at", "ts", 1800, 600)
-    return inside.groupBy(F.col("hit").alias("event_id")).agg(F.count(F.lit(1)).alias("lines"), F.min("event_id").alias("first_line"), F.max("event_id").alias("last_line"))
+    return sequence.totals_around(e.where("event_type = 'error'"), e, "ts", "ts", 1800, 600, "event_id", "event_id").toDF("event_id", "lines", "first_line", "last_line")
 
 
 @query("""WITH g AS (SELECT event_id, user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 12 HOUR THEN 1 ELSE 0 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
