@@ -48,19 +48,22 @@ def contained(inner: DataFrame, inner_text: str, outer: DataFrame, outer_text: s
     """The distinct pairs (inner_text, outer_text) in which the outer text contains the inner one; empty texts are in none.
 
     An inner text is looked up by the rarest of its pieces of GRAM characters (shorter texts as a whole) among the pieces of the
-    outer ones, so that a beginning that many share makes no pairs; what is found is confirmed.
+    outer ones, so that a beginning that many share makes no pairs; what is found is confirmed. Only pieces that an inner text asks for are
+    kept, and none of these tables is broadcast: a file's size says nothing about its pieces.
     """
-    o = outer.select(outer_text).where(F.length(outer_text) > 0).distinct()
+    m = F.length(inner_text)
+    own = F.when(m >= GRAM, F.transform(F.sequence(F.lit(1), m - GRAM + 1), lambda i: F.substring(F.col(inner_text), i, F.lit(GRAM)))).otherwise(F.array(inner_text))
+    keys = inner.select(inner_text).where(m > 0).distinct().select(inner_text, F.explode(F.array_distinct(own)).alias("_piece"))
+    many = int(outer.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # held: short texts have many pieces
+    o = outer.select(outer_text).where(F.length(outer_text) > 0).distinct().repartition(many, outer_text)
     n = F.length(outer_text)
     piece = lambda size: lambda i: F.substring(F.col(outer_text), i, F.lit(size))
     every = [F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), piece(k))).otherwise(F.array().cast("array<string>")) for k in range(1, GRAM + 1)]
     pieces = o.select(outer_text, F.explode(F.array_distinct(F.concat(*every))).alias("_piece"))
+    pieces = pieces.join(keys.select("_piece").distinct(), "_piece", "left_semi")
     counts = pieces.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
-    m = F.length(inner_text)
-    own = F.when(m >= GRAM, F.transform(F.sequence(F.lit(1), m - GRAM + 1), lambda i: F.substring(F.col(inner_text), i, F.lit(GRAM)))).otherwise(F.array(inner_text))
-    keys = inner.select(inner_text).where(m > 0).distinct().select(inner_text, F.explode(F.array_distinct(own)).alias("_piece"))
-    rarest = keys.join(counts, "_piece", "left").groupBy(inner_text).agg(F.min_by("_piece", F.coalesce("_n", F.lit(0))).alias("_piece"))
-    return rarest.join(pieces, "_piece").where(F.col(outer_text).contains(F.col(inner_text))).select(inner_text, outer_text)
+    rarest = keys.join(counts.hint("merge"), "_piece", "left").groupBy(inner_text).agg(F.min_by("_piece", F.coalesce("_n", F.lit(0))).alias("_piece"))
+    return rarest.join(pieces.hint("merge"), "_piece").where(F.col(outer_text).contains(F.col(inner_text))).select(inner_text, outer_text)
 
 
 def exact_or_contained(facts: DataFrame, fact_id: str, needle: str, roster: DataFrame, name: str, position: str, least: int = 8) -> DataFrame:

@@ -74,15 +74,20 @@ def select_saved(saved: DataFrame, wanted: DataFrame, name: str = "name", countr
     fold = lambda c: F.trim(F.lower(c))
     w = wanted.select("wish").distinct().withColumn("_wish", fold(F.col("wish")))
     s = saved.select(name, F.col(country).alias("_country"), fold(F.col(name)).alias("_name"))
-    equal = w.join(s, F.col("_name") == F.col("_wish"))
-    rest = w.join(equal.select("wish").distinct(), "wish", "left_anti")
-    part = rest.join(contained(rest, "_wish", s, "_name"), "_wish").join(s, "_name")
-    rest = rest.join(part.select("wish").distinct(), "wish", "left_anti")
-    place = rest.join(s, T.ascii_slug("_country") == T.ascii_slug("wish"))
-    hits = equal.select("wish", name).unionByName(part.select("wish", name)).unionByName(place.select("wish", name))
-    hits = hits.groupBy("wish").agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("found"))
+    # Saved names are counted before they meet a wish, so that one that selects very many makes no row for each of them.
+    counted = [F.count(F.lit(1)).alias("n"), F.min(name).alias("found")]
+    by_name = s.groupBy("_name").agg(*counted)
+    total = [F.sum("n").alias("n"), F.min("found").alias("found")]
+    equal = w.join(by_name.hint("merge"), F.col("_name") == F.col("_wish")).select("wish", "n", "found")
+    rest = w.join(equal.select("wish").hint("merge"), "wish", "left_anti")
+    part = contained(rest, "_wish", s, "_name").join(by_name.hint("merge"), "_name").groupBy("_wish").agg(*total)
+    part = rest.join(part.hint("merge"), "_wish").select("wish", "n", "found")
+    rest = rest.join(part.select("wish").hint("merge"), "wish", "left_anti").withColumn("_slug", T.ascii_slug("wish"))
+    by_country = s.groupBy(T.ascii_slug("_country").alias("_slug")).agg(*counted)
+    place = rest.join(by_country.hint("merge"), "_slug").select("wish", "n", "found")
+    hits = equal.unionByName(part).unionByName(place)
     state = F.when(F.col("n").isNull(), "missing").when(F.col("n") == 1, "ok").otherwise("ambiguous")
-    return w.join(hits, "wish", "left").select("wish", state.alias("state"), F.when(F.col("n") == 1, F.col("found")).alias("found"))
+    return w.join(hits.hint("merge"), "wish", "left").select("wish", state.alias("state"), F.when(F.col("n") == 1, F.col("found")).alias("found"))
 
 
 def ordered_union(existing: DataFrame, listed: DataFrame, key: str, position: str) -> DataFrame:

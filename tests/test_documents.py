@@ -197,3 +197,20 @@ def test_protocol_match_makes_no_pairs(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert got.groupBy("person").count().count() == 9
     assert not [line for line in plan.splitlines() if "Join Inner" in line and "_s" not in line]
+
+
+def test_pieces_are_not_broadcast_and_saved_names_are_counted_first(spark):
+    """A small file may have very many pieces; a wish that many names contain is one row for each distinct name at most."""
+    from lectern.operators import mail
+
+    saved = spark.createDataFrame([("Ana Paz", "Peru"), ("Ana Paz", "Chile"), ("Bea Ana", "Chile"), (None, None), ("Cai", "Côte")], "name string, country string")
+    wishes = ["ana", "ANA PAZ", "cai", "ca", "chile", "peru", "no", None, ""]
+    got = mail.select_saved(saved, spark.createDataFrame([(w,) for w in wishes], "wish string"))
+    assert {r.wish: (r.state, r.found) for r in got.collect()} == {
+        "ana": ("ambiguous", None), "ANA PAZ": ("ambiguous", None), "cai": ("ok", "Cai"), "ca": ("ok", "Cai"), "chile": ("ambiguous", None), "peru": ("ok", "Ana Paz"),
+        "no": ("missing", None), None: ("missing", None), "": ("missing", None),
+    }
+    pairs = dims.contained(spark.range(9).selectExpr("concat('n', id) AS a"), "a", spark.range(9).selectExpr("concat('n', id, 'm') AS b"), "b")
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert [line for line in plan.splitlines() if "Join Inner" in line] and all("merge" in line for line in plan.splitlines() if "Join Inner" in line)
+    assert pairs.count() == 9
