@@ -6,10 +6,14 @@ the watermark has passed it; rows later than the watermark are dropped.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sequence import covered_text
+from ..functions.text import COVER_SLACK
 from .processors import LATE
 
 
@@ -30,23 +34,75 @@ def context_join(
 ) -> DataFrame:
     """Each hit (key, hit_time, hit_columns) with the passage of the lines (key, start, end, text) that meet [hit_time - before, hit_time + after].
 
-    Two streams, joined on the key and a range of time: both sides have a watermark and no line is longer than `longest` seconds, so a line is
-    forgotten once no hit can need it any more, and a hit once no line can come that it needs. stamped: the hits have a watermark already. Hits without any line are not put out. Repeats
-    from overlapping lines are left out as in sequence.covered_text.
+    Both streams have a watermark and no line is longer than `longest` seconds. Hits and lines of a key meet in hopping windows as in hopping_text: a window
+    holds all lines that the hits of one hop can need, so no pair of a hit and a line is kept, and Spark drops it once the watermark has passed it. stamped: the
+    hits have a watermark already. Hits without any line are not put out. Repeats from overlapping lines are left out as in sequence.covered_text.
+    """
+    span = before + longest + after
+    hop = max(span // 4, 1)
+    ddl = lambda d, c, name: f"`{name}` {d.schema[c].dataType.simpleString()}"
+    hit = F.struct(F.col(hit_time).alias("_at"), *[F.col(c).alias(f"_h{i}") for i, c in enumerate(hit_columns)])
+    line = F.struct(F.unix_micros(start).alias("start"), F.unix_micros(end).alias("end"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    h = hits.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(hit_time).alias("_time"), hit.alias("_hit"), F.lit(None).cast("struct<start:bigint,end:bigint,text:string>").alias("_line"))
+    h = h if stamped else h.withWatermark("_time", late)
+    x = lines.where(F.col(key).isNotNull() & F.col(end).isNotNull()).select(F.col(key).alias("_key"), F.col(start).alias("_time"), F.lit(None).cast(h.schema["_hit"].dataType).alias("_hit"), line.alias("_line"))
+    both = h.unionByName(x.withWatermark("_time", late)).select("_key", F.window("_time", f"{span + hop} seconds", f"{hop} seconds").alias("_w"), "_hit", "_line")
+    home = F.unix_micros("_hit._at") - F.unix_micros("_w.start") - (before + longest) * 1_000_000
+    held = both.where(F.col("_hit").isNull() | ((home >= 0) & (home < hop * 1_000_000))).groupBy("_key", "_w").agg(F.collect_set("_hit").alias("_hits"), F.collect_list("_line").alias("_lines"))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = batch["_hits"][i].values
+                at = np.asarray(found.field("_at").cast(pa.int64()))
+                passages = pa.array(passages_around(batch["_lines"][i].as_py(), at, before, after, longest), pa.string())
+                keys = batch["_key"].take(pa.array(np.full(len(at), i)))
+                columns = [keys, found.field("_at"), *[found.field(f"_h{c}") for c in range(len(hit_columns))], passages]
+                yield pa.RecordBatch.from_arrays(columns, names=[key, hit_time, *hit_columns, "passage"]).filter(passages.is_valid())
+
+    schema = ", ".join([ddl(hits, key, key), ddl(hits, hit_time, hit_time), *[ddl(hits, c, c) for c in hit_columns], "passage string"])
+    return held.where(F.size("_hits") > 0).select("_key", "_hits", "_lines").mapInArrow(run, schema)
+
+
+def passages_around(lines: list[dict], at: np.ndarray, before: int, after: int, longest: int) -> list[str | None]:
+    """For each time (in microseconds) the passage of the lines (start, end, text) around it, None where there is no line at all.
+
+    In order of (start, end, text) the next line that is kept depends on the last kept one alone: the first that ends later by more than the slack. So
+    these successors are found once, from the last line to the first, and each time has only to find its first line.
     """
-    span = lambda s: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(s))
-    h = hits.select(F.col(key).alias("_key"), F.col(hit_time).alias("_at"), *[F.col(c).alias(f"_h{i}") for i, c in enumerate(hit_columns)])
-    h = h if stamped else h.withWatermark("_at", late)
-    x = lines.select(F.col(key).alias("_of"), F.col(start).alias("_start"), F.col(end).alias("_end"), F.coalesce(F.col(text), F.lit("")).alias("_text")).withWatermark("_start", late)
-    near = (
-        (F.col("_of") == F.col("_key"))
-        & (F.col("_start") <= F.col("_at") + span(after))
-        & (F.col("_start") >= F.col("_at") - span(before + longest))
-        & (F.col("_end") >= F.col("_at") - span(before))
-    )
-    seconds = lambda c: F.unix_micros(c) / 1_000_000
-    line = F.struct(seconds(F.col("_start")).alias("start"), seconds(F.col("_end")).alias("end"), F.col("_text").alias("text"))
-    each = h.join(x, near).groupBy("_key", "_at", *[f"_h{i}" for i in range(len(hit_columns))]).agg(F.collect_list(line).alias("held"))
-    at = seconds(F.col("_at"))
-    names = [F.col(f"_h{i}").alias(c) for i, c in enumerate(hit_columns)]
-    return each.select(F.col("_key").alias(key), F.col("_at").alias(hit_time), *names, covered_text(F.col("held"), at - before, at + after).alias("passage"))
+    rows = sorted((x["start"], x["end"], x["text"]) for x in lines)
+    starts = np.array([r[0] for r in rows], np.int64)
+    low, high = at - before * 1_000_000, at + after * 1_000_000
+    begin, stop, last = np.searchsorted(starts, low - longest * 1_000_000), np.searchsorted(starts, high), np.searchsorted(starts, high, "right")
+    waiting = np.argsort(begin, kind="stable").tolist()
+    follower, first, met = [len(rows)] * len(rows), [len(rows)] * len(at), [len(rows)] * len(at)
+    # Lines with a text, and all lines, that no earlier one (from here on) outlasts: places, and their ends with a minus, ascending.
+    said, every = ([], []), ([], [])
+
+    def nearest(stack, ends_after, or_at=False):
+        i = (bisect_right if or_at else bisect_left)(stack[1], -ends_after) - 1
+        return stack[0][i] if i >= 0 else len(rows)
+
+    def push(stack, i, end):
+        while stack[1] and stack[1][-1] >= -end:
+            stack[0].pop(), stack[1].pop()
+        stack[0].append(i), stack[1].append(-end)
+
+    for i in range(len(rows), -1, -1):
+        if i < len(rows):
+            _, end, text = rows[i]
+            if text:
+                follower[i] = nearest(said, end + round(COVER_SLACK * 1_000_000))
+                push(said, i, end)
+            push(every, i, end)
+        while waiting and begin[waiting[-1]] == i:
+            k = waiting.pop()
+            first[k], met[k] = nearest(said, int(low[k])), nearest(every, int(low[k]), True)
+    out = []
+    for k in range(len(at)):
+        i, kept = first[k], []
+        while i < stop[k]:
+            kept.append(rows[i][2])
+            i = follower[i]
+        out.append(" ".join(kept) if met[k] < last[k] else None)
+    return out

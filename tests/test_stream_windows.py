@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +185,17 @@ def test_streams_over_stored_files_are_read_to_their_end(spark, tmp_path):
     spark.createDataFrame([("a", BASE, 1, "x")], "k string, t long, i long, text string").write.parquet(f"{tmp_path}/in")
     s = spark.readStream.schema("k string, t long, i long, text string").parquet(f"{tmp_path}/in").withColumn("ts", F.timestamp_seconds("t"))
     assert run_stream(s.select("k", "i")).collect() == [("a", 1)]
+
+
+def test_passages_around_equal_the_loop_and_keep_no_pairs():
+    """20,000 lines around 20,000 hits in one second would be 400 million pairs."""
+    rng = random.Random(6)
+    lines = [{"start": (s := rng.randrange(300)) * 1_000_000, "end": (s + rng.randrange(31)) * 1_000_000, "text": rng.choice(["", f"t{i}"])} for i in range(200)]
+    at = [rng.randrange(-80, 400) for _ in range(150)]
+    want = []
+    for t in at:
+        near = [(x["start"] / 1e6, x["end"] / 1e6, x["text"]) for x in lines if t - 70 <= x["start"] / 1e6 <= t + 25 and x["end"] / 1e6 >= t - 40]
+        want.append(" ".join(covered_lines(near, t - 40, t + 25)) if near else None)
+    assert W.passages_around(lines, np.array(at) * 1_000_000, 40, 25, 30) == want
+    many = [{"start": i, "end": 1_000_000 - i, "text": f"t{i}"} for i in range(20_000)]
+    assert set(W.passages_around(many, np.arange(20_000) + 100_000, 40, 25, 30)) == {"t0"}
