@@ -64,7 +64,8 @@ def candidates(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
         held = texts.select(name, letters(name).alias(f"{name}_letters"))
         return held.select(name, f"{name}_letters", F.explode(keys(f"{name}_letters")).alias("key"))
 
-    met = keyed(left, "a", True).join(keyed(right, "b", False), "key")
+    # A file's size says nothing about its keys: neither side is broadcast.
+    met = keyed(left, "a", True).join(keyed(right, "b", False).hint("merge"), "key")
     shared = F.size(F.array_intersect("a_letters", "b_letters"))
     return met.where(2 * shared >= (least - 1e-9) * (F.length("a") + F.length("b"))).select("a", "b").distinct()
 
@@ -97,7 +98,7 @@ def by_name(names: DataFrame, agenda: DataFrame) -> DataFrame:
     each = lambda d, *more: d.select(*more, F.explode(F.array_distinct("words")).alias("t"))
     alike = like_pairs(each(said), each(listed), WORD_LIKENESS)
     heard_words, listed_words = each(said, "name").withColumnRenamed("t", "a"), each(listed, "listed").withColumnRenamed("t", "b").distinct()
-    pairs = heard_words.join(alike.select("a", "b"), "a").join(listed_words, "b").select("name", "listed").distinct()
+    pairs = heard_words.join(alike.select("a", "b").hint("merge"), "a").join(listed_words.hint("merge"), "b").select("name", "listed").distinct()
     scored = pairs.withColumn("score", _name_score("name", "listed")).where(F.col("score") >= fuzzy.NAME_THRESHOLD)
     best = _least_two(scored.join(listed.select("position", "listed"), "listed"))
     clear = F.col("second").isNull() | (F.col("second") < fuzzy.NAME_THRESHOLD) | (F.col("score") - F.col("second") >= fuzzy.NAME_MARGIN)

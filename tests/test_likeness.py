@@ -64,3 +64,12 @@ def test_a_country_of_very_many_is_one_row_for_each_role(spark):
     agenda = spark.createDataFrame([(i, f"Person{i} Surname{i}", "Norway", "President" if i == 77 else "Minister") for i in range(20_000)], "position long, name string, country string, title string")
     asked = spark.createDataFrame([("Norway", "President of Norway"), ("Norway", "Minister"), ("Norway", "")], "place string, title string")
     assert [(r.title, r.position) for r in likeness.by_country(asked, agenda).collect()] == [("President of Norway", 77)]
+
+
+def test_keys_of_letters_are_not_broadcast(spark):
+    """A word has hundreds of keys, which a plan takes for one row."""
+    words = spark.createDataFrame([("abcdefgh",), ("abcdexyz",)], "t string")
+    found = likeness.candidates(words, words, 0.6)
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert joins and all("merge" in line for line in joins)
+    assert {tuple(r) for r in found.collect()} >= {("abcdefgh", "abcdexyz"), ("abcdexyz", "abcdefgh")}
