@@ -13,6 +13,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value: Column, then) -> Column:
+    """then(value) with the value evaluated once, however often then names it, also inside lambdas (null values included)."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def squeeze(c) -> Column:
     """Runs of white space (Unicode) become one space; none at the ends."""
     return F.trim(F.regexp_replace(col(c), r"(?U)\s+", " "))

@@ -12,7 +12,7 @@ from ..functions import labels
 from ..functions import text as T
 from ..operators import codebook, mail, publish
 from ..sources import files, pages, sinks, store
-from .registry import _PAIRS, _pairs, query, table
+from .registry import _PAIRS, _pairs, dealt, query, table
 
 _BODY = "trim(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g'))"
 
@@ -68,7 +68,8 @@ def speaker_pages(spark, sf_dir):
     pdfs = F.concat(link("_fr.pdf"), F.when(F.col("c_custkey") % 2 == 0, link("_en.pdf")).otherwise(""))
     audios = F.concat(link("_fl.mp3"), F.when(F.col("c_custkey") % 2 == 1, link("_en.mp3")).otherwise(""))
     html = F.concat(ld, field("country", F.concat(F.lit("L"), "c_nationkey")), field("speaker", F.concat(F.lit("N &amp; "), k)), field("title", F.lit("Minister")), F.lit('<time datetime="2025-09-'), (F.col("c_custkey") % 15 + 10).cast("string"), F.lit('T10:00:00Z">'), pdfs, audios)
-    p = pages.speaker_pages(table(spark, sf_dir, "customer").select("c_custkey", html.alias("html")))
+    c = dealt(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey")
+    p = pages.speaker_pages(c.select("c_custkey", html.alias("html")))
     return p.select("c_custkey", "country", "name", "title", "date", F.col("english_pdf.url").alias("english"), F.size("audios").alias("audios"))
 
 

@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of short columns from which much is made, dealt over all tasks by key: a small file or row group is else one task, whatever is made of its rows."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 # --- alert simulation --------------------------------------------------------------------------------------
 
 CONFIG = alerts.AlertConfig({"reform": ("the", "of the", "and"), "peace": ("for", "this", "Is"), "again": ("the", "with")})

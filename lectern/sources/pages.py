@@ -19,21 +19,21 @@ def field(html: Column, name: str) -> Column:
 
 def json_ld_name(html: Column) -> Column:
     body = F.regexp_extract(html, r'(?s)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', 1)
-    return F.coalesce(F.get_json_object(body, "$.@graph[0].name"), F.get_json_object(body, "$.name"), F.lit(""))
+    return T.once(body, lambda b: F.coalesce(F.get_json_object(b, "$.@graph[0].name"), F.get_json_object(b, "$.name"), F.lit("")))
 
 
 def links(html: Column, kind: str) -> Column:
     """array of struct url, label: links to files of a kind; of one url the last label counts."""
     raw = F.regexp_extract_all(html, F.lit(rf'(?s)<a [^>]*href="([^"]+\.{kind}[^"]*)"[^>]*>.*?</a>'), F.lit(0))
     pair = lambda x: F.struct(F.regexp_extract(x, 'href="([^"]+)"', 1).alias("url"), T.strip_tags(F.regexp_extract(x, "(?s)>(.*)</a>", 1)).alias("label"))
-    every = F.transform(raw, pair)
-    return F.filter(every, lambda x, i: ~F.exists(F.slice(every, i + 2, F.size(every)), lambda y: y["url"] == x["url"]))
+    last = lambda every: F.filter(every, lambda x, i: ~F.exists(F.slice(every, i + 2, F.size(every)), lambda y: y["url"] == x["url"]))
+    return T.once(F.transform(raw, pair), last)
 
 
 def pick_file(files: Column, marks: tuple[str, ...]) -> Column:
     """The first file whose url or label has one of the marks, the marks in order, else the first."""
-    hit = lambda m: F.get(F.filter(files, lambda x: F.lower(F.concat(x["url"], F.lit(" "), x["label"])).contains(m)), F.lit(0))
-    return F.coalesce(*[hit(m) for m in marks], F.get(files, F.lit(0)))
+    hit = lambda every, m: F.get(F.filter(every, lambda x: F.lower(F.concat(x["url"], F.lit(" "), x["label"])).contains(m)), F.lit(0))
+    return T.once(files, lambda every: F.coalesce(*[hit(every, m) for m in marks], F.get(every, F.lit(0))))
 
 
 def speaker_pages(pages: DataFrame, html: str = "html") -> DataFrame:

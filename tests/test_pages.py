@@ -58,3 +58,20 @@ def test_writers(spark, tmp_path):
     write(d, 0)
     write(d, 0)
     assert spark.read.json(f"{tmp_path}/j").count() == 2
+
+
+def test_pages_evaluate_links_once(spark):
+    """Each kind of link is searched once, although its later links and the picked file refer to it; a page with many links keeps the last label of each url."""
+    many = "".join(f'<a href="/f/{i % 7}_{"en" if i % 7 == 3 else "fr"}.pdf">{i}</a>' for i in range(50))
+    d = pages.speaker_pages(spark.createDataFrame([(1, many)], "id int, html string"))
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 2
+    r = d.first()
+    assert [x.label for x in r.pdfs] == [str(i) for i in range(43, 50)] and r.english_pdf.label == "45"
+
+
+def test_speaker_pages_use_all_tasks(spark):
+    """The customers' file is one row group, from which pages are made and parsed in as many tasks as a shuffle has."""
+    from lectern.plans import parsing
+
+    assert parsing.speaker_pages(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
