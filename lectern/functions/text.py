@@ -25,8 +25,7 @@ def squeeze(c) -> Column:
 
 def words(c) -> Column:
     """White-space separated words; an empty or null text has none."""
-    s = squeeze(c)
-    return F.when(F.length(s) > 0, F.split(s, " ")).otherwise(F.array().cast("array<string>"))
+    return F.coalesce(F.array_remove(F.split(col(c), r"(?U)\s+"), ""), F.array().cast("array<string>"))
 
 
 def keyword_pattern(keyword: str) -> str:

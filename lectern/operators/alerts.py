@@ -1,7 +1,8 @@
 """Alert simulation: sliding word windows, keyword hits, cooldown, e-mails and projections.
 
 Times are whole word units (hop words; seconds times words per minute / 60), so both engines agree exactly. Speeches of a day
-follow each other by (day, slug); a speech without words has no window but still takes its gap.
+follow each other by (day, slug); a speech without words has no window but still takes its gap. A simulation reads each text once: what
+its windows hold, and what time it takes, is stored in a shared folder for the steps that follow.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import stored
 from .cooldown import take_with_cooldown
 
 
@@ -83,24 +85,42 @@ def english_only(speeches: DataFrame, language: str = "language") -> DataFrame:
     return speeches.where(F.col(language) == "en")
 
 
-def word_windows(speeches: DataFrame, window: int, hop: int) -> DataFrame:
-    """One row for each window of a speech: chunk (from 0) and its text. The window that reaches the end is the last."""
+def _chunked(speeches: DataFrame, window: int, hop: int, least: int) -> DataFrame:
+    """The columns of word_windows and n_chunks; `least` rows for a speech without words, whose text is then empty."""
     w = F.col("_w")
     n = F.when(F.size(w) > 0, 1 + F.ceil(F.greatest(F.size(w) - window, F.lit(0)) / hop)).otherwise(0).cast("int")
     rows = speeches.withColumn("_w", T.words("text")).withColumn("n_chunks", n)
-    rows = rows.withColumn("chunk", F.explode(F.when(F.col("n_chunks") > 0, F.sequence(F.lit(0), F.col("n_chunks") - 1)).otherwise(F.array().cast("array<int>"))))
-    return rows.withColumn("chunk_text", F.array_join(F.slice(w, F.col("chunk") * hop + 1, F.lit(window)), " ")).drop("_w", "text", "n_chunks")
+    many = F.greatest(F.col("n_chunks"), F.lit(least))
+    rows = rows.withColumn("chunk", F.explode(F.when(many > 0, F.sequence(F.lit(0), many - 1)).otherwise(F.array().cast("array<int>"))))
+    return rows.withColumn("chunk_text", F.array_join(F.slice(w, F.col("chunk") * hop + 1, F.lit(window)), " ")).drop("_w", "text")
+
+
+def word_windows(speeches: DataFrame, window: int, hop: int) -> DataFrame:
+    """One row for each window of a speech: chunk (from 0) and its text. The window that reaches the end is the last."""
+    return _chunked(speeches, window, hop, 0).drop("n_chunks")
 
 
-def speech_starts(speeches: DataFrame, config: AlertConfig, prefix: int = 9) -> DataFrame:
-    """day, slug and the time at which each speech starts.
+def _counts(config: AlertConfig):
+    """array of struct keyword, hits: the keywords that stand in chunk_text."""
+    counts = F.array(*[F.struct(F.lit(k).alias("keyword"), T.keyword_count("chunk_text", k).alias("hits")) for k in config.keywords])
+    return F.filter(counts, lambda x: x["hits"] > 0)
+
+
+def scanned(speeches: DataFrame, config: AlertConfig) -> DataFrame:
+    """day, slug, chunk, n_chunks and counts (array of struct keyword, hits) of each window with a keyword and of each speech's chunk 0, in one pass over the texts."""
+    chunks = _chunked(speeches.select("day", "slug", "text"), config.window, config.hop, 1)
+    found = chunks.where(F.col("chunk_text").rlike(T.any_keyword(config.keywords)) | (F.col("chunk") == 0))
+    return found.select("day", "slug", "chunk", "n_chunks", _counts(config).alias("counts"))
 
-    Only day, slug and word counts are dealt out by day. A running sum would put a day into one task, so sums of slices of a day's
-    slugs are formed first: the slice sums of a day are few, and each slice, the slugs with one prefix, is ordered on its own.
+
+def speech_starts(sizes: DataFrame, config: AlertConfig, prefix: int = 9) -> DataFrame:
+    """day, slug and the time at which each speech starts, from day, slug and n_chunks.
+
+    A running sum would put a day into one task, so sums of slices of a day's slugs are formed first: the slice sums of a day are few,
+    and each slice, the slugs with one prefix, is ordered on its own.
     """
-    size = F.size(T.words("text"))
-    n = F.when(size > 0, 1 + F.ceil(F.greatest(size - config.window, F.lit(0)) / config.hop)).otherwise(0).cast("long")
-    rows = speeches.select("day", "slug", (n * config.hop + config.gap).alias("_takes")).withColumn("_part", F.substring("slug", 1, prefix))
+    takes = F.col("n_chunks").cast("long") * config.hop + config.gap
+    rows = sizes.select("day", "slug", takes.alias("_takes")).withColumn("_part", F.substring("slug", 1, prefix))
     parts = rows.groupBy("day", "_part").agg(F.sum("_takes").alias("_sum"))
     before = Window.partitionBy("day").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("day", "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
@@ -113,13 +133,14 @@ def window_hits(speeches: DataFrame, config: AlertConfig) -> DataFrame:
     """day, slug, chunk, keyword and hits (at least one) of every window. Windows without any keyword are passed over by one test."""
     chunks = word_windows(speeches.select("day", "slug", "text"), config.window, config.hop)
     found = chunks.where(F.col("chunk_text").rlike(T.any_keyword(config.keywords)))
-    counts = F.array(*[F.struct(F.lit(k).alias("keyword"), T.keyword_count("chunk_text", k).alias("hits")) for k in config.keywords])
-    return found.select("day", "slug", "chunk", F.inline(F.filter(counts, lambda x: x["hits"] > 0)))
+    return found.select("day", "slug", "chunk", F.inline(_counts(config)))
 
 
 def simulate(speeches: DataFrame, config: AlertConfig) -> dict[str, DataFrame]:
     """hits and picks: the windows' keyword hits with their times, and (day, keyword, t) of those that pass the cooldown."""
-    hits = window_hits(speeches, config).join(speech_starts(speeches, config), ["day", "slug"])
+    found = stored(scanned(speeches, config))
+    starts = speech_starts(found.where("chunk = 0"), config)
+    hits = found.where(F.size("counts") > 0).join(starts, ["day", "slug"]).select("day", "slug", "chunk", F.inline("counts"), "start")
     hits = hits.withColumn("t", F.col("start") + F.col("chunk") * config.hop).drop("start")
     return {"hits": hits, "picks": take_with_cooldown(hits, ["day", "keyword"], "t", config.cooldown)}
 

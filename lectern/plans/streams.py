@@ -5,31 +5,19 @@ A stream runs over the files of a table until all are read, and its rows are rea
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fuzzy
 from ..functions import text as T
 from ..operators import codebook, corrections, likeness, publish
+from ..session import work_folder
 from ..sources import versions
 from ..streaming import attribution, loop, processors, speaker, windows
 from ..streaming.monitor import Monitor, stream_monitor
 from .registry import _CODES, _PROJECTION, ORACLES, _payload, _projected, query, table
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, in a local session without it a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="lectern-streams-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def run_stream(stream: DataFrame, path: str | None = None) -> DataFrame:
     """All rows of a stream over files that are there; transformWithState keeps its state in RocksDB, below path."""
     spark, path = stream.sparkSession, path or work_folder(stream.sparkSession)

@@ -1,8 +1,11 @@
-"""Session settings that every query relies on."""
+"""Session settings that every query relies on, and the folder that its steps share."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, shuffle_partitions: int | None = None, **conf) -> SparkSession:
@@ -15,3 +18,20 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
     return b.getOrCreate()
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, in a local session without it a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="lectern-work-")
+    return f"{base.rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame) -> DataFrame:
+    """rows as a table in a shared folder: what several steps need of them is found once."""
+    path = work_folder(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
