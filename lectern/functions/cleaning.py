@@ -23,8 +23,8 @@ def is_glyph_garbage(c) -> Column:
 
 def is_shouted(line: Column) -> Column:
     """A heading: at least 12 letters, under 120 characters, more than 85 % capitals."""
-    letters, capitals = F.regexp_count(line, F.lit(r"\p{L}")), F.regexp_count(line, F.lit(r"\p{Lu}"))
-    return (letters >= 12) & (F.length(line) < 120) & (100 * capitals > 85 * letters)
+    letters, capitals = F.length(F.regexp_replace(line, r"\P{L}+", "")), F.length(F.regexp_replace(line, r"\P{Lu}+", ""))
+    return (F.length(line) < 120) & (letters >= 12) & (100 * capitals > 85 * letters)
 
 
 #: Lines that are no text of a speech, by what they are.
@@ -66,22 +66,25 @@ def _stripped(c: Column) -> Column:
 
 def is_glyph_line(line: Column) -> Column:
     """A line of glyph numbers such as /12/i4."""
-    slashes = F.regexp_count(line, F.lit("/"))
+    slashes = F.length(line) - F.length(F.replace(line, F.lit("/"), F.lit("")))
     return ((slashes >= 8) & (F.regexp_count(line, F.lit(r"/\d+")) >= 6)) | ((slashes >= 4) & line.rlike(r"^[\d/i\s]+$"))
 
 
 def is_no_text(line: Column) -> Column:
     """Whether one of the rules drops a line; empty lines stay."""
-    out = is_glyph_line(line) | line.rlike(SPACED_LETTERS) | is_shouted(line)
-    for pattern in LINE_RULES.values():
-        out = out | line.rlike("(?i)" + pattern)
-    return out & (line != "")
+    rules = "(?i)^(?:" + "|".join(p.removeprefix("^") for p in LINE_RULES.values()) + ")"
+    return (line != "") & (line.rlike(rules) | is_shouted(line) | line.rlike(SPACED_LETTERS) | is_glyph_line(line))
+
+
+def one_newline(c) -> Column:
+    """A text whose lines all end in a line feed."""
+    return F.replace(F.replace(col(c), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def clean_lines(c) -> Column:
     """The lines of a text without those that are no text, trimmed, with single spaces and without soft hyphens."""
-    lines = F.split(F.regexp_replace(col(c), "\r\n|\r", "\n"), "\n")
-    plain = F.transform(lines, lambda x: F.trim(F.regexp_replace(F.replace(x, F.lit("\u00ad"), F.lit("")), r"[ \t\x{00A0}\x{2009}\x{202F}]+", " ")))
+    whole = F.regexp_replace(F.replace(one_newline(c), F.lit("\u00ad"), F.lit("")), r"[\t\x{00A0}\x{2009}\x{202F}]", " ")
+    plain = F.transform(F.split(F.regexp_replace(whole, "  +", " "), "\n"), lambda x: F.trim(x))
     return F.filter(plain, lambda x: ~is_no_text(x))
 
 
@@ -99,15 +102,22 @@ def joins(before: Column, line: Column) -> Column:
 
 
 def reflow(lines: Column) -> Column:
-    """Lines into paragraphs, joined by empty lines; a hyphen at a line's end joins its word. Empty lines say nothing."""
-    begin = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
-    tidy = lambda p: F.regexp_replace(F.trim(F.regexp_replace(p, " +", " ")), r" +([,.;:!?])", "$1")
+    """Lines into paragraphs, joined by empty lines; a hyphen at a line's end joins its word. Empty lines say nothing.
+
+    How a paragraph goes on depends on its end alone, so rules look at `tail`, what follows its last joint by a space, and not at all of it for each line.
+    """
+    begin = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit("").alias("tail"))
+    tidy = lambda p: F.regexp_replace(F.trim(F.regexp_replace(p, "  +", " ")), r" +([,.;:!?])", "$1")
     full = lambda a: F.when(a["open"] == "", a["done"]).otherwise(F.concat(a["done"], F.array(tidy(a["open"]))))
-    glued = lambda a, x: F.when(a["open"].rlike("(?<!-)-$"), F.concat(F.left(a["open"], F.length(a["open"]) - 1), x)).otherwise(F.concat(a["open"], F.lit(" "), x))
+    cut = lambda p, x: F.concat(F.left(p, F.length(p) - 1), x)
+    grown = lambda a, x: (
+        F.when(a["tail"].rlike("(?<!-)-$"), F.struct(a["done"].alias("done"), cut(a["open"], x).alias("open"), cut(a["tail"], x).alias("tail")))
+        .otherwise(F.struct(a["done"].alias("done"), F.concat(a["open"], F.lit(" "), x).alias("open"), x.alias("tail")))
+    )
     step = lambda a, x: (
         F.when(x == "", a)
-        .when((a["open"] != "") & joins(a["open"], x), F.struct(a["done"].alias("done"), glued(a, x).alias("open")))
-        .otherwise(F.struct(full(a).alias("done"), x.alias("open")))
+        .when((a["open"] != "") & joins(a["tail"], x), grown(a, x))
+        .otherwise(F.struct(full(a).alias("done"), x.alias("open"), x.alias("tail")))
     )
     return F.aggregate(lines, begin, step, lambda a: F.array_join(full(a), "\n\n"))
 

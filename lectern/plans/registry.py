@@ -565,7 +565,7 @@ def paragraphs(spark, sf_dir):
 
 @query(rf"SELECT doc_id, len(l)::BIGINT AS lines, len(string_split(t, chr(10))) - len(l) AS dropped, sha256(array_to_string(l, chr(10))) AS digest FROM (SELECT doc_id, t, {_LINES} AS l FROM (SELECT doc_id, regexp_replace(text, '\r\n|\r', chr(10), 'g') AS t FROM documents))")
 def clean_lines(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", "\r\n|\r", "\n").alias("text"), C.clean_lines("text").alias("l"))
+    d = table(spark, sf_dir, "documents").select("doc_id", C.one_newline("text").alias("text"), C.clean_lines("text").alias("l"))
     n = F.size("l").cast("long")
     return d.select("doc_id", n.alias("lines"), (F.size(F.split("text", "\n")) - n).cast("long").alias("dropped"), F.sha2(F.array_join("l", "\n"), 256).alias("digest"))
 

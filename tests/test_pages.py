@@ -75,3 +75,31 @@ def test_speaker_pages_use_all_tasks(spark):
     from lectern.plans import parsing
 
     assert parsing.speaker_pages(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_reflow_and_line_rules_against_whole_paragraphs(spark):
+    """Rules look at a paragraph's end alone, with the same result as rules over all of it; letters are not listed to be counted."""
+    import random
+    import re
+
+    rng = random.Random(5)
+    piece = ["word", "Word", "end.", "end.”", ")", "-", "a-", "a--", "b -", "stop.-", "x,", "Y:", "1. one", "- item", "”", "?", "—x", ""]
+    cases = [[rng.choice(piece) + rng.choice(["", " " + rng.choice(piece)]) for _ in range(rng.randint(0, 12))] for _ in range(400)]
+
+    def plain(lines):
+        done, p = [], ""
+        for x in [line.strip() for line in lines]:
+            if not x:
+                continue
+            if p and not re.match(r"(?:\d+\.\s|-+\s)", x) and (re.match(r"[a-z,;:)\]—–-]", x) or not (re.search(r"""[.!?…؟۔]["'”’»)]*$""", p) or (re.search("[,:]$", p) and re.match("[A-Z]", x)))):
+                p = p[:-1] + x if re.search("(?<!-)-$", p) else f"{p} {x}"
+            else:
+                done, p = done + [p] * bool(p), x
+        return "\n\n".join(re.sub(r" +([,.;:!?])", r"\1", re.sub(" +", " ", d).strip(" ")) for d in done + [p] * bool(p))
+
+    trimmed = F.transform("l", lambda x: F.trim(x))
+    got = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, l array<string>").select("i", C.reflow(trimmed).alias("p")).orderBy("i").collect()
+    assert [r.p for r in got] == [plain(c) for c in cases]
+    d = spark.createDataFrame([("A­ \t b\r\nHONOURABLE MEMBERS\r/1/2/3/4/5/6/7/8 9\n\nVery long sentence here",)], "t string").select(C.clean_lines("t").alias("l"))
+    assert d.first().l == ["A b", "", "Very long sentence here"]
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1  # numbers of lines with eight slashes
