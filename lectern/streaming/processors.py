@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -40,6 +41,11 @@ class _JsonState(StatefulProcessor):
     def step(self, key: tuple, state: dict, rows: list[dict]) -> tuple[dict, list[dict]]:
         raise NotImplementedError
 
+    def step_frame(self, key: tuple, state: dict, rows: pd.DataFrame) -> tuple[dict, pd.DataFrame]:
+        """step() over a frame, for rules that need no row by itself."""
+        state, out = self.step(key, state, rows.to_dict("records"))
+        return state, pd.DataFrame(out, columns=self.columns)
+
     def close_key(self, key: tuple, state: dict) -> list[dict]:
         return []
 
@@ -50,7 +56,7 @@ class _JsonState(StatefulProcessor):
         got = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
         kept = self._read()
         timer = kept.pop("_timer", None)
-        state, out = self.step(key, kept, got.to_dict("records"))
+        state, out = self.step_frame(key, kept, got)
         if self.event_time:
             until = int(got[self.event_time].max().timestamp() * 1000) + int(self.idle * 1000)
             until = max(until, timer or 0, timerValues.getCurrentWatermarkInMs() + 1)
@@ -60,7 +66,7 @@ class _JsonState(StatefulProcessor):
                 self.handle.registerTimer(until)
             state = state | {"_timer": until}
         self.state.update((json.dumps(state),))
-        yield pd.DataFrame(out, columns=self.columns)
+        yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state = self._read()
@@ -89,6 +95,16 @@ def keep_spaced(state: dict, rows: list[dict], time: str, gap: int) -> tuple[dic
     return {"last": last}, out
 
 
+def spaced_places(last: int | None, times: np.ndarray, gap: int) -> tuple[list[int], int | None]:
+    """keep_spaced for sorted times alone: the places of the rows that are kept and the last kept time. Each kept row finds the next by a search, so no other row is looked at."""
+    at, kept = 0 if last is None else int(np.searchsorted(times, last + gap)), []
+    while at < len(times):
+        kept.append(at)
+        last = int(times[at])
+        at = max(at + 1, int(np.searchsorted(times, last + gap)))
+    return kept, last
+
+
 def stream_cooldown(stream: DataFrame, keys: list[str], time: str, cooldown: int, *, event_time: str | None = None, idle: float | None = None, late: str = LATE) -> DataFrame:
     """The rows that the cooldown of their key lets pass. time is a whole number; the first row is the least of its time.
 
@@ -97,10 +113,11 @@ def stream_cooldown(stream: DataFrame, keys: list[str], time: str, cooldown: int
     names = stream.columns
 
     class Cooldown(_JsonState):
-        columns, order = names, [time, *[c for c in names if c != time]]
+        columns, order = names, [time, *[c for c in names if c != time and c not in keys]]
 
-        def step(self, key, state, rows):
-            return keep_spaced(state, [{k: (int(v) if k == time else v) for k, v in r.items()} for r in rows], time, cooldown)
+        def step_frame(self, key, state, rows):
+            kept, last = spaced_places(state.get("last"), rows[time].to_numpy(np.int64), cooldown)
+            return {"last": last}, rows.iloc[kept]
 
     return _run(stream, keys, Cooldown, stream.schema, event_time, max(cooldown, IDLE_SECONDS) if idle is None else idle, late)
 

@@ -174,3 +174,18 @@ def test_cooldown_of_groups_that_a_skewed_join_would_split(spark):
             spark.conf.unset(f"spark.sql.{k}")
     for k in (0, 1):
         assert sorted(r.t for r in got if r.k == k) == greedy([t for x, t in rows if x == k], 40)
+
+
+def test_spaced_places_are_those_of_the_rule():
+    """The frame rule against keep_spaced, over batches that also come late; a cooldown looks at kept rows only, not at each row."""
+    import numpy as np
+
+    rng = random.Random(11)
+    for gap in (0, 1, 7, 50):
+        state, last = {}, None
+        for _ in range(30):
+            times = sorted(rng.randrange(-200, 300) for _ in range(rng.randint(0, 40)))
+            state, rows = S.keep_spaced(state, [{"t": t} for t in times], "t", gap)
+            places, last = S.spaced_places(last, np.array(times, np.int64), gap)
+            assert ([times[i] for i in places], last) == ([r["t"] for r in rows], state["last"])
+    assert S.spaced_places(None, np.arange(1_000_000), 10**6) == ([0], 0)
