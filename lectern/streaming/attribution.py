@@ -67,7 +67,9 @@ class _Attribution(StatefulProcessor):
         got = pd.concat(list(rows), ignore_index=True)
         got["_agenda"] = got["kind"] != AGENDA
         got = got.sort_values(["ts", "_agenda", "seq"], kind="stable")
-        state, known, out = json.loads(self.tracker.get()[0]) if self.tracker.exists() else {}, {}, []
+        # Each access to state is a message to the JVM: a key without a tracker is new, and each day is asked for once.
+        seen = self.tracker.exists()
+        state, known, reported, out = json.loads(self.tracker.get()[0]) if seen else {}, {}, set(), []
         for r in got.itertuples(index=False):
             if r.kind == AGENDA:
                 known.pop(r.day, None)
@@ -83,16 +85,17 @@ class _Attribution(StatefulProcessor):
                 state = restored(state["taken_over"], now)
             if day not in known:
                 known[day] = self._agenda(day)
-            if known[day] is None and not self.reported.containsKey((day,)):
+            if known[day] is None and day not in reported and not self.reported.containsKey((day,)):
                 self.reported.updateValue((day,), (now,))
                 fallback = self.rules.agenda_at(now)
                 out.append((key[0], STATUS, None, r.ts, None, day, None, f"no agenda of {day}; {len(fallback)} speakers of another agenda are used"))
+            reported.update([day] if known[day] is None else [])
             rules = self.rules if known[day] is None else replace(self.rules, agenda=known[day])
             state, who = rules.observe(state, r.text, now)
             out.append((key[0], LINE, int(r.seq), r.ts, who, day, r.text, None))
         self.tracker.update((json.dumps(state),))
         until = max(int(got["ts"].max().timestamp() * 1000) + int(self.idle * 1000), timerValues.getCurrentWatermarkInMs() + 1)
-        old = self.timer.get()[0] if self.timer.exists() else None
+        old = self.timer.get()[0] if seen and self.timer.exists() else None
         if old is None or until > old:
             if old is not None:
                 self.handle.deleteTimer(old)

@@ -41,21 +41,28 @@ class _Repeats(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         got = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "seq", "start"], kind="stable")
-        out, last, now = [], self.sent.get()[0] if self.sent.exists() else None, 0.0
+        # Each access to state is a message to the JVM, so what was seen is read once and written back once, and a key without a timer is new.
+        old = self.timer.get()[0] if self.timer.exists() else None
+        sent = self.sent.get()[0] if old is not None and self.sent.exists() else None
+        before = {} if old is None else {c: at for (c,), (at,) in self.seen.iterator()}
+        seen, out, last, now = dict(before), [], sent, 0.0
         for r in got.itertuples(index=False):
             now = r.ts.timestamp()
-            if self.seen.containsKey((r.context,)) and now - self.seen.getValue((r.context,))[0] < self.ttl:
+            if r.context in seen and now - seen[r.context] < self.ttl:
                 continue
-            self.seen.updateValue((r.context,), (now,))
+            seen[r.context] = now
             send = last is None or now - last >= self.cooldown
             last = now if send else last
             out.append((key[0], r.seq, r.ts, r.speaker, r.keyword, r.context, send))
-        if last is not None:
+        if last is not None and last != sent:
             self.sent.update((last,))
-        for context in [c for c, at in self.seen.iterator() if now - at[0] >= self.ttl]:
-            self.seen.removeKey(context)
+        for context, at in seen.items():
+            if now - at >= self.ttl:
+                if context in before:
+                    self.seen.removeKey((context,))
+            elif before.get(context) != at:
+                self.seen.updateValue((context,), (at,))
         until = max(int((now + max(self.idle, self.cooldown)) * 1000), timerValues.getCurrentWatermarkInMs() + 1)
-        old = self.timer.get()[0] if self.timer.exists() else None
         if old is None or until > old:
             if old is not None:
                 self.handle.deleteTimer(old)

@@ -189,3 +189,71 @@ def test_spaced_places_are_those_of_the_rule():
             places, last = S.spaced_places(last, np.array(times, np.int64), gap)
             assert ([times[i] for i in places], last) == ([r["t"] for r in rows], state["last"])
     assert S.spaced_places(None, np.arange(1_000_000), 10**6) == ([0], 0)
+
+
+class _Held:
+    """A state variable of one key in memory that counts what is asked of it."""
+
+    def __init__(self, calls, value=None):
+        self.calls, self.value, self.map = calls, value, {}
+
+    def _count(self, out=None):
+        self.calls.append(1)
+        return out
+
+    def exists(self):
+        return self._count(self.value is not None)
+
+    def get(self):
+        return self._count(self.value)
+
+    def update(self, value):
+        self.value = self._count(value)
+
+    def containsKey(self, k):
+        return self._count(k in self.map)
+
+    def getValue(self, k):
+        return self._count(self.map[k])
+
+    def updateValue(self, k, v):
+        self._count()
+        self.map[k] = v
+
+    def removeKey(self, k):
+        self._count()
+        del self.map[k]
+
+    def iterator(self):
+        return self._count(iter(list(self.map.items())))
+
+
+def test_repeats_ask_for_state_once():
+    """A keyword's rows of one batch, however many, cost the same few messages to the state; what is seen and sent follows the rule over batches."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from lectern.streaming import loop
+
+    calls, rng = [], random.Random(4)
+    p = loop._Repeats("k", ttl=8, cooldown=60, idle=3600)
+    p.handle = SimpleNamespace(deleteTimer=lambda t: None, registerTimer=lambda t: None)
+    p.seen, p.sent, p.timer = _Held(calls), _Held(calls), _Held(calls)
+    seen, last, at = {}, None, 1_790_000_000
+    for size in (1, 40, 400, 3):
+        rows = []
+        for _ in range(size):
+            at += rng.choice([0, 1, 3])
+            rows.append((len(rows), pd.Timestamp(at, unit="s", tz="UTC"), "s", "K", 0, rng.choice("ab")))
+        want = []
+        for seq, ts, _, _, _, c in rows:
+            now = ts.timestamp()
+            if now - seen.get(c, -1e9) >= 8:
+                seen[c], send = now, last is None or now - last >= 60
+                last = now if send else last
+                want.append((seq, c, send))
+        calls.clear()
+        got = list(p.handleInputRows(("k", "K"), iter([pd.DataFrame(rows, columns=["seq", "ts", "speaker", "keyword", "start", "context"])]), SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)))[0]
+        assert [tuple(r) for r in got[["seq", "context", "send"]].itertuples(index=False)] == want
+        assert len(calls) <= 12 and all(at - v[0] < 8 for v in p.seen.map.values())
