@@ -2,6 +2,8 @@
 
 import random
 
+import pandas as pd
+
 from lectern.functions import fuzzy
 from lectern.operators import likeness
 
@@ -73,3 +75,44 @@ def test_keys_of_letters_are_not_broadcast(spark):
     joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
     assert joins and all("merge" in line for line in joins)
     assert {tuple(r) for r in found.collect()} >= {("abcdefgh", "abcdexyz"), ("abcdexyz", "abcdefgh")}
+
+
+def test_names_that_are_well_heard_meet_few_others(spark):
+    """Of 600 by 600 made-up words like those of roster_match one pair in thirteen had been measured."""
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    left, right = (spark.createDataFrame([(word(rng.choice(sizes)),) for _ in range(600)], "t string") for sizes in ((7, 11), (8, 10)))
+    assert likeness.candidates(left, right, likeness.WORD_LIKENESS).count() < 0.02 * 600 * 600
+    assert likeness.candidates(left, right, likeness.word_likeness(likeness.LEVELS[0])).count() < 0.0005 * 600 * 600
+
+
+def test_names_go_down_the_levels_until_no_entry_can_change_the_answer(spark):
+    """Best scores from all levels, rivals within and beyond the margin on either side of a level, entries of one name, and others by surname."""
+    rng = random.Random(14)
+    listed = [n for n, _, _ in people(rng, 60)]
+    listed += [garbled(rng.choice(listed), rng) for _ in range(60)] + listed[:6] + ["Bo Unusualname", "Ann Unusualnane"]
+    agenda = [(n, "", "") for n in listed]
+    said = sorted({garbled(garbled(rng.choice(listed), rng) or "x", rng) for _ in range(220)} | {"Xy Unusualname", "qqq zzz"} - {""})
+    got = {r.name: (r.position, r.score) for r in likeness.by_name(spark.createDataFrame([(n,) for n in said], "name string"), spark.createDataFrame(list(enumerate(listed)), "position long, name string")).collect()}
+    want = {n: fuzzy._by_name(n, agenda, fuzzy.NAME_THRESHOLD) for n in said}
+    assert got == {n: w for n, w in want.items() if w}
+    best = [max(fuzzy.name_score(n, x) for x in listed) for n in said]
+    assert all(sum(low <= b < low + 0.08 for b in best) > 5 for low in likeness.LEVELS) and sum(b >= 0.86 for b in best) > 20
+
+
+def test_letters_shared_in_order():
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choice("abcdé\0") for _ in range(rng.choice([1, 5, 20, 63, 64])))
+    pairs = [(word(), word()) for _ in range(300)]
+    for (a, b), found in zip(pairs, fuzzy.shared_in_order(*map(pd.Series, zip(*pairs)))):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = _step(row, x, b)
+        assert found == (row[-1] if max(len(a), len(b)) <= 63 else min(len(a), len(b)))
+
+
+def _step(row, x, b):
+    out = [0]
+    for j, y in enumerate(b):
+        out.append(row[j] + 1 if x == y else max(row[j + 1], out[j]))
+    return out
