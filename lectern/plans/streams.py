@@ -167,8 +167,10 @@ def stream_context_join(spark, sf_dir):
     length = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("event_id") % 5000)
     lines = e.select("k", F.col("at").alias("start"), (F.col("at") + length).alias("end"), F.concat(F.lit("e"), F.col("event_id")).alias("text"))
     hits = e.where("event_type = 'error'").select("k", "at", "event_id")
-    found = windows.context_join(closed(hits, "at", k=-1), closed(lines, "start", "end", k=-1), "k", "at", ["event_id"], "start", "end", "text", before=7200, after=3600, longest=5400)
-    return run_stream(found).where("event_id IS NOT NULL").select("event_id", "passage")
+    reach = {"before": 7200, "after": 3600, "longest": 5400}
+    held = windows.context_windows(closed(hits, "at", k=-1), closed(lines, "start", "end", k=-1), "k", "at", ["event_id"], "start", "end", "text", **reach)
+    # A line stands in the passages of all hits around it, so the stream's windows are stored, and passages are made as they are read.
+    return windows.passages(run_stream(held), "k", "at", ["event_id"], **reach).where("event_id IS NOT NULL").select("event_id", "passage")
 
 
 def _letters(number) -> Column:

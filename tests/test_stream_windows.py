@@ -199,3 +199,33 @@ def test_passages_around_equal_the_loop_and_keep_no_pairs():
     assert W.passages_around(lines, np.array(at) * 1_000_000, 40, 25, 30) == want
     many = [{"start": i, "end": 1_000_000 - i, "text": f"t{i}"} for i in range(20_000)]
     assert set(W.passages_around(many, np.arange(20_000) + 100_000, 40, 25, 30)) == {"t0"}
+
+
+def test_lines_that_no_passage_holds_are_left_out(spark):
+    """Parts of the lines, each without what an earlier line outlasts, give the passages of all lines, also with empty texts, equal times and lines that are too long."""
+    rng = random.Random(7)
+    lines = [(rng.choice("abc"), (s := rng.randrange(300)) * 1_000_000, (s + rng.choice([-2, 0, 5, 20, 30, 30, 33, 90])) * 1_000_000, rng.choice(["", f"t{i}", "same"])) for i in range(900)]
+    stamped = spark.createDataFrame(lines, "_key string, t long, _end long, _text string").selectExpr("_key", "timestamp_micros(t) AS _time", "_end", "_text")
+    for parts in (1, 3):
+        left = stamped.repartition(parts).mapInArrow(W.outlasting(30), stamped.schema).selectExpr("_key", "unix_micros(_time) AS t", "_end", "_text").collect()
+        assert len(left) < 0.7 * len(lines) and max(x.t for x in left) == max(x[1] for x in lines)
+        for k in "abc":
+            dicts = [[{"start": t, "end": e, "text": text} for of, t, e, text in rows if of == k] for rows in (lines, left)]
+            at = np.arange(-80, 400) * 1_000_000
+            assert W.passages_around(dicts[1], at, 40, 25, 30) == W.passages_around(dicts[0], at, 40, 25, 30)
+
+
+def test_a_dense_stream_keeps_few_lines_and_no_passages(spark, tmp_path):
+    """Of 4,000 lines in each minute few outlast the earlier ones; these alone are in the windows that are stored, each read by all hits."""
+    rng = random.Random(8)
+    lines = [("a", s := BASE + rng.randrange(240), s + rng.randrange(1, 30), f"text {i}") for i in range(16_000)]
+    hits = [("a", BASE + rng.randrange(240), f"word{i}") for i in range(50)]
+    x = in_batches(spark, tmp_path / "l", [lines, [("z", FAR, FAR + 1, "end")]], "k string, s long, e long, text string")
+    h = in_batches(spark, tmp_path / "h", [hits, [("z", FAR, "end")]], "k string, t long, word string")
+    stamped = lambda d, *names: d.withColumns({n: F.timestamp_seconds(n) for n in names})
+    reach = {"before": 40, "after": 25, "longest": 30}
+    stored = run_stream(W.context_windows(stamped(h, "t"), stamped(x, "s", "e"), "k", "t", ["word"], "s", "e", "text", late="2 minutes", **reach), str(tmp_path))
+    assert stored.selectExpr("sum(size(_lines))").first()[0] < 4_000
+    found = W.passages(stored, "k", "t", ["word"], before=40, after=25, longest=30).where("k = 'a'").collect()
+    near = {t: [(s, e, text) for _, s, e, text in lines if t - 70 <= s <= t + 25 and e >= t - 40] for t in {t for _, t, _ in hits}}
+    assert sorted((int(r.t.timestamp()), r.word, r.passage) for r in found) == sorted((t, w, " ".join(covered_lines(near[t], t - 40, t + 25))) for _, t, w in hits)
